@@ -159,19 +159,25 @@ def distinct_in_lookback(facts: DataFrame, refs: DataFrame, value: str, specs: S
         for when, step in ((F.date_add("_day", s.offset), 1), (until, -1)):
             steps.append(F.when(F.col("_w") == tag, F.struct(
                 F.lit(i).alias("spec"), when.alias("day"), F.lit(step).alias("step"))))
-    moves = (
-        active.select(key, F.explode(F.array_compact(F.array(*steps))).alias("m"))
-        .groupBy(key, F.col("m.day").alias("_day"))
-        .agg(*[F.sum(F.when(F.col("m.spec") == i, F.col("m.step")).otherwise(0)).alias(s.name)
-               for i, s in enumerate(specs)])
-        .withColumn("_ref", F.lit(0))
-    )
-    marks = refs.select(key, F.col("ref_date").alias("_day"), *[F.lit(0).cast("bigint").alias(s.name) for s in specs],
+    moves = active.select(key, F.explode(F.array_compact(F.array(*steps))).alias("m")).select(
+        key, F.col("m.day").alias("day"),
+        *[F.when(F.col("m.spec") == i, F.col("m.step")).otherwise(0).alias(s.name) for i, s in enumerate(specs)])
+    return running_steps(moves, refs, [s.name for s in specs], key)
+
+
+def running_steps(moves: DataFrame, refs: DataFrame, names: Sequence[str], key: str = "party",
+                  ref_date: str = "ref_date") -> DataFrame:
+    """Sum of all steps dated on or before each reference point.
+
+    ``moves`` holds rows (key, day, steps ...). They are summed per (key, day) first, so
+    the running window of one key never exceeds its calendar days."""
+    daily = moves.groupBy(key, "day").agg(*[F.sum(n).cast("bigint").alias(n) for n in names]).withColumn("_ref", F.lit(0))
+    marks = refs.select(key, F.col(ref_date).alias("day"), *[F.lit(0).cast("bigint").alias(n) for n in names],
                         F.lit(1).alias("_ref"))
-    running = Window.partitionBy(key).orderBy("_day", "_ref").rowsBetween(Window.unboundedPreceding, 0)
+    running = Window.partitionBy(key).orderBy("day", "_ref").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        moves.unionByName(marks)
-        .select(key, F.col("_day").alias("ref_date"), "_ref", *[F.sum(s.name).over(running).alias(s.name) for s in specs])
+        daily.unionByName(marks)
+        .select(key, F.col("day").alias(ref_date), "_ref", *[F.sum(n).over(running).alias(n) for n in names])
         .filter("_ref = 1").drop("_ref")
     )
 

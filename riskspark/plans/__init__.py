@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from riskspark.plans import lookback_plans  # noqa: F401
+from riskspark.plans import lookback_plans, shape_plans  # noqa: F401
 from riskspark.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
