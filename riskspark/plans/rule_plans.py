@@ -178,9 +178,9 @@ def rule_mandatory(spark, sf):
 
 @query("rule_mandatory_exclude", FEATURES_SQL + f" SELECT party, segment FROM feat WHERE {MANDATORY_SQL} = 'missed'")
 def rule_mandatory_exclude(spark, sf):
+    """One pass: parties any mandatory rule catches leave the normal flow."""
     df = rule_features(spark, sf)
-    caught = df.filter(ru.mandatory_level(MANDATORY, df.columns) != ru.MISSED).select("party")
-    return df.join(caught, "party", "left_anti").select("party", "segment")
+    return df.filter(ru.mandatory_level(MANDATORY, df.columns) == ru.MISSED).select("party", "segment")
 
 
 _VALUE = {"r_segment": "segment", "r_region": "region", "r_age": "CAST(age AS VARCHAR)", "r_pep": "CAST(pep AS VARCHAR)", "r_vol": "CAST(vol_360 AS VARCHAR)"}
