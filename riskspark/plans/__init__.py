@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from riskspark.plans import lookback_plans, rule_plans, score_plans, shape_plans, static_plans  # noqa: F401
+from riskspark.plans import cluster_plans, lookback_plans, rule_plans, score_plans, shape_plans, static_plans  # noqa: F401
 from riskspark.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
