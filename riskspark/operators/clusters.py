@@ -13,7 +13,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.operators.ranks import quantile_list, quantile_values
+from riskspark.operators.ranks import quantile_lists, quantile_values
 
 KL_EPSILON = 1e-4
 
@@ -36,11 +36,7 @@ def cluster_counts(df: DataFrame, cluster: str, alerts: str, true_alerts: str) -
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Exact population quantiles, one row per feature and probability."""
-    out = None
-    for c in cols:
-        part = quantile_values(df, c, probs).select(F.lit(c).alias("feature"), "prob", "value")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return quantile_values(df, cols, probs)
 
 
 def range_compare(df: DataFrame, cluster: str, cols: Sequence[str], low_share: float = 0.2, high_share: float = 0.2,
@@ -48,9 +44,10 @@ def range_compare(df: DataFrame, cluster: str, cols: Sequence[str], low_share: f
     """Where a cluster sits in the population's range of each feature: shares in the low and
     high end and on both sides of the mean, a level H / M / L and a score."""
     means = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
+    ends = quantile_lists(df, cols, [low_share, 1 - high_share])
     aggs = []
     for c in cols:
-        lo, hi = quantile_list(df, c, [low_share, 1 - high_share])
+        lo, hi = ends[c]
         x = F.col(c)
         aggs.append(F.struct(*[F.avg(F.when(cond, 1.0).otherwise(0.0)).alias(n) for n, cond in (
             ("low_value", x <= lo), ("high_value", x >= hi), ("smaller_than_mean", x < means[c]), ("greater_than_mean", x > means[c]))]).alias(c))

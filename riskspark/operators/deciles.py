@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.operators.ranks import quantile_list, rank_runs, value_runs
+from riskspark.operators.ranks import quantile_lists, rank_runs, value_runs
 
 DEFAULT_RECALL = 0.8
 DEFAULT_MISCLASS = 0.05
@@ -65,7 +65,7 @@ def decile_chart(df: DataFrame, bins: int, score: str = "score", label: str | No
 def quantile_chart(df: DataFrame, bins: int = 10, score: str = "score", label: str = "label") -> DataFrame:
     """Bins cut at score quantiles: recall, false-alert reduction and their running sums."""
     runs = value_runs(df, score, label)
-    cuts = sorted(set(quantile_list(df, score, [i / bins for i in range(1, bins)])))
+    cuts = sorted(set(quantile_lists(df, [score], [i / bins for i in range(1, bins)])[score]))
     bin_no = F.lit(1)
     for c in cuts:
         bin_no = bin_no + F.when(F.col(score) >= c, 1).otherwise(0)

@@ -51,16 +51,38 @@ def rank_runs(runs: DataFrame, value: str, tie: str | None = None, n: str = "n",
     )
 
 
-def quantile_values(df: DataFrame, value: str, probs: Sequence[float]) -> DataFrame:
-    """(prob, value): the smallest value whose rank reaches prob * rows."""
-    ranked = rank_runs(value_runs(df, value), value)
-    wanted = F.explode(F.array_compact(F.array(*[
-        F.when((F.ceil(F.col("total") * F.lit(p)) > F.col("before")) &
-               (F.ceil(F.col("total") * F.lit(p)) <= F.col("before") + F.col("n")), F.lit(float(p))) for p in probs])))
-    return ranked.select(wanted.alias("prob"), F.col(value).alias("value"))
-
-
-def quantile_list(df: DataFrame, value: str, probs: Sequence[float]) -> list[float]:
-    """The same as numbers on the driver: as many as ``probs``."""
-    found = {r["prob"]: r["value"] for r in quantile_values(df, value, probs).collect()}
-    return [found[p] for p in probs]
+def ranked_values(df: DataFrame, cols: Sequence[str], ranges: int = RANGES) -> DataFrame:
+    """(feature, value, n, before, total) for several columns in one pass over the rows."""
+    wide = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    probs = [i / ranges for i in range(1, ranges)]
+    cuts = wide.agg(*[F.percentile_approx(c, probs, 4 * ranges).alias(c) for c in cols]).first()
+    split = Bucketizer(
+        splitsArray=[[float("-inf"), *sorted(set(cuts[c] or [])), float("inf")] for c in cols],
+        inputCols=list(cols), outputCols=[f"_r_{c}" for c in cols], handleInvalid="keep")
+    items = F.explode(F.array(*[F.struct(
+        F.lit(c).alias("feature"), F.col(c).alias("value"), F.col(f"_r_{c}").alias("_range")) for c in cols])).alias("i")
+    runs = split.transform(wide).select(items).select("i.*").filter(F.col("value").isNotNull()).groupBy(
+        "feature", "value", "_range").agg(F.count(F.lit(1)).alias("n"))
+    # at most `ranges` rows per feature
+    by_feature = Window.partitionBy("feature")
+    ahead = by_feature.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = runs.groupBy("feature", "_range").agg(F.sum("n").alias("_n")).select(
+        "feature", "_range", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"), F.sum("_n").over(by_feature).alias("total"))
+    inside = Window.partitionBy("feature", "_range").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    return runs.join(F.broadcast(totals), ["feature", "_range"]).select(
+        "feature", "value", "n", (F.col("_ahead") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("before"), "total")
+
+
+def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """(feature, prob, value): the smallest value whose rank reaches prob * rows."""
+    def reached(p: float) -> Column:
+        rank = F.ceil(F.col("total") * F.lit(p))
+        return F.when((rank > F.col("before")) & (rank <= F.col("before") + F.col("n")), F.lit(float(p)))
+    wanted = F.explode(F.array_compact(F.array(*[reached(p) for p in probs]))).alias("prob")
+    return ranked_values(df, cols).select("feature", wanted, "value")
+
+
+def quantile_lists(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
+    """The same as numbers on the driver: one per column and probability."""
+    found = {(r["feature"], r["prob"]): r["value"] for r in quantile_values(df, cols, probs).collect()}
+    return {c: [found[c, p] for p in probs] for c in cols}
