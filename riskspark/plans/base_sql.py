@@ -49,4 +49,4 @@ def with_tables(names: str, body: str, **extra: str) -> str:
             if needed not in order:
                 order.append(needed)
     parts = [f"{n} AS ({_CTES[n]})" for n in order] + [f"{n} AS ({sql})" for n, sql in extra.items()]
-    return f"WITH {', '.join(parts)} {body}"
+    return f"WITH {', '.join(parts)} {body}"      # body may go on with ", more AS (...)"
