@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def bind(fn: Callable[[Column], Column], **parts: Column) -> Column:
+    """``fn`` over a struct of parts that are evaluated once per row: Spark would repeat an
+    expression for every place, and every element of a lambda, that mentions it."""
+    return F.transform(F.array(F.struct(*[c.alias(n) for n, c in parts.items()])), fn)[0]
+
+
 def normalise(name: Column) -> Column:
     """Upper case, punctuation to blanks, single blanks, trimmed; empty becomes null."""
     plain = F.trim(F.regexp_replace(F.regexp_replace(F.upper(name), r"[^0-9A-Z]+", " "), r"\s+", " "))
@@ -31,8 +39,7 @@ def token_count(name: Column) -> Column:
 
 def token_overlap(a: Column, b: Column) -> Column:
     """Words of a that occur in b, duplicates counted."""
-    words = tokens(b)
-    return F.size(F.filter(tokens(a), lambda t: F.array_contains(words, t)))
+    return bind(lambda p: F.size(F.filter(p["a"], lambda t: F.array_contains(p["b"], t))), a=tokens(a), b=tokens(b))
 
 
 def grams(name: Column, n: int) -> Column:
@@ -43,15 +50,19 @@ def grams(name: Column, n: int) -> Column:
 
 def ngram_score(a: Column, b: Column, n: int) -> Column:
     """n-grams of a that occur in b, over the longer list."""
-    ga, gb = grams(a, n), grams(b, n)
-    longest = F.greatest(F.size(ga), F.size(gb))
-    return F.when(longest > 0, F.size(F.filter(ga, lambda g: F.array_contains(gb, g))) / longest).otherwise(0.0)
+    def score(p: Column) -> Column:
+        longest = F.greatest(F.size(p["a"]), F.size(p["b"]))
+        return F.when(longest > 0, F.size(F.filter(p["a"], lambda g: F.array_contains(p["b"], g))) / longest).otherwise(0.0)
+    return bind(score, a=grams(a, n), b=grams(b, n))
 
 
 def edit_ratio(a: Column, b: Column) -> Column:
     """1 - edit distance / longer length; 0 when a name is missing."""
-    longest = F.greatest(F.length(a), F.length(b))
-    return F.when(a.isNull() | b.isNull(), 0.0).when(longest == 0, 1.0).otherwise(1 - F.levenshtein(a, b) / longest)
+    def ratio(p: Column) -> Column:
+        longest = F.greatest(F.length(p["a"]), F.length(p["b"]))
+        return F.when(p["a"].isNull() | p["b"].isNull(), 0.0).when(longest == 0, 1.0).otherwise(
+            1 - F.levenshtein(p["a"], p["b"]) / longest)
+    return bind(ratio, a=a, b=b)
 
 
 def sorted_tokens(name: Column) -> Column:
@@ -66,9 +77,12 @@ def token_sort_ratio(a: Column, b: Column) -> Column:
 
 def alias_best(name: Column, aliases: Column) -> Column:
     """Best of both ratios over the ``;``-separated aliases; null without any."""
-    scores = F.transform(F.split(aliases, ";"), lambda x: F.greatest(
-        edit_ratio(comma_flip(x), name), token_sort_ratio(comma_flip(x), name)))
-    return F.when(aliases.isNotNull() & (aliases != ""), F.array_max(scores))
+    def best(p: Column) -> Column:
+        scores = F.transform(F.transform(p["aliases"], comma_flip), lambda x: F.greatest(
+            edit_ratio(x, p["name"]), edit_ratio(sorted_tokens(x), p["sorted"])))
+        return F.array_max(scores)
+    found = bind(best, name=name, sorted=sorted_tokens(name), aliases=F.split(aliases, ";"))
+    return F.when(aliases.isNotNull() & (aliases != ""), found)
 
 
 def _subset_ratio_udf():

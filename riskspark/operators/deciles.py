@@ -1,16 +1,19 @@
 """Decile charts and the cut-offs read from them.
 
 Charts are computed from (score, label) runs: a run is split over the bins its ranks
-cover, so neither ties nor hot scores gather rows. A chart has at most ``bins`` rows; the
-windows over charts are bounded by that.
+cover, so neither ties nor hot scores gather rows. Several score columns are charted in one
+pass; ``feature`` names the column. A chart has at most ``bins`` rows per feature, which
+bounds the windows over it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.operators.ranks import quantile_lists, rank_runs, value_runs
+from riskspark.operators.ranks import quantile_lists, ranked_values
 
 DEFAULT_RECALL = 0.8
 DEFAULT_MISCLASS = 0.05
@@ -40,31 +43,35 @@ def _ntile_bins(bins: int) -> tuple[Column, Column, Column, Column]:
     return bin_of("(before + 1)"), bin_of("(before + n)"), end("_b"), end("(_b - 1)")
 
 
-def decile_chart(df: DataFrame, bins: int, score: str = "score", label: str | None = "label", rule: str = "row_number",
-                 descending: bool = True) -> DataFrame:
+def _running(first: bool = False) -> Window:
+    by = Window.partitionBy("feature").orderBy("decile")
+    return by if first else by.rowsBetween(Window.unboundedPreceding, 0)
+
+
+def decile_chart(df: DataFrame, bins: int, scores: Sequence[str] = ("score",), label: str | None = "label",
+                 rule: str = "row_number", descending: bool = True) -> DataFrame:
     """Equal-count bins by score. Equal scores are ordered true alerts first."""
-    runs = rank_runs(value_runs(df, score, label), score, label, descending=descending)
+    runs = ranked_values(df, scores, label, descending)
     first, last, end, end_before = (_row_number_bins if rule == "row_number" else _ntile_bins)(bins)
     parts = runs.withColumn("_b", F.explode(F.sequence(first, last))).withColumn(
         "_k", F.least(F.col("before") + F.col("n"), end) - F.greatest(F.col("before"), end_before))
-    aggs = [F.sum("_k").alias("total_rows"), F.min(score).alias("min_score"), F.max(score).alias("max_score")]
+    aggs = [F.sum("_k").alias("total_rows"), F.min("value").alias("min_score"), F.max("value").alias("max_score")]
     if label:
         aggs += [F.sum(F.col("_k") * F.col(label)).alias("true_alerts"),
                  F.sum(F.when(F.col(label) == 0, F.col("_k")).otherwise(0)).alias("false_alerts")]
-    chart = parts.groupBy(F.col("_b").cast("int").alias("decile")).agg(*aggs)
-    so_far = Window.orderBy("decile").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.orderBy("decile").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    chart = parts.groupBy("feature", F.col("_b").cast("int").alias("decile")).agg(*aggs)
+    whole = Window.partitionBy("feature")
 
     def running(col: str, name: str) -> list[Column]:
-        total = F.sum(col).over(so_far)
+        total = F.sum(col).over(_running())
         return [total.alias(f"cum_{name}"), (total / F.sum(col).over(whole)).alias(f"cum_{name}_share")]
     out = chart.select("*", *running("total_rows", "total"), *(running("true_alerts", "true") if label else []))
-    return out.persist()      # at most `bins` rows, read several times by the cut-offs
+    return out.persist()      # at most `bins` rows per feature, read several times by the cut-offs
 
 
 def quantile_chart(df: DataFrame, bins: int = 10, score: str = "score", label: str = "label") -> DataFrame:
     """Bins cut at score quantiles: recall, false-alert reduction and their running sums."""
-    runs = value_runs(df, score, label)
+    runs = df.filter(F.col(score).isNotNull()).groupBy(score, label).agg(F.count(F.lit(1)).alias("n"))
     cuts = sorted(set(quantile_lists(df, [score], [i / bins for i in range(1, bins)])[score]))
     bin_no = F.lit(1)
     for c in cuts:
@@ -82,11 +89,11 @@ def quantile_chart(df: DataFrame, bins: int = 10, score: str = "score", label: s
 
 
 def boundaries(chart: DataFrame, recall: float = DEFAULT_RECALL, misclass: float = DEFAULT_MISCLASS) -> DataFrame:
-    """One row: high cut-off from the recall wanted above it, low cut-off from the true
+    """Per feature: high cut-off from the recall wanted above it, low cut-off from the true
     alerts tolerated below it (the running share *before* a bin decides)."""
-    lagged = chart.withColumn("_lag", F.coalesce(F.lag("cum_true_share").over(Window.orderBy("decile")), F.lit(0.0)))
+    lagged = chart.withColumn("_lag", F.coalesce(F.lag("cum_true_share").over(_running(first=True)), F.lit(0.0)))
     hi, lo = F.col("cum_true_share") >= recall, F.col("_lag") >= 1 - misclass
-    return lagged.agg(
+    return lagged.groupBy("feature").agg(
         F.max(F.when(hi, F.col("min_score"))).alias("high"), F.min(F.when(hi, F.col("decile"))).alias("high_decile"),
         F.max(F.when(lo, F.col("max_score"))).alias("low"), F.min(F.when(lo, F.col("decile"))).alias("low_decile"))
 
@@ -94,7 +101,7 @@ def boundaries(chart: DataFrame, recall: float = DEFAULT_RECALL, misclass: float
 def recall_thresholds(chart: DataFrame, min_recall: float, max_misclass: float) -> DataFrame:
     """From an ascending chart: lowest scores of the bins past 1 - recall, and past the misclassification."""
     share = F.col("cum_true_share")
-    return chart.agg(
+    return chart.groupBy("feature").agg(
         F.coalesce(F.min(F.when(share > 1 - min_recall, F.col("min_score"))), F.lit(1.0)).alias("high"),
         F.coalesce(F.min(F.when(share > max_misclass, F.col("min_score"))), F.lit(0.0)).alias("low"))
 
@@ -105,7 +112,7 @@ def worst_case(chart: DataFrame, bins: int, high_share: float = HIGH_CONSERVATIV
 
     def cell(decile: int, col: str) -> Column:
         return F.max(F.when(F.col("decile") == decile, F.col(col)))
-    return chart.agg(
+    return chart.groupBy("feature").agg(
         F.coalesce(cell(high_bin, "min_score"), F.lit(1.0)).alias("high"), cell(low_bin, "max_score").alias("low"),
         F.coalesce(cell(high_bin, "cum_true_share"), F.lit(0.0)).alias("recall"),
         (1 - cell(low_bin - 1, "cum_true_share")).alias("misclass"))
@@ -114,24 +121,31 @@ def worst_case(chart: DataFrame, bins: int, high_share: float = HIGH_CONSERVATIV
 def tuned(chart: DataFrame, bins: int, recall: float = DEFAULT_RECALL, misclass: float = DEFAULT_MISCLASS) -> DataFrame:
     """Boundaries, replaced by the worst case where high falls below low."""
     both = boundaries(chart, recall, misclass).join(
-        worst_case(chart, bins).select(F.col("high").alias("_wh"), F.col("low").alias("_wl")))
+        worst_case(chart, bins).select("feature", F.col("high").alias("_wh"), F.col("low").alias("_wl")), "feature")
     crossed = F.col("high") < F.col("low")
-    return both.select(F.when(crossed, F.col("_wh")).otherwise(F.col("high")).alias("high"),
+    return both.select("feature", F.when(crossed, F.col("_wh")).otherwise(F.col("high")).alias("high"),
                        F.when(crossed, F.col("_wl")).otherwise(F.col("low")).alias("low"), crossed.alias("conservative"))
 
 
-def adjust_to_population(chart: DataFrame, df: DataFrame, thresholds: DataFrame, score: str, max_high: float,
-                         min_low: float) -> DataFrame:
+def level_sizes(df: DataFrame, thresholds: DataFrame) -> DataFrame:
+    """Per feature: rows at or above its high cut-off, rows below its low one, all rows."""
+    scores = [r["feature"] for r in thresholds.select("feature").collect()]       # one row per score column
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in scores]).unpivot([], scores, "feature", "value")
+    return long.filter(F.col("value").isNotNull()).join(thresholds.select("feature", "high", "low"), "feature").groupBy("feature").agg(
+        F.count(F.when(F.col("value") >= F.col("high"), True)).alias("n_high"),
+        F.count(F.when(F.col("value") < F.col("low"), True)).alias("n_low"), F.count(F.lit(1)).alias("n"))
+
+
+def adjust_to_population(chart: DataFrame, df: DataFrame, thresholds: DataFrame, max_high: float, min_low: float) -> DataFrame:
     """Re-cut on the population's ascending chart where %High is over, or %Low under, its bound."""
-    high, low = thresholds.select("high").scalar(), thresholds.select("low").scalar()
-    shares = df.agg(F.avg(F.when(F.col(score) >= high, 1.0).otherwise(0.0)).alias("_h"),
-                    F.avg(F.when(F.col(score) >= low, 0.0).otherwise(1.0)).alias("_l"))
     share = F.col("cum_total_share")
-    recut = chart.agg(F.coalesce(F.min(F.when(share > 1 - max_high, F.col("min_score"))), F.lit(1.0)).alias("_rh"),
-                      F.coalesce(F.min(F.when(share > min_low, F.col("min_score"))), F.lit(0.0)).alias("_rl"))
-    return thresholds.join(shares).join(recut).select(
-        F.when(F.col("_h") > max_high, F.col("_rh")).otherwise(F.col("high")).alias("high"),
-        F.when(F.col("_l") < min_low, F.col("_rl")).otherwise(F.col("low")).alias("low"))
+    recut = chart.groupBy("feature").agg(
+        F.coalesce(F.min(F.when(share > 1 - max_high, F.col("min_score"))), F.lit(1.0)).alias("_rh"),
+        F.coalesce(F.min(F.when(share > min_low, F.col("min_score"))), F.lit(0.0)).alias("_rl"))
+    sized = thresholds.join(level_sizes(df, thresholds), "feature").join(recut, "feature")
+    return sized.select(
+        "feature", F.when(F.col("n_high") / F.col("n") > max_high, F.col("_rh")).otherwise(F.col("high")).alias("high"),
+        F.when(F.col("n_low") / F.col("n") < min_low, F.col("_rl")).otherwise(F.col("low")).alias("low"))
 
 
 def evaluate_cutoffs(df: DataFrame, high: float, low: float, score: str = "score", label: str = "label") -> DataFrame:

@@ -119,10 +119,18 @@ def lookback_features(facts: DataFrame, refs: DataFrame, specs: Sequence[Spec],
     """All first-level features of every reference point from one join and one aggregate."""
     longest = max(s.days for s in specs)
     daily = daily_totals(facts, specs, key, date, amount)
-    joined = lookback_join(daily, refs, date, key=key, days=longest)
-    made = joined.groupBy(key, "ref_date").agg(*[spec_column(s) for s in specs])
-    zero = {s.name: 0 for s in specs if s.op in ("AMT", "VOL")}
-    return refs.join(made, [key, "ref_date"], "left").na.fill(zero)
+    return near_facts(daily, refs, date, key, longest).groupBy(key, "ref_date").agg(*[spec_column(s) for s in specs])
+
+
+def near_facts(facts: DataFrame, refs: DataFrame, date: str, key: str, days: int) -> DataFrame:
+    """Every reference point with the facts of its look-back, for an aggregate by point:
+    points without facts keep rows of nulls, so no join back is needed."""
+    block = time_block("ref_date", days)
+    points = refs.select(key, "ref_date", F.explode(F.array(block, block - 1)).alias("_block"))
+    rows = facts.withColumn("_fact_block", time_block(date, days)).withColumnRenamed(key, "_fact_key")
+    gap = F.datediff(F.col("ref_date"), F.col(date))
+    inside = (F.col(key) == F.col("_fact_key")) & (F.col("_block") == F.col("_fact_block")) & (gap >= 0) & (gap < days)
+    return points.join(rows, inside, "left").drop("_fact_key", "_fact_block", "_block").withColumn("days_before", gap)
 
 
 @dataclass(frozen=True)
@@ -187,12 +195,12 @@ def gap_features(facts: DataFrame, refs: DataFrame, windows: Sequence[int], key:
     """Mean and spread of the days between consecutive activity days inside each window."""
     days = facts.select(key, F.col(date).alias("_day")).distinct()
     days = days.withColumn("_gap", F.datediff("_day", F.lag("_day").over(Window.partitionBy(key).orderBy("_day"))))
-    joined = lookback_join(days, refs, "_day", key=key, days=max(windows))
+    joined = near_facts(days, refs, "_day", key, max(windows))
     cols = []
     for w in windows:
         inside = F.when(F.col("days_before") + F.col("_gap") < w, F.col("_gap"))
         cols += [F.avg(inside).alias(f"TXN-GAP_{w}DAY_AVG"), F.stddev_samp(inside).alias(f"TXN-GAP_{w}DAY_SD")]
-    return refs.join(joined.groupBy(key, "ref_date").agg(*cols), [key, "ref_date"], "left")
+    return joined.groupBy(key, "ref_date").agg(*cols)
 
 
 def skew_safe_agg(df: DataFrame, key: str, amount: str, distinct: str, hot_rows: int = 100_000,

@@ -18,42 +18,15 @@ from pyspark.sql import functions as F
 RANGES = 512
 
 
-def value_runs(df: DataFrame, value: str, tie: str | None = None, keys: Sequence[str] = (), n: str = "n") -> DataFrame:
-    """(keys, value, tie) with the number of rows; null values take no part in a ranking."""
-    cols = [F.col(value).cast("double").alias(value)] + ([F.col(tie)] if tie else [])
-    return df.filter(F.col(value).isNotNull()).groupBy(*keys, *cols).agg(F.count(F.lit(1)).alias(n))
-
-
-def rank_runs(runs: DataFrame, value: str, tie: str | None = None, n: str = "n", descending: bool = False,
-              ranges: int = RANGES) -> DataFrame:
-    """Adds ``before``: how many rows rank ahead of the run, and ``total``: all rows.
-
-    ``tie`` orders equal values, always from high to low."""
-    cuts = runs.agg(F.percentile_approx(value, [i / ranges for i in range(1, ranges)], 4 * ranges)).first()[0]
-    inner = sorted(set(cuts or []))
-    split = Bucketizer(splits=[float("-inf"), *inner, float("inf")], inputCol=value, outputCol="_range")
-    cut = split.transform(runs)
-
-    def direction(c: str) -> Column:
-        return F.col(c).desc() if descending else F.col(c).asc()
-
-    # at most `ranges` rows, so one task and a broadcast are bounded
-    ahead = Window.orderBy(direction("_range")).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy(direction("_range")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    totals = cut.groupBy("_range").agg(F.sum(n).alias("_n")).select(
-        "_range", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"), F.sum("_n").over(everything).alias("total"))
-    order = [direction(value)] + ([F.col(tie).desc()] if tie else [])
-    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        cut.join(F.broadcast(totals), "_range")
-        .withColumn("before", F.col("_ahead") + F.coalesce(F.sum(n).over(inside), F.lit(0)))
-        .drop("_range", "_ahead")
-    )
-
-
-def ranked_values(df: DataFrame, cols: Sequence[str], ranges: int = RANGES) -> DataFrame:
-    """(feature, value, n, before, total) for several columns in one pass over the rows."""
-    wide = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+def ranked_values(df: DataFrame, cols: Sequence[str], tie: str | None = None, descending: bool = False,
+                  ranges: int = RANGES) -> DataFrame:
+    """(feature, value[, tie], n, before, total) of several columns in one pass over the rows.
+
+    ``n`` rows of the column hold the value (and tie), ``before`` rows rank ahead of them,
+    out of ``total``. ``tie`` orders equal values, always from high to low. Null values take
+    no part in a ranking."""
+    ties = [tie] if tie else []
+    wide = df.select(*[F.col(c).cast("double").alias(c) for c in cols], *ties)
     probs = [i / ranges for i in range(1, ranges)]
     cuts = wide.agg(*[F.percentile_approx(c, probs, 4 * ranges).alias(c) for c in cols]).first()
     split = Bucketizer(
@@ -61,16 +34,21 @@ def ranked_values(df: DataFrame, cols: Sequence[str], ranges: int = RANGES) -> D
         inputCols=list(cols), outputCols=[f"_r_{c}" for c in cols], handleInvalid="keep")
     items = F.explode(F.array(*[F.struct(
         F.lit(c).alias("feature"), F.col(c).alias("value"), F.col(f"_r_{c}").alias("_range")) for c in cols])).alias("i")
-    runs = split.transform(wide).select(items).select("i.*").filter(F.col("value").isNotNull()).groupBy(
-        "feature", "value", "_range").agg(F.count(F.lit(1)).alias("n"))
-    # at most `ranges` rows per feature
+    runs = split.transform(wide).select(items, *ties).select("i.*", *ties).filter(F.col("value").isNotNull()).groupBy(
+        "feature", "value", "_range", *ties).agg(F.count(F.lit(1)).alias("n"))
+
+    def direction(c: str) -> Column:
+        return F.col(c).desc() if descending else F.col(c).asc()
+
+    # at most `ranges` rows per feature, so the window and the broadcast are bounded
     by_feature = Window.partitionBy("feature")
-    ahead = by_feature.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = by_feature.orderBy(direction("_range")).rowsBetween(Window.unboundedPreceding, -1)
     totals = runs.groupBy("feature", "_range").agg(F.sum("n").alias("_n")).select(
         "feature", "_range", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"), F.sum("_n").over(by_feature).alias("total"))
-    inside = Window.partitionBy("feature", "_range").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("feature", "_range").orderBy(direction("value"), *[F.col(c).desc() for c in ties]).rowsBetween(
+        Window.unboundedPreceding, -1)
     return runs.join(F.broadcast(totals), ["feature", "_range"]).select(
-        "feature", "value", "n", (F.col("_ahead") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("before"), "total")
+        "feature", "value", *ties, "n", (F.col("_ahead") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("before"), "total")
 
 
 def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:

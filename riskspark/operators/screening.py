@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,9 +78,8 @@ def first_char(name: Column) -> Column:
 
 def keyword_match(a: Column, b: Column, keywords: Sequence[str]) -> Column:
     """1 when both texts hold the same keyword."""
-    wa, wb = nm.tokens(nm.normalise(a)), nm.tokens(nm.normalise(b))
-    both = [F.array_contains(wa, k) & F.array_contains(wb, k) for k in keywords]
-    return F.when(F.coalesce(reduce(lambda x, y: x | y, both), F.lit(False)), 1).otherwise(0)
+    shared = F.array_intersect(nm.tokens(nm.normalise(a)), nm.tokens(nm.normalise(b)))
+    return F.when(F.arrays_overlap(shared, F.array(*[F.lit(k) for k in keywords])), 1).otherwise(0)
 
 
 def year_in(text: Column) -> Column:

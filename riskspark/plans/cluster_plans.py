@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from riskspark.operators import clusters as cl, density as dn
 from riskspark.operators.lookback import lookback_features
-from riskspark.operators.ranks import rank_runs, value_runs
+from riskspark.operators.ranks import ranked_values
 from riskspark.plans.base_sql import with_tables
 from riskspark.plans.lookback_plans import CATEGORIES, _SHIFTS, amt, sql_features
 from riskspark.operators.features import parse_first
@@ -224,8 +224,7 @@ def density_cluster(spark, sf):
 def kdist_curve(spark, sf):
     """The sorted curve as steps: distance, how many rows have it, how many have less."""
     made = dn.kth_distance(vectors(spark, sf), "vec_id", ["f0", "f1"], MIN_PTS, STEP)
-    ranked = rank_runs(value_runs(made, "d2"), "d2")
-    return ranked.select(F.round(F.sqrt("d2") * STEP, 6).alias("distance"), "n", "before")
+    return ranked_values(made, ["d2"]).select(F.round(F.sqrt("value") * STEP, 6).alias("distance"), "n", "before")
 
 
 @query("cluster_quality", VEC_SQL + """, c AS (SELECT cluster, COUNT(*) AS n, AVG(f0) AS m0, AVG(f1) AS m1, AVG(f2) AS m2, AVG(f3) AS m3, SUM(f0*f0+f1*f1+f2*f2+f3*f3) AS sq,

@@ -206,12 +206,11 @@ def feat_age_condition(spark, sf):
         "opp_party", F.date_add(F.lit(lb.EPOCH).cast("date"), (F.col("opp_party") % 12000).cast("int")).alias("birth_date"))
     daily = (txn.join(known, "opp_party", "left").groupBy("party", "txn_date", "birth_date")
              .agg(F.count(F.lit(1)).alias("_n"), F.sum("amount").alias("_sum")))
-    joined = lb.lookback_join(daily, refs, "txn_date").withColumn(
+    joined = lb.near_facts(daily, refs, "txn_date", "party", 360).withColumn(
         "opp_party_young", F.coalesce(enrich.age_years("birth_date", "ref_date") < 24, F.lit(False)))
     specs = [Spec("young_360_amt", "AMT", 360, flags=("opp_party_young",)),
              Spec("young_180_vol", "VOL", 180, flags=("opp_party_young",))]
-    made = joined.groupBy("party", "ref_date").agg(*[lb.spec_column(s) for s in specs])
-    return refs.join(made, ["party", "ref_date"], "left").na.fill(0)
+    return joined.groupBy("party", "ref_date").agg(*[lb.spec_column(s) for s in specs])
 
 
 def _a(p: str) -> str:

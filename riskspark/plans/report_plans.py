@@ -48,16 +48,16 @@ def product_list(spark, sf):
 
 UPSERT_SQL = COMP_SQL + f""", prev AS (SELECT * FROM (SELECT o_custkey AS party, round(o_totalprice / 600000.0, 4) AS s, CASE WHEN o_totalprice > 300000 THEN 'High' ELSE 'Low' END AS risk_level, o_orderkey % 3 AS str_count,
         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders WHERE o_orderpriority = '3-MEDIUM') WHERE rn = 1),
-    kyc AS (SELECT c_custkey AS party, c_acctbal AS kyc_new, c_mktsegment AS segment_new FROM customer WHERE c_custkey % 3 = 0),
+    kyc AS (SELECT c_custkey AS party, c_acctbal AS kyc_new, c_mktsegment AS segment_new FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')),
     trues AS (SELECT o_custkey AS party, COUNT(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS n FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1),
-    ids AS (SELECT party FROM prev UNION SELECT party FROM kyc UNION SELECT party FROM newest UNION SELECT party FROM trues UNION SELECT party FROM {PRODUCT_SQL.format(w='o_custkey % 2 = 0')})
+    ids AS (SELECT party FROM prev UNION SELECT party FROM kyc UNION SELECT party FROM newest UNION SELECT party FROM trues UNION SELECT party FROM {PRODUCT_SQL.format(w='o_totalprice > 200000')})
     SELECT i.party, COALESCE(kyc_new, p.s) AS kyc_score, COALESCE(segment_new, CASE WHEN p.party IS NOT NULL THEN 'OLD' END) AS segment, COALESCE(c.score, p.s) AS ctb_score, COALESCE(n.score, p.s) AS nla_score, COALESCE(s.score, p.s) AS scr_score,
         CAST(COALESCE(tr.n, 0) + COALESCE(p.str_count, 0) AS BIGINT) AS str_count, COALESCE(pr.products, CASE WHEN p.party IS NOT NULL THEN 'OLD' END) AS product,
         COALESCE(NULLIF(concat_ws(',', CASE WHEN c.party IS NOT NULL THEN 'ctb changed' END, CASE WHEN n.party IS NOT NULL THEN 'nla changed' END, CASE WHEN s.party IS NOT NULL THEN 'scr changed' END), ''), CASE WHEN p.party IS NOT NULL THEN 'OLD' END) AS reason,
         COALESCE(c.score, p.s) AS overall_score, p.risk_level AS previous_risk_level,
         COALESCE(CASE WHEN c.score >= 0.6 THEN 'High' WHEN c.score >= 0.2 THEN 'Medium' WHEN c.score IS NOT NULL THEN 'Low' END, p.risk_level) AS risk_level, DATE '{RUN}' AS created
     FROM ids i LEFT JOIN prev p USING (party) LEFT JOIN kyc USING (party) LEFT JOIN newest c ON c.party = i.party AND c.component = 'ctb' LEFT JOIN newest n ON n.party = i.party AND n.component = 'nla'
-    LEFT JOIN newest s ON s.party = i.party AND s.component = 'scr' LEFT JOIN trues tr ON tr.party = i.party LEFT JOIN {PRODUCT_SQL.format(w='o_custkey % 2 = 0')} pr ON pr.party = i.party"""
+    LEFT JOIN newest s ON s.party = i.party AND s.component = 'scr' LEFT JOIN trues tr ON tr.party = i.party LEFT JOIN {PRODUCT_SQL.format(w='o_totalprice > 200000')} pr ON pr.party = i.party"""
 
 
 @query("customer_history_upsert", UPSERT_SQL)
@@ -67,7 +67,7 @@ def customer_history_upsert(spark, sf):
         F.col("o_custkey").alias("party"), F.col("o_orderdate").cast("date").alias("created"), F.col("o_orderkey").alias("history_id"),
         *[s.alias(c) for c in ("kyc_score", "ctb_score", "nla_score", "scr_score")], F.lit("OLD").alias("segment"), F.lit("OLD").alias("product"), F.lit("OLD").alias("reason"),
         F.when(F.col("o_totalprice") > 300000, "High").otherwise("Low").alias("risk_level"), (F.col("o_orderkey") % 3).alias("str_count"))
-    kyc = t.load(spark, sf, "customer").filter("c_custkey % 3 = 0").select(
+    kyc = t.load(spark, sf, "customer").filter("c_mktsegment IN ('BUILDING', 'MACHINERY')").select(
         F.col("c_custkey").alias("party"), F.col("c_acctbal").alias("kyc_score"), F.col("c_mktsegment").alias("segment"))
     newest = rp.latest_component(components(spark, sf))
     parts = {}
@@ -75,7 +75,7 @@ def customer_history_upsert(spark, sf):
         part = newest.filter(F.col("component") == name).select("party", "score", F.lit(f"{name} changed").alias("reason"))
         parts[name] = part.withColumn("level", lv.level_hml(F.col("score"), 0.6, 0.2)) if name == "ctb" else part
     results = t.alerts(spark, sf).withColumn("result", F.when(F.col("result") == "F", "STR").otherwise("Non-STR"))
-    return rp.history_upsert(previous, kyc, parts, rp.true_counts(results), products(spark, sf, "o_custkey % 2 = 0"), F.lit(RUN).cast("date"))
+    return rp.history_upsert(previous, kyc, parts, rp.true_counts(results), products(spark, sf, "o_totalprice > 200000"), F.lit(RUN).cast("date"))
 
 
 @query("customers_profile", with_tables("cust hrp", """, l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY party ORDER BY COALESCE(expiry_date, DATE '9999-12-31') DESC, start_date DESC, interval_id DESC) AS rn FROM hrp) WHERE rn = 1)
@@ -119,14 +119,14 @@ def alerted_linked_customers(spark, sf):
     return rp.active_latest_links(t.links(spark, sf), t.alerts(spark, sf))
 
 
-@query("alerted_accounts", with_tables("alert acct", """ SELECT account, party, open_date, COALESCE(CASE WHEN account % 3 = 0 THEN 'L' || account END, CASE WHEN account % 5 = 0 THEN 'D' || account END, CASE WHEN account % 2 = 0 THEN 'C' || account END) AS product_id,
-    CASE WHEN account % 3 = 0 THEN 'loan' WHEN account % 5 = 0 THEN 'deposit' WHEN account % 2 = 0 THEN 'card' END AS product_kind FROM acct WHERE party IN (SELECT party FROM alert)"""))
+@query("alerted_accounts", with_tables("alert acct", """ SELECT account, party, open_date, COALESCE(CASE WHEN account_type = '1-URGENT' THEN 'L' || account END, CASE WHEN account_type IN ('2-HIGH', '1-URGENT') THEN 'D' || account END, CASE WHEN account_type <> '5-LOW' THEN 'C' || account END) AS product_id,
+    CASE WHEN account_type = '1-URGENT' THEN 'loan' WHEN account_type IN ('2-HIGH', '1-URGENT') THEN 'deposit' WHEN account_type <> '5-LOW' THEN 'card' END AS product_kind FROM acct WHERE party IN (SELECT party FROM alert)"""))
 def alerted_accounts(spark, sf):
-    base = t.load(spark, sf, "orders").select(F.col("o_orderkey").alias("account"))
+    base = t.load(spark, sf, "orders").select(F.col("o_orderkey").alias("account"), F.col("o_orderpriority").alias("account_type"))
 
-    def product(kind, letter, every):
-        return base.filter(F.col("account") % every == 0).select("account", F.concat(F.lit(letter), F.col("account").cast("string")).alias(f"{kind}_key"))
-    held = {"loan": product("loan", "L", 3), "deposit": product("deposit", "D", 5), "card": product("card", "C", 2)}
+    def product(kind, letter, condition):
+        return base.filter(condition).select("account", F.concat(F.lit(letter), F.col("account").cast("string")).alias(f"{kind}_key"))
+    held = {"loan": product("loan", "L", "account_type = '1-URGENT'"), "deposit": product("deposit", "D", "account_type IN ('2-HIGH', '1-URGENT')"), "card": product("card", "C", "account_type <> '5-LOW'")}
     acct = t.load(spark, sf, "orders").select(F.col("o_orderkey").alias("account"), F.col("o_custkey").alias("party"), F.col("o_orderdate").cast("date").alias("open_date"))
     return rp.alerted_accounts(acct, t.alerts(spark, sf), held)
 

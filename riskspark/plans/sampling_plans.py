@@ -37,7 +37,7 @@ def sample_lookback(spark, sf):
     return sp.split_lookback(t.scored_alerts(spark, sf), "id", 40.0, "label", "run_date", 6.0).select(OUT)
 
 
-MEMORY_SQL = f""", kept AS (SELECT id FROM scored WHERE run_date > {CUT.format(days=360)} AND id % 5 = 0),
+MEMORY_SQL = f""", kept AS (SELECT id FROM scored WHERE run_date > {CUT.format(days=360)} AND segment = '3-MEDIUM'),
     fresh AS (SELECT * FROM scored WHERE run_date > DATE '2001-03-01' AND id NOT IN (SELECT id FROM kept)),
     old AS (SELECT * FROM scored WHERE run_date <= DATE '2001-03-01' AND id IN (SELECT id FROM kept)),
     res AS ({strat_sql('fresh', 25.0)} UNION ALL {strat_sql('old', 80.0)} UNION ALL SELECT id, FALSE FROM scored WHERE run_date <= DATE '2001-03-01' AND id NOT IN (SELECT id FROM kept))"""
@@ -46,7 +46,7 @@ MEMORY_SQL = f""", kept AS (SELECT id FROM scored WHERE run_date > {CUT.format(d
 @query("sample_lookback_memory", with_tables("scored", MEMORY_SQL + " SELECT id, is_valid FROM res"))
 def sample_lookback_memory(spark, sf):
     df = t.scored_alerts(spark, sf)
-    return sp.split_memory(df, "id", 25.0, "label", "run_date", 12.0, df.filter("id % 5 = 0"), date(2001, 3, 1), 80.0).select(OUT)
+    return sp.split_memory(df, "id", 25.0, "label", "run_date", 12.0, df.filter("segment = '3-MEDIUM'"), date(2001, 3, 1), 80.0).select(OUT)
 
 
 @query("sample_mode_fallback", with_tables("scored", f", recent AS (SELECT * FROM scored WHERE run_date > {CUT.format(days=720)}), res AS ({strat_sql('recent', 45.0)} UNION ALL SELECT id, FALSE FROM scored WHERE run_date <= {CUT.format(days=720)}) SELECT id, is_valid, 'lookback' AS mode FROM res"))
@@ -66,11 +66,11 @@ def sample_by_fraction(spark, sf):
 
 @query("sample_apply", with_tables("scored", f""", v AS (SELECT id FROM ({strat_sql('scored', 30.0)}) WHERE is_valid)
     SELECT 'train' AS part, CAST(COUNT(*) AS BIGINT) AS n, CAST(SUM(label) AS BIGINT) AS trues FROM scored WHERE id NOT IN (SELECT id FROM v)
-    UNION ALL SELECT 'challenger', COUNT(*), SUM(label) FROM scored WHERE id IN (SELECT id FROM v) UNION ALL SELECT 'champion', COUNT(*), SUM(label) FROM scored WHERE id IN (SELECT id FROM v) AND id % 2 = 0"""))
+    UNION ALL SELECT 'challenger', COUNT(*), SUM(label) FROM scored WHERE id IN (SELECT id FROM v) UNION ALL SELECT 'champion', COUNT(*), SUM(label) FROM scored WHERE id IN (SELECT id FROM v) AND score >= 0.3"""))
 def sample_apply(spark, sf):
     df = t.scored_alerts(spark, sf)
     valid = sp.split_stratified(df, "id", 30.0, "label").filter("is_valid")
-    parts = sp.apply_split(df, df.filter("id % 2 = 0"), valid, "id")
+    parts = sp.apply_split(df, df.filter("score >= 0.3"), valid, "id")
     out = None
     for name, part in zip(("train", "challenger", "champion"), parts):
         row = part.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("trues")).select(F.lit(name).alias("part"), "n", "trues")

@@ -40,7 +40,7 @@ CHART_COLS = "decile, total_rows, true_alerts, false_alerts, min_score, max_scor
 
 
 def chart_out(chart):
-    return rnd(chart, **{c: 6 for c in chart.columns if c.endswith("_share")})
+    return rnd(chart.drop("feature"), **{c: 6 for c in chart.columns if c.endswith("_share")})
 
 
 @query("decile_desc", with_tables("scored", chart_desc_sql(10)) + f" SELECT {CHART_COLS} FROM chart")
@@ -81,18 +81,18 @@ WORST_SQL = """, worst AS (SELECT MAX(CASE WHEN decile = 2 THEN min_score END) A
 
 @query("threshold_boundary", with_tables("scored", chart_desc_sql(20) + BOUNDARY_SQL) + " SELECT high, high_decile, low, low_decile FROM bnd")
 def threshold_boundary(spark, sf):
-    return dc.boundaries(dc.decile_chart(t.scored_alerts(spark, sf), 20))
+    return dc.boundaries(dc.decile_chart(t.scored_alerts(spark, sf), 20)).drop("feature")
 
 
 @query("threshold_worst_case", with_tables("scored", chart_desc_sql(20) + WORST_SQL) + " SELECT high, low, ROUND(recall, 6) AS recall, ROUND(misclass, 6) AS misclass FROM worst")
 def threshold_worst_case(spark, sf):
-    return rnd(dc.worst_case(dc.decile_chart(t.scored_alerts(spark, sf), 20), 20), recall=6, misclass=6)
+    return rnd(dc.worst_case(dc.decile_chart(t.scored_alerts(spark, sf), 20), 20).drop("feature"), recall=6, misclass=6)
 
 
 @query("threshold_tuned", with_tables("scored", chart_desc_sql(20) + BOUNDARY_SQL + WORST_SQL) + """ SELECT CASE WHEN b.high < b.low THEN w.high ELSE b.high END AS high,
     CASE WHEN b.high < b.low THEN w.low ELSE b.low END AS low, b.high < b.low AS conservative FROM bnd b, worst w""")
 def threshold_tuned(spark, sf):
-    return dc.tuned(dc.decile_chart(t.scored_alerts(spark, sf), 20), 20)
+    return dc.tuned(dc.decile_chart(t.scored_alerts(spark, sf), 20), 20).drop("feature")
 
 
 RECALL_SQL = """, thr AS (SELECT COALESCE(MIN(CASE WHEN cum_true_share > 1 - 0.7::DOUBLE THEN min_score END), 1.0) AS high,
@@ -101,7 +101,7 @@ RECALL_SQL = """, thr AS (SELECT COALESCE(MIN(CASE WHEN cum_true_share > 1 - 0.7
 
 @query("threshold_recall", with_tables("scored", chart_ntile_sql(100) + RECALL_SQL) + " SELECT high, low FROM thr")
 def threshold_recall(spark, sf):
-    return dc.recall_thresholds(dc.decile_chart(t.scored_alerts(spark, sf), 100, rule="ntile", descending=False), 0.7, 0.05)
+    return dc.recall_thresholds(dc.decile_chart(t.scored_alerts(spark, sf), 100, rule="ntile", descending=False), 0.7, 0.05).drop("feature")
 
 
 ADJUST_SQL = """, shares AS (SELECT AVG(CASE WHEN score >= high THEN 1.0::DOUBLE ELSE 0 END) AS h, AVG(CASE WHEN score >= low THEN 0.0::DOUBLE ELSE 1 END) AS l FROM {source}, thr),
@@ -113,7 +113,7 @@ ADJUST_SQL = """, shares AS (SELECT AVG(CASE WHEN score >= high THEN 1.0::DOUBLE
 def threshold_population_adjust(spark, sf):
     df = t.scored_alerts(spark, sf)
     chart = dc.decile_chart(df, 100, rule="ntile", descending=False)
-    return dc.adjust_to_population(chart, df, dc.recall_thresholds(chart, 0.7, 0.05), "score", 0.2, 0.3)
+    return dc.adjust_to_population(chart, df, dc.recall_thresholds(chart, 0.7, 0.05), 0.2, 0.3).drop("feature")
 
 
 @query("threshold_apply_given", with_tables("scored", """SELECT ROUND(SUM(CASE WHEN score >= 0.6 THEN label ELSE 0 END) / SUM(label), 6) AS recall,
@@ -191,7 +191,7 @@ def distribution(df, level):
 
 
 # the four score flows of a customer; a flow may lack a customer
-FLOWS_SQL = with_tables("scored", """, s1 AS (SELECT c_custkey AS party, round(abs(c_acctbal) / 10000.0, 4) AS static_score FROM customer WHERE c_custkey % 7 <> 3),
+FLOWS_SQL = with_tables("scored", """, s1 AS (SELECT c_custkey AS party, round(abs(c_acctbal) / 10000.0, 4) AS static_score FROM customer WHERE c_acctbal >= -500),
     s2 AS (SELECT o_custkey AS party, round(LEAST(COUNT(*) / 20.0, 1.0)::DOUBLE, 4) AS regulatory_score FROM orders GROUP BY 1),
     s3 AS (SELECT o_custkey AS party, round(LEAST(MAX(o_totalprice) / 600000.0, 1.0), 4) AS anomaly_score FROM orders WHERE o_orderpriority = '5-LOW' GROUP BY 1),
     s4 AS (SELECT party, MAX(score) AS supervised_score FROM scored WHERE segment = '1-URGENT' GROUP BY 1),
@@ -209,7 +209,7 @@ LEVEL_WEIGHTS = {lv.HIGH: 0.6, lv.MEDIUM: 0.3, lv.LOW: 0.1}
 def flow_tables(spark, sf):
     orders = t.load(spark, sf, "orders")
     party = F.col("o_custkey").alias("party")
-    s1 = t.load(spark, sf, "customer").filter("c_custkey % 7 <> 3").select(
+    s1 = t.load(spark, sf, "customer").filter("c_acctbal >= -500").select(
         F.col("c_custkey").alias("party"), F.round(F.abs("c_acctbal") / 10000.0, 4).alias("static_score"))
     s2 = orders.groupBy(party).agg(F.round(F.least(F.count(F.lit(1)) / 20.0, F.lit(1.0)), 4).alias("regulatory_score"))
     s3 = orders.filter("o_orderpriority = '5-LOW'").groupBy(party).agg(
@@ -242,18 +242,13 @@ LEVEL_COLS = ["l1", "l2", "l3", "l4"]
               .replace("adj ", f"adj{i} ").replace("FROM chart", f"FROM chart{i}") for i in range(4))
     + " UNION ALL ".join(f" SELECT '{s}' AS flow, high, low, CAST((SELECT COUNT(*) FROM f{i} WHERE score >= high) AS BIGINT) AS n_high, CAST((SELECT COUNT(*) FROM f{i} WHERE score < low) AS BIGINT) AS n_low FROM adj{i}" for i, s in enumerate(FLOWS)))
 def train_label_all(spark, sf):
-    """Threshold rows of all four flows, with the sizes of the High and Low groups."""
+    """Threshold rows of all four flows, with the sizes of the High and Low groups; the
+    four scores are charted together."""
     labels = t.scored_alerts(spark, sf).groupBy("party").agg(F.max("label").alias("label"))
-    out = None
-    for name, df in zip(FLOWS, flow_tables(spark, sf)):
-        df = df.join(labels, "party", "left").select(F.col(name).alias("score"), F.coalesce("label", F.lit(0)).alias("label"))
-        chart = dc.decile_chart(df, 100, rule="ntile", descending=False)
-        thr = dc.adjust_to_population(chart, df, dc.recall_thresholds(chart, 0.7, 0.05), "score", 0.2, 0.3).persist()
-        sizes = df.agg(F.count(F.when(F.col("score") >= thr.select("high").scalar(), True)).alias("n_high"),
-                       F.count(F.when(F.col("score") < thr.select("low").scalar(), True)).alias("n_low"))
-        row = thr.join(sizes).select(F.lit(name).alias("flow"), "high", "low", "n_high", "n_low")
-        out = row if out is None else out.unionByName(row)
-    return out
+    wide = enrich.outer_all([*flow_tables(spark, sf), labels], "party").select(*FLOWS, F.coalesce("label", F.lit(0)).alias("label"))
+    chart = dc.decile_chart(wide, 100, FLOWS, rule="ntile", descending=False)
+    thr = dc.adjust_to_population(chart, wide, dc.recall_thresholds(chart, 0.7, 0.05), 0.2, 0.3).persist()
+    return thr.join(dc.level_sizes(wide, thr), "feature").select(F.col("feature").alias("flow"), "high", "low", "n_high", "n_low")
 
 
 @query("proxy_metrics", with_tables("scored alert", """, hist_scores AS (SELECT party, run_date, MAX(score) AS score FROM scored GROUP BY 1, 2),

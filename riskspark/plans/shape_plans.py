@@ -148,7 +148,7 @@ def min_rows_guard(spark, sf):
     return shape.require_rows(labelled, 50).groupBy("result").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("error_reconcile", with_tables("alert txn acct", """, p AS (SELECT c_custkey FROM customer WHERE c_custkey % 11 <> 0),
+@query("error_reconcile", with_tables("alert txn acct", """, p AS (SELECT c_custkey FROM customer WHERE c_acctbal >= -800),
     a AS (SELECT account FROM acct WHERE closed_date IS NOT NULL),
     x AS (SELECT alert_id, party, CASE WHEN party NOT IN (SELECT c_custkey FROM p) THEN 'CDD_ERR_C100'
           WHEN alert_id NOT IN (SELECT account FROM a) THEN 'CDD_ERR_A100'
@@ -157,7 +157,7 @@ def min_rows_guard(spark, sf):
     SELECT alert_id, party, error_code FROM x"""))
 def error_reconcile(spark, sf):
     alerts = t.alerts(spark, sf)
-    parties = t.load(spark, sf, "customer").filter("c_custkey % 11 <> 0").select(F.col("c_custkey").alias("party"))
+    parties = t.load(spark, sf, "customer").filter("c_acctbal >= -800").select(F.col("c_custkey").alias("party"))
     ok, no_party = shape.reconcile(alerts, parties, "party", "customer")
     owned = t.accounts(spark, sf).filter("closed_date is not null").select(F.col("account").alias("alert_id"))
     ok, no_account = shape.reconcile(ok, owned, "alert_id", "account")
@@ -181,11 +181,11 @@ def single_hit_filter(spark, sf):
         "alert_id", "hit", "status")
 
 
-@query("nr_filter", "SELECT c_custkey AS party, c_name AS name FROM customer WHERE c_custkey % 4 <> 0")
+@query("nr_filter", "SELECT c_custkey AS party, c_name AS name FROM customer WHERE c_acctbal >= 0")
 def nr_filter(spark, sf):
     df = t.load(spark, sf, "customer").select(
         F.col("c_custkey").alias("party"), F.col("c_name").alias("name"),
-        F.when(F.col("c_custkey") % 4 == 0, 1).otherwise(0).alias("on_boarding_flag"))
+        F.when(F.col("c_acctbal") < 0, 1).otherwise(0).alias("on_boarding_flag"))
     return df.filter("on_boarding_flag = 0").drop("on_boarding_flag")
 
 

@@ -57,10 +57,10 @@ def static_doc_expired_age(spark, sf):
 
 
 @query("static_account_age", with_tables("alert acct", """SELECT alert_id, CAST(trunc(date_diff('day', open_date,
-    COALESCE(CASE WHEN account % 3 <> 0 THEN closed_date END, alert_date)) / 365.25) AS INT) AS account_age
+    COALESCE(CASE WHEN account_unit <> 'P' THEN closed_date END, alert_date)) / 365.25) AS INT) AS account_age
     FROM alert LEFT JOIN acct ON account = alert_id - 1"""))
 def static_account_age(spark, sf):
-    acct = t.accounts(spark, sf).select("account", "open_date", F.when(F.col("account") % 3 != 0, F.col("closed_date")).alias("closed_date"))
+    acct = t.accounts(spark, sf).select("account", "open_date", F.when(F.col("account_unit") != "P", F.col("closed_date")).alias("closed_date"))
     alerts = t.alerts(spark, sf).select("alert_id", "alert_date", (F.col("alert_id") - 1).alias("account"))
     return static.account_age(alerts.join(acct, "account", "left"), "alert_date").select("alert_id", "account_age")
 

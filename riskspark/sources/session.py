@@ -25,12 +25,14 @@ def local_session(cpus: int = 8, name: str = "riskspark") -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local one only where none is set (tests)."""
+    """The shared folder the session names in ``spark.checkpoint.dir``. Only a local session
+    without one (tests) gets a temporary folder of its own."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="riskspark-checkpoint-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    if named and not (current and named in current):
+        spark.sparkContext.setCheckpointDir(named)
+    elif not named and not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="riskspark-checkpoint-"))
+    return spark.sparkContext.getCheckpointDir()
