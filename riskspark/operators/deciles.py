@@ -119,10 +119,10 @@ def worst_case(chart: DataFrame, bins: int, high_share: float = HIGH_CONSERVATIV
 
 
 def tuned(chart: DataFrame, bins: int, recall: float = DEFAULT_RECALL, misclass: float = DEFAULT_MISCLASS) -> DataFrame:
-    """Boundaries, replaced by the worst case where high falls below low."""
+    """Boundaries, replaced by the worst case where high falls below low or one is missing."""
     both = boundaries(chart, recall, misclass).join(
         worst_case(chart, bins).select("feature", F.col("high").alias("_wh"), F.col("low").alias("_wl")), "feature")
-    crossed = F.col("high") < F.col("low")
+    crossed = F.coalesce(F.col("high") < F.col("low"), F.lit(True))
     return both.select("feature", F.when(crossed, F.col("_wh")).otherwise(F.col("high")).alias("high"),
                        F.when(crossed, F.col("_wl")).otherwise(F.col("low")).alias("low"), crossed.alias("conservative"))
 

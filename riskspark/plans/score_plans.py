@@ -89,8 +89,8 @@ def threshold_worst_case(spark, sf):
     return rnd(dc.worst_case(dc.decile_chart(t.scored_alerts(spark, sf), 20), 20).drop("feature"), recall=6, misclass=6)
 
 
-@query("threshold_tuned", with_tables("scored", chart_desc_sql(20) + BOUNDARY_SQL + WORST_SQL) + """ SELECT CASE WHEN b.high < b.low THEN w.high ELSE b.high END AS high,
-    CASE WHEN b.high < b.low THEN w.low ELSE b.low END AS low, b.high < b.low AS conservative FROM bnd b, worst w""")
+@query("threshold_tuned", with_tables("scored", chart_desc_sql(20) + BOUNDARY_SQL + WORST_SQL) + """ SELECT CASE WHEN b.high >= b.low THEN b.high ELSE w.high END AS high,
+    CASE WHEN b.high >= b.low THEN b.low ELSE w.low END AS low, COALESCE(b.high < b.low, TRUE) AS conservative FROM bnd b, worst w""")
 def threshold_tuned(spark, sf):
     return dc.tuned(dc.decile_chart(t.scored_alerts(spark, sf), 20), 20).drop("feature")
 
