@@ -127,22 +127,22 @@ def tuned(chart: DataFrame, bins: int, recall: float = DEFAULT_RECALL, misclass:
                        F.when(crossed, F.col("_wl")).otherwise(F.col("low")).alias("low"), crossed.alias("conservative"))
 
 
-def level_sizes(df: DataFrame, thresholds: DataFrame) -> DataFrame:
+def level_sizes(df: DataFrame, thresholds: DataFrame, scores: Sequence[str] = ("score",)) -> DataFrame:
     """Per feature: rows at or above its high cut-off, rows below its low one, all rows."""
-    scores = [r["feature"] for r in thresholds.select("feature").collect()]       # one row per score column
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in scores]).unpivot([], scores, "feature", "value")
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in scores]).unpivot([], list(scores), "feature", "value")
     return long.filter(F.col("value").isNotNull()).join(thresholds.select("feature", "high", "low"), "feature").groupBy("feature").agg(
         F.count(F.when(F.col("value") >= F.col("high"), True)).alias("n_high"),
         F.count(F.when(F.col("value") < F.col("low"), True)).alias("n_low"), F.count(F.lit(1)).alias("n"))
 
 
-def adjust_to_population(chart: DataFrame, df: DataFrame, thresholds: DataFrame, max_high: float, min_low: float) -> DataFrame:
+def adjust_to_population(chart: DataFrame, df: DataFrame, thresholds: DataFrame, max_high: float, min_low: float,
+                         scores: Sequence[str] = ("score",)) -> DataFrame:
     """Re-cut on the population's ascending chart where %High is over, or %Low under, its bound."""
     share = F.col("cum_total_share")
     recut = chart.groupBy("feature").agg(
         F.coalesce(F.min(F.when(share > 1 - max_high, F.col("min_score"))), F.lit(1.0)).alias("_rh"),
         F.coalesce(F.min(F.when(share > min_low, F.col("min_score"))), F.lit(0.0)).alias("_rl"))
-    sized = thresholds.join(level_sizes(df, thresholds), "feature").join(recut, "feature")
+    sized = thresholds.join(level_sizes(df, thresholds, scores), "feature").join(recut, "feature")
     return sized.select(
         "feature", F.when(F.col("n_high") / F.col("n") > max_high, F.col("_rh")).otherwise(F.col("high")).alias("high"),
         F.when(F.col("n_low") / F.col("n") < min_low, F.col("_rl")).otherwise(F.col("low")).alias("low"))

@@ -158,18 +158,19 @@ def distinct_in_lookback(facts: DataFrame, refs: DataFrame, value: str, specs: S
         .filter(F.col("_v").isNotNull()).distinct()
     ahead = F.lead("_day").over(Window.partitionBy(key, "_v", "_w").orderBy("_day"))
     active = active.withColumn("_next", ahead)
-    steps = []
-    for i, s in enumerate(specs):
-        tag = F.lit(wheres.index(s.where or "true"))
+    def on_row(tag: int, offset: int) -> Column:
+        starts = [(1 if (s.where or "true") == wheres[tag] and s.offset == offset else 0) for s in specs]
+        return F.when(F.col("_w") == tag, F.struct(F.date_add("_day", offset).alias("day"), *[F.lit(v).alias(s.name) for v, s in zip(starts, specs)]))
+
+    def off_row(i: int, s: DistinctSpec) -> Column:
         until = F.date_add("_day", s.days)
-        until = F.when(F.col("_next").isNull(), until).otherwise(
-            F.least(until, F.date_add("_next", s.offset)))
-        for when, step in ((F.date_add("_day", s.offset), 1), (until, -1)):
-            steps.append(F.when(F.col("_w") == tag, F.struct(
-                F.lit(i).alias("spec"), when.alias("day"), F.lit(step).alias("step"))))
-    moves = active.select(key, F.explode(F.array_compact(F.array(*steps))).alias("m")).select(
-        key, F.col("m.day").alias("day"),
-        *[F.when(F.col("m.spec") == i, F.col("m.step")).otherwise(0).alias(s.name) for i, s in enumerate(specs)])
+        until = F.coalesce(F.least(until, F.date_add("_next", s.offset)), until)
+        return F.when(F.col("_w") == wheres.index(s.where or "true"), F.struct(
+            until.alias("day"), *[F.lit(-1 if j == i else 0).alias(x.name) for j, x in enumerate(specs)]))
+
+    starts = sorted({(wheres.index(s.where or "true"), s.offset) for s in specs})
+    steps = [on_row(w, o) for w, o in starts] + [off_row(i, s) for i, s in enumerate(specs)]
+    moves = active.select(key, F.explode(F.array_compact(F.array(*steps))).alias("m")).select(key, "m.*")
     return running_steps(moves, refs, [s.name for s in specs], key)
 
 

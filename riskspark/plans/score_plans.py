@@ -9,6 +9,7 @@ from riskspark.operators import branches as br, deciles as dc, enrich, shape
 from riskspark.plans.base_sql import with_tables
 from riskspark.plans.registry import query
 from riskspark.sources import tables as t
+from riskspark.sources.session import ensure_checkpoint_dir
 
 
 def rnd(df, **digits):
@@ -243,12 +244,15 @@ LEVEL_COLS = ["l1", "l2", "l3", "l4"]
     + " UNION ALL ".join(f" SELECT '{s}' AS flow, high, low, CAST((SELECT COUNT(*) FROM f{i} WHERE score >= high) AS BIGINT) AS n_high, CAST((SELECT COUNT(*) FROM f{i} WHERE score < low) AS BIGINT) AS n_low FROM adj{i}" for i, s in enumerate(FLOWS)))
 def train_label_all(spark, sf):
     """Threshold rows of all four flows, with the sizes of the High and Low groups; the
-    four scores are charted together."""
+    four scores are charted together. The merged scores are read by several steps, so they
+    are written once to the checkpoint folder."""
+    ensure_checkpoint_dir(spark)
     labels = t.scored_alerts(spark, sf).groupBy("party").agg(F.max("label").alias("label"))
-    wide = enrich.outer_all([*flow_tables(spark, sf), labels], "party").select(*FLOWS, F.coalesce("label", F.lit(0)).alias("label"))
+    wide = enrich.outer_all([*flow_tables(spark, sf), labels], "party").select(
+        *FLOWS, F.coalesce("label", F.lit(0)).alias("label")).checkpoint()
     chart = dc.decile_chart(wide, 100, FLOWS, rule="ntile", descending=False)
-    thr = dc.adjust_to_population(chart, wide, dc.recall_thresholds(chart, 0.7, 0.05), 0.2, 0.3).persist()
-    return thr.join(dc.level_sizes(wide, thr), "feature").select(F.col("feature").alias("flow"), "high", "low", "n_high", "n_low")
+    thr = dc.adjust_to_population(chart, wide, dc.recall_thresholds(chart, 0.7, 0.05), 0.2, 0.3, FLOWS).persist()
+    return thr.join(dc.level_sizes(wide, thr, FLOWS), "feature").select(F.col("feature").alias("flow"), "high", "low", "n_high", "n_low")
 
 
 @query("proxy_metrics", with_tables("scored alert", """, hist_scores AS (SELECT party, run_date, MAX(score) AS score FROM scored GROUP BY 1, 2),
