@@ -7,7 +7,7 @@ holds at most the lattice points of a disc - a constant, however dense the data
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from itertools import product
 from math import ceil, floor, sqrt
 
@@ -28,7 +28,7 @@ def standardise(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return made.select(*keep, *[((F.col(c) - F.col(f"_st.{c}.m")) / spread[c]).alias(c) for c in cols])
 
 
-def one_hot(df: DataFrame, col: str, values: Sequence[object]) -> list[Column]:
+def one_hot(col: str, values: Sequence[object]) -> list[Column]:
     return [F.when(F.col(col) == v, 1.0).otherwise(0.0).alias(f"{col}_{v}") for v in values]
 
 
@@ -58,13 +58,19 @@ def near_pairs(left: DataFrame, right: DataFrame, axes: Sequence[str], radius: f
     return a.join(b, cells).withColumn("d2", d2).filter(F.col("d2") <= radius * radius).drop(*cells)
 
 
-def density_cluster(df: DataFrame, row_id: str, cols: Sequence[str], eps: float, min_pts: int, step: float = 0.02) -> DataFrame:
+def density_cluster(df: DataFrame, row_id: str, cols: Sequence[str], eps: float, min_pts: int, step: float = 0.02,
+                    categories: Mapping[str, Sequence[object]] | None = None) -> DataFrame:
     """(row id, cluster): the smallest row id among the cluster's core rows, -1 for noise.
 
     A point is core with ``min_pts`` rows (itself included) within ``eps``. Core points of
     one sub-cell (diagonal at most eps) always belong together, so components are found over
-    sub-cells; a border point joins the smallest cluster it can reach.
+    sub-cells; a border point joins the smallest cluster it can reach. ``categories`` adds
+    one-hot columns (column -> values), standardised like the numbers; every column is one
+    more lattice axis, so keep them few.
     """
+    for c, values in (categories or {}).items():
+        df = df.select("*", *one_hot(c, values))
+        cols = [*cols, *[f"{c}_{v}" for v in values]]
     ensure_checkpoint_dir(df.sparkSession)
     rows, points, axes = to_lattice(df, row_id, cols, step)
     radius = eps / step + 1e-9

@@ -158,9 +158,3 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFram
     rest = [c for c in df.columns if c not in keys and c not in order]
     best = df.groupBy(*keys).agg(F.max(F.struct(*order, *[F.col(c) for c in rest])).alias("_r"))
     return best.select(*[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in df.columns])
-
-
-def per_group(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """A group total next to each row, by aggregate and join rather than by a window."""
-    totals = df.groupBy(*keys).agg(F.sum(value).alias(name))
-    return df.join(totals, list(keys), "left")

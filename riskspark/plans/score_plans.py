@@ -380,12 +380,12 @@ def score_weight_product(spark, sf):
 
 
 @query("component_score", with_tables("cust", """SELECT party AS customer_key, round(abs(CAST(balance AS DOUBLE)) / 10000.0, 4) AS risk_score,
-    '{"CLUSTER_ID":"' || nation || '","MODEL_ID":"42"}' AS component_attributes, 'CUSTOMER TRANSACTION BEHAVIOUR' AS crs_component, DATE '2024-01-31' AS created FROM cust"""))
+    '{"CLUSTER_ID":"' || nation || '","MODEL_ID":"42"}' AS component_attributes, 'CUSTOMER TRANSACTION BEHAVIOUR' AS component, DATE '2024-01-31' AS created FROM cust"""))
 def component_score(spark, sf):
     return t.customers(spark, sf).select(
         F.col("party").alias("customer_key"), F.round(F.abs(F.col("balance").cast("double")) / 10000.0, 4).alias("risk_score"),
         sc.component_attributes(F.col("nation"), F.lit(42)).alias("component_attributes"),
-        F.lit("CUSTOMER TRANSACTION BEHAVIOUR").alias("crs_component"), F.lit("2024-01-31").cast("date").alias("created"))
+        F.lit("CUSTOMER TRANSACTION BEHAVIOUR").alias("component"), F.lit("2024-01-31").cast("date").alias("created"))
 
 
 @query("anomaly_filter", with_tables("scored hist", """, p AS (SELECT party, MAX(score) AS score FROM scored GROUP BY 1)

@@ -69,3 +69,12 @@ def test_kth_distance(spark):
     df = spark.createDataFrame(rows, "id long, x double, y double")
     assert {r.id: r.d2 for r in density.kth_distance(df, "id", ["x", "y"], k, step).collect()} == want
     assert all(r.d2 is None for r in density.kth_distance(df.limit(3), "id", ["x", "y"], k, step).collect())
+
+
+def test_categories_keep_clusters_apart(spark):
+    rows = [(i, (i // 2) % 5 * 0.01, (i // 2) % 7 * 0.01, "ab"[i % 2]) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, x double, y double, kind string")
+    plain = density.density_cluster(df, "id", ["x", "y"], 4.0, 5, 0.5).collect()
+    assert {r.cluster for r in plain} == {0}
+    apart = {r.id: r.cluster for r in density.density_cluster(df, "id", ["x", "y"], 1.9, 3, 0.5, {"kind": ["a"]}).collect()}
+    assert {apart[i] for i in range(0, 60, 2)}.isdisjoint({apart[i] for i in range(1, 60, 2)} - {-1})
