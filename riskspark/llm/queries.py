@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import bpe
+from riskspark.llm import bpe, cotrain, lines, nbsvm, simhash, tokens
 from riskspark.llm.common import table
 
 
@@ -18,5 +18,41 @@ def op4_bpe_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digest(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op4_bpe_index,)}
-ORACLES: dict[str, str] = {}
+def op2_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotrain.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.query(table(spark, sf_dir, "documents"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), limit=4096)
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.query(table(spark, sf_dir, "documents"))
+
+
+def op10_nbsvm_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nbsvm.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op2_cotraining, op4_bpe_index, op6_simhash_bk, op7_token_counts, op9_line_dedup, op10_nbsvm_toxicity)}
+
+_LINES = """
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+k AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+hot AS (
+  SELECT key, max(doc_id) AS last_doc FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+m AS (SELECT k.*, coalesce(doc_id <> last_doc, false) AS lost FROM k LEFT JOIN hot USING (key))
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(lost AS INT)) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT lost), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+ORACLES: dict[str, str] = {"op9_line_dedup": _LINES}
