@@ -224,12 +224,12 @@ class LineIndex:
         shard = F.pmod(F.shiftright("hi", 32), F.lit(self.shards)).cast("int")
         keys = keys.select(shard.alias("shard"), "hi", "lo", (F.when(F.col("was") < least, 1).when(F.col("n_docs") < least, -1).otherwise(0)).alias("change"))
 
-        def build(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        def build(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
             now = pdf[pdf["change"] >= 0]
             made = Cuckoo.holding(now["hi"].to_numpy(), now["lo"].to_numpy())
             return pd.DataFrame({"shard": [key[0]], "bits": [made.to_bytes()]})
 
-        def update(key, had: pd.DataFrame, pdf: pd.DataFrame) -> pd.DataFrame:
+        def update(key: tuple, had: pd.DataFrame, pdf: pd.DataFrame) -> pd.DataFrame:
             if not len(had):
                 return build(key, pdf)
             made = Cuckoo.from_bytes(had["bits"].iloc[0])

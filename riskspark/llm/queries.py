@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import bpe, cotrain, lines, nbsvm, simhash, tokens
+from riskspark.llm import bpe, cotrain, kmeans_tree, lines, nbsvm, packing, simhash, tokens, toolcalls, va_file
 from riskspark.llm.common import table
 
 
@@ -14,14 +14,26 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return va_file.search(table(spark, sf_dir, "embeddings"))
+
+
 def op4_bpe_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digest(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op1_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans_tree.search(table(spark, sf_dir, "embeddings"))
+
+
 def op2_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotrain.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toolcalls.format_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op6_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.query(table(spark, sf_dir, "documents"))
 
@@ -30,6 +42,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), limit=4096)
 
 
+def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.query(table(spark, sf_dir, "documents"))
 
@@ -38,7 +54,9 @@ def op10_nbsvm_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nbsvm.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_cotraining, op4_bpe_index, op6_simhash_bk, op7_token_counts, op9_line_dedup, op10_nbsvm_toxicity)}
+QUERIES = {f.__name__: f for f in (
+    op1_kmeans_tree, op2_cotraining, op3_va_file, op4_bpe_index, op5_tool_calls, op6_simhash_bk, op7_token_counts, op8_best_fit,
+    op9_line_dedup, op10_nbsvm_toxicity)}
 
 _LINES = """
 WITH l AS (

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import map_texts, row_count, staged
+from riskspark.llm.common import has_repeats, map_texts, row_count, staged
 from riskspark.operators.components import connected_components
 
 SEED = 42
@@ -252,3 +252,15 @@ def query(docs: DataFrame) -> DataFrame:
     return components(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+
+
+def one_of_each(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that name their group; of repeated rows of one id, one.
+
+    Rows without id are kept.
+    """
+    if has_repeats(docs, "doc_id"):
+        known = docs.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
+        docs = staged(known.unionByName(docs.filter(F.col("doc_id").isNull())))
+    others = components(docs, words, radius).filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__other"))
+    return docs.join(others, F.col("doc_id") == F.col("__other"), "left_anti")
