@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import compare, duck
+from riskspark import plans
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = plans.QUERIES, plans.ORACLES
 
 
 @pytest.fixture(scope="module")
