@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskspark.llm import bpe, cotrain, kmeans_tree, lines, nbsvm, packing, simhash, tokens, toolcalls, va_file
 from riskspark.llm.common import table
@@ -31,7 +32,8 @@ def op2_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toolcalls.format_conversations(table(spark, sf_dir, "conversations"))
+    linked = toolcalls.format_conversations(table(spark, sf_dir, "conversations"))
+    return linked.withColumn("errors", F.array_join("errors", "; "))
 
 
 def op6_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,4 +75,42 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(lost AS INT)) AS BIGINT) AS n_
 FROM m GROUP BY doc_id
 """
 
-ORACLES: dict[str, str] = {"op9_line_dedup": _LINES}
+_CALLS = """
+WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+u AS (
+  SELECT *, conv_id || ':' || turn AS call_id, len(string_split(text, chr(10))) AS lines,
+         CAST(len(list_filter(string_split(replace(text, chr(10), ' '), ' '), lambda w: w <> '')) AS BIGINT) AS words
+  FROM t WHERE role = 'user'),
+a AS (SELECT *, conv_id || ':' || (turn - 1) AS call_id FROM t WHERE role = 'assistant'),
+j AS (
+  SELECT coalesce(u.conv_id, a.conv_id) AS conv_id, coalesce(u.call_id, a.call_id) AS call_id, u.turn AS turn, a.turn AS result_turn,
+         u.text AS prompt, a.text AS content, u.lines, u.words, u.lines > 1 AS block
+  FROM u FULL JOIN a ON u.conv_id = a.conv_id AND u.call_id = a.call_id),
+e AS (
+  SELECT *, CASE WHEN turn IS NULL THEN '' ELSE concat_ws('; ',
+      CASE WHEN block AND lines > 6 THEN 'lines: out of range' END,
+      CASE WHEN length(prompt) NOT BETWEEN 1 AND 400 THEN 'prompt: out of range' END,
+      CASE WHEN words < 1 OR (NOT block AND words > 60) THEN 'words: out of range' END) END AS errors
+  FROM j)
+SELECT conv_id, call_id, CAST(turn AS BIGINT) AS turn, CAST(result_turn AS BIGINT) AS result_turn, CAST(turn AS BIGINT) AS order_turn,
+       CASE WHEN turn IS NOT NULL THEN CAST(0 AS BIGINT) END AS order_step,
+       CASE WHEN turn IS NULL THEN 'no call' WHEN result_turn IS NULL THEN 'no result' ELSE 'linked' END AS status, errors,
+       '{' || CASE WHEN turn IS NULL THEN '' ELSE '"arguments":{' || CASE WHEN block THEN '"lines":' || lines || ',' ELSE '' END
+         || '"prompt":' || to_json(prompt) || ',"words":' || words || '},' END || '"call_id":' || to_json(call_id)
+         || CASE WHEN turn IS NULL THEN '' WHEN block THEN ',"name":"reply_block"' ELSE ',"name":"reply"' END
+         || CASE WHEN result_turn IS NULL THEN '' ELSE ',"result":' || to_json(content) END
+         || ',"valid":' || CASE WHEN errors = '' THEN 'true' ELSE 'false' END || '}' AS json
+FROM e
+"""
+
+_TOP = """
+WITH w AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+q AS (SELECT vec_id AS query_id, v AS x FROM w WHERE vec_id % 20 = 0),
+s AS (SELECT query_id, vec_id, CAST(list_dot_product(CAST(x AS DOUBLE[]), CAST(v AS DOUBLE[])) AS BIGINT) AS score FROM q JOIN w ON vec_id <> query_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INT) AS rank, vec_id, score FROM r WHERE n <= 20
+"""
+
+ORACLES: dict[str, str] = {"op3_va_file": _TOP, "op5_tool_calls": _CALLS, "op9_line_dedup": _LINES}

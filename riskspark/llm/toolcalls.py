@@ -33,6 +33,23 @@ def first_of(rows: DataFrame, by: list[str], turn: str = "turn") -> DataFrame:
     return rows.groupBy(*by).agg(least).select(*by, *(F.col(f"_least.{c}").alias(c) for c in rest))
 
 
+def parted(rows: DataFrame, whole: Column) -> tuple[DataFrame, list[DataFrame]]:
+    """The first row of each key, and all the others: without a key, or repeated."""
+    keyed, others = rows.filter(whole), [rows.filter(~F.coalesce(whole, F.lit(False)))]
+    if keyed.groupBy(*KEY).count().filter("count > 1").isEmpty():
+        return keyed, others
+    first = first_of(keyed, KEY)
+    # equal rows as one with their number, less the one that came first
+    counted = keyed.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"))
+    marks = first.select(*KEY, *(F.col(c).alias(f"_first_{c}") for c in rows.columns if c not in KEY))
+    same = F.lit(True)
+    for c in rows.columns:
+        if c not in KEY:
+            same = same & F.col(c).eqNullSafe(F.col(f"_first_{c}"))
+    left = counted.join(marks, KEY).withColumn("_n", F.col("_n") - F.when(same, 1).otherwise(0)).filter("_n > 0")
+    return first, [*others, left.withColumn("_i", F.explode(F.expr("sequence(1, _n)"))).select(*rows.columns)]
+
+
 def ordered(calls: DataFrame) -> DataFrame:
     """(conv_id, call_id, order_turn, order_step, ring, missing) of calls (conv_id, call_id, turn, after array).
 
@@ -120,8 +137,9 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
                          F.coalesce("after", F.array().cast("array<string>")).alias("after"))
     results = results.select("conv_id", "call_id", "turn", F.coalesce("content", F.lit("")).alias("content"))
     whole = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull() & F.col("turn").isNotNull()
-    first_calls = first_of(calls.filter(whole), KEY)
-    first_results = first_of(results.filter(whole), KEY).withColumnRenamed("turn", "result_turn")
+    first_calls, more_calls = parted(calls, whole)
+    first_results, more_results = parted(results, whole)
+    first_results = first_results.withColumnRenamed("turn", "result_turn")
     tools = schemas.groupBy("name").agg(F.sort_array(F.collect_list(F.struct("field", "kind", "required", "least", "most"))).alias("fields"))
     # hash join by identifier: either side may stay alone
     pairs = first_calls.join(first_results.hint("shuffle_hash"), KEY, "full").join(ordered(first_calls), KEY, "left").join(tools, "name", "left")
@@ -136,15 +154,12 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     status = (F.when(F.col("turn").isNull(), "no call").when(F.col("ring"), "ring").when(F.col("result_turn").isNull(), "no result").otherwise("linked"))
     out = pairs.select(*KEY, F.col("turn").cast("long").alias("turn"), F.col("result_turn").cast("long").alias("result_turn"), "order_turn", "order_step",
                        status.alias("status"), F.concat(errors, waiting).alias("errors"), "name", "arguments", "content", "args")
-    # what first_of left out, or what has no identifier
-    again = calls.join(first_calls.select(*KEY, F.col("turn").alias("_first")), KEY, "left").filter(
-        ~F.coalesce(whole, F.lit(False)) | (F.col("turn") > F.col("_first")))
-    out = out.unionByName(again.select(*KEY, F.col("turn").cast("long").alias("turn"), F.when(whole, "repeated call").otherwise("no identifier").alias("status"),
-                                       F.array().cast("array<string>").alias("errors"), "name", "arguments"), allowMissingColumns=True)
-    more = results.join(first_results.select(*KEY, F.col("result_turn").alias("_first")), KEY, "left").filter(
-        ~F.coalesce(whole, F.lit(False)) | (F.col("turn") > F.col("_first")))
-    out = out.unionByName(more.select(*KEY, F.col("turn").cast("long").alias("result_turn"), F.when(whole, "repeated result").otherwise("no identifier").alias("status"),
-                                      F.array().cast("array<string>").alias("errors"), "content"), allowMissingColumns=True)
+    status = lambda what: F.when(whole, f"repeated {what}").otherwise("no identifier").alias("status")
+    none = F.array().cast("array<string>").alias("errors")
+    for rest in more_calls:
+        out = out.unionByName(rest.select(*KEY, F.col("turn").cast("long").alias("turn"), status("call"), none, "name", "arguments"), allowMissingColumns=True)
+    for rest in more_results:
+        out = out.unionByName(rest.select(*KEY, F.col("turn").cast("long").alias("result_turn"), status("result"), none, "content"), allowMissingColumns=True)
     return out.withColumn("json", canonical(
         arguments=F.coalesce(F.when(F.col("args").isNotNull(), parsed), F.when(F.col("arguments").isNotNull(), F.col("arguments").cast("variant"))),
         call_id=F.col("call_id"), name=F.col("name"), result=F.col("content"), valid=F.size("errors") == 0)).drop("name", "arguments", "content", "args")
