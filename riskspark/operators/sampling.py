@@ -23,14 +23,16 @@ DEFAULT_OLD_VALID_PERC = 100.0
 MODES = ("lookback_memory", "lookback", "stratified", "random")
 
 
-def row_hash(row_id: str) -> Column:
-    return F.md5(F.col(row_id).cast("string"))
+def row_hash(row_id: str, purpose: str = "") -> Column:
+    """Hash of the id and of what the draw is for: draws for two purposes are independent.
+    The purpose may hold a seed."""
+    return F.md5(F.concat(F.col(row_id).cast("string"), F.lit(purpose)))
 
 
 def mark_share(df: DataFrame, row_id: str, pct: float, strata: Sequence[str] = (), rounding: str = "ceil",
-               digits: int = 4, name: str = "is_valid") -> DataFrame:
+               digits: int = 4, name: str = "is_valid", purpose: str = "") -> DataFrame:
     """Marks ``pct`` percent of the rows of each stratum, the first in hash order."""
-    keyed = df.withColumn("_h", row_hash(row_id)).withColumn("_p", F.substring("_h", 1, digits))
+    keyed = df.withColumn("_h", row_hash(row_id, purpose)).withColumn("_p", F.substring("_h", 1, digits))
     sizes = keyed.groupBy(*strata, "_p").agg(F.count(F.lit(1)).alias("_n"))
     # one row per stratum and prefix
     ordered = Window.partitionBy(*strata).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
@@ -63,29 +65,39 @@ def split_stratified(df: DataFrame, row_id: str, pct: float, target: str) -> Dat
     return mark_share(df, row_id, pct, [target], rounding="half_up")
 
 
+def hold_out(df: DataFrame, parts: Sequence[tuple[Column, float]], row_id: str, target: str) -> DataFrame:
+    """Every row once. Of the rows under the first condition that holds, its percentage is
+    for validation; rows under none (or whose condition is unknown) are for training."""
+    number = F.lit(len(parts))
+    for i, (condition, _) in reversed(list(enumerate(parts))):
+        number = F.when(condition, i).otherwise(number)
+    tagged = df.withColumn("_part", number)
+    out = tagged.filter(F.col("_part") == len(parts)).withColumn("is_valid", F.lit(False))
+    for i, (_, pct) in enumerate(parts):
+        rows = tagged.filter(F.col("_part") == i)
+        out = out.unionByName(rows.withColumn("is_valid", F.lit(True)) if pct == 100.0 else split_stratified(rows, row_id, pct, target))
+    return out.drop("_part")
+
+
 def split_lookback(df: DataFrame, row_id: str, pct: float, target: str, date_col: str, months: float) -> DataFrame:
-    """Validation rows only from the newest months."""
-    cutoff = F.date_sub(df.agg(F.max(date_col)).scalar(), int(months * 30))
-    recent, older = df.filter(F.col(date_col) > cutoff), df.filter(F.col(date_col) <= cutoff)
-    marked = recent.withColumn("is_valid", F.lit(True)) if pct == 100.0 else split_stratified(recent, row_id, pct, target)
-    return older.withColumn("is_valid", F.lit(False)).unionByName(marked)
+    """Validation rows from the newest months alone; a row without date trains."""
+    newest = df.agg(F.max(date_col)).scalar()
+    return hold_out(df, [(F.col(date_col) > F.date_sub(newest, int(months * 30)), pct)], row_id, target)
 
 
 def split_memory(df: DataFrame, row_id: str, pct: float, target: str, date_col: str, months: float,
                  previous: DataFrame, previous_max: date, old_pct: float = DEFAULT_OLD_VALID_PERC) -> DataFrame:
-    """Former validation rows still in the look-back stay validation rows; only rows newer
-    than the previous training date are split anew."""
-    last = df.agg(F.max(date_col)).first()[0]
-    if last == previous_max:
-        old_pct = DEFAULT_OLD_VALID_PERC
-    cutoff = last - timedelta(days=int(months * 30))
-    kept = df.filter(F.col(date_col) > F.lit(cutoff)).join(previous.select(row_id).distinct(), row_id, "left_semi").select(row_id)
-    before = df.filter(F.col(date_col) <= F.lit(previous_max))
-    old_train = before.join(kept, row_id, "left_anti").withColumn("is_valid", F.lit(False))
-    old_valid = before.join(kept, row_id, "left_semi")
-    fresh = df.filter(F.col(date_col) > F.lit(previous_max)).join(kept, row_id, "left_anti")
-    old = old_valid.withColumn("is_valid", F.lit(True)) if old_pct == 100.0 else split_stratified(old_valid, row_id, old_pct, target)
-    return old_train.unionByName(old).unionByName(split_stratified(fresh, row_id, pct, target))
+    """Remembers former validation rows: those still in the look-back make up one part, of
+    which ``old_pct`` percent stay, all of them if no newer row has come; other rows newer
+    than the previous training date are split anew; the rest trains."""
+    newest = F.lit(df.agg(F.max(F.to_date(date_col))).first()[0])
+    known = previous.select(F.col(row_id).alias("_former")).distinct()
+    marked = df.join(known, F.col(row_id) == F.col("_former"), "left")
+    day = F.to_date(date_col)
+    former = F.col("_former").isNotNull() & (day > F.date_sub(newest, int(months * 30)))
+    grown = df.filter(day > F.lit(previous_max)).limit(1).count() > 0
+    parts = [(former, old_pct if grown else DEFAULT_OLD_VALID_PERC), (day > F.lit(previous_max), pct)]
+    return hold_out(marked, parts, row_id, target).drop("_former")
 
 
 @dataclass(frozen=True)
@@ -116,7 +128,9 @@ def resolve_mode(df: DataFrame, mode: str, p: SplitParams) -> tuple[str, SplitPa
     if mode in MODES[:2] and not dated:
         return resolve_mode(df, "stratified", p)
     if mode in MODES[:2]:
-        first, last = df.agg(F.min(p.date_col), F.max(p.date_col)).first()
+        first, last = df.agg(F.min(F.to_date(p.date_col)), F.max(F.to_date(p.date_col))).first()
+        if last is None:
+            return resolve_mode(df, "stratified", p)
         span = round((last - first).days / 30, 1)
         months = p.months
         if months is None or months <= 0 or (span > 3 and months < 0.5):
@@ -141,22 +155,23 @@ def resolve_mode(df: DataFrame, mode: str, p: SplitParams) -> tuple[str, SplitPa
 
 
 def _lookback_share(df: DataFrame, p: SplitParams, months: float, last: date) -> tuple[float, float]:
-    """Widen the look-back until it holds the least validation share, and raise the
-    percentage if its part of all rows would still be below that share. Rows per day are
-    few numbers, so the widening needs one pass."""
-    pct = DEFAULT_VALID_PERC if p.valid_pct is None or p.valid_pct <= 0 else round(float(p.valid_pct), 1)
-    pct = min(pct, p.max_pct)
-    per_day = {r["d"]: r["n"] for r in df.groupBy(F.col(p.date_col).alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(per_day.values())
-    while True:
-        cutoff = last - timedelta(days=int(months * 30))
-        inside = sum(n for d, n in per_day.items() if d is not None and d > cutoff)
-        if inside / total * 100 >= MIN_VALID_PERC:
-            break
-        months += 1
-    if inside / total * pct < MIN_VALID_PERC:
-        pct = round(ceil(MIN_VALID_PERC * total / 100) / inside * 100, 1)
-    return months, pct
+    """Months of look-back and percentage that give the least validation share.
+
+    The look-back must hold that share of the dated rows: the day on which the newest rows
+    add up to it tells how many whole months are to be added. The percentage must then take
+    that share out of the look-back."""
+    asked = p.valid_pct if p.valid_pct and p.valid_pct > 0 else DEFAULT_VALID_PERC
+    pct = min(round(float(asked), 1), p.max_pct)
+    # one row for each calendar day
+    days = df.select(F.to_date(p.date_col).alias("d")).filter("d IS NOT NULL").groupBy("d").agg(F.count(F.lit(1)).alias("n"))
+    total = days.agg(F.sum("n")).first()[0]
+    least = ceil(total * MIN_VALID_PERC / 100)
+    newer = F.sum("n").over(Window.orderBy(F.desc("d")))
+    reached = days.withColumn("newer", newer).filter(F.col("newer") >= least).agg(F.max("d")).first()[0]
+    # the first day inside is the one after last - 30 x months
+    months += max(0, ceil(((last - reached).days + 1) / 30 - months))
+    inside = days.filter(F.col("d") > F.lit(last - timedelta(days=int(months * 30)))).agg(F.sum("n")).first()[0]
+    return months, pct if inside * pct >= total * MIN_VALID_PERC else round(100 * least / inside, 1)
 
 
 def split(df: DataFrame, mode: str, p: SplitParams) -> tuple[DataFrame, str, SplitParams]:
@@ -170,14 +185,15 @@ def split(df: DataFrame, mode: str, p: SplitParams) -> tuple[DataFrame, str, Spl
     return split_memory(df, p.row_id, p.valid_pct, p.target, p.date_col, p.months, p.previous, p.previous_max, p.old_pct), mode, p
 
 
-def sample_strata(df: DataFrame, row_id: str, stratum: str, divisor: float, keep_below: int = 1000) -> DataFrame:
+def sample_strata(df: DataFrame, row_id: str, stratum: str, divisor: float, keep_below: int = 1000,
+                  purpose: str = "strata") -> DataFrame:
     """Keeps a row with probability (share of its stratum / divisor); strata with fewer rows
     than ``keep_below`` are kept whole. The draw is a hash of the id."""
     named = df.na.fill("None", [stratum])
     sizes = named.groupBy(stratum).agg(F.count(F.lit(1)).alias("_n"))
     total = named.agg(F.count(F.lit(1))).scalar()
     fraction = F.when(F.col("_n") < keep_below, 1.0).otherwise(F.col("_n") / total / divisor)
-    draw = F.conv(F.substring(row_hash(row_id), 1, 8), 16, 10).cast("bigint") / F.lit(float(2 ** 32))
+    draw = F.conv(F.substring(row_hash(row_id, purpose), 1, 8), 16, 10).cast("bigint") / F.lit(float(2 ** 32))
     return named.join(sizes.select(stratum, fraction.alias("_f")), stratum).filter(draw < F.col("_f")).select(*df.columns)
 
 

@@ -37,10 +37,10 @@ def sample_lookback(spark, sf):
     return sp.split_lookback(t.scored_alerts(spark, sf), "id", 40.0, "label", "run_date", 6.0).select(OUT)
 
 
-MEMORY_SQL = f""", kept AS (SELECT id FROM scored WHERE run_date > {CUT.format(days=360)} AND segment = '3-MEDIUM'),
-    fresh AS (SELECT * FROM scored WHERE run_date > DATE '2001-03-01' AND id NOT IN (SELECT id FROM kept)),
-    old AS (SELECT * FROM scored WHERE run_date <= DATE '2001-03-01' AND id IN (SELECT id FROM kept)),
-    res AS ({strat_sql('fresh', 25.0)} UNION ALL {strat_sql('old', 80.0)} UNION ALL SELECT id, FALSE FROM scored WHERE run_date <= DATE '2001-03-01' AND id NOT IN (SELECT id FROM kept))"""
+MEMORY_SQL = f""", part AS (SELECT *, CASE WHEN segment = '3-MEDIUM' AND run_date > {CUT.format(days=360)} THEN 'old'
+        WHEN run_date > DATE '2001-03-01' THEN 'fresh' ELSE 'rest' END AS p FROM scored),
+    fresh AS (SELECT * FROM part WHERE p = 'fresh'), old AS (SELECT * FROM part WHERE p = 'old'),
+    res AS ({strat_sql('fresh', 25.0)} UNION ALL {strat_sql('old', 80.0)} UNION ALL SELECT id, FALSE FROM part WHERE p = 'rest')"""
 
 
 @query("sample_lookback_memory", with_tables("scored", MEMORY_SQL + " SELECT id, is_valid FROM res"))
@@ -59,7 +59,7 @@ def sample_mode_fallback(spark, sf):
 
 
 @query("sample_by_fraction", with_tables("cust", """, n AS (SELECT region, COUNT(*) AS n FROM cust GROUP BY 1)
-    SELECT party, region FROM cust JOIN n USING (region) WHERE ('0x' || substr(md5(CAST(party AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0::DOUBLE < CASE WHEN n < 290 THEN 1.0::DOUBLE ELSE n / (SELECT COUNT(*) FROM cust) / 0.4::DOUBLE END"""))
+    SELECT party, region FROM cust JOIN n USING (region) WHERE ('0x' || substr(md5(CAST(party AS VARCHAR) || 'strata'), 1, 8))::BIGINT / 4294967296.0::DOUBLE < CASE WHEN n < 290 THEN 1.0::DOUBLE ELSE n / (SELECT COUNT(*) FROM cust) / 0.4::DOUBLE END"""))
 def sample_by_fraction(spark, sf):
     return sp.sample_strata(t.customers(spark, sf).select("party", "region"), "party", "region", 0.4, keep_below=290)
 
