@@ -6,6 +6,7 @@ names put ``ratio``, ``net`` or ``flow-through-adj`` in front of two of them.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -34,9 +35,31 @@ FLAG_COLUMNS = {
     "WITH-NGO": "with_ngo",
     "WITH-TAX-HAVEN": "with_tax_haven",
     "OPP-PARTY-AGE-UNDER-24": "opp_party_young",
-    "45kto50k": "amount_45k_50k",
-    "greater-than-50k": "amount_over_50k",
 }
+AMOUNT_RANGE, AMOUNT_OVER = re.compile(r"(\d+)kto(\d+)k"), re.compile(r"greater-than-(\d+)k")
+
+
+def flag_of(token: str) -> str | None:
+    """Fact column that a flag token stands for; ranges of the amount may have any limits."""
+    if found := AMOUNT_RANGE.fullmatch(token):
+        return f"amount_{found[1]}k_{found[2]}k"
+    if found := AMOUNT_OVER.fullmatch(token):
+        return f"amount_over_{found[1]}k"
+    return FLAG_COLUMNS.get(token)
+
+
+def with_amount_flags(facts: DataFrame, names: Sequence[str], amount: str) -> DataFrame:
+    """Adds the amount ranges that feature names ask for and the facts lack."""
+    made = {}
+    for token in {t for n in names for t in n.split("_")}:
+        column = flag_of(token)
+        if column in facts.columns or not column:
+            continue
+        if found := AMOUNT_RANGE.fullmatch(token):
+            made[column] = (F.col(amount) > int(found[1]) * 1000) & (F.col(amount) < int(found[2]) * 1000)
+        elif found := AMOUNT_OVER.fullmatch(token):
+            made[column] = F.col(amount) > int(found[1]) * 1000
+    return facts.withColumns(made) if made else facts
 
 
 @dataclass
@@ -50,7 +73,8 @@ class Plan:
     second: list[tuple[str, str, str, str]] = field(default_factory=list)
 
 
-def parse_first(name: str, categories: Mapping[str, Sequence[str]], category_col: str = "direction") -> Spec:
+def parse_first(name: str, categories: Mapping[str, Sequence[str]], category_col: str = "direction", level: str | None = None) -> Spec:
+    """``level`` is that of the key the features are made for; a name of another level raises."""
     days, offset, op, cats, flags, after_offset = 0, 0, "", None, [], False
     for token in name.split("_"):
         if token in categories:
@@ -61,11 +85,14 @@ def parse_first(name: str, categories: Mapping[str, Sequence[str]], category_col
             offset, after_offset = LOOKBACKS[token], False
         elif token in LOOKBACKS:
             days = LOOKBACKS[token]
-        elif token in FLAG_COLUMNS:
-            flags.append(FLAG_COLUMNS[token])
+        elif flag_of(token):
+            flags.append(flag_of(token))
         elif token in OPERATIONS:
             op = token
-        elif token not in LEVELS:
+        elif token in LEVELS:
+            if level and token != level:
+                raise ValueError(f"feature {name} is of level {token}, the key of level {level}")
+        else:
             raise ValueError(f"unknown token {token} in feature {name}")
     if not days or not op:
         raise ValueError(f"feature {name} lacks a look-back or an operation")
@@ -88,7 +115,7 @@ def split_two_level(name: str) -> tuple[str, str, str] | None:
 
 
 def plan_features(names: Sequence[str], categories: Mapping[str, Sequence[str]],
-                  category_col: str = "direction") -> Plan:
+                  category_col: str = "direction", level: str | None = None) -> Plan:
     plan = Plan()
     seen: dict[str, None] = {}
 
@@ -110,7 +137,7 @@ def plan_features(names: Sequence[str], categories: Mapping[str, Sequence[str]],
             if days not in plan.gaps:
                 plan.gaps.append(days)
         elif "DISTINCT-COUNT" in name:
-            s = parse_first(name.replace("DISTINCT-COUNT", "VOL"), categories, category_col)
+            s = parse_first(name.replace("DISTINCT-COUNT", "VOL"), categories, category_col, level)
             conds = [f"{s.category_col} in ({', '.join(repr(c) for c in s.categories)})"] if s.categories else []
             plan.distinct.append(DistinctSpec(name, s.days, s.offset, " and ".join([*conds, *s.flags]) or None))
         elif "AVG" in name.split("_"):
@@ -118,7 +145,7 @@ def plan_features(names: Sequence[str], categories: Mapping[str, Sequence[str]],
             need(with_op(name, "VOL"))
             plan.averages.append(name)
         else:
-            plan.first.append(parse_first(name, categories, category_col))
+            plan.first.append(parse_first(name, categories, category_col, level))
 
     for n in names:
         need(n)
@@ -165,11 +192,14 @@ def derive(df: DataFrame, plan: Plan) -> DataFrame:
 
 def feature_matrix(facts: DataFrame, refs: DataFrame, names: Sequence[str], categories: Mapping[str, Sequence[str]],
                    key: str = "party", date: str = "txn_date", amount: str = "amount",
-                   distinct_value: str = "opp_party", category_col: str = "direction") -> DataFrame:
-    """Every requested feature per reference point, in the order asked for."""
+                   distinct_value: str = "opp_party", category_col: str = "direction", level: str = "CUSTOMER") -> DataFrame:
+    """Every requested feature per reference point, in the order asked for.
+
+    ``key`` holds parties for level CUSTOMER and accounts for level ACCOUNT."""
     from riskspark.operators.lookback import distinct_in_lookback, gap_features, lookback_features
 
-    plan = plan_features(names, categories, category_col)
+    plan = plan_features(names, categories, category_col, level)
+    facts = with_amount_flags(facts, names, amount)
     out = refs
     if plan.first:
         out = lookback_features(facts, refs, plan.first, key, date, amount)

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -65,6 +66,20 @@ class Spec:
                     self.category_col)
 
 
+def referenced(facts: DataFrame, refs: DataFrame, days: int, key: str = "party", date: str = "txn_date",
+               ref_date: str = "ref_date") -> DataFrame:
+    """Facts of referenced keys, from the first day that any look-back holds to the last.
+
+    The two ends are literals, so the filter reaches the scan and skips partitions and row
+    groups; the semi join stands below every shuffle of the facts and Spark moves it below
+    the join that adds the key."""
+    ends = refs.agg(F.min(F.col(ref_date).cast("date")).alias("first"), F.max(F.col(ref_date).cast("date")).alias("last")).first()
+    if ends["first"] is None:
+        return facts.filter(F.lit(False))
+    near = F.col(date).cast("date").between(F.lit(ends["first"] - timedelta(days=days)), F.lit(ends["last"]))
+    return facts.filter(near).join(refs.select(key).distinct(), key, "left_semi")
+
+
 def daily_totals(facts: DataFrame, specs: Sequence[Spec], key: str = "party", date: str = "txn_date",
                  amount: str = "amount") -> DataFrame:
     """Facts summed to (key, day, the categories and flags the specs ask for): the finest
@@ -79,7 +94,7 @@ def daily_totals(facts: DataFrame, specs: Sequence[Spec], key: str = "party", da
         measures.append(F.max(amount).alias("_max"))
     if "SD" in ops:
         measures += [F.sum(value).alias("_s1"), F.sum(value * value).alias("_s2")]
-    return facts.groupBy(key, date, *dims).agg(*measures)
+    return facts.groupBy(key, F.col(date).cast("date").alias(date), *dims).agg(*measures)
 
 
 def _inside(spec: Spec) -> Column:
@@ -118,7 +133,7 @@ def lookback_features(facts: DataFrame, refs: DataFrame, specs: Sequence[Spec],
                       date: str = "txn_date", amount: str = "amount") -> DataFrame:
     """All first-level features of every reference point from one join and one aggregate."""
     longest = max(s.days for s in specs)
-    daily = daily_totals(facts, specs, key, date, amount)
+    daily = daily_totals(referenced(facts, refs, longest, key, date), specs, key, date, amount)
     return near_facts(daily, refs, date, key, longest).groupBy(key, "ref_date").agg(*[spec_column(s) for s in specs])
 
 
@@ -154,7 +169,8 @@ def distinct_in_lookback(facts: DataFrame, refs: DataFrame, value: str, specs: S
     """
     wheres = sorted({s.where or "true" for s in specs})
     tags = F.array_compact(F.array(*[F.when(F.expr(w), F.lit(i)) for i, w in enumerate(wheres)]))
-    active = facts.select(key, F.col(value).alias("_v"), F.col(date).alias("_day"), F.explode(tags).alias("_w")) \
+    facts = referenced(facts, refs, max(s.days for s in specs), key, date)
+    active = facts.select(key, F.col(value).alias("_v"), F.col(date).cast("date").alias("_day"), F.explode(tags).alias("_w")) \
         .filter(F.col("_v").isNotNull()).distinct()
     ahead = F.lead("_day").over(Window.partitionBy(key, "_v", "_w").orderBy("_day"))
     active = active.withColumn("_next", ahead)
@@ -194,7 +210,7 @@ def running_steps(moves: DataFrame, refs: DataFrame, names: Sequence[str], key:
 def gap_features(facts: DataFrame, refs: DataFrame, windows: Sequence[int], key: str = "party",
                  date: str = "txn_date") -> DataFrame:
     """Mean and spread of the days between consecutive activity days inside each window."""
-    days = facts.select(key, F.col(date).alias("_day")).distinct()
+    days = referenced(facts, refs, max(windows), key, date).select(key, F.col(date).cast("date").alias("_day")).distinct()
     days = days.withColumn("_gap", F.datediff("_day", F.lag("_day").over(Window.partitionBy(key).orderBy("_day"))))
     joined = near_facts(days, refs, "_day", key, max(windows))
     cols = []
@@ -204,25 +220,16 @@ def gap_features(facts: DataFrame, refs: DataFrame, windows: Sequence[int], key:
     return joined.groupBy(key, "ref_date").agg(*cols)
 
 
-def skew_safe_agg(df: DataFrame, key: str, amount: str, distinct: str, hot_rows: int = 100_000,
-                  salts: int = 64) -> DataFrame:
-    """Count, sum, max, spread and distinct count per key, hot keys in two stages.
+def skew_safe_agg(df: DataFrame, key: str, amount: str, distinct: str) -> DataFrame:
+    """Count, sum, max, spread and distinct count per key.
 
-    The salt is a hash of the distinct column, so distinct counts of the salted parts add
-    up, and n, sum and sum of squares merge exactly (a mean of part spreads would not).
+    Summed by (key, value) first and by key then: both aggregates combine before their
+    shuffle, so a hot key meets as one row per task, and n, sum and sum of squares merge
+    exactly (a mean of part spreads would not).
     """
-    hot = df.groupBy(key).count().filter(F.col("count") > hot_rows).select(key, F.lit(True).alias("_hot"))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(distinct), F.lit(salts))).otherwise(F.lit(0))
     value = F.col(amount).cast("double")
-    values = (
-        df.join(hot, key, "left").withColumn("_salt", salt)
-        .groupBy(key, "_salt", distinct)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(amount).alias("s"), F.max(amount).alias("m"),
-             F.sum(value).alias("s1"), F.sum(value * value).alias("s2"))
-    )
-    part = values.groupBy(key, "_salt").agg(
-        F.sum("n").alias("n"), F.sum("s").alias("s"), F.max("m").alias("m"), F.sum("s1").alias("s1"),
-        F.sum("s2").alias("s2"), F.count(distinct).alias("d"))
-    return part.groupBy(key).agg(
+    parts = df.groupBy(key, distinct).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(amount).alias("s"), F.max(amount).alias("m"), F.sum(value).alias("s1"), F.sum(value * value).alias("s2"))
+    return parts.groupBy(key).agg(
         F.sum("n").alias("vol"), F.sum("s").cast("double").alias("amt"), F.max("m").cast("double").alias("max"),
-        spread(F.sum("n"), F.sum("s1"), F.sum("s2")).alias("sd"), F.sum("d").alias("distinct_count"))
+        spread(F.sum("n"), F.sum("s1"), F.sum("s2")).alias("sd"), F.count(distinct).alias("distinct_count"))

@@ -147,14 +147,24 @@ def feat_lookback_offset_flag(spark, sf):
 
 
 @query("feat_structured_amount", sql_features(", ".join([
-    amt("amount > 45000 AND amount < 50000 AND dd < 180", "structured_180_amt"),
-    vol("amount > 50000 AND dd < 360", "large_360_vol")])))
+    amt("amount > 45000 AND amount < 50000 AND dd < 180", "structured_180_amt"), vol("amount > 50000 AND dd < 360", "large_360_vol"),
+    vol("amount > 20000 AND amount < 30000 AND dd < 90", "mid_90_vol"), amt("amount > 65000 AND dd < 360", "huge_360_amt")])))
 def feat_structured_amount(spark, sf):
-    txn = t.transactions(spark, sf).withColumn(
-        "amount_45k_50k", (F.col("amount") > 45000) & (F.col("amount") < 50000)).withColumn(
-        "amount_over_50k", F.col("amount") > 50000)
-    return _wide({"all_180DAY_45kto50k_AMT_CUSTOMER": "structured_180_amt",
-                  "all_360DAY_greater-than-50k_VOL_CUSTOMER": "large_360_vol"})(spark, sf, txn)
+    return _wide({"all_180DAY_45kto50k_AMT_CUSTOMER": "structured_180_amt", "all_360DAY_greater-than-50k_VOL_CUSTOMER": "large_360_vol",
+                  "all_90DAY_20kto30k_VOL_CUSTOMER": "mid_90_vol", "all_360DAY_greater-than-65k_AMT_CUSTOMER": "huge_360_amt"})(spark, sf)
+
+
+@query("feat_account_level", with_tables("txn alert", f"""
+    , r AS (SELECT DISTINCT alert_id AS account, alert_date AS ref_date FROM alert), x AS (SELECT r.account, r.ref_date, t.amount, t.direction,
+        date_diff('day', t.txn_date, r.ref_date) AS dd FROM r LEFT JOIN txn t ON t.account = r.account
+        AND t.txn_date <= r.ref_date AND t.txn_date > r.ref_date - 360)
+    SELECT account, ref_date, {amt("direction = 'incoming-all' AND dd < 180", "in_180_amt")}, {vol("dd < 360", "all_360_vol")}
+    FROM x GROUP BY account, ref_date"""))
+def feat_account_level(spark, sf):
+    refs = t.alerts(spark, sf).select(F.col("alert_id").alias("account"), F.col("alert_date").alias("ref_date")).distinct()
+    names = ["incoming-all_180DAY_AMT_ACCOUNT", "all_360DAY_VOL_ACCOUNT"]
+    made = ft.feature_matrix(t.transactions(spark, sf), refs, names, CATEGORIES, key="account", level="ACCOUNT")
+    return rounded(made.select("account", "ref_date", F.col(f"`{names[0]}`").alias("in_180_amt"), F.col(f"`{names[1]}`").alias("all_360_vol")))
 
 
 @query("feat_txn_gap", with_tables("txn refs", """
@@ -316,8 +326,8 @@ AGG_SQL = with_tables("txn", """SELECT {key}, CAST(COUNT(*) AS BIGINT) AS vol, C
 
 @query("salted_two_stage_agg", AGG_SQL.format(key="category"))
 def salted_two_stage_agg(spark, sf):
-    """Six categories, so every key is hot."""
-    return rounded(lb.skew_safe_agg(t.transactions(spark, sf), "category", "amount", "opp_party", hot_rows=1000), 2)
+    """A few categories, so every key is hot."""
+    return rounded(lb.skew_safe_agg(t.transactions(spark, sf), "category", "amount", "opp_party"), 2)
 
 
 @query("partition_pre_agg", AGG_SQL.format(key="party"))

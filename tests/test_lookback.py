@@ -85,7 +85,7 @@ def test_gaps(data):
 
 def test_skew_safe_aggregate_equals_plain(data):
     facts, _, f, _ = data
-    got = {x.party: x for x in lb.skew_safe_agg(f, "party", "amount", "opp", hot_rows=50, salts=8).collect()}
+    got = {x.party: x for x in lb.skew_safe_agg(f, "party", "amount", "opp").collect()}
     for party in {v[0] for v in facts}:
         rows = [v for v in facts if v[0] == party]
         x = got[party]
