@@ -1,13 +1,12 @@
-"""Name features as columns. Only the longest common substring needs a Python helper."""
+"""Name features as columns."""
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def bind(fn: Callable[[Column], Column], **parts: Column) -> Column:
@@ -16,9 +15,25 @@ def bind(fn: Callable[[Column], Column], **parts: Column) -> Column:
     return F.transform(F.array(F.struct(*[c.alias(n) for n, c in parts.items()])), fn)[0]
 
 
+def _folding() -> tuple[str, str]:
+    """Upper-case letters with an accent, and the same without: all that Unicode takes apart into a letter and marks."""
+    pairs = {}
+    for code in range(0xC0, 0x250):
+        letter = chr(code).upper()
+        base = unicodedata.normalize("NFD", letter)[0]
+        if len(letter) == 1 and base != letter and base.isascii():
+            pairs[letter] = base
+    return "".join(pairs), "".join(pairs.values())
+
+
+ACCENTED, PLAIN = _folding()
+
+
 def normalise(name: Column) -> Column:
-    """Upper case, punctuation to blanks, single blanks, trimmed; empty becomes null."""
-    plain = F.trim(F.regexp_replace(F.regexp_replace(F.upper(name), r"[^0-9A-Z]+", " "), r"\s+", " "))
+    """Upper case without accents, all but letters and digits of any script to blanks, single
+    blanks, trimmed; empty becomes null."""
+    bare = F.regexp_replace(F.translate(F.upper(name), ACCENTED, PLAIN), r"\p{M}+", "")
+    plain = F.trim(F.regexp_replace(bare, r"[^\p{L}\p{N}]+", " "))
     return F.when(plain != "", plain)
 
 
@@ -85,33 +100,20 @@ def alias_best(name: Column, aliases: Column) -> Column:
     return F.when(aliases.isNotNull() & (aliases != ""), found)
 
 
-def _subset_ratio_udf():
-    # nested, so that the function travels to the workers by value
-    def common_run(a: str, b: str) -> int:
-        best, row = 0, [0] * (len(b) + 1)
-        for x in a:
-            new = [0] * (len(b) + 1)
-            for j, y in enumerate(b, 1):
-                if x == y:
-                    new[j] = row[j - 1] + 1
-                    best = max(best, new[j])
-            row = new
-        return best
-
-    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([
-            None if x is None or y is None or not (x or y) else common_run(x, y) / max(len(x), len(y))
-            for x, y in zip(a, b)], dtype="float64")
-
-    return F.pandas_udf(ratio, T.DoubleType())
-
-
-_SUBSET_RATIO = _subset_ratio_udf()
+def common_run(a: Column, b: Column) -> Column:
+    """Length of the longest common substring. It grows by one at most with each further
+    character of a, and does so if the end of a so far, one longer than the best, is in b."""
+    def step(best: Column, end: Column) -> Column:
+        return best + F.when(F.contains(b, F.substring(a, end - best, best + 1)), 1).otherwise(0)
+    return F.aggregate(F.when(F.length(a) > 0, F.sequence(F.lit(1), F.length(a))).otherwise(F.array().cast("array<int>")), F.lit(0), step)
 
 
 def subset_ratio(a: Column, b: Column) -> Column:
-    """Longest common substring over the longer length."""
-    return _SUBSET_RATIO(a, b)
+    """Longest common substring over the longer length; null without a name or for two empty ones."""
+    def ratio(p: Column) -> Column:
+        longest = F.greatest(F.length(p["a"]), F.length(p["b"]))
+        return F.when(p["a"].isNotNull() & p["b"].isNotNull() & (longest > 0), common_run(p["a"], p["b"]) / longest)
+    return bind(ratio, a=a, b=b)
 
 
 def unique_names(names: Column) -> Column:
