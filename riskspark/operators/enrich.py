@@ -25,16 +25,17 @@ def age_years(birth: Column | str, at: Column | str, days_per_year: float = DAYS
 
 
 def reference_dates(parties: DataFrame, txns: DataFrame, alerts: DataFrame, mode: str = "individual",
-                    today: Column | None = None) -> DataFrame:
+                    today: Column | None = None, newest: Column | None = None) -> DataFrame:
     """Reference date of each party.
 
     ``individual`` - the later of its last transaction and last alert (``today`` if none);
-    ``current`` - ``today`` for all; ``overall_max`` - the last transaction of anyone.
+    ``current`` - ``today`` for all; ``overall_max`` - the last transaction of anyone (``newest``
+    if the caller has it cheaper than from ``txns``).
     """
     if mode == "current":
         return parties.withColumn("ref_date", today if today is not None else F.current_date())
     if mode == "overall_max":
-        return parties.withColumn("ref_date", txns.agg(F.max("txn_date")).scalar())
+        return parties.withColumn("ref_date", newest if newest is not None else txns.agg(F.max("txn_date")).scalar())
     if mode != "individual":
         raise ValueError(f"unknown reference date mode {mode}")
     last_txn = txns.groupBy("party").agg(F.max("txn_date").alias("_t"))
@@ -89,4 +90,18 @@ def valid_intervals(df: DataFrame, intervals: DataFrame, key: str, date: str, st
 
 
 def outer_all(dfs: Sequence[DataFrame], key: str) -> DataFrame:
-    return reduce(lambda a, b: a.join(b, key, "full"), dfs)
+    """Full outer merge of inputs with one row per key, in one shuffle: the rows are put below
+    each other with a tag, and a key's columns are taken from the row of their tag, which
+    combines before the shuffle. Rows without a key stay apart, as in a join; a key that
+    occurs twice in an input is an error, no row is lost."""
+    tagged = None
+    for i, df in enumerate(dfs):
+        rest = [c for c in df.columns if c != key]
+        rows = df.select(key, F.struct(*rest).alias(f"_{i}") if rest else F.struct(F.lit(True).alias("_here")).alias(f"_{i}"))
+        tagged = rows if tagged is None else tagged.unionByName(rows, allowMissingColumns=True)
+    named = [(i, c) for i, df in enumerate(dfs) for c in df.columns if c != key]
+    once = [F.when(F.count(f"_{i}") > 1, F.raise_error(F.lit(f"input {i} holds a {key} twice"))).otherwise(
+        F.first(f"_{i}", ignorenulls=True)).alias(f"_{i}") for i in range(len(dfs))]
+    merged = tagged.filter(F.col(key).isNotNull()).groupBy(key).agg(*once)
+    whole = merged.unionByName(tagged.filter(F.col(key).isNull()))
+    return whole.select(key, *[F.col(f"_{i}.{c}").alias(c) for i, c in named])

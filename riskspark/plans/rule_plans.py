@@ -54,7 +54,7 @@ W = {r.rule_id: r.norm_weight for r in RULES}
 
 def rule_features(spark, sf):
     txn = t.transactions(spark, sf)
-    last = txn.agg(F.max("txn_date")).scalar()
+    last = t.last_transaction_date(spark, sf)
     sums = txn.filter(F.col("txn_date") > F.date_sub(last, 360)).groupBy("party").agg(
         F.sum(F.when(F.col("direction") == "incoming-all", F.col("amount"))).cast("double").alias("in_360"),
         F.sum(F.when(F.col("direction") == "outgoing-all", F.col("amount"))).cast("double").alias("out_360"),

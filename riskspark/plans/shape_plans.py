@@ -194,8 +194,9 @@ def nr_filter(spark, sf):
     (SELECT party, COUNT(*) AS n FROM txn WHERE txn_date > (SELECT MAX(txn_date) FROM txn) - 360 GROUP BY 1) USING (party) GROUP BY 1"""))
 def zero_activity_split(spark, sf):
     txn = t.transactions(spark, sf)
-    refs = enrich.reference_dates(t.customers(spark, sf).select("party", "segment"), txn, txn, "overall_max")
-    recent = txn.filter(F.col("txn_date") > F.date_sub(txn.agg(F.max("txn_date")).scalar(), 360))
+    newest = t.last_transaction_date(spark, sf)
+    refs = enrich.reference_dates(t.customers(spark, sf).select("party", "segment"), txn, txn, "overall_max", newest=newest)
+    recent = txn.filter(F.col("txn_date") > F.date_sub(newest, 360))
     sums = recent.groupBy("party").agg(
         F.sum(F.when(F.col("direction") == "incoming-all", F.col("amount"))).alias("i"),
         F.sum(F.when(F.col("direction") == "outgoing-all", F.col("amount"))).alias("o"))
@@ -231,7 +232,8 @@ def ref_date_current(spark, sf):
 
 @query("ref_date_overall_max", REF_SQL.format(e="(SELECT MAX(txn_date) FROM txn)"))
 def ref_date_overall_max(spark, sf):
-    return enrich.reference_dates(t.customers(spark, sf).select("party"), t.transactions(spark, sf), None, "overall_max")
+    return enrich.reference_dates(t.customers(spark, sf).select("party"), t.transactions(spark, sf), None, "overall_max",
+                                  newest=t.last_transaction_date(spark, sf))
 
 
 @query("history_window_filter", with_tables("hist cust txn", """SELECT h.alert_id, h.party, h.alert_date FROM hist h

@@ -66,6 +66,11 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.join(owners, "account")
 
 
+def last_transaction_date(spark: SparkSession, sf_dir: str) -> Column:
+    """Date of the last transaction of anyone: one column of one table, no join."""
+    return load(spark, sf_dir, "lineitem").agg(F.max(F.col("l_shipdate").cast("date"))).scalar()
+
+
 def _alert_rows(spark: SparkSession, sf_dir: str, priority: str) -> DataFrame:
     return (
         load(spark, sf_dir, "orders")
