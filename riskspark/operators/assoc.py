@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from itertools import combinations
+from math import isfinite
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -52,7 +53,7 @@ def cramers_from_cells(cells: DataFrame) -> DataFrame:
     wide = cells.withColumn("ra", F.sum("n").over(Window.partitionBy(*pair, "a"))).withColumn(
         "cb", F.sum("n").over(Window.partitionBy(*pair, "b")))
     s = wide.groupBy(*pair).agg(
-        F.sum(F.col("n") * F.col("n") / (F.col("ra") * F.col("cb"))).alias("s"), F.sum("n").alias("n"),
+        F.sum(F.col("n").cast("double") * F.col("n") / (F.col("ra").cast("double") * F.col("cb"))).alias("s"), F.sum("n").alias("n"),
         F.size(F.collect_set("a")).alias("r"), F.size(F.collect_set("b")).alias("k"))
     n1, r, k = F.col("n") - 1, F.col("r"), F.col("k")
     phi = F.greatest(F.lit(0.0), F.col("s") - 1 - (k - 1) * (r - 1) / n1)
@@ -76,7 +77,7 @@ def _num_cat_v(df: DataFrame, nums: Sequence[str], cats: Sequence[str]) -> DataF
         stats = wide.groupBy(cat).agg(*[F.array(
             F.avg(c) - F.stddev_pop(c), F.avg(c) + F.stddev_pop(c), F.min(c), F.max(c)).alias(c) for c in nums]).collect()
         for c in nums:
-            splits.append([float("-inf"), *sorted({v for r in stats for v in r[c] if v is not None}), float("inf")])
+            splits.append([float("-inf"), *(sorted({v for r in stats for v in r[c] if v is not None and isfinite(v)}) or [0.0]), float("inf")])
             names.append((c, cat))
     cut = Bucketizer(splitsArray=splits, inputCols=[c for c, _ in names], outputCols=[f"_b_{c}_{k}" for c, k in names],
                      handleInvalid="keep").transform(wide)

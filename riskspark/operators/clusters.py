@@ -245,10 +245,10 @@ def rand_index(df: DataFrame, a: str, b: str) -> DataFrame:
     cells = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
 
     def pairs(x: Column) -> Column:
-        return F.sum(x * (x - 1) / 2)
+        return F.sum(x.cast("double") * (x - 1) / 2)      # bigint products overflow at some billion rows
     both = cells.agg(pairs(F.col("n")).alias("in_both"), F.sum("n").alias("rows"))
     in_a = cells.groupBy(a).agg(F.sum("n").alias("n")).agg(pairs(F.col("n"))).scalar()
     in_b = cells.groupBy(b).agg(F.sum("n").alias("n")).agg(pairs(F.col("n"))).scalar()
-    all_pairs = F.col("rows") * (F.col("rows") - 1) / 2
+    all_pairs = F.col("rows").cast("double") * (F.col("rows") - 1) / 2
     return both.withColumn("in_a", in_a).withColumn("in_b", in_b).select(
         "in_both", "in_a", "in_b", ((all_pairs + 2 * F.col("in_both") - F.col("in_a") - F.col("in_b")) / all_pairs).alias("rand_index"))

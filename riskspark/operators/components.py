@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from riskspark.sources.session import ensure_checkpoint_dir
 
-MAX_ROUNDS = 200
-
 
 def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node", label: str = "label") -> DataFrame:
     """Each node with the smallest label of its component.
@@ -23,7 +21,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node",
     pairs = edges.select("src", "dst").union(edges.select(F.col("dst"), F.col("src"))).distinct().checkpoint()
     owner = nodes.select(F.col(label).alias("_owner_label"), F.col(node).alias("_owner")).checkpoint()
     current = nodes.select(node, label).checkpoint()
-    for _ in range(MAX_ROUNDS):
+    while True:
         offers = pairs.join(current.withColumnRenamed(node, "src"), "src").groupBy(F.col("dst").alias(node)).agg(F.min(label).alias("_offer"))
         lower = current.join(offers, node, "left").select(
             node, F.least(F.col(label), F.coalesce("_offer", label)).alias("_new"), F.col(label).alias("_old"))
@@ -36,4 +34,3 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node",
         current = moved.drop("_old")
         if not changed:
             return current
-    raise RuntimeError(f"components not settled after {MAX_ROUNDS} rounds")

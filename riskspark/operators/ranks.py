@@ -10,16 +10,22 @@ recomputed without changing any rank.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil, isfinite, sqrt
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 512
+LEAST_RANGES, MOST_RANGES = 16, 1 << 16
+
+
+def range_count(rows: int) -> int:
+    """As many ranges as a range has thousands of rows: both grow with the root of the rows."""
+    return min(MOST_RANGES, max(LEAST_RANGES, ceil(sqrt(rows / 1000))))
 
 
 def ranked_values(df: DataFrame, cols: Sequence[str], tie: str | None = None, descending: bool = False,
-                  ranges: int = RANGES) -> DataFrame:
+                  ranges: int | None = None) -> DataFrame:
     """(feature, value[, tie], n, before, total) of several columns in one pass over the rows.
 
     ``n`` rows of the column hold the value (and tie), ``before`` rows rank ahead of them,
@@ -27,10 +33,13 @@ def ranked_values(df: DataFrame, cols: Sequence[str], tie: str | None = None, de
     no part in a ranking."""
     ties = [tie] if tie else []
     wide = df.select(*[F.col(c).cast("double").alias(c) for c in cols], *ties)
+    ranges = ranges or range_count(wide.count())
     probs = [i / ranges for i in range(1, ranges)]
     cuts = wide.agg(*[F.percentile_approx(c, probs, 4 * ranges).alias(c) for c in cols]).first()
+    # a column without values, or with infinities at its ends, has no finite cut there: one range then
+    finite = [sorted({x for x in cuts[c] or [] if isfinite(x)}) or [0.0] for c in cols]
     split = Bucketizer(
-        splitsArray=[[float("-inf"), *sorted(set(cuts[c] or [])), float("inf")] for c in cols],
+        splitsArray=[[float("-inf"), *x, float("inf")] for x in finite],
         inputCols=list(cols), outputCols=[f"_r_{c}" for c in cols], handleInvalid="keep")
     items = F.explode(F.array(*[F.struct(
         F.lit(c).alias("feature"), F.col(c).alias("value"), F.col(f"_r_{c}").alias("_range")) for c in cols])).alias("i")

@@ -50,6 +50,11 @@ def _number(text: str) -> float | None:
         return None
 
 
+def _as_number(col: Column) -> Column:
+    """The number in a column; null, hence a miss, where a text holds none."""
+    return col.try_cast("double")
+
+
 def _single(col: Column, condition: str, value: str, columns: Sequence[str]) -> Column:
     text = F.upper(col.cast("string"))
     truth = value.strip().upper() in ("TRUE", "FALSE")
@@ -58,15 +63,15 @@ def _single(col: Column, condition: str, value: str, columns: Sequence[str]) ->
         ends = [_number(v) for v in value.split(",")]
         if len(ends) != 2 or None in ends:
             raise RuleError(f"IN BETWEEN needs two numbers, got {value!r}")
-        return col.between(ends[0] + OPEN_MARGIN, ends[1] - OPEN_MARGIN)
+        return _as_number(col).between(ends[0] + OPEN_MARGIN, ends[1] - OPEN_MARGIN)
     if condition == "==":
-        return text == value.strip().upper() if truth or number is None else col.cast("double") == number
+        return text == value.strip().upper() if truth or number is None else _as_number(col) == number
     if condition == "IN":
         parts = [v.strip() for v in value.split(",")]
         return text.isin(*[p.upper() for p in parts]) if truth else col.cast("string").isin(*parts)
     if condition in COMPARE:
         if number is not None:
-            return COMPARE[condition](col, F.lit(number))
+            return COMPARE[condition](_as_number(col), F.lit(number))
         if value in columns:
             return COMPARE[condition](col, F.col(value))
         raise RuleError(f"{value!r} is neither a number nor a column")
