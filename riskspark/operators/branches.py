@@ -28,15 +28,12 @@ def branch_apply(df: DataFrame, stored: DataFrame, params: str = "model_paramete
     return df.join(rows, ["model_id", "rule"], "left")
 
 
-def ensure_prob(df: DataFrame, suffix: str = "_tree", keyword: str = "Prob", dummy: float = 0.1) -> DataFrame:
-    """Add the other class's probability column when the model saw a single class."""
-    found = [c for c in df.columns if suffix in c and keyword in c]
-    if not found:
-        raise ValueError("no probability column of the tree model")
-    if len(found) > 1:
-        return df
-    other = found[0].replace("0", "1") if "0" in found[0] else found[0].replace("1", "0")
-    return df.withColumn(other, F.lit(dummy))
+def ensure_prob(df: DataFrame, negative: str = "Prediction_Prob_0_tree", positive: str = "Prediction_Prob_1_tree", filler: float = 0.1) -> DataFrame:
+    """Both class probabilities: one that a model of a single class did not write becomes ``filler``."""
+    absent = {negative, positive} - set(df.columns)
+    if len(absent) == 2:
+        raise ValueError(f"neither {negative} nor {positive} is there")
+    return df.withColumns({name: F.lit(filler) for name in absent})
 
 
 def anomaly_filter(df: DataFrame, top_n: int | None, score: str, tie: str, past_alerts: str | None = None,

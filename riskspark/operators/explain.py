@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.operators.features import TWO_LEVEL, split_two_level
+from riskspark.operators.features import split_two_level
 from riskspark.operators.shape import stamp
 
 EXPLANATION = "array<struct<node_str:string, feature_name:string, feature_weight:double>>"
@@ -37,7 +37,8 @@ def group_contrib(df: DataFrame, key: str, groups: DataFrame, typologies: DataFr
 
 def needs_breakdown(name: str, categories: Mapping[str, Sequence[str]]) -> bool:
     """Two-level features, and features of a category that is a union of others."""
-    return any(op in name for op in TWO_LEVEL) or any(len(v) > 1 and c in name for c, v in categories.items())
+    unions = {c for c, members in categories.items() if len(members) > 1}
+    return split_two_level(name) is not None or not unions.isdisjoint(name.split("_"))
 
 
 def components(name: str, categories: Mapping[str, Sequence[str]]) -> list[tuple[str, list[tuple[str, str]]]]:

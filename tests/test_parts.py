@@ -119,7 +119,7 @@ def test_buckets_and_histogram_percentile(spark):
 def test_branches_versions_and_codes(spark):
     df = spark.createDataFrame([(1, "a")] * 3 + [(1, "b")], "model_id int, rule string")
     assert sorted((r.rule, r.branch_id, r.to_cluster) for r in branches.branch_split(df, 3).distinct().collect()) == [("a", 2, 1), ("b", 1, 0)]
-    assert branches.ensure_prob(spark.createDataFrame([(0.4,)], "Prob_1_tree double")).columns == ["Prob_1_tree", "Prob_0_tree"]
+    assert branches.ensure_prob(spark.createDataFrame([(0.4,)], "p1 double"), "p0", "p1").columns == ["p1", "p0"]
     assert reports.next_version(spark.createDataFrame([], "version double"), {}).first()[0] == 1.0
     codes = spark.createDataFrame([("x_{}kto{}k", "from {} to {}"), ("plain", "p {}")], "code string, description string")
     assert sorted(one(reports.expand_codes(codes, {"kto": [45, 50]}), "code", "description")) == [("plain", "p {}"), ("x_45kto50k", "from 45 to 50")]
