@@ -23,12 +23,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import accumulate
+from functools import reduce
+from itertools import accumulate, combinations
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.llm.common import has_repeats, map_texts, row_count, staged
@@ -37,6 +38,7 @@ from riskspark.operators.components import connected_components
 SEED = 42
 #: entries of one tree, and rows of shards that share a task
 TREE, TASK_ROWS = 4_096, 20_000
+SHARD_ROWS = 64
 #: shingles that are held at once
 BLOCK = 1 << 17
 
@@ -181,17 +183,39 @@ def small_links(fps: list[int], radius: int) -> list[tuple[int, int]]:
     return links
 
 
+def agreeing(rows: int, radius: int) -> int:
+    """In how many blocks of bits the fingerprints of a shard agree.
+
+    With radius + k blocks, two fingerprints within the radius agree in k of them, whatever k.
+    More blocks make more and smaller shards; taken are as few as keep a shard of evenly
+    spread fingerprints below ``SHARD_ROWS``.
+    """
+    return next((k for k in range(1, 5) if rows / 2 ** (64 * k / (radius + k)) <= SHARD_ROWS), 5)
+
+
+def shard_keys(radius: int, agree: int) -> list[Column]:
+    """For each choice of ``agree`` blocks: its number and the bits in it."""
+    blocks = radius + agree
+    cuts = [round(i * 64 / blocks) for i in range(blocks + 1)]
+    keys = []
+    for n, chosen in enumerate(combinations(range(blocks), agree)):
+        value = F.lit(0).cast("long")
+        for i in chosen:
+            width = cuts[i + 1] - cuts[i]
+            bits = F.shiftrightunsigned("fp", cuts[i]).bitwiseAND(F.lit((1 << width) - 1))
+            value = F.shiftleft(value, width).bitwiseOR(bits)
+        keys.append(F.struct(F.lit(n).cast("int").alias("block"), value.alias("value")))
+    return keys
+
+
 def links(prints: DataFrame, radius: int) -> DataFrame:
     """(src, dst): links between distinct fingerprints ``fp`` that differ in 1 to ``radius`` bits; enough of
     them to join all that are linked."""
-    blocks = radius + 1
-    cuts = [round(i * 64 / blocks) for i in range(blocks + 1)]
-    keys = [F.struct(F.lit(i).cast("int").alias("block"),
-                     F.shiftrightunsigned("fp", cuts[i]).bitwiseAND(F.lit((1 << (cuts[i + 1] - cuts[i])) - 1)).alias("value"))
-            for i in range(blocks)]
+    rows = row_count(prints)
+    keys = shard_keys(radius, agreeing(rows, radius))
     entries = prints.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.block", "k.value")
     sizes = entries.groupBy("block", "value").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    tasks = max(1, math.ceil(row_count(prints) * blocks / TASK_ROWS))
+    tasks = max(1, math.ceil(rows * len(keys) / TASK_ROWS))
     sized = entries.join(sizes, ["block", "value"]).withColumn("trees", F.ceil(F.col("size") / (TREE / 2)).cast("int"))
     sized = sized.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("trees")).cast("int"))
     # a fingerprint stands in its own tree and visits that tree and the later ones
@@ -203,17 +227,17 @@ def links(prints: DataFrame, radius: int) -> DataFrame:
     owner = placed.filter((F.col("trees") > 1) & (F.col("own") == F.col("tree")))
     copies = owner.withColumn("part", F.explode(F.expr("sequence(0, own)"))).withColumn("visits", F.lit(False))
     visitors = placed.withColumn("visits", F.lit(True))
-    rows = visitors.unionByName(copies).select("task", "part", "block", "value", "fp", "visits", F.col("trees") == 1)
-    rows = rows.toDF("task", "part", "block", "value", "fp", "visits", "whole")
+    dealt = visitors.unionByName(copies).select("task", "part", "block", "value", "fp", "visits", F.col("trees") == 1)
+    dealt = dealt.toDF("task", "part", "block", "value", "fp", "visits", "whole")
 
     def found(pdf: pd.DataFrame) -> pd.DataFrame:
         src, dst = [], []
         pdf = pdf.sort_values(["block", "value", "fp"], kind="stable")
         fp = pdf["fp"].to_numpy(np.int64).view(np.uint64)
         if pdf["whole"].iloc[0]:
-            key = pdf["block"].to_numpy(np.int64) << 32 | pdf["value"].to_numpy(np.int64)
-            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-            for a, b in zip(first, np.append(first[1:], len(key)), strict=True):
+            block, value = pdf["block"].to_numpy(np.int64), pdf["value"].to_numpy(np.int64)
+            first = np.flatnonzero(np.append(True, (block[1:] != block[:-1]) | (value[1:] != value[:-1])))
+            for a, b in zip(first, np.append(first[1:], len(block)), strict=True):
                 if b - a <= 64:
                     for x, y in small_links(fp[a:b].tolist(), radius):
                         src.append(np.uint64(x))
@@ -228,20 +252,23 @@ def links(prints: DataFrame, radius: int) -> DataFrame:
             src, dst = list(x), list(y)
         return pd.DataFrame({"src": np.array(src, np.uint64).view(np.int64), "dst": np.array(dst, np.uint64).view(np.int64)})
 
-    return rows.groupBy("task", "part").applyInPandas(found, "src long, dst long")
+    return dealt.groupBy("task", "part").applyInPandas(found, "src long, dst long")
+
+
+def linked(nodes: DataFrame, radius: int) -> DataFrame:
+    """(fp, label): the fingerprints that have links, with a label for each component."""
+    found = staged(links(nodes.select("fp"), radius).distinct())
+    ends = found.select("src").union(found.select("dst")).distinct().withColumnRenamed("src", "fp")
+    # only fingerprints with a link go through the rounds
+    joined = connected_components(ends.select(F.col("fp").alias("node"), F.col("fp").alias("label")), found)
+    return joined.select(F.col("node").alias("fp"), "label")
 
 
 def components(docs: DataFrame, words: int = 4, radius: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp, component_id): ``component_id`` is the smallest id that links lead to, itself included."""
     prints = staged(fingerprints(docs, words, id_col, text_col))
     nodes = staged(prints.groupBy("fp").agg(F.min(id_col).alias("first_id")))
-    found = staged(links(nodes.select("fp"), radius).distinct())
-    ends = found.select("src").union(found.select("dst")).distinct().withColumnRenamed("src", "fp")
-    # only fingerprints with a link go through the rounds
-    joined = connected_components(
-        nodes.join(ends, "fp", "left_semi").select(F.col("fp").alias("node"), F.col("fp").alias("label")), found)
-    named = nodes.join(joined.select(F.col("node").alias("fp"), "label"), "fp", "left").select(
-        "fp", F.coalesce("label", "fp").alias("label"), "first_id")
+    named = nodes.join(linked(nodes, radius), "fp", "left").select("fp", F.coalesce("label", "fp").alias("label"), "first_id")
     least = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
     of = named.join(least, "label").select("fp", "component_id")
     return prints.join(of, "fp").select(id_col, "fp", "component_id")
@@ -254,13 +281,63 @@ def query(docs: DataFrame) -> DataFrame:
 
 
 
-def one_of_each(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that name their group; of repeated rows of one id, one.
+# -- one document of each group ------------------------------------------------------------
+def print_rows(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, fp, same): ``same`` is one number for texts with the same words, A-Z in either case."""
+
+    def rows(ids, texts):
+        same = [xxhash.xxh3_64_intdigest(b" ".join(t.encode("utf-8", "surrogatepass").lower().split())) for t in texts]
+        return [ids, np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64), np.array(same, np.uint64).view(np.int64)]
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return map_texts(docs, "doc_id", "text", f"doc_id {kind}, fp long, same long", rows)
+
+
+def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, shingles array<long>): distinct shingles by hash."""
+
+    def rows(ids, texts):
+        return [ids, [np.unique(shingle_hashes(t, words)).view(np.int64) for t in texts]]
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return map_texts(docs, "doc_id", "text", f"doc_id {kind}, shingles array<long>", rows)
+
+
+def near_others(docs: DataFrame, words: int, radius: int, similarity: float) -> DataFrame:
+    """Ids (column ``other``) of documents that have a near copy with a smaller id which stays.
+
+    Components of fingerprints within the radius are candidates. In each, the smallest id
+    leads: those with at least ``similarity`` of its shingles (shared over all) go, it stays,
+    and the rest look for a leader again, until none is left. So each row meets one leader a
+    round, never its whole group, and what goes is near a document that stays.
+    """
+    prints = staged(print_rows(docs.filter(F.col("doc_id").isNotNull()), words))
+    texts = staged(prints.groupBy("same").agg(F.min("doc_id").alias("doc_id"), F.first("fp").alias("fp")))
+    copies = prints.join(texts.select("same", F.col("doc_id").alias("first_id")), "same").filter(F.col("doc_id") != F.col("first_id")).select(
+        F.col("doc_id").alias("other"))
+    nodes = texts.groupBy("fp").agg(F.count(F.lit(1)).alias("n"))
+    labels = nodes.join(linked(nodes, radius), "fp", "left").filter("n > 1 OR label IS NOT NULL").select("fp", F.coalesce("label", "fp").alias("label"))
+    members = staged(texts.join(labels, "fp").select("doc_id", "label"))
+    left = staged(shingle_sets(docs.join(members.select("doc_id"), "doc_id", "left_semi"), words).join(members, "doc_id"))
+    gone = []
+    while not left.isEmpty():
+        leaders = left.groupBy("label").agg(F.min("doc_id").alias("leader"), F.min_by("shingles", "doc_id").alias("led"))
+        shared = F.size(F.array_intersect("shingles", "led"))
+        met = staged(left.join(leaders, "label").filter(F.col("doc_id") != F.col("leader")).withColumn(
+            "near", F.coalesce(shared / (F.size("shingles") + F.size("led") - shared), F.lit(1.0)) >= similarity).drop("led", "leader"))
+        gone.append(met.filter("near").select(F.col("doc_id").alias("other")))
+        left = met.filter("NOT near").drop("near")
+    return reduce(DataFrame.union, gone, copies)
+
+
+def one_of_each(docs: DataFrame, words: int = 5, radius: int = 8, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs``, with all their columns, less those with a near copy that stays; of
+    repeated rows of one id, one.
 
     Rows without id are kept.
     """
     if has_repeats(docs, "doc_id"):
         known = docs.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
         docs = staged(known.unionByName(docs.filter(F.col("doc_id").isNull())))
-    others = components(docs, words, radius).filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__other"))
+    others = near_others(docs.select("doc_id", "text"), words, radius, similarity).withColumnRenamed("other", "__other")
     return docs.join(others, F.col("doc_id") == F.col("__other"), "left_anti")
