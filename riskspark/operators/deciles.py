@@ -72,7 +72,7 @@ def decile_chart(df: DataFrame, bins: int, scores: Sequence[str] = ("score",), l
 def quantile_chart(df: DataFrame, bins: int = 10, score: str = "score", label: str = "label") -> DataFrame:
     """Bins cut at score quantiles: recall, false-alert reduction and their running sums."""
     runs = df.filter(F.col(score).isNotNull()).groupBy(score, label).agg(F.count(F.lit(1)).alias("n"))
-    cuts = sorted(set(quantile_lists(df, [score], [i / bins for i in range(1, bins)])[score]))
+    cuts = sorted(set(quantile_lists(df, [score], [i / bins for i in range(1, bins)])[score]) - {None})
     bin_no = F.lit(1)
     for c in cuts:
         bin_no = bin_no + F.when(F.col(score) >= c, 1).otherwise(0)

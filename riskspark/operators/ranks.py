@@ -70,6 +70,6 @@ def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
 
 
 def quantile_lists(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
-    """The same as numbers on the driver: one per column and probability."""
+    """The same as numbers on the driver: one per column and probability, None for a column without values."""
     found = {(r["feature"], r["prob"]): r["value"] for r in quantile_values(df, cols, probs).collect()}
-    return {c: [found[c, p] for p in probs] for c in cols}
+    return {c: [found.get((c, p)) for p in probs] for c in cols}

@@ -13,12 +13,12 @@ from riskspark.operators.features import parse_first
 from riskspark.plans.registry import query
 from riskspark.sources import tables as t
 
-FEATURES = ["f0", "f1", "f2", "f3"]
+FEATURES = [f"f{i}" for i in range(64)]           # every element of the vectors
 SEGMENTS = ["retail", "private", "corporate"]
-VEC_SQL = """WITH vec AS (SELECT vec_id, label AS cluster, embedding[1]::DOUBLE AS f0, embedding[2]::DOUBLE AS f1, embedding[3]::DOUBLE AS f2,
-    embedding[4]::DOUBLE AS f3, CAST(vec_id % 4 AS BIGINT) AS alerts, CASE WHEN vec_id % 3 = 0 THEN 1 ELSE 0 END AS true_alerts,
+VEC_SQL = f"""WITH vec AS (SELECT vec_id, label AS cluster, {", ".join(f"embedding[{i + 1}]::DOUBLE AS {f}" for i, f in enumerate(FEATURES))},
+    CAST(vec_id % 4 AS BIGINT) AS alerts, CASE WHEN vec_id % 3 = 0 THEN 1 ELSE 0 END AS true_alerts,
     (['retail', 'private', 'corporate'])[CAST(vec_id * 7 % 11 % 3 + 1 AS INT)] AS segment FROM embeddings),
-    long AS (SELECT cluster, feature, value, vec_id FROM vec UNPIVOT (value FOR feature IN (f0, f1, f2, f3)))"""
+    long AS (SELECT cluster, feature, value, vec_id FROM vec UNPIVOT (value FOR feature IN ({", ".join(FEATURES)})))"""
 
 
 def vectors(spark, sf):
@@ -227,15 +227,19 @@ def kdist_curve(spark, sf):
     return ranked_values(made, ["d2"]).select(F.round(F.sqrt("value") * STEP, 6).alias("distance"), "n", "before")
 
 
-@query("cluster_quality", VEC_SQL + """, c AS (SELECT cluster, COUNT(*) AS n, AVG(f0) AS m0, AVG(f1) AS m1, AVG(f2) AS m2, AVG(f3) AS m3, SUM(f0*f0+f1*f1+f2*f2+f3*f3) AS sq,
-        SUM(f0) AS s0, SUM(f1) AS s1, SUM(f2) AS s2, SUM(f3) AS s3 FROM vec GROUP BY 1),
-    g AS (SELECT AVG(f0) AS g0, AVG(f1) AS g1, AVG(f2) AS g2, AVG(f3) AS g3, COUNT(*) AS n FROM vec),
-    pt AS (SELECT v.vec_id, v.cluster AS own, c.cluster AS other, c.n, (v.f0*v.f0+v.f1*v.f1+v.f2*v.f2+v.f3*v.f3) * c.n + c.sq - 2 * (v.f0*s0+v.f1*s1+v.f2*s2+v.f3*s3) AS total FROM vec v, c),
+def over(template: str, by: str = " + ") -> str:
+    """The template for each feature number, joined."""
+    return by.join(template.replace("#", str(i)) for i in range(len(FEATURES)))
+
+
+@query("cluster_quality", VEC_SQL + f""", c AS (SELECT cluster, COUNT(*) AS n, {over("AVG(f#) AS m#", ", ")}, SUM({over("f#*f#")}) AS sq, {over("SUM(f#) AS s#", ", ")} FROM vec GROUP BY 1),
+    g AS (SELECT {over("AVG(f#) AS g#", ", ")}, COUNT(*) AS n FROM vec),
+    pt AS (SELECT v.vec_id, v.cluster AS own, c.cluster AS other, c.n, ({over("v.f#*v.f#")}) * c.n + c.sq - 2 * ({over("v.f#*s#")}) AS total FROM vec v, c),
     ab AS (SELECT vec_id, MAX(CASE WHEN own = other THEN n END) AS own_n, MAX(CASE WHEN own = other THEN total / (n - 1) END) AS a, MIN(CASE WHEN own <> other THEN total / n END) AS b FROM pt GROUP BY 1),
     sil AS (SELECT AVG(CASE WHEN own_n = 1 THEN 0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0 END) AS s FROM ab),
-    dd AS (SELECT v.cluster, SUM(dsq) AS w, AVG(SQRT(dsq)) AS s FROM (SELECT v.cluster, (f0-m0)*(f0-m0)+(f1-m1)*(f1-m1)+(f2-m2)*(f2-m2)+(f3-m3)*(f3-m3) AS dsq FROM vec v JOIN c USING (cluster)) v GROUP BY 1),
-    ch AS (SELECT (SUM(c.n * ((m0-g0)*(m0-g0)+(m1-g1)*(m1-g1)+(m2-g2)*(m2-g2)+(m3-g3)*(m3-g3))) / (COUNT(*) - 1)) / (SUM(w) / (MAX(g.n) - COUNT(*))) AS ch FROM c JOIN dd USING (cluster), g),
-    db AS (SELECT AVG(r) AS db FROM (SELECT a.cluster, MAX((da.s + ds.s) / SQRT((a.m0-b.m0)*(a.m0-b.m0)+(a.m1-b.m1)*(a.m1-b.m1)+(a.m2-b.m2)*(a.m2-b.m2)+(a.m3-b.m3)*(a.m3-b.m3))) AS r
+    dd AS (SELECT v.cluster, SUM(dsq) AS w, AVG(SQRT(dsq)) AS s FROM (SELECT v.cluster, {over("(f#-m#)*(f#-m#)")} AS dsq FROM vec v JOIN c USING (cluster)) v GROUP BY 1),
+    ch AS (SELECT (SUM(c.n * ({over("(m#-g#)*(m#-g#)")})) / (COUNT(*) - 1)) / (SUM(w) / (MAX(g.n) - COUNT(*))) AS ch FROM c JOIN dd USING (cluster), g),
+    db AS (SELECT AVG(r) AS db FROM (SELECT a.cluster, MAX((da.s + ds.s) / SQRT({over("(a.m#-b.m#)*(a.m#-b.m#)")})) AS r
         FROM c a JOIN c b ON a.cluster <> b.cluster JOIN dd da ON da.cluster = a.cluster JOIN dd ds ON ds.cluster = b.cluster GROUP BY 1))
     SELECT ROUND(s, 6) AS silhouette, ROUND(ch, 6) AS calinski_harabasz, ROUND(db, 6) AS davies_bouldin FROM sil, ch, db""")
 def cluster_quality(spark, sf):
