@@ -64,7 +64,7 @@ def test_va_file_reads_few_exact_vectors():
 def test_va_file_large_numbers():
     v = np.floor(np.array([[2.0**40, 3.0, 1.0], [2.0**40, 2.0, 5.0], [-(2.0**40), 1.0, 1.0], [2.0**60, 2.0**60, 1.0]]))
     who, row, score, _ = va_file.top(v[:1], v, np.arange(4), 4)
-    want = sorted(((min(2**63 - 1, sum(int(a) * int(b) for a, b in zip(v[0], x, strict=True))), -j) for j, x in enumerate(v)), reverse=True)
+    want = sorted(((max(-(2**63), min(2**63 - 1, sum(int(a) * int(b) for a, b in zip(v[0], x, strict=True)))), -j) for j, x in enumerate(v)), reverse=True)
     assert [(s, -j) for s, j in zip(score, row, strict=True)] == want
 
 
