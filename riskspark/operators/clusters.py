@@ -251,4 +251,4 @@ def rand_index(df: DataFrame, a: str, b: str) -> DataFrame:
     in_b = cells.groupBy(b).agg(F.sum("n").alias("n")).agg(pairs(F.col("n"))).scalar()
     all_pairs = F.col("rows").cast("double") * (F.col("rows") - 1) / 2
     return both.withColumn("in_a", in_a).withColumn("in_b", in_b).select(
-        "in_both", "in_a", "in_b", ((all_pairs + 2 * F.col("in_both") - F.col("in_a") - F.col("in_b")) / all_pairs).alias("rand_index"))
+        "in_both", "in_a", "in_b", F.when(all_pairs > 0, (all_pairs + 2 * F.col("in_both") - F.col("in_a") - F.col("in_b")) / all_pairs).alias("rand_index"))
