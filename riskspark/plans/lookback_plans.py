@@ -48,31 +48,30 @@ def sd(pred: str, name: str) -> str:
     return f"ROUND(STDDEV_SAMP(CASE WHEN {pred} THEN CAST(amount AS DOUBLE) END), 2) AS {name}"
 
 
-@query("asof_window_join_inner", with_tables("txn refs", """
-    SELECT r.party, r.ref_date, t.txn_date, t.direction, CAST(COUNT(*) AS BIGINT) AS n,
-        CAST(SUM(t.amount) AS DOUBLE) AS amount, date_diff('day', t.txn_date, r.ref_date)::INT AS days_before
-    FROM refs r JOIN txn t ON t.party = r.party AND t.txn_date <= r.ref_date AND t.txn_date > r.ref_date - 360
-    GROUP BY r.party, r.ref_date, t.txn_date, t.direction"""))
+ASOF_SQL = """
+    SELECT a.alert_id, a.{key}, a.alert_date AS ref_date, t.opp_party, t.txn_date, CAST(t.amount AS DOUBLE) AS amount, t.category,
+        t.direction, date_diff('day', t.txn_date, a.alert_date)::INT AS days_before
+    FROM {alerts} a {how} JOIN txn t ON t.{key} = a.{key} AND t.txn_date <= a.alert_date AND t.txn_date > a.alert_date - 360"""
+
+
+def alert_transactions(spark, sf, key: str, how: str):
+    """Alerts with the transactions of their look-back."""
+    refs = t.alerts(spark, sf).withColumn("account", F.col("alert_id")).select("alert_id", key, F.col("alert_date").alias("ref_date"))
+    facts = lb.referenced(t.transactions(spark, sf), refs, lb.MAX_HISTORY, key).select(key, "opp_party", "txn_date", "amount", "category", "direction")
+    return lb.lookback_join(facts, refs, "txn_date", key=key, how=how).select(
+        "alert_id", key, "ref_date", "opp_party", "txn_date", F.col("amount").cast("double").alias("amount"), "category", "direction", "days_before")
+
+
+@query("asof_window_join_inner", with_tables("txn alert", ASOF_SQL.format(key="party", alerts="alert", how="")))
 def asof_window_join_inner(spark, sf):
-    txn, refs = txn_and_refs(spark, sf)
-    daily = lb.daily_totals(txn, [Spec("a", "AMT", 360, categories=("incoming-all",))])
-    return lb.lookback_join(daily, refs, "txn_date").select(
-        "party", "ref_date", "txn_date", "direction", F.col("_n").alias("n"),
-        F.col("_sum").cast("double").alias("amount"), "days_before")
-
-
-@query("asof_window_join_right", with_tables("txn alert", """
-    , r AS (SELECT DISTINCT alert_id AS account, alert_date AS ref_date FROM alert)
-    SELECT r.account, r.ref_date, t.txn_date, CAST(t.n AS BIGINT) AS n, t.amount,
-        date_diff('day', t.txn_date, r.ref_date)::INT AS days_before
-    FROM r LEFT JOIN (SELECT account, txn_date, COUNT(*) AS n, CAST(SUM(amount) AS DOUBLE) AS amount FROM txn GROUP BY 1, 2) t
-      ON t.account = r.account AND t.txn_date <= r.ref_date AND t.txn_date > r.ref_date - 360"""))
+    return alert_transactions(spark, sf, "party", "inner")
+
+
+@query("asof_window_join_right", with_tables("txn alert", ASOF_SQL.format(
+    key="account", alerts="(SELECT *, alert_id AS account FROM alert)", how="LEFT")))
 def asof_window_join_right(spark, sf):
-    txn = t.transactions(spark, sf)
-    refs = t.alerts(spark, sf).select(F.col("alert_id").alias("account"), F.col("alert_date").alias("ref_date")).distinct()
-    daily = lb.daily_totals(txn, [Spec("a", "AMT", 360)], key="account")
-    return lb.lookback_join(daily, refs, "txn_date", key="account", how="right").select(
-        "account", "ref_date", "txn_date", F.col("_n").alias("n"), F.col("_sum").cast("double").alias("amount"), "days_before")
+    """Alerts without a transaction stay."""
+    return alert_transactions(spark, sf, "account", "right")
 
 
 def _wide(names: dict[str, str]):
