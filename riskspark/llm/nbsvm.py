@@ -7,7 +7,8 @@ is fitted on features that are 0 or that ratio, so its weights start from naive
 move where the labels ask for it.
 
 Labels are taken from a bounded sample (``MAX_LABELLED`` rows by hash of their id); only
-``FEATURES`` n-grams, those with the largest share x ratio squared, get a weight. Scores are
+``FEATURES`` n-grams, those with the largest share x ratio squared, get a weight, and none with
+a ratio below ``LEAST_RATIO`` either way. Scores are
 then given to every whole text, map-side.
 
 Results: a null or empty text has no n-grams and gets the score of the intercept; ties and
@@ -21,7 +22,9 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -33,8 +36,10 @@ from riskspark.llm.common import map_texts, staged, texts_of
 SIZES = (2, 3, 4, 5, 6)
 MAX_LABELLED, FEATURES = 20_000, 5_000
 #: an n-gram of fewer texts of the sample gets no weight
-MIN_TEXTS = 5
-L2, ROUNDS = 1.0, 400
+MIN_TEXTS = 4
+#: an n-gram about as frequent in either class says nothing
+LEAST_RATIO = 1.0
+L2, ROUNDS = 0.1, 400
 CACHE = 500_000
 MAX_WORD = 64                                       # a longer run of letters is cut into pieces of this size
 
@@ -61,18 +66,25 @@ class Model:
     def __getstate__(self):
         return {"weights": self.weights, "intercept": self.intercept, "known": {}}
 
+    @cached_property
+    def finder(self) -> ahocorasick.Automaton:
+        """All n-grams with a weight in one pass over a word."""
+        made = ahocorasick.Automaton()
+        for g in self.weights:
+            made.add_word(g, g)
+        made.make_automaton()
+        return made
+
     def features(self, text: str) -> set[str]:
-        found: set[str] = set()
-        known, weights = self.known, self.weights
-        for w in words_of(text):
-            got = known.get(w)
-            if got is None:
-                if len(known) > CACHE:
-                    known.clear()
-                got = known[w] = tuple(g for g in grams(w) if g in weights)
-            if got:
-                found.update(got)
-        return found
+        """What is known is kept by blank-free chunk, so a chunk is cut once and a text is a few set operations."""
+        chunks, known = set(text.lower().split()), self.known
+        if len(known) > CACHE:
+            known.clear()
+        for chunk in chunks.difference(known):
+            # a mark stands between two words, and only at an end of an n-gram
+            marked = f"_{'_'.join(_words.findall(chunk))}_"
+            known[chunk] = tuple({g for _, g in self.finder.iter(marked)}) if self.weights else ()
+        return set().union(*map(known.__getitem__, chunks))
 
     def score(self, text: str) -> float:
         z = self.intercept + sum(self.weights[g] for g in sorted(self.features(text)))
@@ -141,7 +153,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic") -> Model:
     ratio = F.log((F.col("toxic") + 1) / F.lit(pos + 2)) - F.log((F.col("clean") + 1) / F.lit(neg + 2))
     top = (gram_counts(sample).filter(F.col("toxic") + F.col("clean") >= MIN_TEXTS).withColumn("ratio", ratio)
            .withColumn("gain", F.col("ratio") * F.col("ratio") * (F.col("toxic") / pos + F.col("clean") / neg))
-           .orderBy(F.desc("gain"), "gram").limit(FEATURES).select("gram", "ratio").collect())
+           .filter(F.abs("ratio") >= LEAST_RATIO).orderBy(F.desc("gain"), "gram").limit(FEATURES).select("gram", "ratio").collect())
     number = {r.gram: i for i, r in enumerate(top)}
     seeker = Model(dict.fromkeys(number, 0.0), 0.0)
 
