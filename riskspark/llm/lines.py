@@ -41,6 +41,8 @@ BLANKS = " \t\n\x0b\x0c\r"
 SLOTS = 4
 #: filters up to so many bytes together are broadcast; beyond it, every line meets the exact counts
 FILTER_BYTES = 64 << 20
+#: counts of so many lines at most are broadcast; more are joined by their key
+COUNT_ROWS = 1_000_000
 #: keys of one shard when the index is laid out
 SHARD_KEYS = 50_000
 
@@ -257,6 +259,8 @@ class LineIndex:
         if size <= FILTER_BYTES:
             bits = self.spark.sparkContext.broadcast({r.shard: bytes(r.bits) for r in filters.collect()})
             refs = screened(refs, bits, self.shards)
+        if row_count(counts) <= COUNT_ROWS:
+            counts = F.broadcast(counts)            # a line that a third of all documents hold then meets no shuffle
         return refs.join(counts, ["hi", "lo"]).filter(F.col(self.id_col) != F.col("last_doc")).select(self.id_col, "hi", "lo").distinct()
 
     def clean(self, docs: DataFrame, make: Callable[[pa.RecordBatch, list[list[bool]]], pa.RecordBatch], schema: T.StructType,
