@@ -30,8 +30,8 @@ from riskspark.llm.common import map_texts
 #: fixed values: white space and pre-token pattern of the vocabulary file
 BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{BLANK}\p{{L}}\p{{N}}]+"
-#: a worker keeps so many chunks
-CACHE = 1_200_000
+#: a worker keeps so many chunks, and takes so many characters (one text at least) at a time
+CACHE, BLOCK = 600_000, 8_000_000
 
 _words = regex.compile(PATTERN)
 _blanks = regex.compile(f"[{BLANK}]+")
@@ -201,30 +201,31 @@ class WordBpe:
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        special = self._special
-        cut = [[text] if special is None or "<|" not in text else special.split(text) for text in texts]
-        laid = [[self.chunks(p) if i % 2 == 0 else p for i, p in enumerate(parts)] for parts in cut]
-        start, out = 0, []
-        while start < len(laid):
-            # as many texts as the cache can hold chunks of
-            missing: set[str] = set()
-            stop = start
-            while stop < len(laid) and (stop == start or len(missing) < CACHE // 2):
-                for p in laid[stop]:
-                    if not isinstance(p, str):
-                        missing.update(set(p).difference(self.cache))
+        out, start = [], 0
+        while start < len(texts):
+            stop, size = start, 0
+            while stop < len(texts) and (stop == start or size < BLOCK):
+                size += len(texts[stop])
                 stop += 1
-            if len(self.cache) + len(missing) > CACHE:
-                self.cache.clear()
-                missing = {c for parts in laid[start:stop] for p in parts if not isinstance(p, str) for c in p}
-            if missing:
-                self.learn(list(missing))
-            known = self.cache.__getitem__
-            for parts in laid[start:stop]:
-                out.append(b"".join(self.special[p].to_bytes(4, "little") if isinstance(p, str) else b"".join(map(known, p)) for p in parts))
+            out += self.encode_block(texts[start:stop])
             start = stop
         return out
 
+    def encode_block(self, texts: list[str]) -> list[bytes]:
+        special = self._special
+        cut = [[text] if special is None or "<|" not in text else special.split(text) for text in texts]
+        # a text as chunks, with the ids of special tokens between them
+        laid = [[self.chunks(p) if i % 2 == 0 else p for i, p in enumerate(parts)] for parts in cut]
+        every = [p for parts in laid for p in parts if not isinstance(p, str)]
+        missing = set().union(*(set(p).difference(self.cache) for p in every))
+        if len(self.cache) + len(missing) > CACHE:
+            self.cache.clear()
+            missing = set().union(*map(set, every))
+        if missing:
+            self.learn(list(missing))
+        known = self.cache.__getitem__
+        return [b"".join(self.special[p].to_bytes(4, "little") if isinstance(p, str) else b"".join(map(known, p)) for p in parts) for parts in laid]
+
     def decode(self, ids: bytes) -> bytes:
         """The tokens, special ones too, joined by blanks, in UTF-8: the file names no decoder."""
         return b" ".join(map(self.names.__getitem__, np.frombuffer(ids, "<u4").tolist()))
