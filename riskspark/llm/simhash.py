@@ -22,9 +22,10 @@ empty table.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
-from itertools import accumulate, combinations
+from itertools import accumulate, chain, combinations
 
 import numpy as np
 import pandas as pd
@@ -39,6 +40,8 @@ SEED = 42
 #: entries of one tree, and rows of shards that share a task
 TREE, TASK_ROWS = 4_096, 20_000
 SHARD_ROWS = 64
+#: texts, and distinct shingles of all of them, up to which a group of candidates is settled in one task
+GROUP_ROWS, GROUP_SHINGLES = 2_000, 2_000_000
 #: shingles that are held at once
 BLOCK = 1 << 17
 
@@ -309,7 +312,8 @@ def near_others(docs: DataFrame, words: int, radius: int, similarity: float) ->
     Components of fingerprints within the radius are candidates. In each, the smallest id
     leads: those with at least ``similarity`` of its shingles (shared over all) go, it stays,
     and the rest look for a leader again, until none is left. So each row meets one leader a
-    round, never its whole group, and what goes is near a document that stays.
+    round, never its whole group, and what goes is near a document that stays. A group of at
+    most ``GROUP_ROWS`` texts goes through its rounds in one task, with the same outcome.
     """
     prints = staged(print_rows(docs.filter(F.col("doc_id").isNotNull()), words))
     texts = staged(prints.groupBy("same").agg(F.min("doc_id").alias("doc_id"), F.first("fp").alias("fp")))
@@ -321,15 +325,41 @@ def near_others(docs: DataFrame, words: int, radius: int, similarity: float) ->
     left = staged(shingle_sets(docs.join(members.select("doc_id"), "doc_id", "left_semi"), words).join(members, "doc_id"))
     gone = []
     while not left.isEmpty():
-        leaders = left.groupBy("label").agg(F.min("doc_id").alias("leader"), F.min_by("shingles", "doc_id").alias("led"))
+        sizes = left.groupBy("label").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("shingles")).alias("all"))
+        small = sizes.filter((F.col("rows") <= GROUP_ROWS) & (F.col("all") <= GROUP_SHINGLES)).select("label")
+        done = left.join(small, "label", "left_semi").groupBy("label").applyInPandas(
+            lambda pdf: led_others(pdf, similarity), f"other {left.schema['doc_id'].dataType.simpleString()}")
+        large = staged(left.join(small, "label", "left_anti"))
+        gone.append(done)
+        if large.isEmpty():
+            break
+        leaders = large.groupBy("label").agg(F.min("doc_id").alias("leader"), F.min_by("shingles", "doc_id").alias("led"))
         shared = F.size(F.array_intersect("shingles", "led"))
-        met = staged(left.join(leaders, "label").filter(F.col("doc_id") != F.col("leader")).withColumn(
-            "near", F.coalesce(shared / (F.size("shingles") + F.size("led") - shared), F.lit(1.0)) >= similarity).drop("led", "leader"))
+        met = staged(large.join(leaders, "label").filter(F.col("doc_id") != F.col("leader")).withColumn(
+            "near", F.coalesce(F.try_divide(shared, F.size("shingles") + F.size("led") - shared), F.lit(1.0)) >= similarity).drop("led", "leader"))
         gone.append(met.filter("near").select(F.col("doc_id").alias("other")))
         left = met.filter("NOT near").drop("near")
     return reduce(DataFrame.union, gone, copies)
 
 
+def led_others(group: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    """The same rounds for one group of bounded size: in order of the ids, a row near an
+    earlier leader goes, any other leads."""
+    group = group.sort_values("doc_id")
+    led_by: dict[int, list[int]] = {}                 # shingle -> leaders that have it
+    sizes, gone = [], []
+    for i, shingles in zip(group["doc_id"], group["shingles"], strict=True):
+        shared = Counter(chain.from_iterable(led_by.get(h, ()) for h in shingles.tolist()))
+        n = len(shingles)
+        if any(k >= similarity * (n + sizes[leader] - k) for leader, k in shared.items()) or (not n and 0 in sizes):
+            gone.append(i)
+        else:
+            for h in shingles.tolist():
+                led_by.setdefault(h, []).append(len(sizes))
+            sizes.append(n)
+    return pd.DataFrame({"other": pd.Series(gone, dtype=group["doc_id"].dtype)})
+
+
 def one_of_each(docs: DataFrame, words: int = 5, radius: int = 8, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs``, with all their columns, less those with a near copy that stays; of
     repeated rows of one id, one.

@@ -228,3 +228,20 @@ def test_held_out_rule(spark):
 
     got = spark.range(50).select(F.col("id"), held_out("id").alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in got)
+
+
+def test_groups_in_one_task_or_in_rounds(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = [t for n in (1, 3, 30) for t in near_copies(rng, n, 120)] + near_copies(rng, 10, 12) + ["", None, " ", "a b", "A  b"]
+    docs = docs_of(spark, list(enumerate(texts)))
+    plain = sorted(r.doc_id for r in simhash.one_of_each(docs).collect())
+    monkeypatch.setattr(simhash, "GROUP_ROWS", 0)
+    assert sorted(r.doc_id for r in simhash.one_of_each(docs).collect()) == plain
+    # what went is near something that stays
+    def shingles(t):
+        w = (t or "").lower().split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+    for i, t in enumerate(texts):
+        s = shingles(t)
+        near = [j for j in plain if len(s & shingles(texts[j])) >= 0.8 * len(s | shingles(texts[j]))]
+        assert i in plain or near
