@@ -35,8 +35,10 @@ from riskspark.llm.neighbours import answers, best_of, cells, entries, exact_bes
 
 SAMPLE, CALIBRATE = 20_000, 200
 BRANCHES, LEAF_ROWS = 8, 40
-TARGET = 0.97
+TARGET = 0.95
 PACKS = 32
+#: of a cell: searched vectors that are scored at once, scores that are held, and spare ones for ties in the last bits
+BLOCK, HELD, SPARE = 512, 300_000, 4
 
 
 @dataclass
@@ -145,7 +147,40 @@ def widened(tree: Tree, truth: pd.DataFrame, queries: pd.DataFrame, target: floa
         recall = float((at < visits).mean())
         if recall >= target or visits == tree.leaves:
             return visits, recall
-        visits = min(tree.leaves, max(visits + 1, int(visits * 1.25)))
+        visits = min(tree.leaves, max(visits + 1, int(visits * 1.1)))
+
+
+class Best:
+    """The best vectors of each searched vector so far, in bounded memory."""
+
+    def __init__(self, q: np.ndarray, v: np.ndarray, rep: np.ndarray, k: int):
+        self.q, self.v, self.rep, self.k = q, v, rep, k
+        self.parts, self.size = [], 0
+
+    def offer(self, asks: np.ndarray, a: int, b: int) -> None:
+        """Vectors a to b for the searched vectors ``asks``."""
+        score = self.q[asks] @ self.v[a:b].T
+        m = min(self.k + SPARE, b - a)
+        top = np.argpartition(-score, m - 1, axis=1)[:, :m]
+        self.parts.append((np.repeat(asks, m), a + top.ravel(), np.take_along_axis(score, top, 1).ravel()))
+        self.size += top.size
+        if self.size > HELD:
+            self.prune()
+
+    def prune(self) -> None:
+        rows, at, score = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        pick = best_of(self.rep[at], score, rows, self.k + SPARE)
+        self.parts, self.size = [(rows[pick], at[pick], score[pick])], 0
+
+    def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not self.parts:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.prune()
+        rows, at, _ = self.parts[0]
+        # summed row by row: the same for a pair whatever the block
+        score = np.concatenate([(self.q[rows[i : i + HELD // 10]] * self.v[at[i : i + HELD // 10]]).sum(axis=1) for i in range(0, len(rows), HELD // 10)])
+        pick = best_of(self.rep[at], score, rows, self.k)
+        return rows[pick], at[pick], score[pick]
 
 
 def search(embeddings: DataFrame, k: int = 20, target: float = TARGET) -> DataFrame:
@@ -199,23 +234,14 @@ def search(embeddings: DataFrame, k: int = 20, target: float = TARGET) -> DataFr
         who = np.repeat(np.arange(len(ask)), ask["leaves"].map(len))
         order = np.argsort(wanted, kind="stable")
         wanted, who = wanted[order], who[order]
-        rows, at = [], []
+        rep = have["rep"].to_numpy()
+        best = Best(q, v, rep, k + 1)
         for n in np.unique(leaf).tolist():
             a, b = np.searchsorted(leaf, [n, n + 1])
             asks = who[slice(*np.searchsorted(wanted, [n, n + 1]))]
-            if not len(asks):
-                continue
-            score = q[asks] @ v[a:b].T
-            m = min(k + 4, b - a)
-            top = np.argpartition(-score, m - 1, axis=1)[:, :m]
-            rows.append(np.repeat(asks, m))
-            at.append(a + top.ravel())
-        if not rows:
-            return pd.DataFrame({"rep_q": [], "rep": [], "score": []})
-        rows, at = np.concatenate(rows), np.concatenate(at)
-        score = (q[rows] * v[at]).sum(axis=1)                    # the same for a pair whatever the block
-        rep = have["rep"].to_numpy()[at]
-        pick = best_of(rep, score, rows, k + 1)
-        return pd.DataFrame({"rep_q": ask["rep"].to_numpy()[rows[pick]], "rep": rep[pick], "score": score[pick]})
+            for i in range(0, len(asks), BLOCK):
+                best.offer(asks[i : i + BLOCK], a, b)
+        rows, at, score = best.result()
+        return pd.DataFrame({"rep_q": ask["rep"].to_numpy()[rows], "rep": rep[at], "score": score})
 
     return answers(cells(held, going, cell), known, searched, k)
