@@ -44,6 +44,11 @@ SHARD_ROWS = 64
 GROUP_ROWS, GROUP_SHINGLES = 2_000, 2_000_000
 #: shingles that are held at once
 BLOCK = 1 << 17
+#: fingerprints by which candidates are found, and what their hashes are mixed with
+PRINTS = 12
+MIX = np.array([xxhash.xxh64_intdigest(bytes([k]), SEED) for k in range(PRINTS)], np.uint64)
+#: fingerprints of a shard up to which all are measured directly, and entries of shards that share a task
+DIRECT, ENTRIES = 512, 500_000
 
 
 def shingle_hashes(text: str, words: int) -> np.ndarray:
@@ -282,18 +287,112 @@ def query(docs: DataFrame) -> DataFrame:
     return components(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+# -- candidates by several fingerprints ----------------------------------------------------
+def seeded_fingerprints(h: np.ndarray) -> np.ndarray:
+    """``PRINTS`` fingerprints of distinct shingle hashes, as signed longs; each mixes the hashes with a seed of its own."""
+    ones = np.zeros((PRINTS, 64), np.int64)
+    for k in range(0, len(h), 255):                   # so many ones fit a byte
+        x = h[k : k + 255] ^ MIX[:, None]
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x = x ^ (x >> np.uint64(31))
+        bits = np.unpackbits(x.view(np.uint8).reshape(PRINTS, -1, 8), axis=2, bitorder="little")
+        ones += bits.sum(axis=1, dtype=np.uint8)
+    return np.packbits(2 * ones > len(h), axis=1, bitorder="little").view(np.int64)[:, 0]
+
+
+def close_pairs(fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of a spanning forest of the links within a shard of distinct fingerprints."""
+    if len(fp) <= DIRECT:
+        # in a tree this small a search meets nearly every entry
+        a, b = np.nonzero(np.triu(np.bitwise_count(fp[:, None] ^ fp) <= radius, 1))
+        if len(a) > len(fp):
+            kept = Forest(len(fp)).join(a, b)
+            a, b = a[kept], b[kept]
+        return a, b
+    x, y = shard_links(fp, fp, radius)
+    order = np.argsort(fp)
+    return order[np.searchsorted(fp, x, sorter=order)], order[np.searchsorted(fp, y, sorter=order)]
+
+
+def candidates(texts: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """(node, label): texts that links lead to, with a label for each component.
+
+    ``texts``: (node, n, fps) with the number of distinct shingles and ``PRINTS`` fingerprints.
+    Texts are linked if any of their fingerprints differ in at most ``radius`` bits. Only texts
+    with numbers of shingles that ``similarity`` allows meet: a text stands in the class of its
+    number and in the next, classes being 1 / ``similarity`` wide.
+    """
+    kind = texts.schema["node"].dataType.simpleString()
+    width = math.log(1.0001 / similarity)
+    size = F.floor(F.log(F.greatest("n", F.lit(1)).cast("double")) / width)
+    dealt = texts.select("node", size.alias("size"), F.posexplode("fps").alias("seed", "fp")).select(
+        "node", "fp", F.explode(F.array(*[(F.col("size") + k) * PRINTS + F.col("seed") for k in (0, 1)])).alias("of"))
+    nodes = staged(dealt.groupBy("of", "fp").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("n")))
+    equal = dealt.join(nodes.filter("n > 1").select("of", "fp", F.col("node").alias("src")), ["of", "fp"]).filter(
+        F.col("src") != F.col("node")).select("src", F.col("node").alias("dst")).distinct()
+    # a text meets the others of its class
+    met, rows = nodes.groupBy("of").count().agg(F.sum(F.col("count") * F.col("count")), F.sum("count")).first()
+    keys = shard_keys(radius, agreeing((met or 0) // max(rows or 0, 1) // 4, radius))
+    shard = [F.shiftleft(F.col("of") * len(keys) + n, 40).bitwiseXOR(k["value"]) for n, k in enumerate(keys)]
+    entries = nodes.select("fp", "node", F.explode(F.array(*shard)).alias("shard"))
+    hot = entries.groupBy("shard").count().filter(F.col("count") > TREE / 2).select(
+        "shard", F.ceil(F.col("count") / (TREE / 2)).cast("int").alias("trees"))
+    tasks = max(1, math.ceil((rows or 0) * len(keys) / ENTRIES))
+    sized = entries.join(F.broadcast(staged(hot)), "shard", "left")
+    plain = sized.filter("trees IS NULL").select(
+        F.pmod(F.xxhash64("shard"), F.lit(tasks)).alias("task"), F.lit(-1).alias("part"), "shard", "fp", "node", F.lit(True).alias("visits"))
+    own = F.pmod(F.xxhash64("fp"), F.col("trees")).cast("int")
+    large = staged(sized.filter("trees IS NOT NULL").withColumn("own", own))
+    # a fingerprint of a hot shard stands in its own tree and visits that tree and the later ones
+    visitors = large.withColumn("tree", F.explode(F.expr("sequence(own, trees - 1)"))).select(
+        F.xxhash64("shard", "tree").alias("task"), F.col("own").alias("part"), "shard", "fp", "node", F.lit(True).alias("visits"))
+    owners = large.withColumn("part", F.explode(F.expr("sequence(0, own)"))).select(
+        F.xxhash64("shard", "own").alias("task"), "part", "shard", "fp", "node", F.lit(False).alias("visits"))
+
+    def found(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        fp, node = pdf["fp"].to_numpy(np.int64).view(np.uint64), pdf["node"].to_numpy()
+        if key[1] < 0:
+            order = np.argsort(pdf["shard"].to_numpy(), kind="stable")
+            shard = pdf["shard"].to_numpy()[order]
+            first = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
+            src, dst = [order[:0]], [order[:0]]
+            for a, b in zip(first, np.append(first[1:], len(shard)), strict=True):
+                if b - a > 1:
+                    x, y = close_pairs(fp[order[a:b]], radius)
+                    if len(x):
+                        src.append(order[a:b][x])
+                        dst.append(order[a:b][y])
+            x, y = np.concatenate(src), np.concatenate(dst)
+        else:
+            visits = pdf["visits"].to_numpy(bool)
+            x, y = shard_links(fp[~visits], fp[visits], radius) if (~visits).any() else (fp[:0], fp[:0])
+            order = np.argsort(fp, kind="stable")
+            x, y = order[np.searchsorted(fp, x, sorter=order)], order[np.searchsorted(fp, y, sorter=order)]
+        return pd.DataFrame({"src": node[x], "dst": node[y]}).drop_duplicates()
+
+    near = plain.unionByName(visitors).unionByName(owners).groupBy("task", "part").applyInPandas(found, f"src {kind}, dst {kind}")
+    edges = staged(near.union(equal).filter("src != dst").select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct())
+    ends = edges.select("src").union(edges.select("dst")).distinct()
+    return connected_components(ends.select(F.col("src").alias("node"), F.col("src").alias("label")), edges)
 
 
 # -- one document of each group ------------------------------------------------------------
+def same_words(text: str) -> int:
+    """One number for texts with the same words, A-Z in either case."""
+    return xxhash.xxh3_64_intdigest(b" ".join(text.encode("utf-8", "surrogatepass").lower().split()))
+
+
 def print_rows(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, fp, same): ``same`` is one number for texts with the same words, A-Z in either case."""
+    """(doc_id, same, n, fps): ``same_words``, the number of distinct shingles and their fingerprints."""
 
     def rows(ids, texts):
-        same = [xxhash.xxh3_64_intdigest(b" ".join(t.encode("utf-8", "surrogatepass").lower().split())) for t in texts]
-        return [ids, np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64), np.array(same, np.uint64).view(np.int64)]
+        sets = [np.unique(shingle_hashes(t, words)) for t in texts]
+        return [ids, np.array([same_words(t) for t in texts], np.uint64).view(np.int64), [len(h) for h in sets],
+                [seeded_fingerprints(h) for h in sets]]
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_texts(docs, "doc_id", "text", f"doc_id {kind}, fp long, same long", rows)
+    return map_texts(docs, "doc_id", "text", f"doc_id {kind}, same long, n long, fps array<long>", rows)
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -309,19 +408,17 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
 def near_others(docs: DataFrame, words: int, radius: int, similarity: float) -> DataFrame:
     """Ids (column ``other``) of documents that have a near copy with a smaller id which stays.
 
-    Components of fingerprints within the radius are candidates. In each, the smallest id
-    leads: those with at least ``similarity`` of its shingles (shared over all) go, it stays,
-    and the rest look for a leader again, until none is left. So each row meets one leader a
-    round, never its whole group, and what goes is near a document that stays. A group of at
-    most ``GROUP_ROWS`` texts goes through its rounds in one task, with the same outcome.
+    Components of texts with a fingerprint within the radius are candidates. In each, the
+    smallest id leads: those with at least ``similarity`` of its shingles (shared over all) go,
+    it stays, and the rest look for a leader again, until none is left. So each row meets one
+    leader a round, never its whole group, and what goes is near a document that stays. A group
+    of at most ``GROUP_ROWS`` texts goes through its rounds in one task, with the same outcome.
     """
     prints = staged(print_rows(docs.filter(F.col("doc_id").isNotNull()), words))
-    texts = staged(prints.groupBy("same").agg(F.min("doc_id").alias("doc_id"), F.first("fp").alias("fp")))
-    copies = prints.join(texts.select("same", F.col("doc_id").alias("first_id")), "same").filter(F.col("doc_id") != F.col("first_id")).select(
+    texts = staged(prints.groupBy("same").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("fps").alias("fps")))
+    copies = prints.join(texts.select("same", F.col("node").alias("first_id")), "same").filter(F.col("doc_id") != F.col("first_id")).select(
         F.col("doc_id").alias("other"))
-    nodes = texts.groupBy("fp").agg(F.count(F.lit(1)).alias("n"))
-    labels = nodes.join(linked(nodes, radius), "fp", "left").filter("n > 1 OR label IS NOT NULL").select("fp", F.coalesce("label", "fp").alias("label"))
-    members = staged(texts.join(labels, "fp").select("doc_id", "label"))
+    members = staged(candidates(texts, radius, similarity).select(F.col("node").alias("doc_id"), "label"))
     left = staged(shingle_sets(docs.join(members.select("doc_id"), "doc_id", "left_semi"), words).join(members, "doc_id"))
     gone = []
     while not left.isEmpty():

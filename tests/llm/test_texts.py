@@ -245,3 +245,17 @@ def test_groups_in_one_task_or_in_rounds(spark, monkeypatch):
         s = shingles(t)
         near = [j for j in plain if len(s & shingles(texts[j])) >= 0.8 * len(s | shingles(texts[j]))]
         assert i in plain or near
+
+
+def test_pairs_just_above_the_threshold(spark):
+    rng = random.Random(21)
+    texts = []
+    for n in range(80):
+        words = [f"{n}x{k}" for k in range(300)]
+        other = list(words)
+        for k in range(3, 3 + rng.randrange(4, 7) * 45, 45):       # 4 to 6 words: 20 to 30 of about 300 shingles
+            other[k] = "new"
+        texts += [" ".join(words), " ".join(other)]
+    kept = simhash.one_of_each(docs_of(spark, list(enumerate(texts)))).count()
+    # one fingerprint leaves about a third of such pairs; twelve leave about one in a hundred
+    assert kept <= 82
