@@ -36,6 +36,11 @@ def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.withColumn("errors", F.array_join("errors", "; "))
 
 
+def op5_whole_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = toolcalls.whole_conversations(table(spark, sf_dir, "conversations"))
+    return linked.withColumn("errors", F.array_join("errors", "; "))
+
+
 def op6_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.query(table(spark, sf_dir, "documents"))
 
@@ -57,8 +62,8 @@ def op10_nbsvm_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_kmeans_tree, op2_cotraining, op3_va_file, op4_bpe_index, op5_tool_calls, op6_simhash_bk, op7_token_counts, op8_best_fit,
-    op9_line_dedup, op10_nbsvm_toxicity)}
+    op1_kmeans_tree, op2_cotraining, op3_va_file, op4_bpe_index, op5_tool_calls, op5_whole_conversations, op6_simhash_bk, op7_token_counts,
+    op8_best_fit, op9_line_dedup, op10_nbsvm_toxicity)}
 
 _LINES = """
 WITH l AS (
@@ -103,6 +108,14 @@ SELECT conv_id, call_id, CAST(turn AS BIGINT) AS turn, CAST(result_turn AS BIGIN
 FROM e
 """
 
+_WHOLE = f"""
+SELECT * FROM ({_CALLS}) UNION ALL
+SELECT conv_id, CAST(NULL AS VARCHAR) AS call_id, CAST(turn AS BIGINT) AS turn, CAST(NULL AS BIGINT) AS result_turn, CAST(turn AS BIGINT) AS order_turn,
+       CASE WHEN turn IS NOT NULL THEN CAST(0 AS BIGINT) END AS order_step, 'context' AS status, '' AS errors,
+       '{{"content":' || to_json(coalesce(text, '')) || CASE WHEN role IS NULL THEN '' ELSE ',"role":' || to_json(role) END || '}}' AS json
+FROM conversations WHERE role IS NULL OR role NOT IN ('user', 'assistant')
+"""
+
 _TOP = """
 WITH w AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
@@ -113,4 +126,4 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, CAST(n AS INT) AS rank, vec_id, score FROM r WHERE n <= 20
 """
 
-ORACLES: dict[str, str] = {"op3_va_file": _TOP, "op5_tool_calls": _CALLS, "op9_line_dedup": _LINES}
+ORACLES: dict[str, str] = {"op3_va_file": _TOP, "op5_tool_calls": _CALLS, "op5_whole_conversations": _WHOLE, "op9_line_dedup": _LINES}

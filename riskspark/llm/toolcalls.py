@@ -205,3 +205,17 @@ def from_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
 def format_conversations(turns: DataFrame) -> DataFrame:
     calls, results = from_conversations(turns)
     return link(calls, results, tool_schemas(turns.sparkSession))
+
+
+def other_turns(turns: DataFrame) -> DataFrame:
+    """One row of status ``context`` for each turn that is neither a call nor a result: a role of another name, or none."""
+    return turns.filter(~F.coalesce(F.col("role").isin("user", "assistant"), F.lit(False))).select(
+        "conv_id", F.lit(None).cast("string").alias("call_id"), F.col("turn").cast("long").alias("turn"), F.lit(None).cast("long").alias("result_turn"),
+        F.col("turn").cast("long").alias("order_turn"), F.when(F.col("turn").isNotNull(), F.lit(0).cast("long")).alias("order_step"),
+        F.lit("context").alias("status"), F.array().cast("array<string>").alias("errors"),
+        canonical(content=F.coalesce("text", F.lit("")), role=F.col("role")).alias("json"))
+
+
+def whole_conversations(turns: DataFrame) -> DataFrame:
+    """``format_conversations`` and ``other_turns``: every turn is in one row, as a call, a result or context."""
+    return format_conversations(turns).unionByName(other_turns(turns))

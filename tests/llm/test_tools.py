@@ -74,6 +74,15 @@ def test_empty_tables(spark):
     assert sorted(r.status for r in toolcalls.format_conversations(odd).collect()) == ["linked", "no identifier", "no identifier", "repeated result"]
 
 
+def test_every_turn_is_in_a_row(spark):
+    turns = spark.createDataFrame([(1, 0, "system", 'be "kind"'), (1, 1, "user", "hi"), (1, 2, "assistant", "ho"), (1, 3, None, None), (2, 0, "user", "x"), (None, 0, "tool", "t")],
+                                  "conv_id long, turn long, role string, text string")
+    rows = toolcalls.whole_conversations(turns).collect()
+    assert sum((r.turn is not None) + (r.result_turn is not None) for r in rows) == 6
+    assert sorted((r.conv_id or 0, r.turn, r.order_turn, r.order_step, r.json) for r in rows if r.status == "context") == [
+        (0, 0, 0, 0, '{"content":"t","role":"tool"}'), (1, 0, 0, 0, '{"content":"be \\"kind\\"","role":"system"}'), (1, 3, 3, 0, '{"content":""}')]
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_queries_with_sql(spark, sf_dir, name):
     assert compare(spark, duck(sf_dir), name, QUERIES[name], ORACLES[name], sf_dir) is None
