@@ -26,12 +26,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspark.llm.common import row_count, staged, texts_of, to_arrow
+from riskspark.llm.simhash import near_clusters, same_words
 from riskspark.llm.tokens import lengths
 
 CAPACITY, PER_SOURCE = 8_192, 3
@@ -125,11 +125,20 @@ def items_of(docs: DataFrame, path: str) -> DataFrame:
         for b in batches:
             texts = texts_of(b.column(1))
             n = [known.count(t, {}) for t in texts]
-            same = np.array([xxhash.xxh3_64_intdigest(b" ".join(t.encode("utf-8", "surrogatepass").lower().split())) for t in texts], np.uint64)
+            same = np.array([same_words(t) for t in texts], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), b.column(2), pa.array(same.view(np.int64), pa.int64())], schema=arrow)
 
     return docs.select("doc_id", "text", "source").mapInArrow(run, schema)
 
 
-def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, per_source: int = PER_SOURCE) -> DataFrame:
-    return pack(staged(items_of(docs, path)), capacity, per_source)
+def clustered(items: DataFrame, docs: DataFrame) -> DataFrame:
+    """``items_of`` with one cluster for each component of near copies (5 words, 0.8 or more)."""
+    near = near_clusters(docs).withColumnRenamed("cluster", "near")
+    return items.join(near, items["cluster"] == near["same"], "left").select(
+        "doc_id", "n_tokens", "source", F.coalesce("near", "cluster").alias("cluster"))
+
+
+def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, per_source: int = PER_SOURCE, near: bool = True) -> DataFrame:
+    """``near`` False is for documents that have no near copies any more."""
+    items = staged(items_of(docs, path))
+    return pack(staged(clustered(items, docs)) if near else items, capacity, per_source)

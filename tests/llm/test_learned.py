@@ -130,3 +130,17 @@ def test_pipeline_stages(spark):
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
     assert {r.doc_id for r in packed.select("doc_id").collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
     assert corpus_pipeline.run(spark, sf).count() == packed.count()
+
+
+@pytest.mark.parametrize("block", [2, 1_000])
+def test_near_copies_share_no_bin(spark, monkeypatch, block):
+    from riskspark.llm import simhash
+    from riskspark.llm.queries import vocabulary
+
+    monkeypatch.setattr(simhash, "PAIR_ROWS", block)
+    base = [f"w{k}" for k in range(100)]
+    # two words changed in each: the second and third are below 0.8 to each other, both near the first
+    texts = [base, [*base[:20], "x", *base[21:40], "x", *base[41:]], [*base[:60], "y", *base[61:80], "y", *base[81:]], [f"v{k}" for k in range(100)]]
+    docs = spark.createDataFrame([(i, " ".join(t), f"s{i}") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    bins = {r.doc_id: r.bin_id for r in packing.pack_documents(docs, vocabulary("piece_bpe_32k.model")).collect()}
+    assert len({bins[0], bins[1], bins[2]}) == 3 and bins[3] in (bins[0], bins[1], bins[2])
