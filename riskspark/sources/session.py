@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int = 8, name: str = "riskspark") -> SparkSession:
@@ -36,3 +37,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="riskspark-checkpoint-"))
     return spark.sparkContext.getCheckpointDir()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder. Unlike a checkpoint it brings nothing along that the
+    optimizer knows of the plan behind it, which over many rounds comes to swamp it."""
+    folder = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

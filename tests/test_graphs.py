@@ -16,6 +16,45 @@ def test_components_chain_star_and_loner(spark):
     assert labels["n055"] == 55
 
 
+def label_sets(spark, edges, **kw):
+    frame = spark.createDataFrame(edges, "src long, dst long")
+    return {r.node: r.root for r in components.component_roots(frame, **kw).collect()}
+
+
+def test_edges_fall_every_round_and_rounds_are_few(spark, monkeypatch):
+    """A chain and a star of 20,000 and a clique, by rounds alone."""
+    n = 20_000
+    chain = [(i, i + 1) for i in range(n - 1)]
+    star = [(n + 5_000, n + i) for i in range(n) if i != 5_000]
+    clique = [(3 * n + i, 3 * n + j) for i in range(40) for j in range(i)]
+    counts, rewritten = [], components._rewritten
+
+    def counted(edges, parents):
+        out = rewritten(edges, parents)
+        counts.append((edges.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(components, "_rewritten", counted)
+    roots = label_sets(spark, chain + star + clique, one_task=0)
+    assert all(b < a for a, b in counts) and len(counts) < 25
+    assert len(roots) == 2 * n + 40
+    for part in (range(n), range(n, 2 * n), range(3 * n, 3 * n + 40)):
+        assert len({roots[i] for i in part}) == 1
+    assert len(set(roots.values())) == 3
+
+
+def test_rounds_and_one_task_agree(spark):
+    rnd = random.Random(5)
+    edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(170)] + [(7, 7), (None, 3)]
+    def groups(roots):
+        found = {}
+        for i, r in roots.items():
+            found.setdefault(r, set()).add(i)
+        return sorted(map(sorted, found.values()))
+    assert groups(label_sets(spark, edges, one_task=0)) == groups(label_sets(spark, edges)) == groups(label_sets(spark, edges, one_task=40))
+    assert label_sets(spark, [(1, 1)]) == {}
+
+
 def lattice(rows, step):
     out = []
     for k in (1, 2):
