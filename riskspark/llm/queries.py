@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import bpe, cotrain, kmeans_tree, lines, nbsvm, packing, simhash, tokens, toolcalls, va_file
+from riskspark.llm import bpe, cotrain, kmeans_tree, lines, mining, nbsvm, packing, periods, setjoin, simhash, tokens, toolcalls, va_file
 from riskspark.llm.common import table
 
 
@@ -61,9 +61,21 @@ def op10_nbsvm_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nbsvm.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_fagin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mining.query(table(spark, sf_dir, "embeddings"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.query(table(spark, sf_dir, "documents"))
+
+
+def op13_vertical_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_kmeans_tree, op2_cotraining, op3_va_file, op4_bpe_index, op5_tool_calls, op5_whole_conversations, op6_simhash_bk, op7_token_counts,
-    op8_best_fit, op9_line_dedup, op10_nbsvm_toxicity)}
+    op8_best_fit, op9_line_dedup, op10_nbsvm_toxicity, op11_fagin, op12_periodic_runs, op13_vertical_join)}
 
 _LINES = """
 WITH l AS (
@@ -126,4 +138,23 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, CAST(n AS INT) AS rank, vec_id, score FROM r WHERE n <= 20
 """
 
-ORACLES: dict[str, str] = {"op3_va_file": _TOP, "op5_tool_calls": _CALLS, "op5_whole_conversations": _WHOLE, "op9_line_dedup": _LINES}
+_HARD = """
+WITH w AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, o.vec_id AS id, a.label = o.label AS same, CAST(list_dot_product(a.v, o.v) AS BIGINT) AS score
+  FROM w a JOIN w o ON a.vec_id <> o.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (
+  SELECT anchor_id, positive_id, positive_score, s.id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id) AS rank
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+ORACLES: dict[str, str] = {"op3_va_file": _TOP, "op5_tool_calls": _CALLS, "op5_whole_conversations": _WHOLE, "op9_line_dedup": _LINES,
+                          "op11_fagin": _HARD}
