@@ -47,9 +47,9 @@ SEED = 42
 #: shingles of a fragment, about, and at most so many fragments (by powers of two)
 FRAGMENT, MOST_FRAGMENTS = 1 << 20, 1 << 16
 #: documents and bytes of text that one part packs
-PART_ROWS, PART_BYTES = 50_000, 32_000_000
-#: words whose hash a worker keeps, and ids that are broadcast
-WORDS_KEPT, IDS_SENT = 1_000_000, 1_000_000
+PART_ROWS, PART_BYTES = 50_000, 8_000_000
+#: bytes of text whose words are held at once, words whose hash a worker keeps, and ids that are broadcast
+WORD_BYTES, WORDS_KEPT, IDS_SENT = 1_000_000, 200_000, 1_000_000
 MANY = 0xFFFF
 
 
@@ -65,15 +65,29 @@ class WordHashes(dict):
 
 def shingle_sets(texts: list[bytes], words: int, known: WordHashes) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text; of the whole sequence if it is shorter."""
-    parts = [t.lower().split() for t in texts]              # A-Z; at x20 and x09-x0D
-    n = np.array([len(p) for p in parts], np.int64)
-    w = np.fromiter((known[x] for p in parts for x in p), np.uint64, int(n.sum()))
+    out: list[np.ndarray] = []
+    at = 0
+    while at < len(texts):
+        to, size = at, 0
+        while to < len(texts) and (to == at or size + len(texts[to]) <= WORD_BYTES):
+            size += len(texts[to])
+            to += 1
+        parts = [t.lower().split() for t in texts[at:to]]   # A-Z; at x20 and x09-x0D
+        n = [len(p) for p in parts]
+        w = np.fromiter((known[x] for p in parts for x in p), np.uint64, sum(n))
+        out += sets_in(w, n, words)
+        at = to
+    return out
+
+
+def sets_in(w: np.ndarray, n: list[int], words: int) -> list[np.ndarray]:
+    """The sets of texts with ``n`` words each, whose word hashes follow each other in ``w``."""
     factor = np.uint64(0x9E3779B97F4A7C15)
     h = w
     for k in range(1, words):
         h = mixed(h[: len(w) - k] * factor + w[k:]) if len(w) > k else h[:0]
     out, at = [], 0
-    for m in n.tolist():
+    for m in n:
         if m >= words:
             out.append(np.unique(h[at : at + m - words + 1]))
         elif m:
