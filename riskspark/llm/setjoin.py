@@ -12,12 +12,13 @@ class, so copies never meet each other. What cannot have a partner goes early:
    fragments with equally many entries, and each class's ordered set falls into segments, one a
    fragment. Two sets that are similar enough share a shingle within their prefixes (all but
    the ``similarity`` percent that stand last), so only those meet in a list.
-3. In each list a few classes lead, one for each component label but the commonest, and are
-   paired with the classes of other labels, as far as sizes and positions allow the similarity.
-   Overlaps of the pairs are counted in each fragment separately and summed. Links join
-   labels; a leader has met its whole list and leaves it. Rounds, with four times as many
-   leaders each, go on until every list has one label. So a group of near copies costs about
-   one pair for each member instead of all pairs, and no link between different labels is missed.
+3. In each list a few classes lead and are paired with the classes of other component labels, as
+   far as sizes and positions allow the similarity. Overlaps of the pairs are counted in each
+   fragment separately and summed. Links join labels; a leader has met its whole list and
+   leaves it. Rounds go on until every list has one label. First 1, 4, 16 classes of the
+   commonest label lead, which brings in nearly all that belong to it; then also one class of
+   each of the labels that are left, ever more of them. So a group of near copies costs some
+   pairs for each member instead of all pairs, and no link between different labels is missed.
 
 Results: a null or empty text, or one without words, has an empty set and is linked with nothing;
 repeated rows get a row each; a row without id takes part, its component is the smallest id of
@@ -107,6 +108,10 @@ def class_of(s: np.ndarray) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
+def mix_of(x: int) -> int:
+    return xxhash.xxh3_64_intdigest(x.to_bytes(8, "big"), SEED)
+
+
 def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[bytes]]]:
     """(ids, texts) in parts of bounded size; a text is never cut."""
     for b in batches:
@@ -124,7 +129,7 @@ def shared_counts(docs: DataFrame, words: int, id_col: str, text_col: str) -> Da
     """(id, n, class, shared): size and class of each set, and how many of its shingles occur in other sets, at least."""
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     bits = min(max(int(size / 6 / FRAGMENT), 1).bit_length() - 1, MOST_FRAGMENTS.bit_length() - 1)
-    spread = 64
+    spread = 4_096                                           # what the parts' own rows are dealt to
     id_field = T.StructField(id_col, docs.schema[id_col].dataType)
     doc_fields = [id_field, T.StructField("n", T.LongType()), T.StructField("class", T.LongType()), T.StructField("at", T.IntegerType())]
     sent = T.StructType([T.StructField("fragment", T.LongType()), T.StructField("part", T.LongType()), *doc_fields,
@@ -153,7 +158,7 @@ def shared_counts(docs: DataFrame, words: int, id_col: str, text_col: str) -> Da
             here = np.bincount(row[np.repeat(times, times) > 1], minlength=len(sets))
             name = dict(zip(np.array(classes)[first].tolist(), first.tolist(), strict=True))
             here = here[[name[c] for c in classes]] if len(sets) else here
-            yield rows_of({"fragment": [-1 - part % spread] * len(sets), "part": [part] * len(sets), id_col: ids, "n": n, "class": classes,
+            yield rows_of({"fragment": [-1 - mix_of(part) % spread] * len(sets), "part": [part] * len(sets), id_col: ids, "n": n, "class": classes,
                            "at": [name[c] for c in classes], "count": here}, len(sets))
             keys, owner = every[start], np.where(times > 1, MANY, row[start])
             of = keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), np.uint64)
@@ -275,16 +280,21 @@ def linked_labels(cut: DataFrame, percent: int) -> DataFrame:
     """(class, label): one label for the classes of each component; classes that meet no other are left out."""
     lists = written(prefix_lists(cut, percent))
     labels = written(lists.select("class").distinct().withColumn("label", F.col("class")))
-    leaders = 1
+    turn = 0
     while True:
         named = lists.join(labels, "class")
         groups = named.groupBy("hash", "label").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("class", "n", "pos")).alias("lead"))
-        several = groups.groupBy("hash").agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("m", "label"))["label"].alias("most")).filter("labels > 1")
-        nth = F.row_number().over(Window.partitionBy("hash").orderBy("m", "label"))
-        chosen = written(groups.join(several, "hash").filter(F.col("label") != F.col("most")).withColumn("_n", nth).filter(
-            F.col("_n") <= leaders).select("hash", F.col("label").alias("lead_label"), "lead"))
-        if chosen.isEmpty():
+        several = written(groups.groupBy("hash").agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("m", "label"))["label"].alias("most")).filter(
+            "labels > 1").select("hash", "most"))
+        if several.isEmpty():
             return labels
+        of_most = named.join(several, "hash").filter(F.col("label") == F.col("most")).withColumn(
+            "_n", F.row_number().over(Window.partitionBy("hash").orderBy("class"))).filter(F.col("_n") <= 4 ** min(turn, 2)).select(
+            "hash", F.col("label").alias("lead_label"), F.struct("class", "n", "pos").alias("lead"))
+        others = groups.join(several, "hash").filter(F.col("label") != F.col("most")).withColumn(
+            "_n", F.row_number().over(Window.partitionBy("hash").orderBy("m", "label"))).filter(F.col("_n") <= 4 ** (turn - 1)).select(
+            "hash", F.col("label").alias("lead_label"), "lead")
+        chosen = written(of_most.unionByName(others) if turn > 2 else of_most)
         fits = (F.least("n", "lead.n") * 100 >= F.greatest("n", "lead.n") * percent) & (
             (F.least(F.col("n") - F.col("pos"), F.col("lead.n") - F.col("lead.pos"))) * (100 + percent) >= (F.col("n") + F.col("lead.n")) * percent)
         met = named.join(chosen, "hash").filter((F.col("label") != F.col("lead_label")) & fits)
@@ -300,7 +310,7 @@ def linked_labels(cut: DataFrame, percent: int) -> DataFrame:
         # a leader has met all of its list; a list with one label is done
         lists = written(lists.join(several.select("hash"), "hash", "left_semi").join(
             chosen.select("hash", F.col("lead.class").alias("class")), ["hash", "class"], "left_anti"))
-        leaders *= 4
+        turn += 1
 
 
 def components(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
