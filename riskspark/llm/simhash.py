@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskspark.llm import setjoin
 from riskspark.llm.common import has_repeats, map_texts, row_count, staged
 from riskspark.operators.components import connected_components
 
@@ -49,8 +50,6 @@ PRINTS = 12
 MIX = np.array([xxhash.xxh64_intdigest(bytes([k]), SEED) for k in range(PRINTS)], np.uint64)
 #: fingerprints of a shard up to which all are measured directly, and entries of shards that share a task
 DIRECT, ENTRIES = 512, 500_000
-#: texts of a block that meets other blocks of its group of candidates
-PAIR_ROWS = 1_000
 
 
 def shingle_hashes(text: str, words: int) -> np.ndarray:
@@ -308,10 +307,8 @@ def close_pairs(fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     if len(fp) <= DIRECT:
         # in a tree this small a search meets nearly every entry
         a, b = np.nonzero(np.triu(np.bitwise_count(fp[:, None] ^ fp) <= radius, 1))
-        if len(a) > len(fp):
-            kept = Forest(len(fp)).join(a, b)
-            a, b = a[kept], b[kept]
-        return a, b
+        kept = Forest(len(fp)).join(a, b)
+        return a[kept], b[kept]
     x, y = shard_links(fp, fp, radius)
     order = np.argsort(fp)
     return order[np.searchsorted(fp, x, sorter=order)], order[np.searchsorted(fp, y, sorter=order)]
@@ -371,7 +368,10 @@ def candidates(texts: DataFrame, radius: int, similarity: float) -> DataFrame:
             x, y = shard_links(fp[~visits], fp[visits], radius) if (~visits).any() else (fp[:0], fp[:0])
             order = np.argsort(fp, kind="stable")
             x, y = order[np.searchsorted(fp, x, sorter=order)], order[np.searchsorted(fp, y, sorter=order)]
-        return pd.DataFrame({"src": node[x], "dst": node[y]}).drop_duplicates()
+        # a node is in many shards: of all links of the task, enough to join what they join
+        names, at = np.unique(node, return_inverse=True)
+        kept = Forest(len(names)).join(at[x], at[y])
+        return pd.DataFrame({"src": node[x][kept], "dst": node[y][kept]})
 
     near = plain.unionByName(visitors).unionByName(owners).groupBy("task", "part").applyInPandas(found, f"src {kind}, dst {kind}")
     edges = staged(near.union(equal).filter("src != dst").select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct())
@@ -385,11 +385,15 @@ def same_words(text: str) -> int:
     return xxhash.xxh3_64_intdigest(b" ".join(text.encode("utf-8", "surrogatepass").lower().split()))
 
 
+def distinct_shingles(texts: list[str], words: int) -> list[np.ndarray]:
+    return setjoin.shingle_sets([t.encode("utf-8", "surrogatepass") for t in texts], words, setjoin.WordHashes())
+
+
 def print_rows(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, same, n, fps): ``same_words``, the number of distinct shingles and their fingerprints."""
 
     def rows(ids, texts):
-        sets = [np.unique(shingle_hashes(t, words)) for t in texts]
+        sets = distinct_shingles(texts, words)
         return [ids, np.array([same_words(t) for t in texts], np.uint64).view(np.int64), [len(h) for h in sets],
                 [seeded_fingerprints(h) for h in sets]]
 
@@ -401,7 +405,7 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, shingles array<long>): distinct shingles by hash."""
 
     def rows(ids, texts):
-        return [ids, [np.unique(shingle_hashes(t, words)).view(np.int64) for t in texts]]
+        return [ids, [h.view(np.int64) for h in distinct_shingles(texts, words)]]
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return map_texts(docs, "doc_id", "text", f"doc_id {kind}, shingles array<long>", rows)
@@ -461,77 +465,16 @@ def led_others(group: pd.DataFrame, similarity: float) -> pd.DataFrame:
 
 def one_of_each(docs: DataFrame, words: int = 5, radius: int = 8, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs``, with all their columns, less those with a near copy that stays; of
-    repeated rows of one id, one.
+    several rows of one id, the one with the least text (then the least other columns).
 
     Rows without id are kept.
     """
     if has_repeats(docs, "doc_id"):
-        known = docs.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
+        known = docs.filter(F.col("doc_id").isNotNull())
+        rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+        least = known.groupBy("doc_id").agg(F.min(F.struct("text", *rest)).alias("row"))
+        known = least.select(*[F.col(c) if c == "doc_id" else F.col("row")[c].alias(c) for c in docs.columns])
         docs = staged(known.unionByName(docs.filter(F.col("doc_id").isNull())))
-    others = near_others(docs.select("doc_id", "text"), words, radius, similarity).withColumnRenamed("other", "__other")
-    return docs.join(others, F.col("doc_id") == F.col("__other"), "left_anti")
-
+    others = near_others(docs.select("doc_id", "text"), words, radius, similarity).withColumnRenamed("other", "doc_id")
+    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
 
-# -- components of near copies -------------------------------------------------------------
-def near_clusters(docs: DataFrame, words: int = 5, radius: int = 8, similarity: float = 0.8) -> DataFrame:
-    """(same, cluster): texts, as ``same_words`` numbers them, that have near copies, and the least number of their component.
-
-    Every pair of a group of candidates is measured, in blocks of ``PAIR_ROWS`` texts that meet
-    each other; links of at least ``similarity`` make the components.
-    """
-    prints = print_rows(docs.withColumn("doc_id", F.lit(None).cast("long")), words)
-    texts = staged(prints.groupBy("same").agg(F.first("n").alias("n"), F.first("fps").alias("fps")).withColumnRenamed("same", "node"))
-    members = staged(candidates(texts, radius, similarity))
-    sizes = members.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / PAIR_ROWS).cast("int").alias("blocks"))
-    kept = staged(text_sets(docs, words).join(members.select("node"), "node", "left_semi").dropDuplicates(["node"]))
-    placed = kept.join(members, "node").join(sizes, "label").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # each block meets itself and every other
-    met = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
-        "label", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "node", "shingles")
-
-    def linked_texts(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        left = (pdf["own"] == key[1]).to_numpy()
-        right = left if key[1] == key[2] else ~left
-        src, dst = near_pairs(pdf[left], pdf[right], similarity)
-        return pd.DataFrame({"src": np.array(src, np.int64), "dst": np.array(dst, np.int64)})
-
-    edges = staged(met.groupBy("label", "a", "b").applyInPandas(linked_texts, "src long, dst long"))
-    ends = edges.select("src").union(edges.select("dst")).distinct()
-    return connected_components(ends.select(F.col("src").alias("node"), F.col("src").alias("label")), edges).select(
-        F.col("node").alias("same"), F.col("label").alias("cluster"))
-
-
-def text_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(node, shingles array<long>): ``same_words`` of each text and its distinct shingles by hash."""
-
-    def rows(_, texts):
-        return [np.array([same_words(t) for t in texts], np.uint64).view(np.int64), [np.unique(shingle_hashes(t, words)).view(np.int64) for t in texts]]
-
-    return map_texts(docs, "doc_id", "text", "node long, shingles array<long>", rows)
-
-
-def near_pairs(left: pd.DataFrame, right: pd.DataFrame, similarity: float) -> tuple[list, list]:
-    """A spanning forest of the links between ``left`` and ``right`` (node, shingles)."""
-    if left.empty or right.empty:
-        return [], []
-    sets, nodes = right["shingles"].tolist(), right["node"].to_numpy()
-    n = np.array([len(x) for x in sets])
-    every, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
-    order = np.argsort(every, kind="stable")
-    every, of = every[order], of[order]
-    names, where = np.unique(np.concatenate([left["node"].to_numpy(), nodes]), return_inverse=True)
-    forest, src, dst = Forest(len(names)), [], []
-    for i, h in enumerate(left["shingles"]):
-        a, b = np.searchsorted(every, h, "left"), np.searchsorted(every, h, "right")
-        size = b - a
-        at = np.repeat(a - np.cumsum(size) + size, size) + np.arange(size.sum())
-        shared = np.bincount(of[at], minlength=len(sets))
-        near = np.flatnonzero((shared > 0) & (shared >= similarity * (n + len(h) - shared)))
-        x, y = np.full(len(near), where[i]), where[len(left) + near]
-        apart = forest.label[x] != forest.label[y]
-        if apart.any():
-            x, y = x[apart], y[apart]
-            fresh = forest.join(x, y)
-            src += names[x[fresh]].tolist()
-            dst += names[y[fresh]].tolist()
-    return src, dst
