@@ -30,13 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskspark.llm import setjoin
 from riskspark.llm.common import row_count, staged, texts_of, to_arrow
-from riskspark.llm.simhash import near_clusters, same_words
 from riskspark.llm.tokens import lengths
 
 CAPACITY, PER_SOURCE = 8_192, 3
 #: documents that one task packs, about
 SHARD = 4_096
+#: near copies: words of a shingle, and percent of the shingles of both that are shared
+WORDS, PERCENT = 5, 80
 
 
 def best_fit(length: list[int], source: list[int], cluster: list[int], capacity: int, per_source: int) -> tuple[list[int], list[int]]:
@@ -115,27 +117,28 @@ def pack(items: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURC
 
 
 def items_of(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, source, cluster): whole texts in tokens; texts that differ in case and blanks only are a cluster."""
+    """(doc_id, n_tokens, source, cluster): whole texts in tokens; texts with the same shingles are a cluster."""
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("n_tokens", T.LongType()),
                            T.StructField("source", docs.schema["source"].dataType), T.StructField("cluster", T.LongType())])
     arrow = to_arrow(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = lengths(path)
+        known, words = lengths(path), setjoin.WordHashes()
         for b in batches:
             texts = texts_of(b.column(1))
             n = [known.count(t, {}) for t in texts]
-            same = np.array([same_words(t) for t in texts], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), b.column(2), pa.array(same.view(np.int64), pa.int64())], schema=arrow)
+            sets = setjoin.shingle_sets([t.encode("utf-8", "surrogatepass") for t in texts], WORDS, words)
+            same = pa.array([setjoin.class_of(x) for x in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), b.column(2), same], schema=arrow)
 
     return docs.select("doc_id", "text", "source").mapInArrow(run, schema)
 
 
 def clustered(items: DataFrame, docs: DataFrame) -> DataFrame:
-    """``items_of`` with one cluster for each component of near copies (5 words, 0.8 or more)."""
-    near = near_clusters(docs).withColumnRenamed("cluster", "near")
-    return items.join(near, items["cluster"] == near["same"], "left").select(
-        "doc_id", "n_tokens", "source", F.coalesce("near", "cluster").alias("cluster"))
+    """``items_of`` with one cluster for each component of near copies (5 words, 0.8 or more), by the exact join."""
+    _, labels = setjoin.class_labels(docs, WORDS, PERCENT, "doc_id", "text")
+    return items.join(labels, items["cluster"] == labels["class"], "left").select(
+        "doc_id", "n_tokens", "source", F.coalesce("label", "cluster").alias("cluster"))
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, per_source: int = PER_SOURCE, near: bool = True) -> DataFrame:

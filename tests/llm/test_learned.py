@@ -132,12 +132,12 @@ def test_pipeline_stages(spark):
     assert corpus_pipeline.run(spark, sf).count() == packed.count()
 
 
-@pytest.mark.parametrize("block", [2, 1_000])
-def test_near_copies_share_no_bin(spark, monkeypatch, block):
-    from riskspark.llm import simhash
+@pytest.mark.parametrize("fragment", [50, 1_000_000])
+def test_near_copies_share_no_bin(spark, monkeypatch, fragment):
+    from riskspark.llm import setjoin
     from riskspark.llm.queries import vocabulary
 
-    monkeypatch.setattr(simhash, "PAIR_ROWS", block)
+    monkeypatch.setattr(setjoin, "FRAGMENT", fragment)
     base = [f"w{k}" for k in range(100)]
     # two words changed in each: the second and third are below 0.8 to each other, both near the first
     texts = [base, [*base[:20], "x", *base[21:40], "x", *base[41:]], [*base[:60], "y", *base[61:80], "y", *base[81:]], [f"v{k}" for k in range(100)]]
