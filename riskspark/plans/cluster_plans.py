@@ -201,13 +201,13 @@ def ri_bins_parse(spark, sf):
         "cluster", "feature", "bin", F.element_at("edges", F.col("bin") + 1).alias("lo"), F.element_at("edges", F.col("bin") + 2).alias("hi"), "density")
 
 
-EPS, MIN_PTS, STEP = 0.25, 6, 0.02
-LATTICE_SQL = f""", z AS (SELECT vec_id, ROUND((f0 - (SELECT AVG(f0) FROM vec)) / (SELECT STDDEV_SAMP(f0) FROM vec) / {STEP}::DOUBLE)::BIGINT AS q0,
-    ROUND((f1 - (SELECT AVG(f1) FROM vec)) / (SELECT STDDEV_SAMP(f1) FROM vec) / {STEP}::DOUBLE)::BIGINT AS q1 FROM vec),
-    d AS (SELECT a.vec_id AS a, b.vec_id AS b, (a.q0 - b.q0) * (a.q0 - b.q0) + (a.q1 - b.q1) * (a.q1 - b.q1) AS d2 FROM z a, z b)"""
+NEAR, EPS, MIN_PTS = [f"f{i}" for i in range(8)], 2.2, 18          # 2 d + 2 rows make a core
+Z = ", ".join(f"({f} - (SELECT AVG({f}) FROM vec)) / (SELECT STDDEV_SAMP({f}) FROM vec) AS z{i}" for i, f in enumerate(NEAR))
+NEAR_SQL = f""", z AS (SELECT vec_id, {Z} FROM vec),
+    d AS (SELECT a.vec_id AS a, b.vec_id AS b, {" + ".join(f"(a.z{i} - b.z{i}) * (a.z{i} - b.z{i})" for i in range(len(NEAR)))} AS d2 FROM z a, z b)"""
 
 
-@query("density_cluster", VEC_SQL.replace("WITH vec", "WITH RECURSIVE vec") + LATTICE_SQL + f""", near AS (SELECT a, b FROM d WHERE d2 <= {(EPS / STEP) ** 2 + 1e-6}),
+@query("density_cluster", VEC_SQL.replace("WITH vec", "WITH RECURSIVE vec") + NEAR_SQL + f""", near AS (SELECT a, b FROM d WHERE d2 <= {EPS}::DOUBLE * {EPS}::DOUBLE),
     core AS (SELECT a FROM near GROUP BY 1 HAVING COUNT(*) >= {MIN_PTS}),
     ce AS (SELECT a, b FROM near WHERE a IN (SELECT a FROM core) AND b IN (SELECT a FROM core)),
     reach(a, root) AS (SELECT a, a FROM core UNION SELECT ce.b, r.root FROM reach r JOIN ce ON ce.a = r.a WHERE r.root < ce.b),
@@ -215,16 +215,16 @@ LATTICE_SQL = f""", z AS (SELECT vec_id, ROUND((f0 - (SELECT AVG(f0) FROM vec))
     border AS (SELECT n.a, MIN(c.cluster) AS cluster FROM near n JOIN comp c ON c.a = n.b GROUP BY 1)
     SELECT z.vec_id, COALESCE(comp.cluster, border.cluster, -1) AS cluster FROM z LEFT JOIN comp ON comp.a = z.vec_id LEFT JOIN border ON border.a = z.vec_id""")
 def density_cluster(spark, sf):
-    return dn.density_cluster(vectors(spark, sf), "vec_id", ["f0", "f1"], EPS, MIN_PTS, STEP)
+    return dn.density_cluster(vectors(spark, sf), "vec_id", NEAR, EPS, MIN_PTS)
 
 
-@query("kdist_curve", VEC_SQL + LATTICE_SQL + f""", k AS (SELECT a, d2 FROM (SELECT a, d2, row_number() OVER (PARTITION BY a ORDER BY d2) AS rn FROM d) WHERE rn = {MIN_PTS} + 1),
-    c AS (SELECT d2, COUNT(*) AS n FROM k GROUP BY 1)
-    SELECT ROUND(SQRT(d2) * {STEP}::DOUBLE, 6) AS distance, CAST(n AS BIGINT) AS n, CAST(SUM(n) OVER (ORDER BY d2) - n AS BIGINT) AS before FROM c""")
+@query("kdist_curve", VEC_SQL + NEAR_SQL + f""", k AS (SELECT a, d2 FROM (SELECT a, d2, row_number() OVER (PARTITION BY a ORDER BY d2) AS rn FROM d) WHERE rn = {MIN_PTS} + 1),
+    c AS (SELECT ROUND(SQRT(d2), 6) AS distance, COUNT(*) AS n FROM k GROUP BY 1)
+    SELECT distance, CAST(n AS BIGINT) AS n, CAST(SUM(n) OVER (ORDER BY distance) - n AS BIGINT) AS before FROM c""")
 def kdist_curve(spark, sf):
     """The sorted curve as steps: distance, how many rows have it, how many have less."""
-    made = dn.kth_distance(vectors(spark, sf), "vec_id", ["f0", "f1"], MIN_PTS, STEP)
-    return ranked_values(made, ["d2"]).select(F.round(F.sqrt("value") * STEP, 6).alias("distance"), "n", "before")
+    made = dn.kth_distance(vectors(spark, sf), "vec_id", NEAR, MIN_PTS).select("vec_id", F.round(F.sqrt("d2"), 6).alias("distance"))
+    return ranked_values(made, ["distance"]).select(F.col("value").alias("distance"), "n", "before")
 
 
 def over(template: str, by: str = " + ") -> str:

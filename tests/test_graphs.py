@@ -3,7 +3,9 @@
 import random
 import statistics
 
-from riskspark.operators import components, density
+import pytest
+
+from riskspark.operators import components, density, metric
 
 
 def test_components_chain_star_and_loner(spark):
@@ -55,34 +57,36 @@ def test_rounds_and_one_task_agree(spark):
     assert label_sets(spark, [(1, 1)]) == {}
 
 
-def lattice(rows, step):
+def scaled(rows):
     out = []
-    for k in (1, 2):
+    for k in range(1, len(rows[0])):
         values = [r[k] for r in rows]
-        m, s = statistics.mean(values), statistics.stdev(values)
-        out.append([int(abs((v - m) / s / step) + 0.5) * (1 if v >= m else -1) for v in values])
+        m, s = statistics.mean(values), statistics.stdev(values) or 1.0
+        out.append([(v - m) / s for v in values])
     return list(zip(*out))
 
 
-def points(seed=11, n=240):
+def gaps(rows):
+    z = scaled(rows)
+    return [[sum((x - y) * (x - y) for x, y in zip(p, q)) for q in z] for p in z]
+
+
+def points(seed=11, n=240, dims=2):
     rnd = random.Random(seed)
     rows = []
     for i in range(n):
         if i % 3 == 0:
-            rows.append((i, 1.0, 1.0))                          # a third are copies
+            rows.append((i, *[1.0] * dims))                      # a third are copies
         elif i % 3 == 1:
-            rows.append((i, rnd.gauss(0, 0.3), rnd.gauss(4, 0.3)))
+            rows.append((i, *[rnd.gauss(4 * (k % 2), 0.3) for k in range(dims)]))
         else:
-            rows.append((i, rnd.uniform(-6, 6), rnd.uniform(-6, 6)))
+            rows.append((i, *[rnd.uniform(-6, 6) for _ in range(dims)]))
     return rows
 
 
-def test_density_clusters(spark):
-    rows, eps, k, step = points(), 0.3, 6, 0.05
-    q = lattice(rows, step)
-    n = len(rows)
-    limit = (eps / step + 1e-9) ** 2
-    near = [[j for j in range(n) if (q[i][0] - q[j][0]) ** 2 + (q[i][1] - q[j][1]) ** 2 <= limit] for i in range(n)]
+def plain_clusters(rows, eps, k):
+    n, d = len(rows), gaps(rows)
+    near = [[j for j in range(n) if d[i][j] <= eps * eps] for i in range(n)]
     core = {i for i in range(n) if len(near[i]) >= k}
     label = {}
     for i in sorted(core):
@@ -94,26 +98,47 @@ def test_density_clusters(spark):
                 if j in core and j not in label:
                     label[j] = i
                     stack.append(j)
-    want = {i: label[i] if i in core else min((label[j] for j in near[i] if j in core), default=-1) for i in range(n)}
-    df = spark.createDataFrame(rows, "id long, x double, y double")
-    got = {r.id: r.cluster for r in density.density_cluster(df, "id", ["x", "y"], eps, k, step).collect()}
-    assert got == want
+    return {i: label[i] if i in core else min((label[j] for j in near[i] if j in core), default=-1) for i in range(n)}
+
+
+@pytest.mark.parametrize(("dims", "eps", "cell"), [(2, 0.3, 20), (9, 0.9, 512)])
+def test_density_clusters(spark, monkeypatch, dims, eps, cell):
+    monkeypatch.setattr(metric, "CELL", cell)
+    monkeypatch.setattr(metric, "CHUNK", 50)
+    monkeypatch.setattr(metric, "SLICE", 70)
+    rows = points(dims=dims)
+    want = plain_clusters(rows, eps, 6)
+    names = [f"v{k}" for k in range(dims)]
+    df = spark.createDataFrame(rows, "id long, " + ", ".join(f"{c} double" for c in names))
+    assert {r.id: r.cluster for r in density.density_cluster(df, "id", names, eps, 6).collect()} == want
     assert len(set(want.values())) > 2 and -1 in want.values()
 
 
-def test_kth_distance(spark):
-    rows, k, step = points(4, 120), 5, 0.05
-    q = lattice(rows, step)
-    want = {i: sorted((q[i][0] - p[0]) ** 2 + (q[i][1] - p[1]) ** 2 for p in q)[k] for i in range(len(rows))}
+@pytest.mark.parametrize(("dims", "cell"), [(2, 10), (12, 30)])
+def test_kth_distance(spark, monkeypatch, dims, cell):
+    monkeypatch.setattr(metric, "CELL", cell)
+    monkeypatch.setattr(metric, "CHUNK", 40)
+    rows, k = points(4, 120, dims), 5
+    want = {i: sorted(d)[k] for i, d in enumerate(gaps(rows))}
+    names = [f"v{c}" for c in range(dims)]
+    df = spark.createDataFrame(rows, "id long, " + ", ".join(f"{c} double" for c in names))
+    got = {r.id: r.d2 for r in density.kth_distance(df, "id", names, k).collect()}
+    assert got == pytest.approx(want, abs=1e-9) and len(got) == len(rows)
+    assert all(r.d2 is None for r in density.kth_distance(df.limit(3), "id", names, k).collect())
+
+
+def test_density_of_odd_rows(spark):
+    rows = [(1, 0.0, 1.0), (2, None, 1.0), (3, float("nan"), 1.0), (4, -0.0, 1.0), (5, 0.0, 1.0)]
     df = spark.createDataFrame(rows, "id long, x double, y double")
-    assert {r.id: r.d2 for r in density.kth_distance(df, "id", ["x", "y"], k, step).collect()} == want
-    assert all(r.d2 is None for r in density.kth_distance(df.limit(3), "id", ["x", "y"], k, step).collect())
+    assert {r.id: r.cluster for r in density.density_cluster(df, "id", ["x", "y"], 0.5, 3).collect()} == {1: 1, 2: -1, 3: -1, 4: 1, 5: 1}
+    assert {r.id: r.d2 for r in density.kth_distance(df, "id", ["x", "y"], 2).collect()} == {1: 0.0, 2: None, 3: None, 4: 0.0, 5: 0.0}
+    assert density.density_cluster(df.limit(0), "id", ["x"], 1.0, 2).collect() == []
 
 
 def test_categories_keep_clusters_apart(spark):
     rows = [(i, (i // 2) % 5 * 0.01, (i // 2) % 7 * 0.01, "ab"[i % 2]) for i in range(60)]
     df = spark.createDataFrame(rows, "id long, x double, y double, kind string")
-    plain = density.density_cluster(df, "id", ["x", "y"], 4.0, 5, 0.5).collect()
+    plain = density.density_cluster(df, "id", ["x", "y"], 4.0, 5).collect()
     assert {r.cluster for r in plain} == {0}
-    apart = {r.id: r.cluster for r in density.density_cluster(df, "id", ["x", "y"], 1.9, 3, 0.5, {"kind": ["a"]}).collect()}
+    apart = {r.id: r.cluster for r in density.density_cluster(df, "id", ["x", "y"], 1.9, 3, {"kind": ["a"]}).collect()}
     assert {apart[i] for i in range(0, 60, 2)}.isdisjoint({apart[i] for i in range(1, 60, 2)} - {-1})
