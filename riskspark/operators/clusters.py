@@ -75,10 +75,13 @@ def severity(compared: DataFrame, levels: Mapping[float, str], lowest: str, high
 
 
 def equal_width_splits(df: DataFrame, cols: Sequence[str], bins: int) -> dict[str, list[float]]:
-    """Bin edges per feature: one aggregate, two numbers per feature on the driver."""
+    """Bin edges per feature: one aggregate, two numbers per feature on the driver; none for a feature without values."""
     row = df.agg(*[f(c).alias(f"{c}_{n}") for c in cols for n, f in (("lo", F.min), ("hi", F.max))]).first()
     out = {}
     for c in cols:
+        if row[f"{c}_lo"] is None:
+            out[c] = []
+            continue
         lo, hi = float(row[f"{c}_lo"]), float(row[f"{c}_hi"])
         if lo == hi:
             hi = lo + 10.0
@@ -87,25 +90,45 @@ def equal_width_splits(df: DataFrame, cols: Sequence[str], bins: int) -> dict[st
     return out
 
 
+def bin_of(value: Column, edges: Column) -> Column:
+    """Bin number from 0: ``[x, y)``, the last one closed; null outside and without edges."""
+    last = F.size(edges) - 1
+    passed = F.size(F.filter(edges, lambda e, i: (i > 0) & (i < last) & (value >= e)))
+    return F.when((value >= F.get(edges, F.lit(0))) & (value <= F.get(edges, last)), passed)
+
+
 def bucket(col: Column, splits: Sequence[float]) -> Column:
-    """Bin number from 0: ``[x, y)``, the last one closed; null outside."""
-    steps = None
-    for edge in splits[1:-1]:
-        one = F.when(col >= edge, 1).otherwise(0)
-        steps = one if steps is None else steps + one
-    inside = (col >= splits[0]) & (col <= splits[-1])
-    return F.when(inside, steps if steps is not None else F.lit(0))
+    """Bin number of ``bin_of`` for edges known beforehand."""
+    return bin_of(col, F.lit(list(splits))) if splits else F.lit(None).cast("int")
+
+
+def long_values(df: DataFrame, keep: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """(keep, feature, value): one row for each of the columns."""
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols]))
+    return df.select(*keep, each.alias("_v")).select(*keep, "_v.feature", "_v.value")
+
+
+def edge_table(df: DataFrame, splits: Mapping[str, Sequence[float]]) -> DataFrame:
+    """(feature, edges): one row for each column, so small whatever the data."""
+    rows = [(c, [float(x) for x in s]) for c, s in splits.items()]
+    return F.broadcast(df.sparkSession.createDataFrame(rows, "feature string, edges array<double>"))
 
 
 def histogram(df: DataFrame, cluster: str, cols: Sequence[str], splits: Mapping[str, Sequence[float]]) -> DataFrame:
-    """(cluster, feature, bin): count and density; empty bins included."""
-    wide = df.groupBy(cluster).agg(*[
-        F.array(*[F.count(F.when(bucket(F.col(c), splits[c]) == i, True)) for i in range(len(splits[c]) - 1)]).alias(c) for c in cols])
-    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("counts")) for c in cols]))
-    long = wide.select(cluster, rows.alias("r")).select(cluster, "r.feature", "r.counts")
-    total = F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, x: a + x)
-    return long.withColumn("total", total).select(
-        cluster, "feature", "total", F.posexplode("counts").alias("bin", "n")).withColumn("density", F.col("n") / F.col("total"))
+    """(cluster, feature, bin): count and density; empty bins included, a feature without edges has none.
+
+    Every value becomes one (cluster, feature, bin), counted before the shuffle, so the plan does
+    not grow with the number of columns and the shuffle not with the rows.
+    """
+    edges = edge_table(df, splits)
+    counts = long_values(df, [cluster], cols).join(edges, "feature").groupBy(cluster, "feature", bin_of(F.col("value"), F.col("edges")).alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"))
+    found = F.map_from_entries(F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("bin", "n"))))
+    per = counts.groupBy(cluster, "feature").agg(found.alias("found"), F.sum(F.when(F.col("bin").isNotNull(), F.col("n"))).alias("total"))
+    bins = F.when(F.size("edges") > 1, F.sequence(F.lit(0), F.size("edges") - 2))
+    every = F.transform(bins, lambda i: F.coalesce(F.try_element_at("found", i), F.lit(0)).cast("bigint"))
+    return per.join(edges, "feature").select(cluster, "feature", F.coalesce("total", F.lit(0)).alias("total"), F.posexplode(every).alias("bin", "n")).withColumn(
+        "density", F.try_divide("n", "total"))
 
 
 def categorical_histogram(df: DataFrame, cluster: str, col: str) -> DataFrame:
@@ -207,9 +230,8 @@ def bins_from_json(text: Column) -> tuple[Column, Column]:
 
 def hist_arrays(hist: DataFrame, cluster: str, splits: Mapping[str, Sequence[float]]) -> DataFrame:
     """(cluster, feature) with edges and density arrays; a histogram has a handful of bins."""
-    edges = F.create_map(*[x for c, s in splits.items() for x in (F.lit(c), F.array(*[F.lit(v) for v in s]))])
     dens = F.transform(F.array_sort(F.collect_list(F.struct("bin", "density"))), lambda b: b["density"])
-    return hist.groupBy(cluster, "feature").agg(dens.alias("density")).withColumn("edges", edges[F.col("feature")])
+    return hist.groupBy(cluster, "feature").agg(dens.alias("density")).join(edge_table(hist, splits), "feature")
 
 
 # ---- quality ---------------------------------------------------------------------------

@@ -83,10 +83,11 @@ EDGE_SQL = f""", ext AS (SELECT feature, MIN(value) AS lo, MAX(value) AS hi, (MA
     binned AS (SELECT l.*, CAST((SELECT COUNT(*) FROM edges e WHERE e.feature = l.feature AND e.i BETWEEN 1 AND {BINS - 1} AND l.value >= e.edge) AS INT) AS bin FROM long l)"""
 
 
-@query("bucketize_equal_width", VEC_SQL + EDGE_SQL + " SELECT vec_id, CAST(MAX(CASE feature WHEN 'f0' THEN bin END) AS INT) AS f0_bin, CAST(MAX(CASE feature WHEN 'f1' THEN bin END) AS INT) AS f1_bin FROM binned GROUP BY 1")
+@query("bucketize_equal_width", VEC_SQL + EDGE_SQL + " SELECT vec_id, " + ", ".join(
+    f"CAST(MAX(CASE feature WHEN '{f}' THEN bin END) AS INT) AS {f}_bin" for f in FEATURES) + " FROM binned GROUP BY 1")
 def bucketize_equal_width(spark, sf):
     df = vectors(spark, sf)
-    splits = cl.equal_width_splits(df, ["f0", "f1"], BINS)
+    splits = cl.equal_width_splits(df, FEATURES, BINS)
     return df.select("vec_id", *[cl.bucket(F.col(c), splits[c]).alias(f"{c}_bin") for c in splits])
 
 
@@ -161,12 +162,12 @@ def cluster_details(spark, sf):
 
 
 @query("ri_percentile", VEC_SQL + HIST_SQL + """, w AS (SELECT h.*, h.n / h.total AS density, a.edge AS lo, b.edge AS hi FROM hist h JOIN edges a ON a.feature = h.feature AND a.i = h.bin JOIN edges b ON b.feature = h.feature AND b.i = h.bin + 1)
-    SELECT v.vec_id, v.cluster, CASE WHEN v.f0 >= MAX(hi) THEN 1.0 WHEN v.f0 < MIN(lo) THEN 0.0 ELSE ROUND(SUM(density * LEAST(GREATEST((v.f0 - lo) / (hi - lo), 0), 1)), 4) END AS percentile
-    FROM vec v JOIN w ON w.cluster = v.cluster AND w.feature = 'f0' GROUP BY 1, 2, v.f0""")
+    SELECT v.vec_id, v.cluster, v.feature, CASE WHEN v.value >= MAX(hi) THEN 1.0 WHEN v.value < MIN(lo) THEN 0.0 ELSE ROUND(SUM(density * LEAST(GREATEST((v.value - lo) / (hi - lo), 0), 1)), 4) END AS percentile
+    FROM long v JOIN w ON w.cluster = v.cluster AND w.feature = v.feature GROUP BY 1, 2, 3, v.value""")
 def ri_percentile(spark, sf):
     df, splits, hist = hist_of(spark, sf)
-    arrays = cl.hist_arrays(hist.filter("feature = 'f0'"), "cluster", {"f0": splits["f0"]})
-    return df.join(arrays, "cluster").select("vec_id", "cluster", cl.hist_percentile(F.col("edges"), F.col("density"), F.col("f0")).alias("percentile"))
+    values = cl.long_values(df, ["vec_id", "cluster"], FEATURES).join(cl.hist_arrays(hist, "cluster", splits), ["cluster", "feature"])
+    return values.select("vec_id", "cluster", "feature", cl.hist_percentile(F.col("edges"), F.col("density"), F.col("value")).alias("percentile"))
 
 
 @query("ri_profile_deviation", "WITH base AS (" + sql_features(", ".join(amt(f"direction = 'incoming-all' AND dd >= {s} AND dd < {s + 30}", f"t{s}") for s in _SHIFTS)) + ")" + """,

@@ -116,6 +116,17 @@ def test_buckets_and_histogram_percentile(spark):
     assert [r[0] for r in one(df, clusters.hist_percentile(edges, dens, F.col("x")))] == [0.0, 0.0, 0.125, 0.25, 1.0, 1.0]
 
 
+def test_histogram_counts_every_value_and_empty_columns(spark):
+    rows = [("a", 1.0, None, 5.0), ("a", 2.0, None, 5.0), ("a", 9.0, None, None), ("b", 9.0, None, 5.0), ("c", None, None, None), (None, 5.0, None, 5.0)]
+    df = spark.createDataFrame(rows, "g string, x double, y double, z double")
+    splits = clusters.equal_width_splits(df, ["x", "y", "z"], 4)
+    assert splits == {"x": [1.0, 3.0, 5.0, 7.0, 9.0], "y": [], "z": [5.0, 7.5, 10.0, 12.5, 15.0]}
+    got = {(r.g, r.feature, r.bin): (r.n, r.total, r.density) for r in clusters.histogram(df, "g", ["x", "y", "z"], splits).collect()}
+    assert {k[1] for k in got} == {"x", "z"} and len(got) == 4 * 2 * 4
+    assert [got["a", "x", i] for i in range(4)] == [(2, 3, 2 / 3), (0, 3, 0.0), (0, 3, 0.0), (1, 3, 1 / 3)]
+    assert got["b", "x", 3] == (1, 1, 1.0) and got["c", "x", 0] == (0, 0, None) and got[None, "x", 2] == (1, 1, 1.0)
+
+
 def test_branches_versions_and_codes(spark):
     df = spark.createDataFrame([(1, "a")] * 3 + [(1, "b")], "model_id int, rule string")
     assert sorted((r.rule, r.branch_id, r.to_cluster) for r in branches.branch_split(df, 3).distinct().collect()) == [("a", 2, 1), ("b", 1, 0)]
