@@ -237,7 +237,16 @@ def hist_arrays(hist: DataFrame, cluster: str, splits: Mapping[str, Sequence[flo
 # ---- quality ---------------------------------------------------------------------------
 
 def cluster_quality(df: DataFrame, cluster: str, cols: Sequence[str]) -> DataFrame:
-    """Silhouette (squared Euclidean), Calinski-Harabasz and Davies-Bouldin."""
+    """Silhouette (squared Euclidean), Calinski-Harabasz and Davies-Bouldin.
+
+    Rows without a cluster are left out; the columns hold no nulls. A measure that is not defined
+    is null: all three below two clusters, Calinski-Harabasz if every cluster is a point,
+    Davies-Bouldin if two clusters have one centre.
+    """
+    df = df.filter(F.col(cluster).isNotNull())
+    if df.select(cluster).distinct().limit(2).count() < 2:
+        names = ("silhouette", "calinski_harabasz", "davies_bouldin")
+        return df.sparkSession.createDataFrame([(None,) * 3], ", ".join(f"{n} double" for n in names))
     vectors = VectorAssembler(inputCols=list(cols), outputCol="features").transform(df).select("features", F.col(cluster).cast("double").alias("prediction"))
     silhouette = ClusteringEvaluator(distanceMeasure="squaredEuclidean").evaluate(vectors)
     cents = df.groupBy(cluster).agg(F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(f"_m_{c}") for c in cols])
@@ -256,9 +265,11 @@ def cluster_quality(df: DataFrame, cluster: str, cols: Sequence[str]) -> DataFra
 
     def worst(a: Column) -> Column:
         others = F.filter("cs", lambda b: b["id"] != a["id"])
-        return F.array_max(F.transform(others, lambda b: (a["s"] + b["s"]) / distance(a["center"], b["center"])))
-    db = F.aggregate(F.transform("cs", worst), F.lit(0.0), lambda acc, x: acc + x) / F.col("k")
-    ch = (F.col("b") / (F.col("k") - 1)) / (F.col("w") / (F.col("n") - F.col("k")))
+        each = F.transform(others, lambda b: F.try_divide(a["s"] + b["s"], distance(a["center"], b["center"])))
+        # the greatest, NaN and so null in the end if two centres are one
+        return F.array_max(F.transform(each, lambda x: F.coalesce(x, F.lit(float("nan")))))
+    db = F.nullif(F.aggregate(F.transform("cs", worst), F.lit(0.0), lambda acc, x: acc + x) / F.col("k"), F.lit(float("nan")))
+    ch = F.try_divide(F.col("b") / (F.col("k") - 1), F.try_divide(F.col("w"), F.col("n") - F.col("k")))
     return packed.select(F.lit(float(silhouette)).alias("silhouette"), ch.alias("calinski_harabasz"), db.alias("davies_bouldin"))
 
 

@@ -127,6 +127,19 @@ def test_histogram_counts_every_value_and_empty_columns(spark):
     assert got["b", "x", 3] == (1, 1, 1.0) and got["c", "x", 0] == (0, 0, None) and got[None, "x", 2] == (1, 1, 1.0)
 
 
+def test_cluster_quality_of_odd_clusters(spark):
+    def measures(rows):
+        return tuple(clusters.cluster_quality(spark.createDataFrame(rows, "g int, x double, y double"), "g", ["x", "y"]).first())
+
+    assert measures([(1, 0.0, 0.0), (1, 1.0, 0.0)]) == (None, None, None)
+    two = [(1, 0.0, 0.0), (1, 2.0, 0.0), (2, 10.0, 0.0), (2, 12.0, 0.0)]
+    s, ch, db = measures(two)
+    assert s > 0.9 and ch == pytest.approx(50.0) and db == pytest.approx(0.2)
+    assert measures([*two, (None, 3.0, 3.0)]) == (s, ch, db)
+    assert measures([(1, 0.0, 0.0), (1, 2.0, 0.0), (2, 1.0, -1.0), (2, 1.0, 1.0)])[2] is None     # one centre
+    assert measures([(1, 0.0, 0.0), (2, 2.0, 0.0)])[1] is None                                       # points
+
+
 def test_branches_versions_and_codes(spark):
     df = spark.createDataFrame([(1, "a")] * 3 + [(1, "b")], "model_id int, rule string")
     assert sorted((r.rule, r.branch_id, r.to_cluster) for r in branches.branch_split(df, 3).distinct().collect()) == [("a", 2, 1), ("b", 1, 0)]
