@@ -50,6 +50,8 @@ PRINTS = 12
 MIX = np.array([xxhash.xxh64_intdigest(bytes([k]), SEED) for k in range(PRINTS)], np.uint64)
 #: fingerprints of a shard up to which all are measured directly, and entries of shards that share a task
 DIRECT, ENTRIES = 512, 500_000
+#: hot shards whose sizes are broadcast
+HOT_SENT = 100_000
 
 
 def shingle_hashes(text: str, words: int) -> np.ndarray:
@@ -338,7 +340,8 @@ def candidates(texts: DataFrame, radius: int, similarity: float) -> DataFrame:
     hot = entries.groupBy("shard").count().filter(F.col("count") > TREE / 2).select(
         "shard", F.ceil(F.col("count") / (TREE / 2)).cast("int").alias("trees"))
     tasks = max(1, math.ceil((rows or 0) * len(keys) / ENTRIES))
-    sized = entries.join(F.broadcast(staged(hot)), "shard", "left")
+    hot = staged(hot)
+    sized = entries.join(F.broadcast(hot) if row_count(hot) <= HOT_SENT else hot, "shard", "left")
     plain = sized.filter("trees IS NULL").select(
         F.pmod(F.xxhash64("shard"), F.lit(tasks)).alias("task"), F.lit(-1).alias("part"), "shard", "fp", "node", F.lit(True).alias("visits"))
     own = F.pmod(F.xxhash64("fp"), F.col("trees")).cast("int")
