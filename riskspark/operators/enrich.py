@@ -72,21 +72,56 @@ def any_equal(pairs: Sequence[tuple[str, str]]) -> Column:
     return reduce(lambda x, y: x | y, [F.coalesce(F.col(a) == F.col(b), F.lit(False)) for a, b in pairs])
 
 
+def with_flags(rows: DataFrame) -> DataFrame:
+    """All flags of a transaction as true or false, never null, from what is known of both sides.
+
+    Own columns ``party country account_unit account_type account_segment party_type`` stand
+    beside the same names with ``opp_``; lists and attributes of the counter-party are boolean
+    columns. What is unknown raises no flag."""
+    def known(p: Column) -> Column:
+        return F.coalesce(p, F.lit(False))
+    made = {"same_party": F.col("party") == F.col("opp_party"), "to_foreign": F.col("country") != F.col("opp_country")}
+    made |= {f"diff_{c}": F.col(c) != F.col(f"opp_{c}") for c in ("account_unit", "account_type", "account_segment", "party_type")}
+    made |= {f"with_{c}": F.col(f"opp_{c}") for c in ("pep", "adverse_news", "ngo", "tax_haven")}
+    made |= {"to_high_risk_country": F.col("risky_country"), "to_high_risk_party": F.col("risky_party")}
+    return rows.withColumns({n: known(p) for n, p in made.items()})
+
+
+FLAGS = ("to_high_risk_country", "to_high_risk_party", "same_party", "to_foreign", "diff_account_unit", "diff_account_type", "diff_account_segment",
+         "diff_party_type", "with_pep", "with_adverse_news", "with_ngo", "with_tax_haven")
+
+
 def valid_intervals(df: DataFrame, intervals: DataFrame, key: str, date: str, start: str = "start_date",
                     expiry: str = "expiry_date", tie: str = "interval_id") -> DataFrame:
     """Each distinct (key, date) with the interval valid on it, null where none is.
 
-    Intervals are reduced to the newest one per (key, start), and of those valid on the
-    date the newest wins, so the result has one row per point. Points are distinct dates,
-    which bounds the work of one key by its calendar days times its interval starts."""
+    Of the intervals of one start the one that ends last counts (ties: the largest ``tie``), and
+    of those valid on a date the one that starts last. Intervals may overlap and nest, so each is
+    cut into the dyadic ranges of days that make it up, one winner is kept for each range, and a
+    point meets only the ranges that hold its day: both sides cost the logarithm of the days
+    between the first and the last point, whatever a key holds, and no point meets an interval.
+    A null key or date has no interval, nor has an interval without start."""
     points = df.select(key, date).distinct()
-    newest = intervals.groupBy(key, start).agg(F.max(F.struct(
-        F.coalesce(expiry, F.lit("9999-12-31").cast("date")).alias("_until"), F.col(tie).alias(tie))).alias("_i"))
-    hit = (F.col(date) >= F.col(start)) & (F.col(date) <= F.col("_i._until"))
-    matched = points.join(newest, key).filter(hit).groupBy(key, date).agg(
-        F.max(F.struct(F.col(start), F.col(f"_i.{tie}"))).alias("_m"))
-    return points.join(matched, [key, date], "left").select(
-        key, date, F.col(f"_m.{start}").alias(start), F.col(f"_m.{tie}").alias(tie))
+    ends = points.agg(F.min(F.col(date).cast("date")).alias("first"), F.max(F.col(date).cast("date")).alias("last")).first()
+    kind = dict(intervals.dtypes)
+    if ends["first"] is None:
+        return points.select(key, date, F.lit(None).cast(kind[start]).alias(start), F.lit(None).cast(kind[tie]).alias(tie))
+    days = (ends["last"] - ends["first"]).days + 1
+    day0, levels = F.lit(ends["first"]), range(days.bit_length())
+    until = F.coalesce(F.datediff(F.col(expiry), day0) + 1, F.lit(days))
+    newest = intervals.groupBy(key, start).agg(F.max(F.struct(until.alias("until"), F.coalesce(expiry, F.lit("9999-12-31").cast("date")).alias("_e"), F.col(tie).alias(tie))).alias("_i"))
+    a, b = F.greatest(F.datediff(F.col(start), day0), F.lit(0)), F.least(F.col("_i.until"), F.lit(days))
+    ranges = []
+    for k in levels:
+        left, right = F.shiftright(a + (2 ** k - 1), k), F.shiftright(b, k)
+        ranges += [F.when((left < right) & (side % 2 == 1), F.struct(F.lit(k).alias("k"), node.alias("r")))
+                   for side, node in ((left, left), (right, right - 1))]
+    best = newest.filter(F.col(start).isNotNull() & (a < b)).select(key, F.struct(F.col(start), F.col(f"_i.{tie}")).alias("_m"), F.explode(F.array_compact(F.array(*ranges))).alias("_n")) \
+        .groupBy(key, F.col("_n.k").alias("_k"), F.col("_n.r").alias("_r")).agg(F.max("_m").alias("_m"))
+    day = F.datediff(F.col(date), day0)
+    looked = points.select(key, date, F.explode(F.array(*[F.struct(F.lit(k).alias("_k"), F.shiftright(day, k).alias("_r")) for k in levels])).alias("_n")).select(key, date, "_n.*")
+    found = looked.join(best, [key, "_k", "_r"]).groupBy(key, date).agg(F.max("_m").alias("_m"))
+    return points.join(found, [key, date], "left").select(key, date, F.col(f"_m.{start}").alias(start), F.col(f"_m.{tie}").alias(tie))
 
 
 def outer_all(dfs: Sequence[DataFrame], key: str) -> DataFrame:

@@ -12,8 +12,8 @@ the equi-join discard everything that cannot be in range.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 MAX_HISTORY = 360
 EPOCH = "1970-01-01"
+STEP = "decimal(32,6)"        # exact, so that what is added can be taken away again
 
 
 def time_block(date: Column | str, days: int) -> Column:
@@ -60,10 +61,17 @@ class Spec:
     categories: tuple[str, ...] | None = None
     flags: tuple[str, ...] = ()
     category_col: str = "direction"
+    source: str = "transactions"
+    level: str = "CUSTOMER"
+    under: int | None = None                 # the counter-party is younger at the reference (column birth_date)
 
     def shifted(self, shift: int, name: str) -> Spec:
-        return Spec(name, self.op, self.days + shift, self.offset + shift, self.categories, self.flags,
-                    self.category_col)
+        return replace(self, name=name, days=self.days + shift, offset=self.offset + shift)
+
+
+def days_under(years: int) -> int:
+    """Days after birth on which somebody is no longer younger than ``years`` (of 365.25 days)."""
+    return -(-years * 1461 // 4)
 
 
 def referenced(facts: DataFrame, refs: DataFrame, days: int, key: str = "party", date: str = "txn_date",
@@ -84,15 +92,15 @@ def daily_totals(facts: DataFrame, specs: Sequence[Spec], key: str = "party", da
                  amount: str = "amount") -> DataFrame:
     """Facts summed to (key, day, the categories and flags the specs ask for): the finest
     grain any look-back needs. Map-side partial sums carry the load of hot keys."""
-    dims = sorted({s.category_col for s in specs if s.categories} | {f for s in specs for f in s.flags})
+    dims = sorted({s.category_col for s in specs if s.categories} | {f for s in specs for f in s.flags} | {"birth_date" for s in specs if s.under})
     ops = {s.op for s in specs}
-    value = F.col(amount).cast("double")
     measures = [F.count(F.lit(1)).alias("_n")]
     if "AMT" in ops:
         measures.append(F.sum(amount).alias("_sum"))
     if "MAX" in ops:
         measures.append(F.max(amount).alias("_max"))
     if "SD" in ops:
+        value = F.col(amount).cast("double")
         measures += [F.sum(value).alias("_s1"), F.sum(value * value).alias("_s2")]
     return facts.groupBy(key, F.col(date).cast("date").alias(date), *dims).agg(*measures)
 
@@ -103,11 +111,14 @@ def _inside(spec: Spec) -> Column:
         p &= F.col(spec.category_col).isin(*spec.categories)
     for flag in spec.flags:
         p &= F.col(flag)
+    if spec.under:
+        p &= F.datediff("ref_date", "birth_date") < days_under(spec.under)
     return p
 
 
-def spec_column(spec: Spec) -> Column:
-    p = _inside(spec)
+def spec_column(spec: Spec, among: Column | None = None) -> Column:
+    """``among`` holds for the rows that the feature may read at all."""
+    p = _inside(spec) if among is None else among & _inside(spec)
     n = F.coalesce(F.sum(F.when(p, F.col("_n"))), F.lit(0))
     if spec.op == "VOL":
         out = n.cast("bigint")
@@ -150,74 +161,115 @@ def near_facts(facts: DataFrame, refs: DataFrame, date: str, key: str, days: int
 
 @dataclass(frozen=True)
 class DistinctSpec:
-    """Distinct values seen in a window, optionally only in rows where ``where`` holds."""
+    """Distinct values seen in a window, optionally only in rows where ``where`` holds, of
+    the column ``value`` if it is not the one common to all."""
     name: str
     days: int
     offset: int = 0
     where: str | None = None
+    value: str | None = None
+    under: int | None = None
 
 
 def distinct_in_lookback(facts: DataFrame, refs: DataFrame, value: str, specs: Sequence[DistinctSpec],
                          key: str = "party", date: str = "txn_date") -> DataFrame:
-    """Exact distinct counts over sliding windows without joining references to rows.
+    """Exact distinct counts over sliding windows without joining references to rows."""
+    facts = referenced(facts, refs, max(s.days for s in specs), key, date)
+    return running_steps(distinct_steps(facts, value, specs, key, date), refs, [s.name for s in specs], key)
+
+
+def distinct_steps(facts: DataFrame, value: str, specs: Sequence[DistinctSpec], key: str, date: str) -> DataFrame:
+    """Steps (key, day, one column per spec) whose running sums are distinct counts.
 
-    A value active on day d is in the window of every reference in
-    ``[d + offset, d + days)``, cut short where its next active day takes over. So each
-    active day adds +1 and -1 at two dates; per key the count at a reference date is the
-    running sum of those steps. The work is linear in the rows, and the last window holds
-    one row per key and calendar day.
+    A value active on day d is in the window of every reference in ``[d + offset, d + days)``,
+    or until its counter-party is too old if that comes first. What an earlier day already
+    covers is cut off, so each stretch adds +1 and -1 at two dates; the work is linear in the
+    rows, and the running window of a key holds one row per calendar day.
     """
-    wheres = sorted({s.where or "true" for s in specs})
-    tags = F.array_compact(F.array(*[F.when(F.expr(w), F.lit(i)) for i, w in enumerate(wheres)]))
-    facts = referenced(facts, refs, max(s.days for s in specs), key, date)
-    active = facts.select(key, F.col(value).alias("_v"), F.col(date).cast("date").alias("_day"), F.explode(tags).alias("_w")) \
-        .filter(F.col("_v").isNotNull()).distinct()
-    ahead = F.lead("_day").over(Window.partitionBy(key, "_v", "_w").orderBy("_day"))
-    active = active.withColumn("_next", ahead)
-    def on_row(tag: int, offset: int) -> Column:
-        starts = [(1 if (s.where or "true") == wheres[tag] and s.offset == offset else 0) for s in specs]
-        return F.when(F.col("_w") == tag, F.struct(F.date_add("_day", offset).alias("day"), *[F.lit(v).alias(s.name) for v, s in zip(starts, specs)]))
-
-    def off_row(i: int, s: DistinctSpec) -> Column:
+    kinds = sorted({(s.where or "true", s.value or value, bool(s.under)) for s in specs})
+    tags = [F.when(F.expr(w), F.struct(F.lit(i).alias("w"), F.col(v).cast("string").alias("v"),
+                                       (F.col("birth_date") if u else F.lit(None)).cast("date").alias("b"))) for i, (w, v, u) in enumerate(kinds)]
+    active = facts.select(key, F.col(date).cast("date").alias("_day"), F.explode(F.array_compact(F.array(*tags))).alias("_t")) \
+        .groupBy(key, F.col("_t.w").alias("_w"), F.col("_t.v").alias("_v"), "_day").agg(F.max("_t.b").alias("_b")).filter("_v is not null")
+    before = Window.partitionBy(key, "_w", "_v").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+
+    def stretch(s: DistinctSpec) -> tuple[Column, Column]:
         until = F.date_add("_day", s.days)
-        until = F.coalesce(F.least(until, F.date_add("_next", s.offset)), until)
-        return F.when(F.col("_w") == wheres.index(s.where or "true"), F.struct(
-            until.alias("day"), *[F.lit(-1 if j == i else 0).alias(x.name) for j, x in enumerate(specs)]))
-
-    starts = sorted({(wheres.index(s.where or "true"), s.offset) for s in specs})
-    steps = [on_row(w, o) for w, o in starts] + [off_row(i, s) for i, s in enumerate(specs)]
-    moves = active.select(key, F.explode(F.array_compact(F.array(*steps))).alias("m")).select(key, "m.*")
-    return running_steps(moves, refs, [s.name for s in specs], key)
+        if s.under:            # unknown age: in no window; a null start or end makes no step
+            until = F.when(F.col("_b").isNotNull(), F.least(until, F.date_add("_b", days_under(s.under))))
+        mine = F.when(F.col("_w") == kinds.index((s.where or "true", s.value or value, bool(s.under))), until)
+        covered = F.max(mine).over(before)
+        start = F.date_add("_day", s.offset)
+        return F.coalesce(F.greatest(start, covered), start), mine
+
+    ends = active.select(key, *[F.struct(*(c.alias(n) for c, n in zip(stretch(s), ("on", "off")))).alias(f"_s{i}") for i, s in enumerate(specs)])
+    moves = [F.when(F.col(f"_s{i}.on") < F.col(f"_s{i}.off"), F.struct(F.col(f"_s{i}.{end}").alias("day"), F.lit(i).alias("i"), F.lit(sign).cast("bigint").alias("x")))
+             for i in range(len(specs)) for end, sign in (("on", 1), ("off", -1))]
+    return ends.select(key, F.explode(F.array_compact(F.array(*moves))).alias("m")).select(
+        key, "m.day", *[F.when(F.col("m.i") == i, F.col("m.x")).alias(s.name) for i, s in enumerate(specs)])
+
+
+def sum_steps(facts: DataFrame, specs: Sequence[Spec], key: str, date: str, amount: str) -> DataFrame:
+    """Steps (key, day, one column per spec) whose running sums are amounts (AMT) or counts
+    (VOL) of rows that count until the look-back ends or the counter-party is too old,
+    whichever comes first. No reference meets a row."""
+    dims = sorted({s.category_col for s in specs if s.categories} | {f for s in specs for f in s.flags} | {"birth_date"})
+    daily = facts.groupBy(key, F.col(date).cast("date").alias("_day"), *dims).agg(
+        F.count(F.lit(1)).cast(STEP).alias("_n"), F.sum(F.col(amount)).cast(STEP).alias("_a"))
+    moves = []
+    for i, s in enumerate(specs):
+        p = F.lit(True)
+        if s.categories:
+            p &= F.col(s.category_col).isin(*s.categories)
+        for flag in s.flags:
+            p &= F.col(flag)
+        on, off = F.date_add("_day", s.offset), F.date_add("_day", s.days)
+        if s.under:
+            p &= F.col("birth_date").isNotNull()
+            off = F.least(off, F.date_add("birth_date", days_under(s.under)))
+        x = F.col("_n" if s.op == "VOL" else "_a")
+        moves += [F.when(p & (on < off), F.struct(day.alias("day"), F.lit(i).alias("i"), v.alias("x"))) for day, v in ((on, x), (off, -x))]
+    return daily.select(key, F.explode(F.array_compact(F.array(*moves))).alias("m")).select(
+        key, "m.day", *[F.when(F.col("m.i") == i, F.col("m.x")).alias(s.name) for i, s in enumerate(specs)])
 
 
 def running_steps(moves: DataFrame, refs: DataFrame, names: Sequence[str], key: str = "party",
-                  ref_date: str = "ref_date") -> DataFrame:
+                  ref_date: str = "ref_date", types: Mapping[str, str] | None = None) -> DataFrame:
     """Sum of all steps dated on or before each reference point.
 
     ``moves`` holds rows (key, day, steps ...). They are summed per (key, day) first, so
-    the running window of one key never exceeds its calendar days."""
-    daily = moves.groupBy(key, "day").agg(*[F.sum(n).cast("bigint").alias(n) for n in names]).withColumn("_ref", F.lit(0))
-    marks = refs.select(key, F.col(ref_date).alias("day"), *[F.lit(0).cast("bigint").alias(n) for n in names],
+    the running window of one key never exceeds its calendar days. Steps are long integers
+    where ``types`` does not name another exact type."""
+    kind = {n: (types or {}).get(n, "bigint") for n in names}
+    daily = moves.groupBy(key, "day").agg(*[F.sum(f"`{n}`").cast(kind[n]).alias(n) for n in names]).withColumn("_ref", F.lit(0))
+    marks = refs.select(key, F.col(ref_date).alias("day"), *[F.lit(0).cast(kind[n]).alias(n) for n in names],
                         F.lit(1).alias("_ref"))
     running = Window.partitionBy(key).orderBy("day", "_ref").rowsBetween(Window.unboundedPreceding, 0)
     return (
         daily.unionByName(marks)
-        .select(key, F.col("day").alias(ref_date), "_ref", *[F.sum(n).over(running).alias(n) for n in names])
+        .select(key, F.col("day").alias(ref_date), "_ref", *[F.sum(f"`{n}`").over(running).alias(n) for n in names])
         .filter("_ref = 1").drop("_ref")
     )
 
 
+def gap_days(facts: DataFrame, key: str, date: str) -> DataFrame:
+    """Activity days (key, _day) with the days since the one before as ``_gap``."""
+    days = facts.select(key, F.col(date).cast("date").alias("_day")).distinct()
+    return days.withColumn("_gap", F.datediff("_day", F.lag("_day").over(Window.partitionBy(key).orderBy("_day"))))
+
+
+def gap_column(spec: Spec, among: Column | None = None) -> Column:
+    """Mean (AVG) or spread (SD) of the gaps whose two days are inside the window."""
+    p = (F.col("days_before") >= spec.offset) & (F.col("days_before") + F.col("_gap") < spec.days)
+    gap = F.when(p if among is None else among & p, F.col("_gap"))
+    return (F.avg(gap) if spec.op == "AVG" else F.stddev_samp(gap)).alias(spec.name)
+
+
 def gap_features(facts: DataFrame, refs: DataFrame, windows: Sequence[int], key: str = "party",
                  date: str = "txn_date") -> DataFrame:
     """Mean and spread of the days between consecutive activity days inside each window."""
-    days = referenced(facts, refs, max(windows), key, date).select(key, F.col(date).cast("date").alias("_day")).distinct()
-    days = days.withColumn("_gap", F.datediff("_day", F.lag("_day").over(Window.partitionBy(key).orderBy("_day"))))
-    joined = near_facts(days, refs, "_day", key, max(windows))
-    cols = []
-    for w in windows:
-        inside = F.when(F.col("days_before") + F.col("_gap") < w, F.col("_gap"))
-        cols += [F.avg(inside).alias(f"TXN-GAP_{w}DAY_AVG"), F.stddev_samp(inside).alias(f"TXN-GAP_{w}DAY_SD")]
-    return joined.groupBy(key, "ref_date").agg(*cols)
+    joined = near_facts(gap_days(referenced(facts, refs, max(windows), key, date), key, date), refs, "_day", key, max(windows))
+    return joined.groupBy(key, "ref_date").agg(*[gap_column(Spec(f"TXN-GAP_{w}DAY_{op}", op, w)) for w in windows for op in ("AVG", "SD")])
 
 
 def skew_safe_agg(df: DataFrame, key: str, amount: str, distinct: str) -> DataFrame:

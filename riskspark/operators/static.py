@@ -64,24 +64,44 @@ def active_links(links: DataFrame, refs: DataFrame) -> DataFrame:
     return running_steps(moves, refs, ["active_links"])
 
 
+def over_links(pairs: DataFrame, dated: DataFrame, refs: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Sum over the links active at each reference of what the linked parties hold on that day.
+
+    ``dated`` (linked_party, on, off, names ...) adds its values from ``on`` until the day before
+    ``off``. A link costs the smaller of two numbers: the dated rows of its linked party, as
+    steps of the party, or the references of its party, each with one look-up of a running sum
+    of the linked party. A hub on either side makes no product, and links of parties
+    without reference, or to parties without dated rows, cost nothing."""
+    asked = refs.groupBy("party").agg(F.count(F.lit(1)).alias("_refs"))
+    held = dated.groupBy("linked_party").agg(F.count(F.lit(1)).alias("_rows"))
+    sized = pairs.join(asked, "party").join(held, "linked_party").withColumn("_steps", F.col("_rows") <= F.col("_refs"))
+    by_steps = sized.filter("_steps").select("party", "linked_party", "until").join(dated, "linked_party")
+    stepped = running_steps(_steps(by_steps, "party", F.least("off", "until"), names), refs, names)
+    looks = sized.filter("not _steps").select("party", "linked_party", "until").join(refs.select("party", "ref_date"), "party").filter("ref_date < until")
+    values = running_steps(_steps(dated, "linked_party", F.col("off"), names), looks.select("linked_party", "ref_date").distinct(), names, "linked_party")
+    looked = looks.join(values, ["linked_party", "ref_date"]).groupBy("party", "ref_date").agg(*[F.sum(n).alias(f"_{n}") for n in names])
+    return stepped.join(looked, ["party", "ref_date"], "left").select(
+        "party", "ref_date", *[(F.col(n) + F.coalesce(f"_{n}", F.lit(0))).alias(n) for n in names])
+
+
+def _steps(rows: DataFrame, key: str, off: Column, names: Sequence[str]) -> DataFrame:
+    both = F.array(F.struct(F.col("on").alias("day"), *names), F.struct(off.alias("day"), *[(-F.col(n)).alias(n) for n in names]))
+    return rows.filter(F.col("on") < off).select(key, F.explode(both).alias("m")).select(key, "m.*")
+
+
 def linked_alerts(links: DataFrame, alerts: DataFrame, refs: DataFrame, true_result: str = "F", days: int = 360) -> DataFrame:
     """Alerts and true alerts of actively linked parties in the look-back, and how many of
     those parties have at least one true alert."""
     daily = alerts.groupBy(F.col("party").alias("linked_party"), "alert_date").agg(
         F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("result") == true_result, True)).alias("t"))
     ahead = F.lead("alert_date").over(Window.partitionBy("linked_party").orderBy("alert_date"))
-    trues = daily.filter("t > 0").select("linked_party", "alert_date", ahead.alias("next_true"))
-    pairs = link_pairs(links)
-    rows = pairs.join(daily, "linked_party")
-    off = F.least(F.date_add("alert_date", days), F.col("until"))
-    flagged = pairs.join(trues, "linked_party")
+    off = F.date_add("alert_date", days)
     names = ["linked_alerts", "linked_true_alerts", "linked_with_true_alert"]
-    parts = [
-        on_off(rows, "party", F.col("alert_date"), off, names[0], F.col("n")),
-        on_off(rows.filter("t > 0"), "party", F.col("alert_date"), off, names[1], F.col("t")),
-        on_off(flagged, "party", F.col("alert_date"), F.least(off, F.coalesce("next_true", _date(NEVER))), names[2]),
-    ]
-    return running_steps(_merge(parts, names, "party"), refs, names)
+    zero = F.lit(0).cast("bigint")
+    counts = daily.select("linked_party", F.col("alert_date").alias("on"), off.alias("off"), F.col("n").alias(names[0]), F.col("t").alias(names[1]), zero.alias(names[2]))
+    flags = daily.filter("t > 0").withColumn("_next", ahead).select(
+        "linked_party", F.col("alert_date").alias("on"), F.least(off, "_next").alias("off"), zero.alias(names[0]), zero.alias(names[1]), F.lit(1).cast("bigint").alias(names[2]))
+    return over_links(link_pairs(links), counts.unionByName(flags), refs, names)
 
 
 def disjoint_intervals(intervals: DataFrame, key: str, start: str = "start_date", expiry: str = "expiry_date") -> DataFrame:
@@ -96,15 +116,12 @@ def disjoint_intervals(intervals: DataFrame, key: str, start: str = "start_date"
 
 def linked_risk(links: DataFrame, intervals: DataFrame, risky_country_parties: DataFrame, refs: DataFrame) -> DataFrame:
     """Actively linked parties that are high-risk on the date, or sit in a high-risk country."""
-    pairs = link_pairs(links)
-    spans = disjoint_intervals(intervals, "party").withColumnRenamed("party", "linked_party")
     names = ["linked_high_risk_party", "linked_high_risk_country"]
-    parts = [
-        on_off(pairs.join(spans, "linked_party"), "party", F.col("on"), F.least("off", "until"), names[0]),
-        on_off(pairs.join(risky_country_parties.select(F.col("party").alias("linked_party")), "linked_party", "left_semi"),
-               "party", _date(ALWAYS), F.col("until"), names[1]),
-    ]
-    return running_steps(_merge(parts, names, "party"), refs, names)
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    spans = disjoint_intervals(intervals, "party").select(F.col("party").alias("linked_party"), "on", "off", one.alias(names[0]), zero.alias(names[1]))
+    seats = risky_country_parties.select(F.col("party").alias("linked_party")).distinct().select(
+        "linked_party", _date(ALWAYS).alias("on"), _date(NEVER).alias("off"), zero.alias(names[0]), one.alias(names[1]))
+    return over_links(link_pairs(links), spans.unionByName(seats), refs, names)
 
 
 def account_age(rows: DataFrame, at: str, year_days: float = YEAR_DAYS) -> DataFrame:

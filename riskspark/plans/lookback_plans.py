@@ -115,17 +115,47 @@ def feat_lookback_offset(spark, sf):
 _FLAG_SQL = """flagged AS (SELECT x.*, o.opp_region = 0 AS country, COALESCE(o.opp_balance < 0, FALSE) AS risky,
     COALESCE(o.opp_nation <> c.nation, FALSE) AS abroad FROM txn_refs x LEFT JOIN opp o USING (opp_party) LEFT JOIN cust c USING (party))"""
 
+#: every fact with all flags: party, account, day, amount, direction, counter-party and what is known of both sides
+_VIEW_SQL = """flagged AS (SELECT t.*, opp_party * 10 + t.account % 3 AS opp_account, o.opp_nation AS opp_country, DATE '1970-01-01' + CAST(opp_party % 12000 AS INT) AS birth_date,
+    COALESCE(o.opp_region = 0, FALSE) AS to_high_risk_country, COALESCE(o.opp_balance < 0, FALSE) AS to_high_risk_party, COALESCE(t.party = t.opp_party, FALSE) AS same_party,
+    COALESCE(o.opp_nation <> c.nation, FALSE) AS to_foreign, COALESCE(CASE opp_party % 3 WHEN 0 THEN 'F' WHEN 1 THEN 'O' ELSE 'P' END <> q.o_orderstatus, FALSE) AS diff_account_unit,
+    COALESCE(o.opp_region <> c.region_key, FALSE) AS diff_account_segment, COALESCE(CASE WHEN opp_party % 2 = 0 THEN '5-LOW' ELSE '2-HIGH' END <> q.o_orderpriority, FALSE) AS diff_account_type,
+    COALESCE((opp_balance > 5000) <> (c.balance > 5000), FALSE) AS diff_party_type, COALESCE(opp_balance > 9000, FALSE) AS with_pep, COALESCE(opp_balance < -500, FALSE) AS with_adverse_news,
+    COALESCE(opp_party % 7 = 0, FALSE) AS with_ngo, COALESCE(o.opp_region = 2, FALSE) AS with_tax_haven
+    FROM txn t LEFT JOIN opp o USING (opp_party) LEFT JOIN cust c ON c.party = t.party LEFT JOIN orders q ON q.o_orderkey = t.account)"""
+
 
 def flagged_transactions(spark, sf):
-    """Transactions with the boolean columns the flag tokens refer to."""
-    txn = t.transactions(spark, sf)
-    out = enrich.add_attrs(txn, t.counterparties(spark, sf), "opp_party", ["opp_nation", "opp_region", "opp_balance"])
-    out = enrich.add_attrs(out, t.customers(spark, sf), "party", ["nation"])
-    return out.select(
-        "party", "txn_date", "amount", "direction", "opp_party", "opp_nation",
-        F.coalesce(F.col("opp_region") == t.HIGH_RISK_REGION, F.lit(False)).alias("to_high_risk_country"),
-        F.coalesce(F.col("opp_balance") < 0, F.lit(False)).alias("to_high_risk_party"),
-        F.coalesce(F.col("opp_nation") != F.col("nation"), F.lit(False)).alias("to_foreign"))
+    """One view of the transactions with everything that feature names can ask for."""
+    own = t.customers(spark, sf).select("party", F.col("nation").alias("country"), F.col("region_key").alias("account_segment"), (F.col("balance") > 5000).alias("party_type"))
+    accounts = t.load(spark, sf, "orders").select(F.col("o_orderkey").alias("account"), F.col("o_orderstatus").alias("account_unit"), F.col("o_orderpriority").alias("account_type"))
+    opp = F.col("opp_party")
+    other = t.counterparties(spark, sf).select(
+        "opp_party", F.col("opp_nation").alias("opp_country"), F.col("opp_region").alias("opp_account_segment"), (F.col("opp_balance") > 5000).alias("opp_party_type"),
+        (F.col("opp_region") == t.HIGH_RISK_REGION).alias("risky_country"), (F.col("opp_balance") < 0).alias("risky_party"), (F.col("opp_balance") > 9000).alias("opp_pep"),
+        (F.col("opp_balance") < -500).alias("opp_adverse_news"), (F.col("opp_region") == 2).alias("opp_tax_haven"))
+    rows = t.transactions(spark, sf).join(own, "party", "left").join(accounts, "account", "left").join(other, "opp_party", "left").withColumns({
+        "opp_account": opp * 10 + F.col("account") % 3, "opp_account_unit": F.element_at(F.array(*map(F.lit, "FOP")), (opp % 3 + 1).cast("int")),
+        "opp_account_type": F.when(opp % 2 == 0, "5-LOW").otherwise("2-HIGH"), "opp_ngo": opp % 7 == 0,
+        "birth_date": F.date_add(F.lit(lb.EPOCH).cast("date"), (opp % 12000).cast("int"))})
+    return enrich.with_flags(rows).select("party", "account", "txn_date", "amount", "direction", "category", "opp_party", "opp_account", "opp_country", "birth_date", *enrich.FLAGS)
+
+
+def sources(spark, sf) -> dict[str, ft.Source]:
+    """Transactions with their flags, and past alerts of two kinds (of transactions and of customers)."""
+    def past(rows):
+        marked = rows.select("party", "alert_date", (F.col("result") == "F").alias("is_true"), (F.col("result") == "O").alias("is_false"))
+        return ft.Source(marked, "alert_date", {"CUSTOMER": "party"})
+    return {"transactions": ft.Source(flagged_transactions(spark, sf), "txn_date", {"CUSTOMER": "party", "ACCOUNT": "account"}, "amount"),
+            "alerts": past(t.alert_history(spark, sf)), "cdd_alerts": past(t.customer_alerts(spark, sf))}
+
+
+def mixed(spark, sf, names: dict[str, str], refs=None, keys=None, digits: int = 4):
+    """Features by name alone; requested name -> column of the result."""
+    refs = t.reference_points(t.alerts(spark, sf)) if refs is None else refs
+    made = ft.mixed_matrix(sources(spark, sf), refs, list(names), CATEGORIES, keys or {"CUSTOMER": "party"})
+    ids = [c for c in refs.columns if c in made.columns]
+    return rounded(made.select(*ids, *[F.col(f"`{n}`").alias(a) for n, a in names.items()]), digits)
 
 
 @query("feat_lookback_flag", sql_features(", ".join([
@@ -179,6 +209,14 @@ def feat_txn_gap(spark, sf):
                   "TXN-GAP_180DAY_AVG": "gap_180_avg", "TXN-GAP_180DAY_SD": "gap_180_sd"})(spark, sf)
 
 
+@query("feat_txn_gap_category", with_tables("txn refs", """, d AS (SELECT DISTINCT r.party, r.ref_date, t.txn_date AS d FROM refs r JOIN txn t ON t.party = r.party
+        AND t.txn_date <= r.ref_date AND t.txn_date > r.ref_date - 180 AND t.direction = 'incoming-all'),
+    g AS (SELECT *, date_diff('day', LAG(d) OVER (PARTITION BY party, ref_date ORDER BY d), d) AS gap FROM d)
+    SELECT r.party, r.ref_date, ROUND(AVG(gap), 4) AS in_gap_180_avg, ROUND(STDDEV_SAMP(gap), 4) AS in_gap_180_sd FROM refs r LEFT JOIN g USING (party, ref_date) GROUP BY 1, 2"""))
+def feat_txn_gap_category(spark, sf):
+    return _wide({"incoming-all_180DAY_TXN-GAP_AVG_CUSTOMER": "in_gap_180_avg", "incoming-all_180DAY_TXN-GAP_SD_CUSTOMER": "in_gap_180_sd"})(spark, sf)
+
+
 def dist(value: str, pred: str, name: str) -> str:
     return f"CAST(COUNT(DISTINCT CASE WHEN {pred} THEN {value} END) AS BIGINT) AS {name}"
 
@@ -196,30 +234,34 @@ def feat_distinct_count(spark, sf):
     dist("opp_nation", "country AND dd >= 30 AND dd < 180", "risk_countries_180_off30")]), source="flagged",
     extra=_FLAG_SQL.replace("SELECT x.*", "SELECT x.*, o.opp_nation")))
 def feat_distinct_count_flag(spark, sf):
-    facts = flagged_transactions(spark, sf)
-    _, refs = txn_and_refs(spark, sf)
-    specs = [lb.DistinctSpec("foreign_countries_360", 360, 0, "to_foreign"),
-             lb.DistinctSpec("risk_countries_180_off30", 180, 30, "to_high_risk_country")]
-    return lb.distinct_in_lookback(facts, refs, "opp_nation", specs)
+    """The flag says what is counted: here countries."""
+    return mixed(spark, sf, {"all_360DAY_TO-FOREIGN_DISTINCT-COUNT_CUSTOMER": "foreign_countries_360",
+                             "all_180DAY_OFFSET_30DAY_TO-HIGH-RISK-COUNTRY_DISTINCT-COUNT_CUSTOMER": "risk_countries_180_off30"})
+
+
+def _young(n: int) -> str:
+    return f"COALESCE(CAST(floor(date_diff('day', DATE '1970-01-01' + CAST(opp_party % 12000 AS INT), x.ref_date) / 365.25) AS INT) < {n}, FALSE) AS young_{n}"
 
 
 @query("feat_age_condition", sql_features(", ".join([
-    amt("opp_balance IS NOT NULL AND young AND dd < 360", "young_360_amt"), vol("young AND dd < 180", "young_180_vol")]),
-    extra="""flagged AS (SELECT x.*, o.opp_balance, COALESCE(CAST(floor(date_diff('day', DATE '1970-01-01' + CAST(opp_party % 12000 AS INT), x.ref_date) / 365.25) AS INT) < 24, FALSE) AS young
-        FROM txn_refs x LEFT JOIN opp o USING (opp_party))""", source="flagged"))
+    amt("young_24 AND dd < 360", "young_360_amt"), vol("young_24 AND dd < 180", "young_180_vol"), amt(f"young_27 AND {IN} AND dd >= 30 AND dd < 360", "in_under_27_amt"),
+    f"CAST(COUNT(DISTINCT CASE WHEN young_27 AND dd < 360 THEN opp_party END) AS BIGINT) AS under_27_parties", mx("young_24 AND dd < 360", "young_360_max")]),
+    extra=f"flagged AS (SELECT x.*, {_young(24)}, {_young(27)} FROM txn_refs x)", source="flagged"))
 def feat_age_condition(spark, sf):
-    """Counter-parties younger than 24 at the reference date: the age depends on the
-    reference, so the daily grain keeps the birth date and the flag is set after the join."""
-    txn, refs = txn_and_refs(spark, sf)
-    known = t.counterparties(spark, sf).select(
-        "opp_party", F.date_add(F.lit(lb.EPOCH).cast("date"), (F.col("opp_party") % 12000).cast("int")).alias("birth_date"))
-    daily = (txn.join(known, "opp_party", "left").groupBy("party", "txn_date", "birth_date")
-             .agg(F.count(F.lit(1)).alias("_n"), F.sum("amount").alias("_sum")))
-    joined = lb.near_facts(daily, refs, "txn_date", "party", 360).withColumn(
-        "opp_party_young", F.coalesce(enrich.age_years("birth_date", "ref_date") < 24, F.lit(False)))
-    specs = [Spec("young_360_amt", "AMT", 360, flags=("opp_party_young",)),
-             Spec("young_180_vol", "VOL", 180, flags=("opp_party_young",))]
-    return joined.groupBy("party", "ref_date").agg(*[lb.spec_column(s) for s in specs])
+    """Counter-parties younger than any number of years at the reference date."""
+    return mixed(spark, sf, {"all_360DAY_OPP-PARTY-AGE-UNDER-24_AMT_CUSTOMER": "young_360_amt", "all_180DAY_OPP-PARTY-AGE-UNDER-24_VOL_CUSTOMER": "young_180_vol",
+                             "incoming-all_360DAY_OFFSET_30DAY_OPP-PARTY-AGE-UNDER-27_AMT_CUSTOMER": "in_under_27_amt",
+                             "all_360DAY_OPP-PARTY-AGE-UNDER-27_DISTINCT-COUNT_CUSTOMER": "under_27_parties", "all_360DAY_OPP-PARTY-AGE-UNDER-24_MAX_CUSTOMER": "young_360_max"})
+
+
+_ALL_FLAGS = [f for f in ft.FLAG_COLUMNS.values()]
+
+
+@query("feat_flag_view", with_tables("txn refs opp cust", f""", {_VIEW_SQL}, x AS (SELECT r.party, r.ref_date, t.* EXCLUDE (party) FROM refs r LEFT JOIN flagged t
+    ON t.party = r.party AND t.txn_date <= r.ref_date AND t.txn_date > r.ref_date - 360) SELECT party, ref_date, {", ".join(vol(f, f) for f in _ALL_FLAGS)} FROM x GROUP BY 1, 2"""))
+def feat_flag_view(spark, sf):
+    """All twelve flags of one enriched view."""
+    return mixed(spark, sf, {f"all_360DAY_{token}_VOL_CUSTOMER": column for token, column in ft.FLAG_COLUMNS.items()})
 
 
 def _a(p: str) -> str:
@@ -280,31 +322,32 @@ ALERT_SQL = with_tables("refs hist", """, j AS (SELECT r.party, r.ref_date, h.re
     SELECT party, ref_date, {cols} FROM j GROUP BY party, ref_date""")
 
 
-def alert_features(spark, sf, specs):
-    hist = t.alert_history(spark, sf)
-    refs = t.reference_points(t.alerts(spark, sf))
-    hist = hist.withColumn("is_true", F.col("result") == "F").withColumn("is_false", F.col("result") == "O")
-    return lb.lookback_features(hist, refs, specs, date="alert_date")
-
-
 @query("feat_alert_count", ALERT_SQL.format(cols=", ".join([vol("dd < 90", "alert_90"), vol("dd < 360", "alert_360")])))
 def feat_alert_count(spark, sf):
-    return alert_features(spark, sf, [Spec("alert_90", "VOL", 90), Spec("alert_360", "VOL", 360)])
+    return mixed(spark, sf, {f"ALERT_{n}DAY_COUNT_CUSTOMER": f"alert_{n}" for n in (90, 360)})
 
 
 @query("feat_alert_str", ALERT_SQL.format(cols=", ".join([vol("result = 'F' AND dd < 180", "str_180"), vol("result = 'F' AND dd < 360", "str_360")])))
 def feat_alert_str(spark, sf):
-    return alert_features(spark, sf, [Spec("str_180", "VOL", 180, flags=("is_true",)), Spec("str_360", "VOL", 360, flags=("is_true",))])
+    return mixed(spark, sf, {f"STR_{n}DAY_COUNT_CUSTOMER": f"str_{n}" for n in (180, 360)})
 
 
 @query("feat_alert_fstr", ALERT_SQL.format(cols=", ".join([vol("result = 'O' AND dd < 180", "fstr_180"), vol("result = 'O' AND dd < 360", "fstr_360")])))
 def feat_alert_fstr(spark, sf):
-    return alert_features(spark, sf, [Spec("fstr_180", "VOL", 180, flags=("is_false",)), Spec("fstr_360", "VOL", 360, flags=("is_false",))])
+    return mixed(spark, sf, {f"FSTR_{n}DAY_COUNT_CUSTOMER": f"fstr_{n}" for n in (180, 360)})
+
+
+@query("feat_alert_cdd", ALERT_SQL.replace("hist h", "cdd h").replace(", j AS", """, cdd AS (SELECT o_custkey AS party, CAST(o_orderdate AS DATE) AS alert_date, o_orderstatus AS result
+    FROM orders WHERE o_orderpriority = '3-MEDIUM'), j AS""").format(
+    cols=", ".join([vol("dd < 360", "cdd_360"), vol("result = 'F' AND dd < 360", "cdd_str_360"), vol("result = 'O' AND dd >= 30 AND dd < 360", "cdd_fstr_360_off30")])))
+def feat_alert_cdd(spark, sf):
+    return mixed(spark, sf, {"CDD-ALERT_360DAY_COUNT_CUSTOMER": "cdd_360", "CDD-STR_360DAY_COUNT_CUSTOMER": "cdd_str_360",
+                             "CDD-FSTR_360DAY_OFFSET_30DAY_COUNT_CUSTOMER": "cdd_fstr_360_off30"})
 
 
 @query("feat_alert_offset", ALERT_SQL.format(cols=", ".join([vol("dd >= 90 AND dd < 360", "alert_360_off90"), vol("result = 'O' AND dd >= 30 AND dd < 180", "fstr_180_off30")])))
 def feat_alert_offset(spark, sf):
-    return alert_features(spark, sf, [Spec("alert_360_off90", "VOL", 360, 90), Spec("fstr_180_off30", "VOL", 180, 30, flags=("is_false",))])
+    return mixed(spark, sf, {"ALERT_360DAY_OFFSET_90DAY_COUNT_CUSTOMER": "alert_360_off90", "FSTR_180DAY_OFFSET_30DAY_COUNT_CUSTOMER": "fstr_180_off30"})
 
 
 FALSE_360 = "result = 'O' AND dd < 360"
@@ -312,8 +355,7 @@ FALSE_360 = "result = 'O' AND dd < 360"
 
 @query("feat_alert_ratio", ALERT_SQL.format(cols=f"ROUND({_v(FALSE_360)} / CAST(NULLIF({_v('dd < 360')}, 0) AS DOUBLE), 4) AS fstr_share_360"))
 def feat_alert_ratio(spark, sf):
-    made = alert_features(spark, sf, [Spec("f", "VOL", 360, flags=("is_false",)), Spec("a", "VOL", 360)])
-    return made.select("party", "ref_date", F.round(ft.ratio(F.col("f"), F.col("a")), 4).alias("fstr_share_360"))
+    return mixed(spark, sf, {"ratio_FSTR_360DAY_COUNT_CUSTOMER_ALERT_360DAY_COUNT_CUSTOMER": "fstr_share_360"})
 
 
 # ---- skew, series, matrices ----------------------------------------------------------
@@ -358,23 +400,27 @@ def feat_risk_indicator_series(spark, sf):
         FROM refd r LEFT JOIN hist h ON h.party = r.party AND alert_date <= ref_date AND alert_date > ref_date - 360 GROUP BY 1, 2)
     SELECT party, ref_date, amt_360, vol_360, alert_360 FROM f JOIN g USING (party, ref_date)"""))
 def feat_matrix_customer(spark, sf):
-    txn, hist = t.transactions(spark, sf), t.alert_history(spark, sf)
-    refs = enrich.reference_dates(t.customers(spark, sf).select("party"), txn, t.alerts(spark, sf)).filter("ref_date is not null")
-    a = lb.lookback_features(txn, refs, [Spec("amt_360", "AMT", 360), Spec("vol_360", "VOL", 360)])
-    b = lb.lookback_features(hist, refs, [Spec("alert_360", "VOL", 360)], date="alert_date")
-    return a.join(b, ["party", "ref_date"])
-
-
-@query("feat_matrix_alert", with_tables("txn alert hist", """,
-    f AS (SELECT a.alert_id, CAST(COALESCE(SUM(amount), 0) AS DOUBLE) AS amt_90, CAST(COUNT(amount) AS BIGINT) AS vol_90
-        FROM alert a LEFT JOIN txn t ON t.party = a.party AND txn_date <= a.alert_date AND txn_date > a.alert_date - 90 GROUP BY 1),
-    g AS (SELECT a.alert_id, CAST(COUNT(h.alert_id) AS BIGINT) AS alert_180
+    refs = enrich.reference_dates(t.customers(spark, sf).select("party"), t.transactions(spark, sf), t.alerts(spark, sf)).filter("ref_date is not null")
+    return mixed(spark, sf, {"all_360DAY_AMT_CUSTOMER": "amt_360", "all_360DAY_VOL_CUSTOMER": "vol_360", "ALERT_360DAY_COUNT_CUSTOMER": "alert_360"}, refs)
+
+
+@query("feat_matrix_alert", with_tables("txn alert hist opp cust", f""", {_VIEW_SQL},
+    f AS (SELECT a.alert_id, CAST(COALESCE(SUM(amount), 0) AS DOUBLE) AS amt_90, CAST(COUNT(amount) AS BIGINT) AS vol_90,
+        CAST(COUNT(DISTINCT CASE WHEN to_foreign THEN opp_country END) AS BIGINT) AS foreign_90, CAST(COUNT(DISTINCT opp_account) AS BIGINT) AS accounts_90,
+        CAST(MAX(CASE WHEN with_pep THEN amount END) AS DOUBLE) AS pep_90_max, ROUND(AVG(CASE WHEN direction = 'incoming-all' THEN amount END), 4) AS in_90_avg
+        FROM alert a LEFT JOIN flagged t ON t.party = a.party AND txn_date <= a.alert_date AND txn_date > a.alert_date - 90 GROUP BY 1),
+    c AS (SELECT a.alert_id, CAST(COALESCE(SUM(amount), 0) AS DOUBLE) AS account_360
+        FROM alert a LEFT JOIN txn t ON t.account = a.alert_id AND txn_date <= a.alert_date AND txn_date > a.alert_date - 360 GROUP BY 1),
+    g AS (SELECT a.alert_id, CAST(COUNT(h.alert_id) AS BIGINT) AS alert_180, CAST(COUNT(CASE WHEN h.result = 'F' THEN 1 END) AS BIGINT) AS str_180
         FROM alert a LEFT JOIN hist h ON h.party = a.party AND h.alert_date <= a.alert_date AND h.alert_date > a.alert_date - 180 GROUP BY 1)
-    SELECT alert_id, party, alert_date, amt_90, vol_90, alert_180 FROM alert JOIN f USING (alert_id) JOIN g USING (alert_id)"""))
+    SELECT alert_id, party, alert_date, amt_90, vol_90, alert_180, str_180, foreign_90, accounts_90, pep_90_max, in_90_avg, account_360
+    FROM alert JOIN f USING (alert_id) JOIN g USING (alert_id) JOIN c USING (alert_id)"""))
 def feat_matrix_alert(spark, sf):
-    alerts = t.alerts(spark, sf)
-    refs = t.reference_points(alerts)
-    a = lb.lookback_features(t.transactions(spark, sf), refs, [Spec("amt_90", "AMT", 90), Spec("vol_90", "VOL", 90)])
-    b = lb.lookback_features(t.alert_history(spark, sf), refs, [Spec("alert_180", "VOL", 180)], date="alert_date")
-    points = a.join(b, ["party", "ref_date"]).withColumnRenamed("ref_date", "alert_date")
-    return alerts.select("alert_id", "party", "alert_date").join(points, ["party", "alert_date"], "left")
+    """Transactions of the party and of the account, past alerts, flags and distinct values from one list of names."""
+    alerts = t.alerts(spark, sf).withColumn("account", F.col("alert_id"))
+    names = {"all_90DAY_AMT_CUSTOMER": "amt_90", "all_90DAY_VOL_CUSTOMER": "vol_90", "ALERT_180DAY_COUNT_CUSTOMER": "alert_180", "STR_180DAY_COUNT_CUSTOMER": "str_180",
+             "all_90DAY_TO-FOREIGN_DISTINCT-COUNT_CUSTOMER": "foreign_90", "all_90DAY_DISTINCT-COUNT_CUSTOMER": "accounts_90", "all_90DAY_WITH-PEP_MAX_CUSTOMER": "pep_90_max",
+             "incoming-all_90DAY_AVG_CUSTOMER": "in_90_avg", "all_360DAY_AMT_ACCOUNT": "account_360"}
+    points = mixed(spark, sf, names, alerts.select("party", "account", F.col("alert_date").alias("ref_date")), {"CUSTOMER": "party", "ACCOUNT": "account"})
+    points = points.withColumnRenamed("ref_date", "alert_date")
+    return alerts.select("alert_id", "party", "account", "alert_date").join(points, ["party", "account", "alert_date"], "left").drop("account")

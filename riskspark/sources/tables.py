@@ -16,6 +16,7 @@ MONEY = T.DecimalType(18, 2)
 
 ALERT_PRIORITY = "1-URGENT"
 HISTORY_PRIORITY = "2-HIGH"
+CUSTOMER_ALERT_PRIORITY = "3-MEDIUM"
 # result code -> the results that mean it; anything else is unlabelled
 ALERT_LABELS = {1: ["F"], 0: ["O"]}
 HIGH_RISK_REGION = 0
@@ -92,6 +93,11 @@ def alert_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _alert_rows(spark, sf_dir, HISTORY_PRIORITY)
 
 
+def customer_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Past alerts from reviews of customers."""
+    return _alert_rows(spark, sf_dir, CUSTOMER_ALERT_PRIORITY)
+
+
 def reference_points(alert_df: DataFrame) -> DataFrame:
     """Distinct (party, ref_date). Features are made per point, not per alert, so a party
     with very many alerts costs at most one row per calendar day."""
