@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskspark.operators import enrich, lookback as lb, rules as ru
+from riskspark.operators import enrich, lookback as lb, rule_table as rt, rules as ru
 from riskspark.operators.rules import Rule
 from riskspark.plans.base_sql import with_tables
 from riskspark.plans.registry import query
@@ -212,3 +212,55 @@ def rule_name_map(spark, sf):
     hits = F.create_map(*[x for r in picked for x in (F.lit(r.rule_id), ru.hit(r, df.columns))])
     names = F.map_filter(ru.rule_names(picked), lambda k, _: hits[k])
     return df.select("party", F.to_json(names).alias("rules"))
+
+
+# ---- rules from a table ----------------------------------------------------------------
+
+#: the static rules, and behaviour named by indicator texts, some with categories of their own
+TABLE_ROWS = [(r.rule_id, r.category, r.indicator, r.condition, r.value, r.features, r.norm_weight, None) for r in STATIC] + [
+    ("t_in", "Regulatory", "Sum of Incoming transactions over past 360 Days", ">=", "150000", None, 0.35, None),
+    ("t_in_top", "Regulatory", "Sum of Incoming transactions over past 360 Days", ">", "400000", None, 0.15, None),
+    ("t_in_mid", "Regulatory", "Sum of Incoming transactions over past 360 Days", "IN BETWEEN", "[50000, 150000]", None, 0.1, None),
+    ("t_vol", "Regulatory", "Volume of All transactions over past 360 Days", ">", "6", None, 0.2, ""),
+    ("t_kinds", "Regulatory", "Volume of All transactions over past 360 Days", ">=", "2", None, 0.12, '{"TRANSACTION_TYPE": ["R-F", "N-O"]}'),
+    ("t_max", "Regulatory", "Maximum Outgoing transactions over past 90 Days", "<", "30000", None, 0.08, None),
+    ("t_day", "Regulatory", "Sum of All transactions over past 1 Day", "==", "0", None, 0.02, None),
+    ("b_text", "Regulatory", "Something of Incoming transactions", ">", "1", None, 0.5, None),
+    ("b_filter", "Regulatory", "Sum of All transactions over past 30 Days", ">", "1", None, 0.5, "{}"),
+    ("b_value", "Static", "Age", ">", "[]", "age", 0.5, None)]
+TABLE_SCHEMA = "rule_id string, category string, indicator string, condition string, value string, features string, norm_weight double, additional_filters string"
+
+TABLE_SQL = FEATURES_SQL + """, last AS (SELECT MAX(txn_date) AS d FROM txn), feat2 AS (SELECT f.*, y.kinds, y.max_out, y.day1 FROM feat f LEFT JOIN (SELECT c.party,
+    COUNT(CASE WHEN category IN ('R-F', 'N-O') AND txn_date > last.d - 360 THEN 1 END) AS kinds, MAX(CASE WHEN direction = 'outgoing-all' AND txn_date > last.d - 90 THEN amount END) AS max_out,
+    COALESCE(SUM(CASE WHEN txn_date > last.d - 1 THEN amount END), 0) AS day1 FROM cust c CROSS JOIN last LEFT JOIN txn t ON t.party = c.party GROUP BY 1) y USING (party))"""
+TABLE_P = {k: P[k] for k in ids(STATIC)} | {
+    "t_in": "in_360 >= 150000", "t_in_top": "in_360 > 400000", "t_in_mid": "in_360 BETWEEN 50000.00001 AND 149999.99999", "t_vol": "vol_360 > 6", "t_kinds": "kinds >= 2",
+    "t_max": "max_out < 30000", "t_day": "day1 = 0"}
+TABLE_W = {r[0]: r[6] for r in TABLE_ROWS}
+
+
+def table_rules(spark, sf):
+    """(features of each customer, rules read) for the rules as a table."""
+    base = t.customers(spark, sf).withColumn("k", F.col("party") * 17).select(
+        "party", "segment", "region", F.col("balance").cast("double").alias("balance"),
+        enrich.age_years(birth_date("k"), F.lit("2001-11-04").cast("date")).alias("age"), (F.col("party") % 13 == 0).alias("pep"))
+    found = rt.read_rules(spark.createDataFrame(TABLE_ROWS, TABLE_SCHEMA), base.columns)
+    refs = base.select("party", t.last_transaction_date(spark, sf).alias("ref_date"))
+    return rt.indicator_features(found, base, t.transactions(spark, sf), refs), found
+
+
+def table_sum(names) -> str:
+    return "ROUND(" + " + ".join(f"CASE WHEN {TABLE_P[n]} THEN {TABLE_W[n]}::DOUBLE ELSE 0 END" for n in names) + ", 6)"
+
+
+@query("rule_table_score", TABLE_SQL + f" SELECT party, {table_sum(ids(STATIC))} AS static_score, {table_sum([n for n in TABLE_P if n.startswith('t_')])} AS regulatory_score FROM feat2")
+def rule_table_score(spark, sf):
+    features, found = table_rules(spark, sf)
+    made = rt.rule_scores(features, found, "party", {"Static": "static_score", "Regulatory": "regulatory_score"})
+    return made.select("party", F.round("static_score", 6).alias("static_score"), F.round("regulatory_score", 6).alias("regulatory_score"))
+
+
+@query("rule_table_hits", TABLE_SQL + " " + " UNION ALL ".join(f"SELECT party, '{n}' AS rule_id, {TABLE_W[n]}::DOUBLE AS weight FROM feat2 WHERE {p}" for n, p in TABLE_P.items()))
+def rule_table_hits(spark, sf):
+    features, found = table_rules(spark, sf)
+    return rt.rule_hits(features, found, "party").select("party", "rule_id", "weight")
