@@ -32,11 +32,6 @@ def op2_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    linked = toolcalls.format_conversations(table(spark, sf_dir, "conversations"))
-    return linked.withColumn("errors", F.array_join("errors", "; "))
-
-
-def op5_whole_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = toolcalls.whole_conversations(table(spark, sf_dir, "conversations"))
     return linked.withColumn("errors", F.array_join("errors", "; "))
 
@@ -74,7 +69,7 @@ def op13_vertical_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_kmeans_tree, op2_cotraining, op3_va_file, op4_bpe_index, op5_tool_calls, op5_whole_conversations, op6_simhash_bk, op7_token_counts,
+    op1_kmeans_tree, op2_cotraining, op3_va_file, op4_bpe_index, op5_tool_calls, op6_simhash_bk, op7_token_counts,
     op8_best_fit, op9_line_dedup, op10_nbsvm_toxicity, op11_fagin, op12_periodic_runs, op13_vertical_join)}
 
 _LINES = """
@@ -98,19 +93,22 @@ u AS (
   SELECT *, conv_id || ':' || turn AS call_id, len(string_split(text, chr(10))) AS lines,
          CAST(len(list_filter(string_split(replace(text, chr(10), ' '), ' '), lambda w: w <> '')) AS BIGINT) AS words
   FROM t WHERE role = 'user'),
+n AS (SELECT *, lines > 1 AND turn + 2 IN (SELECT turn FROM u x WHERE x.conv_id = u.conv_id) AS waits FROM u),
+p AS (
+  SELECT *, MIN(turn) FILTER (WHERE NOT waits) OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS place FROM n),
 a AS (SELECT *, conv_id || ':' || (turn - 1) AS call_id FROM t WHERE role = 'assistant'),
 j AS (
   SELECT coalesce(u.conv_id, a.conv_id) AS conv_id, coalesce(u.call_id, a.call_id) AS call_id, u.turn AS turn, a.turn AS result_turn,
-         u.text AS prompt, a.text AS content, u.lines, u.words, u.lines > 1 AS block
-  FROM u FULL JOIN a ON u.conv_id = a.conv_id AND u.call_id = a.call_id),
+         u.text AS prompt, a.text AS content, u.lines, u.words, u.lines > 1 AS block, u.place
+  FROM p u FULL JOIN a ON u.conv_id = a.conv_id AND u.call_id = a.call_id),
 e AS (
   SELECT *, CASE WHEN turn IS NULL THEN '' ELSE concat_ws('; ',
       CASE WHEN block AND lines > 6 THEN 'lines: out of range' END,
       CASE WHEN length(prompt) NOT BETWEEN 1 AND 400 THEN 'prompt: out of range' END,
       CASE WHEN words < 1 OR (NOT block AND words > 60) THEN 'words: out of range' END) END AS errors
   FROM j)
-SELECT conv_id, call_id, CAST(turn AS BIGINT) AS turn, CAST(result_turn AS BIGINT) AS result_turn, CAST(turn AS BIGINT) AS order_turn,
-       CASE WHEN turn IS NOT NULL THEN CAST(0 AS BIGINT) END AS order_step,
+SELECT conv_id, call_id, CAST(turn AS BIGINT) AS turn, CAST(result_turn AS BIGINT) AS result_turn, CAST(place AS BIGINT) AS order_turn,
+       CAST((place - turn) // 2 AS BIGINT) AS order_step,
        CASE WHEN turn IS NULL THEN 'no call' WHEN result_turn IS NULL THEN 'no result' ELSE 'linked' END AS status, errors,
        '{' || CASE WHEN turn IS NULL THEN '' ELSE '"arguments":{' || CASE WHEN block THEN '"lines":' || lines || ',' ELSE '' END
          || '"prompt":' || to_json(prompt) || ',"words":' || words || '},' END || '"call_id":' || to_json(call_id)
@@ -156,5 +154,5 @@ n AS (
 SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
 """
 
-ORACLES: dict[str, str] = {"op3_va_file": _TOP, "op5_tool_calls": _CALLS, "op5_whole_conversations": _WHOLE, "op9_line_dedup": _LINES,
+ORACLES: dict[str, str] = {"op3_va_file": _TOP, "op5_tool_calls": _WHOLE, "op9_line_dedup": _LINES,
                           "op11_fagin": _HARD}

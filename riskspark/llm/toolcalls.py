@@ -13,7 +13,11 @@ Results: null texts are empty arguments or contents; arguments that are no JSON
 the check; a call without result, a result without call, a repeated identifier (the first
 turn counts), a tool without schema and a wait for an unknown call each have a status or an
 error of their own, and no row is lost; rows without conversation, turn or identifier link to
-nothing; further columns are not read; an empty table gives an empty table.
+nothing; further columns are not read; an empty table gives an empty table. Texts may be of
+any length. Arguments of more than ``PARSED_CHARS`` characters or nested deeper than
+``PARSED_DEPTH`` are beyond what the JSON functions take: they are not parsed, have an error of
+their own and stand in the canonical JSON as the whole text. Depth is measured on the text,
+before anything recurses into it.
 """
 
 from __future__ import annotations
@@ -24,6 +28,8 @@ from pyspark.sql import functions as F
 from riskspark.llm.common import staged
 
 KEY = ["conv_id", "call_id"]
+PARSED_CHARS = 10_000_000
+PARSED_DEPTH = 200
 
 
 def first_of(rows: DataFrame, by: list[str], turn: str = "turn") -> DataFrame:
@@ -143,10 +149,12 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     tools = schemas.groupBy("name").agg(F.sort_array(F.collect_list(F.struct("field", "kind", "required", "least", "most"))).alias("fields"))
     # hash join by identifier: either side may stay alone
     pairs = first_calls.join(first_results.hint("shuffle_hash"), KEY, "full").join(ordered(first_calls), KEY, "left").join(tools, "name", "left")
-    parsed = F.try_parse_json("arguments")
+    pairs = pairs.withColumn("_nested", nesting(F.col("arguments")))
+    parsed = F.when(F.col("_nested") == "", F.try_parse_json("arguments"))
     is_object = F.coalesce(F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False))
     pairs = pairs.withColumn("args", F.when(is_object, F.from_json("arguments", "map<string,variant>")))
     errors = (F.when(F.col("turn").isNull(), F.array().cast("array<string>"))
+              .when(F.col("_nested").isin("too long", "nested too deep"), F.array(F.concat(F.lit("arguments "), F.col("_nested"))))
               .when(F.col("fields").isNull(), F.array(F.lit("no schema")))
               .when(F.col("args").isNull(), F.array(F.lit("no JSON object")))
               .otherwise(problems(F.col("args"), F.col("fields"))))
@@ -160,14 +168,32 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
         out = out.unionByName(rest.select(*KEY, F.col("turn").cast("long").alias("turn"), status("call"), none, "name", "arguments"), allowMissingColumns=True)
     for rest in more_results:
         out = out.unionByName(rest.select(*KEY, F.col("turn").cast("long").alias("result_turn"), status("result"), none, "content"), allowMissingColumns=True)
+    given = F.when(F.col("args").isNotNull(), F.to_json(F.when(F.col("args").isNotNull(), F.try_parse_json("arguments")))).otherwise(quoted(F.col("arguments")))
     return out.withColumn("json", canonical(
-        arguments=F.coalesce(F.when(F.col("args").isNotNull(), parsed), F.when(F.col("arguments").isNotNull(), F.col("arguments").cast("variant"))),
-        call_id=F.col("call_id"), name=F.col("name"), result=F.col("content"), valid=F.size("errors") == 0)).drop("name", "arguments", "content", "args")
+        arguments=given, call_id=quoted(F.col("call_id")), name=quoted(F.col("name")), result=quoted(F.col("content")),
+        valid=(F.size("errors") == 0).cast("string"))).drop("name", "arguments", "content", "args")
+
+
+def nesting(text: Column) -> Column:
+    """Empty where brackets outside of strings close each other within ``PARSED_DEPTH`` levels;
+    else ``too long``, ``nested too deep``, or ``unbalanced``. Each round takes away the innermost pairs."""
+    leaf = "\\[\\]|\\{\\}"
+    bare = F.regexp_replace(F.regexp_replace(text, '"[^"\\\\]*+(?:\\\\.[^"\\\\]*+)*+"', ""), "[^\\[\\]{}]++", "")
+    left = F.aggregate(F.sequence(F.lit(1), F.lit(PARSED_DEPTH)), bare, lambda b, _: F.when(b == "", b).otherwise(F.regexp_replace(b, leaf, "")))
+    state = F.when(left == "", "").when(left.rlike(leaf), "nested too deep").otherwise("unbalanced")
+    return F.when(text.isNotNull(), F.when(F.length(text) > PARSED_CHARS, "too long").otherwise(state))
+
+
+def quoted(text: Column) -> Column:
+    """A text as a JSON string of any length; null stays null."""
+    whole = F.to_json(F.struct(text.alias("x")))
+    return F.when(text.isNotNull(), F.substring(whole, F.lit(6), F.length(whole) - 6))
 
 
 def canonical(**fields: Column) -> Column:
-    """JSON with keys in order at every depth and no blanks; nulls are left out at the top."""
-    return F.to_json(F.parse_json(F.to_json(F.struct(*(v.alias(k) for k, v in sorted(fields.items()))))))
+    """JSON object of parts that are JSON already, keys in order and no blanks; null parts are left out."""
+    parts = [F.concat(F.lit(f'"{k}":'), v) for k, v in sorted(fields.items())]
+    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
 
 #: tools of plain conversations, and what they take
@@ -184,7 +210,9 @@ def from_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results of plain conversations (conv_id, turn, role, text).
 
     A user's turn is a call of ``reply``, or of ``reply_block`` if it has several lines; the
-    assistant's next turn is its result. A call waits for the call two turns before, if that is one.
+    assistant's next turn is its result. A ``reply`` builds on the request before it, two turns
+    earlier, if that is a ``reply`` too. A ``reply_block`` is worked on once the request after it,
+    two turns later, has said what else is wanted. A wait for what was no call is none.
     """
     text = F.coalesce("text", F.lit(""))
     name = lambda shift: F.concat_ws(":", F.col("conv_id").cast("string"), (F.col("turn") + shift).cast("string"))
@@ -192,12 +220,14 @@ def from_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     words = F.size(F.filter(F.split(text, "[ \n]"), lambda w: w != ""))
     block = lines > 1
     users = turns.filter("role = 'user'")
-    calls = users.select("conv_id", name(0).alias("call_id"), "turn", F.when(block, "reply_block").otherwise("reply").alias("name"), F.to_json(F.struct(
+    calls = users.select("conv_id", name(0).alias("call_id"), "turn", block.alias("block"), F.when(block, "reply_block").otherwise("reply").alias("name"), F.to_json(F.struct(
         F.when(block, lines).alias("lines"), text.alias("prompt"), words.alias("words"))).alias("arguments"))
-    # a wait for what was no call is none
-    before = users.select("conv_id", (F.col("turn") + 2).alias("turn"), name(0).alias("on")).distinct()
-    calls = calls.join(before.hint("shuffle_hash"), ["conv_id", "turn"], "left").withColumn(
-        "after", F.filter(F.array("on"), lambda x: x.isNotNull())).drop("on")
+    # who may wait for a call: the block two turns before it, and if it is a reply the reply two turns after it
+    offers = F.array_compact(F.array(F.struct((F.col("turn") - 2).alias("turn"), F.lit(True).alias("block")),
+                                     F.when(~block, F.struct((F.col("turn") + 2).alias("turn"), F.lit(False).alias("block")))))
+    waits = users.select("conv_id", name(0).alias("on"), F.explode(offers).alias("o")).select("conv_id", "on", "o.*").distinct()
+    calls = calls.join(waits.hint("shuffle_hash"), ["conv_id", "turn", "block"], "left").withColumn(
+        "after", F.filter(F.array("on"), lambda x: x.isNotNull())).drop("on", "block")
     results = turns.filter("role = 'assistant'").select("conv_id", name(-1).alias("call_id"), "turn", text.alias("content"))
     return calls, results
 
@@ -213,7 +243,7 @@ def other_turns(turns: DataFrame) -> DataFrame:
         "conv_id", F.lit(None).cast("string").alias("call_id"), F.col("turn").cast("long").alias("turn"), F.lit(None).cast("long").alias("result_turn"),
         F.col("turn").cast("long").alias("order_turn"), F.when(F.col("turn").isNotNull(), F.lit(0).cast("long")).alias("order_step"),
         F.lit("context").alias("status"), F.array().cast("array<string>").alias("errors"),
-        canonical(content=F.coalesce("text", F.lit("")), role=F.col("role")).alias("json"))
+        canonical(content=quoted(F.coalesce("text", F.lit(""))), role=quoted(F.col("role"))).alias("json"))
 
 
 def whole_conversations(turns: DataFrame) -> DataFrame:

@@ -74,6 +74,35 @@ def test_empty_tables(spark):
     assert sorted(r.status for r in toolcalls.format_conversations(odd).collect()) == ["linked", "no identifier", "no identifier", "repeated result"]
 
 
+def test_very_long_and_very_deep(spark):
+    """Texts beyond the parser's length, and brackets deeper than anything may recurse, give rows."""
+    deep, wide = '{"o":' + "[" * 1000 + "]" * 1000 + "}", '{"o":{"b":' + "[" * 150 + "]" * 150 + ',"a":"[[[{\\""}}'
+    long = '{"a":"' + "x" * 25_000_000 + '"}'
+    calls = [(1, "deep", 1, "g", deep, None), (1, "wide", 2, "g", wide, None), (1, "open", 3, "g", "[" * 5000, None), (1, "odd", 4, "g", "]" * 900 + "[" * 900, None),
+             (1, "escaped", 5, "g", '{"o":{"x":"' + "\\\\" * 40000 + '"}}', None)]
+    rows = {r.call_id: r for r in linked(spark, calls, [(1, "wide", 9, "r")])}
+    assert {k: "; ".join(r.errors) for k, r in rows.items()} == {"deep": "arguments nested too deep", "wide": "", "open": "no JSON object", "odd": "no JSON object", "escaped": ""}
+    assert json.loads(rows["deep"].json)["arguments"] == deep
+    assert rows["wide"].json.startswith('{"arguments":{"o":{"a":"[[[{\\"","b":[[[')
+    (row,) = linked(spark, [(1, "a", 1, "f", long, None)], [(1, "a", 2, "y" * 25_000_000)])
+    assert row.errors == ["arguments too long"] and row.status == "linked"
+    assert row.json.startswith('{"arguments":"{\\"a\\":\\"xx') and len(row.json) > 50_000_000
+
+
+def test_very_long_turns(spark):
+    schema = "conv_id long, turn long, role string, text string"
+    turns = spark.createDataFrame([(1, 0, "system", "a\n" * 12_500_000), (1, 1, "user", "hi"), (1, 2, "assistant", "z" * 25_000_000)], schema)
+    rows = toolcalls.whole_conversations(turns).selectExpr("status", "length(json) as n").collect()
+    assert sorted(r.status for r in rows) == ["context", "linked"] and all(r.n > 25_000_000 for r in rows)
+
+
+def test_blocks_wait_for_the_request_after(spark):
+    turns = [(1, t, "user", "x\ny" if t in (1, 3, 9) else "x") for t in (1, 3, 5, 7, 9)] + [(2, 0, "user", "x\ny"), (2, 4, "user", "x")]
+    rows = toolcalls.whole_conversations(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()
+    assert {(r.conv_id, r.turn): (r.order_turn, r.order_step) for r in rows} == {
+        (1, 1): (5, 2), (1, 3): (5, 1), (1, 5): (5, 0), (1, 7): (7, 0), (1, 9): (9, 0), (2, 0): (0, 0), (2, 4): (4, 0)}
+
+
 def test_every_turn_is_in_a_row(spark):
     turns = spark.createDataFrame([(1, 0, "system", 'be "kind"'), (1, 1, "user", "hi"), (1, 2, "assistant", "ho"), (1, 3, None, None), (2, 0, "user", "x"), (None, 0, "tool", "t")],
                                   "conv_id long, turn long, role string, text string")
