@@ -310,15 +310,18 @@ def mixed_matrix(sources: Mapping[str, Source], refs: DataFrame, names: Sequence
     made = made.select(*[F.col(f"`{n}`") for n in made.columns if n not in by_steps], *doubles)
     ids = refs.columns
     # each row of refs takes the features of a level from the point of that level; counts and amounts of a null key are 0
-    at = F.array(*[F.struct(F.lit(v).alias("_level"), point(v, keys[v]).alias("_point")) for v in levels])
-    wide = refs.select(*ids, F.explode(at).alias("_at")).select(*ids, "_at.*").join(made, ["_point", "ref_date"], "left")
     none_is_zero = {s.name for s in plan.distinct} | {s.name for s in plan.first if s.op in ("AMT", "VOL")}
 
-    def pick(s: Spec) -> Column:
-        v = F.max(F.when(F.col("_level") == s.level, F.col(f"`{s.name}`")))
+    def filled(s: Spec, v: Column) -> Column:
         return (F.coalesce(v, F.lit(0).cast("double" if s.op == "AMT" else "bigint")) if s.name in none_is_zero else v).alias(s.name)
 
-    out = wide.groupBy(*ids).agg(*[pick(s) for s in every])
+    if len(levels) == 1:
+        wide = refs.withColumn("_point", point(levels[0], keys[levels[0]])).join(made, ["_point", "ref_date"], "left")
+        out = wide.select(*ids, *[filled(s, F.col(f"`{s.name}`")) for s in every])
+    else:
+        at = F.array(*[F.struct(F.lit(v).alias("_level"), point(v, keys[v]).alias("_point")) for v in levels])
+        wide = refs.select(*ids, F.explode(at).alias("_at")).select(*ids, "_at.*").join(made, ["_point", "ref_date"], "left")
+        out = wide.groupBy(*ids).agg(*[filled(s, F.max(F.when(F.col("_level") == s.level, F.col(f"`{s.name}`")))) for s in every])
     return derive(out, plan).select(*ids, *[F.col(f"`{n}`") for n in names])
 
 
