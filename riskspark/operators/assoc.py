@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 from math import isfinite
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from riskspark.operators.components import connected_components
 from riskspark.operators.ranks import ranked_values
-from riskspark.sources.session import ensure_checkpoint_dir
+from riskspark.sources.session import ensure_checkpoint_dir, written
 
 UNKNOWN = "NA"
 
@@ -111,6 +112,64 @@ def feature_groups(assoc: DataFrame, features: Sequence[str], threshold: float,
         F.col("node").alias("feature"), F.when(F.col("_n") < merge_below, "OTHERS").otherwise(F.col("label")).alias("group"))
 
 
+def cosine_distances(assoc: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(a, b, d) for every two features, a < b: one minus the cosine of their rows in the matrix
+    of |r|, which has ones on the diagonal and 0 where no r is known."""
+    spark = assoc.sparkSession
+    own = spark.createDataFrame([(f, f, 1.0) for f in features], "f string, k string, x double")
+    known = assoc.filter(F.col("f1").isin(*features) & F.col("f2").isin(*features) & (F.col("f1") != F.col("f2"))).select(
+        "f1", "f2", F.coalesce(F.abs("r"), F.lit(0.0)).alias("x"))
+    rows = own.union(known.select("f1", "f2", "x")).union(known.select("f2", "f1", "x"))
+    norms = rows.groupBy("f").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("n"))
+    a = rows.join(norms, "f").select(F.col("f").alias("a"), "k", (F.col("x") / F.col("n")).alias("xa"))
+    b = a.select(F.col("a").alias("b"), "k", F.col("xa").alias("xb"))
+    dots = a.join(b, "k").filter(F.col("a") < F.col("b")).groupBy("a", "b").agg(F.sum(F.col("xa") * F.col("xb")).alias("dot"))
+    return dots.select("a", "b", (1 - F.col("dot")).alias("d"))
+
+
+def average_linkage(distances: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(a, b, height): the merges of average linkage, each named by a member of either group.
+
+    In a round all groups merge that are each other's nearest one: average linkage is
+    reducible, so this gives the merges of the one-by-one procedure in a few rounds. Sums
+    of distances between groups add up when groups merge, and the average is the sum over
+    the product of the sizes. Of equally near groups the first by name counts."""
+    spark = distances.sparkSession
+    sizes = written(spark.createDataFrame([(f, 1) for f in features], "g string, n long"))
+    sums = written(distances.select("a", "b", F.col("d").alias("s")))
+    merges: list[DataFrame] = []
+    while not sums.isEmpty():
+        na, nb = sizes.toDF("a", "na"), sizes.toDF("b", "nb")
+        near = sums.join(na, "a").join(nb, "b").select(F.struct((F.col("s") / (F.col("na") * F.col("nb"))).alias("d"), "a", "b").alias("p"))
+        ends = near.select(F.explode(F.array("p.a", "p.b")).alias("g"), "p")
+        mutual = ends.groupBy("g").agg(F.min("p").alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("both")).filter("both = 2")
+        merges.append(written(mutual.select("p.a", "p.b", F.col("p.d").alias("height"))))
+        into = merges[-1].select(F.col("b").alias("g"), F.col("a").alias("to"))
+        named = sizes.join(into, "g", "left").select(F.coalesce("to", "g").alias("g"), "n")
+        sizes = written(named.groupBy("g").agg(F.sum("n").alias("n")))
+        moved = sums.join(into.toDF("a", "_a"), "a", "left").join(into.toDF("b", "_b"), "b", "left").select(
+            F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"), "s").filter(F.col("a") != F.col("b"))
+        sums = written(moved.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("s").alias("s")))
+    return reduce(DataFrame.union, merges) if merges else spark.createDataFrame([], "a string, b string, height double")
+
+
+def linkage_groups(assoc: DataFrame, features: Sequence[str], below: float | None = None, groups: int | None = None) -> DataFrame:
+    """(feature, group) by average linkage over cosine distances: groups nearer than ``below``
+    merge, or as many merge as leave ``groups`` of them. A group has the name of its first feature."""
+    if (below is None) == (groups is None):
+        raise ValueError("name either a distance or a number of groups")
+    spark = assoc.sparkSession
+    merges = average_linkage(cosine_distances(assoc, features), features)
+    if groups is None:
+        kept = merges.filter(F.col("height") < below)
+    else:
+        # one row per feature at most
+        kept = merges.orderBy("height", "a", "b").limit(max(0, len(features) - max(1, groups)))
+    nodes = spark.createDataFrame([(f, f) for f in features], "node string, label string")
+    made = connected_components(nodes, kept.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    return made.select(F.col("node").alias("feature"), F.col("label").alias("group"))
+
+
 def assign_typology(groups: DataFrame, known: DataFrame, assoc: DataFrame) -> DataFrame:
     """(feature, group, typology). Unknown ones take the typology of the group members they
     associate with best on average. A group takes its most frequent typology, unless all its

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.operators.enrich import outer_all
 from riskspark.operators.shape import latest
+from riskspark.operators.store import KeyedStore
 
 TRUE_RESULTS = ("str", "true", "1")
 LEVELS = ("High", "Medium", "Low")
@@ -58,6 +60,21 @@ def history_upsert(previous: DataFrame, kyc: DataFrame, components: Mapping[str,
         F.coalesce("ctb_new", "ctb_score").alias("overall_score"), F.col("risk_level").alias("previous_risk_level"), level.alias("risk_level"), run_date.alias("created"))
 
 
+def history_keys(kyc: DataFrame, components: Mapping[str, DataFrame], trues: DataFrame, products: DataFrame) -> DataFrame:
+    """The customers that a run's deltas name."""
+    found = [df.select("party") for df in (kyc, *components.values(), trues, products)]
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
+def store_upsert(store: KeyedStore, kyc: DataFrame, components: Mapping[str, DataFrame], trues: DataFrame, products: DataFrame,
+                 run_date: Column) -> int:
+    """``history_upsert`` on a stored history: customers without a delta keep their row, and only the
+    buckets of the others are read and written. The store has the columns that ``history_upsert`` gives."""
+    def merge(previous: DataFrame) -> DataFrame:
+        return history_upsert(previous.withColumn("history_id", F.lit(0)), kyc, components, trues, products, run_date)
+    return store.upsert(history_keys(kyc, components, trues, products), merge)
+
+
 def customers_profile(customers: DataFrame, intervals: DataFrame) -> DataFrame:
     """Customers with the newest high-risk record as JSON."""
     newest = latest(intervals.withColumn("_until", F.coalesce("expiry_date", F.lit("9999-12-31").cast("date"))), ["party"], ["_until", "start_date", "interval_id"])

@@ -46,8 +46,8 @@ def mark_share(df: DataFrame, row_id: str, pct: float, strata: Sequence[str] = (
     return joined.withColumn(name, F.col("_before") + rank <= F.col("_quota")).drop("_h", "_p", "_before", "_quota")
 
 
-def split_random(df: DataFrame, row_id: str, pct: float) -> DataFrame:
-    return mark_share(df, row_id, pct)
+def split_random(df: DataFrame, row_id: str, pct: float, seed: str = "") -> DataFrame:
+    return mark_share(df, row_id, pct, purpose=seed)
 
 
 def can_stratify(df: DataFrame, target: str) -> bool:
@@ -58,14 +58,14 @@ def can_stratify(df: DataFrame, target: str) -> bool:
     return row["k"] > 1 and row["least"] > 1
 
 
-def split_stratified(df: DataFrame, row_id: str, pct: float, target: str) -> DataFrame:
+def split_stratified(df: DataFrame, row_id: str, pct: float, target: str, seed: str = "") -> DataFrame:
     """Keeps the shares of the target; random when the target does not allow that."""
     if not can_stratify(df, target):
-        return split_random(df, row_id, pct)
-    return mark_share(df, row_id, pct, [target], rounding="half_up")
+        return split_random(df, row_id, pct, seed)
+    return mark_share(df, row_id, pct, [target], rounding="half_up", purpose=seed)
 
 
-def hold_out(df: DataFrame, parts: Sequence[tuple[Column, float]], row_id: str, target: str) -> DataFrame:
+def hold_out(df: DataFrame, parts: Sequence[tuple[Column, float]], row_id: str, target: str, seed: str = "") -> DataFrame:
     """Every row once. Of the rows under the first condition that holds, its percentage is
     for validation; rows under none (or whose condition is unknown) are for training."""
     number = F.lit(len(parts))
@@ -75,18 +75,18 @@ def hold_out(df: DataFrame, parts: Sequence[tuple[Column, float]], row_id: str,
     out = tagged.filter(F.col("_part") == len(parts)).withColumn("is_valid", F.lit(False))
     for i, (_, pct) in enumerate(parts):
         rows = tagged.filter(F.col("_part") == i)
-        out = out.unionByName(rows.withColumn("is_valid", F.lit(True)) if pct == 100.0 else split_stratified(rows, row_id, pct, target))
+        out = out.unionByName(rows.withColumn("is_valid", F.lit(True)) if pct == 100.0 else split_stratified(rows, row_id, pct, target, seed))
     return out.drop("_part")
 
 
-def split_lookback(df: DataFrame, row_id: str, pct: float, target: str, date_col: str, months: float) -> DataFrame:
+def split_lookback(df: DataFrame, row_id: str, pct: float, target: str, date_col: str, months: float, seed: str = "") -> DataFrame:
     """Validation rows from the newest months alone; a row without date trains."""
     newest = df.agg(F.max(date_col)).scalar()
-    return hold_out(df, [(F.col(date_col) > F.date_sub(newest, int(months * 30)), pct)], row_id, target)
+    return hold_out(df, [(F.col(date_col) > F.date_sub(newest, int(months * 30)), pct)], row_id, target, seed)
 
 
 def split_memory(df: DataFrame, row_id: str, pct: float, target: str, date_col: str, months: float,
-                 previous: DataFrame, previous_max: date, old_pct: float = DEFAULT_OLD_VALID_PERC) -> DataFrame:
+                 previous: DataFrame, previous_max: date, old_pct: float = DEFAULT_OLD_VALID_PERC, seed: str = "") -> DataFrame:
     """Remembers former validation rows: those still in the look-back make up one part, of
     which ``old_pct`` percent stay, all of them if no newer row has come; other rows newer
     than the previous training date are split anew; the rest trains."""
@@ -97,7 +97,7 @@ def split_memory(df: DataFrame, row_id: str, pct: float, target: str, date_col:
     former = F.col("_former").isNotNull() & (day > F.date_sub(newest, int(months * 30)))
     grown = df.filter(day > F.lit(previous_max)).limit(1).count() > 0
     parts = [(former, old_pct if grown else DEFAULT_OLD_VALID_PERC), (day > F.lit(previous_max), pct)]
-    return hold_out(marked, parts, row_id, target).drop("_former")
+    return hold_out(marked, parts, row_id, target, seed).drop("_former")
 
 
 @dataclass(frozen=True)
@@ -111,6 +111,7 @@ class SplitParams:
     previous_max: date | None = None
     old_pct: float | None = None
     max_pct: float = MAX_VALID_PERC
+    seed: str = ""                                  # splits with different seeds draw independently
 
 
 def _pct(value: float | None, least: float, most: float) -> float:
@@ -177,12 +178,12 @@ def _lookback_share(df: DataFrame, p: SplitParams, months: float, last: date) ->
 def split(df: DataFrame, mode: str, p: SplitParams) -> tuple[DataFrame, str, SplitParams]:
     mode, p = resolve_mode(df, mode, p)
     if mode == "random":
-        return split_random(df, p.row_id, p.valid_pct), mode, p
+        return split_random(df, p.row_id, p.valid_pct, p.seed), mode, p
     if mode == "stratified":
-        return split_stratified(df, p.row_id, p.valid_pct, p.target), mode, p
+        return split_stratified(df, p.row_id, p.valid_pct, p.target, p.seed), mode, p
     if mode == "lookback":
-        return split_lookback(df, p.row_id, p.valid_pct, p.target, p.date_col, p.months), mode, p
-    return split_memory(df, p.row_id, p.valid_pct, p.target, p.date_col, p.months, p.previous, p.previous_max, p.old_pct), mode, p
+        return split_lookback(df, p.row_id, p.valid_pct, p.target, p.date_col, p.months, p.seed), mode, p
+    return split_memory(df, p.row_id, p.valid_pct, p.target, p.date_col, p.months, p.previous, p.previous_max, p.old_pct, p.seed), mode, p
 
 
 def sample_strata(df: DataFrame, row_id: str, stratum: str, divisor: float, keep_below: int = 1000,

@@ -54,6 +54,48 @@ def block_join(left: DataFrame, right: DataFrame, left_name: str, right_name: st
     return pairs.withColumn("similarity", similarity).filter(F.col("similarity") >= threshold - 1e-9).select("l_name", "r_name", "similarity")
 
 
+def edit_join(left: DataFrame, right: DataFrame, left_name: str, right_name: str, ratio: float, spare: int = 2) -> DataFrame:
+    """(l_name, r_name, similarity): all pairs of distinct names whose ``edit_ratio`` is at least
+    ``ratio`` (above a half) - exactly, without comparing everything.
+
+    Two names of given lengths may be t edits apart. If the right one is cut into
+    t + 1 + ``spare`` pieces, at least ``spare`` + 1 of them stand unchanged in the left one, each at
+    most so far from its place that the shifts before and behind it add up to t or less. So of the
+    pieces of every right name, the ``spare`` most frequent ones ("LIMITED") need not be
+    looked up, and a left name meets just those that share one of the others. Null and
+    empty names are left out; copies do not multiply.
+    """
+    if not 0.5 < ratio <= 1:
+        raise ValueError("the ratio must be above 0.5 and at most 1")
+
+    def names(df: DataFrame, col: str, side: str) -> DataFrame:
+        return df.select(F.col(col).alias(f"{side}_name")).filter(F.length(f"{side}_name") > 0).distinct().withColumn(f"_{side}", F.length(f"{side}_name"))
+
+    def lengths(length: str) -> Column:
+        return F.explode(F.sequence(F.greatest(F.lit(1), F.ceil(F.col(length) * ratio - 1e-9)).cast("int"), F.floor(F.col(length) / ratio + 1e-9).cast("int")))
+
+    edits = F.floor((1 - ratio) * F.greatest("_l", "_r") + 1e-9).cast("int")
+    count = F.col("_t") + 1 + spare
+    start, end = F.floor(F.col("_i") * F.col("_r") / count).cast("int"), F.floor((F.col("_i") + 1) * F.col("_r") / count).cast("int")
+    numbers = F.explode(F.sequence(F.lit(0), F.col("_t") + spare))
+
+    # one set of pieces for each number of edits that some length of the other name allows
+    pieces = names(right, right_name, "r").withColumn("_l", lengths("_r")).select("r_name", "_r", edits.alias("_t")).distinct().withColumn("_i", numbers).select(
+        "r_name", "_r", "_t", F.xxhash64("_r", "_t", "_i", F.substring("r_name", start + 1, end - start)).alias("_key"))
+    use = pieces.groupBy("_key").agg(F.count(F.lit(1)).alias("_use"))
+    index = pieces.join(use, "_key").groupBy("r_name", "_r", "_t").agg(F.collect_list(F.struct("_use", "_key")).alias("_all")).select(
+        "r_name", F.explode(F.slice(F.array_sort("_all"), F.lit(1), F.col("_t") + 1)).alias("_k")).select("r_name", F.col("_k._key").alias("_key"))
+
+    longer = F.col("_l") - F.col("_r")
+    low = F.greatest(F.lit(0), start - F.floor((F.col("_t") - longer) / 2).cast("int"))
+    high = F.least(F.col("_l") - (end - start), start + F.floor((F.col("_t") + longer) / 2).cast("int"))
+    places = F.explode(F.when(low <= high, F.sequence(low, F.greatest(low, high))))
+    asked = names(left, left_name, "l").withColumn("_r", lengths("_l")).withColumn("_t", edits).withColumn("_i", numbers).withColumn("_at", places).select(
+        "l_name", F.xxhash64("_r", "_t", "_i", F.substring("l_name", F.col("_at") + 1, end - start)).alias("_key"))
+    similarity = nm.edit_ratio(F.col("l_name"), F.col("r_name"))
+    return asked.join(index, "_key").filter(similarity >= ratio - 1e-9).select("l_name", "r_name").distinct().withColumn("similarity", similarity)
+
+
 def match_flag(a: Column, b: Column, unknown: Sequence[str] = ()) -> Column:
     """1 / 0 for equal / different texts, null when one is missing or unknown."""
     x, y = F.upper(F.trim(a)), F.upper(F.trim(b))

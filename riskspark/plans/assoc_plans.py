@@ -87,6 +87,26 @@ def feature_groups(spark, sf):
     return ac.feature_groups(assoc_of(spark, sf), NUMS + CATS, THRESHOLD)
 
 
+LINKAGE_BELOW = 0.6
+_FEATURES = NUMS + CATS
+
+
+def linkage_sql() -> str:
+    """One merge after the other: distances of the features, then a step for each possible merge."""
+    steps = [f""", g0(feature, grp) AS (VALUES {", ".join(f"('{f}', '{f}')" for f in _FEATURES)})"""]
+    for k in range(len(_FEATURES) - 1):
+        steps.append(f""", m{k} AS (SELECT x.grp AS a, y.grp AS b, AVG(d) AS h FROM dist JOIN g{k} x ON x.feature = dist.a JOIN g{k} y ON y.feature = dist.b WHERE x.grp < y.grp GROUP BY 1, 2 ORDER BY h, a, b LIMIT 1),
+        g{k + 1} AS (SELECT feature, CASE WHEN grp = (SELECT b FROM m{k} WHERE h < {LINKAGE_BELOW}) THEN (SELECT a FROM m{k}) ELSE grp END AS grp FROM g{k})""")
+    return ASSOC_SQL + """, mat AS (SELECT f1 AS f, f2 AS k, abs(COALESCE(r, 0)) AS x FROM assoc UNION ALL SELECT f2, f1, abs(COALESCE(r, 0)) FROM assoc UNION ALL SELECT f, f, 1.0 FROM (SELECT UNNEST(""" + str(_FEATURES) + """) AS f)),
+    dist AS (SELECT p.f AS a, q.f AS b, 1 - SUM(p.x * q.x) / (sqrt((SELECT SUM(x * x) FROM mat WHERE f = p.f)) * sqrt((SELECT SUM(x * x) FROM mat WHERE f = q.f))) AS d FROM mat p JOIN mat q ON p.k = q.k AND p.f <> q.f GROUP BY 1, 2)""" + \
+        "".join(steps) + f' SELECT feature, grp AS "group" FROM g{len(_FEATURES) - 1}'
+
+
+@query("feature_groups_linkage", linkage_sql())
+def feature_groups_linkage(spark, sf):
+    return ac.linkage_groups(ac.assoc_matrix(rule_features(spark, sf), "party", NUMS, CATS), NUMS + CATS, below=LINKAGE_BELOW)
+
+
 TYPOLOGY_SQL = GROUP_SQL + ", known(feature, typology) AS (VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in TYPOLOGY.items()) + """),
     ty AS (SELECT g.feature, g.grp, COALESCE(k.typology, 'NA') AS typology FROM grp g LEFT JOIN known k USING (feature)),
     both_ways AS (SELECT f1, f2, r FROM assoc UNION ALL SELECT f2, f1, r FROM assoc),

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from riskspark.functions import levels as lv
 from riskspark.operators import enrich, lookback as lb, reports as rp, shape
+from riskspark.operators.store import KeyedStore
 from riskspark.plans.base_sql import with_tables
 from riskspark.plans.registry import query
 from riskspark.sources import generate as gen, tables as t
+from riskspark.sources.session import ensure_checkpoint_dir
 
 RUN = "2024-01-31"
 
@@ -78,6 +82,65 @@ def customer_history_upsert(spark, sf):
     return rp.history_upsert(previous, kyc, parts, rp.true_counts(results), products(spark, sf, "o_totalprice > 200000"), F.lit(RUN).cast("date"))
 
 
+# runs of the stored history: newest date, segment of the customers whose score came with it
+HISTORY_RUNS = [("1997-12-31", "BUILDING"), ("1999-12-31", "MACHINERY"), ("2024-01-31", "FURNITURE")]
+HISTORY_COLS = ["kyc_score", "segment", "ctb_score", "nla_score", "scr_score", "str_count", "product", "reason", "overall_score", "previous_risk_level", "risk_level", "created"]
+
+
+def history_run_sql(k: int) -> str:
+    run, segment = HISTORY_RUNS[k]
+    since = f"CAST(o_orderdate AS DATE) > DATE '{HISTORY_RUNS[k - 1][0]}' AND " if k else ""
+    held = f"{since}CAST(o_orderdate AS DATE) <= DATE '{run}'"
+    return f""", kyc{k} AS (SELECT c_custkey AS party, c_acctbal AS kyc_new, c_mktsegment AS segment_new FROM customer WHERE c_mktsegment = '{segment}'),
+    n{k} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY party, component ORDER BY created DESC, score_id DESC) AS rn FROM comp WHERE {held.replace('o_orderdate', 'created')}) WHERE rn = 1),
+    t{k} AS (SELECT o_custkey AS party, COUNT(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS n FROM orders WHERE o_orderpriority = '1-URGENT' AND {held} GROUP BY 1),
+    pr{k} AS (SELECT * FROM {PRODUCT_SQL.format(w='o_totalprice > 400000 AND ' + held)}),
+    i{k} AS (SELECT party FROM kyc{k} UNION SELECT party FROM n{k} UNION SELECT party FROM t{k} UNION SELECT party FROM pr{k}),
+    h{k + 1} AS (SELECT i.party, COALESCE(kyc_new, p.kyc_score) AS kyc_score, COALESCE(segment_new, p.segment) AS segment, COALESCE(c.score, p.ctb_score) AS ctb_score, COALESCE(n.score, p.nla_score) AS nla_score,
+        COALESCE(s.score, p.scr_score) AS scr_score, CAST(COALESCE(tr.n, 0) + COALESCE(p.str_count, 0) AS BIGINT) AS str_count, COALESCE(pr.products, p.product) AS product,
+        COALESCE(NULLIF(concat_ws(',', CASE WHEN c.party IS NOT NULL THEN 'ctb changed' END, CASE WHEN n.party IS NOT NULL THEN 'nla changed' END, CASE WHEN s.party IS NOT NULL THEN 'scr changed' END), ''), p.reason) AS reason,
+        COALESCE(c.score, p.ctb_score) AS overall_score, p.risk_level AS previous_risk_level,
+        COALESCE(CASE WHEN c.score >= 0.6 THEN 'High' WHEN c.score >= 0.2 THEN 'Medium' WHEN c.score IS NOT NULL THEN 'Low' END, p.risk_level) AS risk_level, DATE '{run}' AS created
+        FROM i{k} i LEFT JOIN h{k} p USING (party) LEFT JOIN kyc{k} USING (party) LEFT JOIN n{k} c ON c.party = i.party AND c.component = 'ctb' LEFT JOIN n{k} n ON n.party = i.party AND n.component = 'nla'
+        LEFT JOIN n{k} s ON s.party = i.party AND s.component = 'scr' LEFT JOIN t{k} tr ON tr.party = i.party LEFT JOIN pr{k} pr ON pr.party = i.party
+        UNION ALL SELECT party, {', '.join(HISTORY_COLS)} FROM h{k} WHERE party NOT IN (SELECT party FROM i{k}))"""
+
+
+STORE_SQL = COMP_SQL + f""", h0 AS (SELECT party, s AS kyc_score, 'OLD' AS segment, s AS ctb_score, s AS nla_score, s AS scr_score, CAST(k AS BIGINT) AS str_count, 'OLD' AS product, 'OLD' AS reason,
+        s AS overall_score, CAST(NULL AS VARCHAR) AS previous_risk_level, CASE WHEN s > 0.5 THEN 'High' ELSE 'Low' END AS risk_level, CAST(d AS DATE) AS created
+        FROM (SELECT o_custkey AS party, round(o_totalprice / 600000.0, 4) AS s, o_orderkey % 3 AS k, o_orderdate AS d, row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC) AS rn
+              FROM orders WHERE o_orderpriority = '3-MEDIUM') WHERE rn = 1)""" + "".join(history_run_sql(k) for k in range(len(HISTORY_RUNS))) + f" SELECT * FROM h{len(HISTORY_RUNS)}"
+
+
+@query("customer_history_store", STORE_SQL)
+def customer_history_store(spark, sf):
+    """The stored history after three runs, each of which rewrites the buckets of its customers."""
+    orders = t.load(spark, sf, "orders").withColumn("day", F.col("o_orderdate").cast("date"))
+    s = F.round(F.col("o_totalprice") / 600000.0, 4)
+    first = shape.latest(orders.filter("o_orderpriority = '3-MEDIUM'").select(
+        F.col("o_custkey").alias("party"), "day", "o_orderkey", s.alias("s")), ["party"], ["day", "o_orderkey"])
+    store = KeyedStore(spark, f"{ensure_checkpoint_dir(spark)}/history-{uuid.uuid4().hex}", "party", 64)
+    store.create(first.select(
+        "party", F.col("s").alias("kyc_score"), F.lit("OLD").alias("segment"), *[F.col("s").alias(f"{c}_score") for c in ("ctb", "nla", "scr")],
+        (F.col("o_orderkey") % 3).cast("bigint").alias("str_count"), F.lit("OLD").alias("product"), F.lit("OLD").alias("reason"), F.col("s").alias("overall_score"),
+        F.lit(None).cast("string").alias("previous_risk_level"), F.when(F.col("s") > 0.5, "High").otherwise("Low").alias("risk_level"), F.col("day").alias("created")))
+    since = None
+    for run, segment in HISTORY_RUNS:
+        inside = f"{{0}} <= DATE '{run}'" + (f" AND {{0}} > DATE '{since}'" if since else "")
+        kyc = t.load(spark, sf, "customer").filter(F.col("c_mktsegment") == segment).select(
+            F.col("c_custkey").alias("party"), F.col("c_acctbal").alias("kyc_score"), F.col("c_mktsegment").alias("segment"))
+        newest = rp.latest_component(components(spark, sf).filter(inside.format("created")))
+        parts = {}
+        for name in COMPONENTS.values():
+            part = newest.filter(F.col("component") == name).select("party", "score", F.lit(f"{name} changed").alias("reason"))
+            parts[name] = part.withColumn("level", lv.level_hml(F.col("score"), 0.6, 0.2)) if name == "ctb" else part
+        results = t.alerts(spark, sf).filter(inside.format("alert_date")).withColumn("result", F.when(F.col("result") == "F", "STR").otherwise("Non-STR"))
+        held = products(spark, sf, "o_totalprice > 400000 AND " + inside.format("CAST(o_orderdate AS DATE)"))
+        rp.store_upsert(store, kyc, parts, rp.true_counts(results), held, F.lit(run).cast("date"))
+        since = run
+    return store.read()
+
+
 @query("customers_profile", with_tables("cust hrp", """, l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY party ORDER BY COALESCE(expiry_date, DATE '9999-12-31') DESC, start_date DESC, interval_id DESC) AS rn FROM hrp) WHERE rn = 1)
     SELECT c.party, c.name, c.segment, CASE WHEN l.party IS NOT NULL THEN '{"id":"' || l.interval_id || '","start":"' || strftime(l.start_date, '%Y-%m-%d') || '","expiry":"' || COALESCE(strftime(l.expiry_date, '%Y-%m-%d'), 'open') || '"}' END AS high_risk_info
     FROM cust c LEFT JOIN l USING (party)"""))

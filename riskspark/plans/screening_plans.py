@@ -144,6 +144,22 @@ def name_block_join(spark, sf):
     return made.select("l_name", "r_name", F.round("similarity", 6).alias("similarity"))
 
 
+@query("name_edit_join", f"""WITH a AS (SELECT DISTINCT upper(p_name || ' ' || n_name) AS l_name FROM customer JOIN part ON p_partkey = c_custkey JOIN nation ON n_nationkey = c_nationkey),
+    b AS (SELECT DISTINCT upper(p_name || ' ' || n_name) AS r_name FROM supplier JOIN part ON p_partkey = s_suppkey JOIN nation ON n_nationkey = s_nationkey),
+    m AS (SELECT l_name, r_name, {EDIT.format(a='l_name', b='r_name')} AS s FROM a, b) SELECT l_name, r_name, ROUND(s, 6) AS similarity FROM m WHERE s >= 0.8 - 1e-9""")
+def name_edit_join(spark, sf):
+    """Customers and list entries whose names with their country are nearly equal."""
+    nation = t.load(spark, sf, "nation").select(F.col("n_nationkey").alias("nation"), "n_name")
+    part = t.load(spark, sf, "part").select(F.col("p_partkey").alias("k"), "p_name")
+
+    def full(table, key, nation_key):
+        rows = t.load(spark, sf, table).select(F.col(key).alias("k"), F.col(nation_key).alias("nation"))
+        return rows.join(part, "k").join(nation, "nation").select(F.upper(F.concat_ws(" ", "p_name", "n_name")).alias("full_name"))
+
+    made = sc.edit_join(full("customer", "c_custkey", "c_nationkey"), full("supplier", "s_suppkey", "s_nationkey"), "full_name", "full_name", 0.8)
+    return made.select("l_name", "r_name", F.round("similarity", 6).alias("similarity"))
+
+
 DEMO_SQL = PAIR_SQL + """, d AS (SELECT alert_id, watchlist_id, CASE WHEN CAST(party AS BIGINT) % 2 = 0 THEN 'M' ELSE 'F' END AS g1, (['m', 'F', 'U'])[CAST(CAST(watchlist_id AS BIGINT) % 3 + 1 AS INT)] AS g2, nation, list_nation, nation % 5 AS r1, list_nation % 5 AS r2,
     CAST(trunc(date_diff('day', DATE '1940-01-01' + CAST(CAST(party AS BIGINT) * 17 % 25000 AS INT), DATE '2024-01-31') / 365.25) AS INT) AS customer_age,
     COALESCE(CASE WHEN CAST(watchlist_id AS BIGINT) % 4 <> 0 THEN CAST(trunc(date_diff('day', DATE '1940-01-01' + CAST(CAST(watchlist_id AS BIGINT) * 31 % 25000 AS INT), DATE '2024-01-31') / 365.25) AS INT) END,
