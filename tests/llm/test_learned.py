@@ -58,6 +58,75 @@ def test_scores_do_not_read_held_out_labels(spark):
     assert a == b
 
 
+def plain_newton(x, y, weight, w, steps, still):
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-(x @ w)))
+        h = sum(c * max(q * (1 - q), 1e-6) * np.outer(r, r) for r, q, c in zip(x, p, weight, strict=True)) + cotrain.L2 * np.eye(len(w))
+        step = np.linalg.solve(h, sum(c * (q - t) * r for r, q, t, c in zip(x, p, y, weight, strict=True)) + cotrain.L2 * w)
+        w = w - step
+        if np.abs(step).max() < still:
+            break
+    return w
+
+
+def test_cotraining_equals_a_run_over_rows_in_memory(spark):
+    """Every unlabelled row takes part, copies as often as they occur, in any partition."""
+    rng = np.random.default_rng(4)
+    n, m = 900, 900
+    y = rng.integers(0, 2, n + m).astype(float)
+    a = y[:, None] * 3 + rng.normal(size=(n + m, 3))
+    b = np.column_stack([rng.integers(0, cotrain.LANGS, n + m), np.where(rng.random(n + m) < 0.9, y, 1 - y) * 3, y * 4 + rng.normal(size=n + m)])
+    a[n : n + 200], b[n : n + 200] = a[n], b[n]                                   # a hot group of copies
+    views = cotrain.View(), cotrain.View({0: cotrain.LANGS, 1: cotrain.SOURCES})
+    for v, x in zip(views, (a, b), strict=True):
+        v.prepare(x[:n])
+        v.weights = cotrain.regression(v.wide(v.bins(x[:n])), y[:n], np.ones(n))
+    wide = [v.wide(v.bins(x)) for v, x in zip(views, (a, b), strict=True)]
+    want, mine = [v.weights for v in views], [{}, {}]                              # row -> what the view was told
+    before = None
+    for _ in range(cotrain.ROUNDS - 1):
+        p = [1 / (1 + np.exp(-(x[n:] @ w))) for x, w in zip(wide, want, strict=True)]
+        for i in range(2):
+            for row, q in enumerate(p[i]):
+                if q >= cotrain.SURE or q <= 1 - cotrain.SURE:
+                    mine[1 - i].setdefault(row, float(q >= 0.5))
+        counts = [len(t) for t in mine]
+        if counts == before:
+            break
+        before, start = counts, want
+        # both views move in step, as the sums of both come from one pass
+        for steps in range(1, cotrain.STEPS + 1):
+            trial = []
+            for i in range(2):
+                at = np.array(sorted(mine[i]), int)
+                share = cotrain.PSEUDO_WEIGHT * n / max(n, len(at))
+                trial.append(plain_newton(np.vstack([wide[i][:n], wide[i][n + at]]), np.concatenate([y[:n], [mine[i][r] for r in at]]),
+                                          np.concatenate([np.ones(n), np.full(len(at), share)]), start[i], steps, 0))
+            moved = max(np.abs(t - w).max() for t, w in zip(trial, want, strict=True))
+            want = trial
+            if moved < cotrain.STILL:
+                break
+    assert min(before) > 100
+    codes = np.hstack([v.bins(x[n:]) for v, x in zip(views, (a, b), strict=True)])
+    for parts, grouped in ((3, False), (7, True)):
+        for v, x in zip(views, (a, b), strict=True):
+            v.weights = cotrain.regression(v.wide(v.bins(x[:n])), y[:n], np.ones(n))
+        pool = spark.createDataFrame([(c.tobytes(),) for c in codes], "code binary").repartition(parts)
+        pool = pool.groupBy("code").agg(F.count(F.lit(1)).alias("n")) if grouped else pool.withColumn("n", F.lit(1).cast("long"))
+        cotrain.taught(pool, views, [(x[:n], y[:n]) for x in wide])
+        for v, w in zip(views, want, strict=True):
+            assert np.allclose(v.weights, w, atol=1e-3)
+
+
+def test_cotraining_copies_score_alike(spark):
+    docs, labels = table(spark, "/root/testdata/sf0.001", "documents"), table(spark, "/root/testdata/sf0.001", "labels")
+    twice = cotrain.scores(docs.unionByName(docs), labels).collect()
+    found = defaultdict(set)
+    for r in twice:
+        found[r.doc_id].add((r.score, r.predicted))
+    assert len(twice) == 2 * docs.count() and all(len(v) == 1 for v in found.values())
+
+
 def plain_best_fit(length, source, cluster, capacity, per_source):
     """Looks at every bin for each item."""
     bins, out = [], []
