@@ -39,9 +39,9 @@ from riskspark.sources.session import ensure_checkpoint_dir
 
 BLANKS = " \t\n\x0b\x0c\r"
 SLOTS = 4
-#: filters up to so many bytes together are broadcast; beyond it, every line meets the exact counts
+#: filters are broadcast in parts of so many bytes together
 FILTER_BYTES = 64 << 20
-#: counts of so many lines at most are broadcast; more are joined by their key
+#: the counts of so many lines at most, the most frequent ones, are broadcast; the others are joined by their key
 COUNT_ROWS = 1_000_000
 #: keys of one shard when the index is laid out
 SHARD_KEYS = 50_000
@@ -256,25 +256,43 @@ class LineIndex:
         counts = self._read("counts").filter(F.col("n_docs") >= self.min_docs)
         filters = self._read("filters")
         size = filters.agg(F.sum(F.length("bits"))).first()[0] or 0
-        if size <= FILTER_BYTES:
-            bits = self.spark.sparkContext.broadcast({r.shard: bytes(r.bits) for r in filters.collect()})
-            refs = screened(refs, bits, self.shards)
-        if row_count(counts) <= COUNT_ROWS:
-            counts = F.broadcast(counts)            # a line that a third of all documents hold then meets no shuffle
-        return refs.join(counts, ["hi", "lo"]).filter(F.col(self.id_col) != F.col("last_doc")).select(self.id_col, "hi", "lo").distinct()
+        refs = self._screened(refs, filters, min(self.shards, math.ceil(size / max(1, FILTER_BYTES))))
+        common, rare = counts, None
+        if row_count(counts) > COUNT_ROWS:
+            # all documents of all lines together are n_docs added up, so at most COUNT_ROWS lines reach this bound
+            bound = counts.agg(F.sum("n_docs")).first()[0] // COUNT_ROWS + 1
+            common, rare = counts.filter(F.col("n_docs") >= bound), counts.filter(F.col("n_docs") < bound)
+        # a line that a third of all documents hold meets no shuffle
+        found = refs.join(F.broadcast(common), ["hi", "lo"])
+        if rare is not None:
+            found = found.unionByName(refs.join(rare, ["hi", "lo"]))
+        return found.filter(F.col(self.id_col) != F.col("last_doc")).select(self.id_col, "hi", "lo").distinct()
+
+    def _screened(self, refs: DataFrame, filters: DataFrame, parts: int) -> DataFrame:
+        """References that the filter of their shard lets through; the filters come in parts, a
+        reference meets the part of its shard."""
+        shard, out = F.pmod(F.shiftright("hi", 32), F.lit(self.shards)), None
+        for part in range(max(1, parts)):
+            held = filters if parts <= 1 else filters.filter(F.col("shard") % parts == part)
+            mine = refs if parts <= 1 else refs.filter(shard % parts == part)
+            bits = self.spark.sparkContext.broadcast({r.shard: bytes(r.bits) for r in held.collect()})
+            passed = screened(mine, bits, self.shards)
+            out = passed if out is None else out.unionByName(passed)
+        return out
 
     def clean(self, docs: DataFrame, make: Callable[[pa.RecordBatch, list[list[bool]]], pa.RecordBatch], schema: T.StructType,
               columns: list[str]) -> DataFrame:
         """``make(batch, keep)`` for all rows of ``docs`` with ``columns``; keep[i][j]: line j of text i stays."""
-        mine, text, least = "__lost_of", self.text_col, self.min_chars
-        lost = self.drops().groupBy(F.col(self.id_col).alias(mine)).agg(F.collect_list(F.struct("hi", "lo")).alias("__lost"))
+        text, least = self.text_col, self.min_chars
+        mine, gone_lines = free_name(docs, "_lost_of"), free_name(docs, "_lost")
+        lost = self.drops().groupBy(F.col(self.id_col).alias(mine)).agg(F.collect_list(F.struct("hi", "lo")).alias(gone_lines))
         joined = docs.select(*columns).join(lost, F.col(self.id_col) == F.col(mine), "left").drop(mine)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 if not b.num_rows:
                     continue
-                at = b.schema.get_field_index("__lost")
+                at = b.schema.get_field_index(gone_lines)
                 keep = []
                 for t, gone in zip(texts_of(b.column(b.schema.get_field_index(text))), b.column(at).to_pylist(), strict=True):
                     if gone:
@@ -282,11 +300,19 @@ class LineIndex:
                         keep.append([k is None or k not in out for k in keys_of(t, least)])
                     else:
                         keep.append([])                  # all stay
-                yield make(b.drop_columns(["__lost"]), keep)
+                yield make(b.drop_columns([gone_lines]), keep)
 
         return joined.mapInArrow(run, schema)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many marks before it as ``df`` asks for (Spark does not tell upper from lower case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def screened(refs: DataFrame, bits, shards: int) -> DataFrame:
     """References that a filter lets through."""
 

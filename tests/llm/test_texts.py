@@ -187,6 +187,25 @@ def test_lines_without_broadcast_filters(spark, monkeypatch):
     assert sorted(map(tuple, lines.query(docs_of(spark, texts)).collect()), key=str) == plain_lines(texts)
 
 
+@pytest.mark.parametrize("filter_bytes,rows", [(300, 1_000_000), (64 << 20, 3), (300, 3)])
+def test_lines_with_filters_in_parts_and_rare_counts(spark, monkeypatch, filter_bytes, rows):
+    monkeypatch.setattr(lines, "FILTER_BYTES", filter_bytes)
+    monkeypatch.setattr(lines, "COUNT_ROWS", rows)
+    asked, before = [], lines.screened
+    monkeypatch.setattr(lines, "screened", lambda refs, bits, shards: asked.append(len(bits.value)) or before(refs, bits, shards))
+    texts = line_texts()
+    assert sorted(map(tuple, lines.query(docs_of(spark, texts)).collect()), key=str) == plain_lines(texts)
+    assert (len(asked) > 1) == (filter_bytes == 300) and sum(asked) >= 1
+
+
+def test_lines_clashing_columns(spark):
+    docs = spark.createDataFrame([(i, "A line that all of these documents share, long enough\nown", i, "x") for i in range(6)],
+                                 "doc_id long, text string, _lost_of long, `_LOST` string")
+    made = lines.dedup(docs)
+    assert made.columns == docs.columns
+    assert sorted((r.doc_id, r.text.count("\n"), r["_LOST"]) for r in made.collect()) == [(i, int(i == 5), "x") for i in range(6)]
+
+
 def test_lines_can_be_taken_out_again(spark):
     texts = [t for t in line_texts() if t[0] is not None]
     state = lambda index: (sorted(map(tuple, index._read("counts").select("hi", "lo", "n_docs", "last_doc").collect())),
