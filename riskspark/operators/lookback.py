@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 MAX_HISTORY = 360
 EPOCH = "1970-01-01"
 STEP = "decimal(32,6)"        # exact, so that what is added can be taken away again
+#: from so many reference points on, facts are dealt out by key to tasks of about so many points
+MANY_POINTS, POINTS_OF_A_TASK = 500_000, 10_000
 
 
 def time_block(date: Column | str, days: int) -> Column:
@@ -80,12 +82,18 @@ def referenced(facts: DataFrame, refs: DataFrame, days: int, key: str = "party",
 
     The two ends are literals, so the filter reaches the scan and skips partitions and row
     groups; the semi join stands below every shuffle of the facts and Spark moves it below
-    the join that adds the key."""
-    ends = refs.agg(F.min(F.col(ref_date).cast("date")).alias("first"), F.max(F.col(ref_date).cast("date")).alias("last")).first()
+    the join that adds the key. Aggregates and windows by key follow in the tasks of that join, so
+    with many references their number grows with the references: tasks that are merged up to a
+    size of shuffled bytes hold several times as much in memory."""
+    ends = refs.agg(F.min(F.col(ref_date).cast("date")).alias("first"), F.max(F.col(ref_date).cast("date")).alias("last"), F.count(F.lit(1)).alias("n")).first()
     if ends["first"] is None:
         return facts.filter(F.lit(False))
     near = F.col(date).cast("date").between(F.lit(ends["first"] - timedelta(days=days)), F.lit(ends["last"]))
-    return facts.filter(near).join(refs.select(key).distinct(), key, "left_semi")
+    rows, keys = facts.filter(near), refs.select(key).distinct()
+    if ends["n"] > MANY_POINTS:
+        tasks = -(-ends["n"] // POINTS_OF_A_TASK)
+        rows, keys = rows.repartition(tasks, key), keys.repartition(tasks, key)
+    return rows.join(keys, key, "left_semi")
 
 
 def daily_totals(facts: DataFrame, specs: Sequence[Spec], key: str = "party", date: str = "txn_date",
