@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ALERT_KINDS = ("cdd", "tm", "ns", "case")
+#: keys that one task makes rows for, about
+ROWS_OF_A_TASK = 10_000
 # fixed values: categories; the first three come in, the others go out
 INCOMING = ("CDM-cash-deposit", "incoming-cheque", "incoming-fund-transfer")
 OUTGOING = ("ATM-withdrawal", "card-payment", "outgoing-fund-transfer")
@@ -53,6 +55,13 @@ def between_dates(u: Column, start: Column, end: Column) -> Column:
     return F.date_add(start, F.floor(u * (F.datediff(end, start) + 1)).cast("int"))
 
 
+def spread(df: DataFrame, rows: int = ROWS_OF_A_TASK) -> DataFrame:
+    """``df`` dealt out to tasks of about ``rows`` rows: keys come from few and small files, and
+    without this what is made from them would be made by as few tasks."""
+    tasks = -(-df.count() // rows)
+    return df.repartition(tasks) if tasks > 1 else df
+
+
 def party_ids(spark: SparkSession, n: int) -> DataFrame:
     return spark.range(n).select(F.col("id").alias("party"))
 
@@ -69,6 +78,7 @@ def customers(parties: DataFrame, seed: int = 1, individuals_per_corporate: floa
 
 
 def accounts(parties: DataFrame, seed: int = 1, most: int = 4) -> DataFrame:
+    parties = spread(parties.select("party"))
     n = whole(draw(seed, "accounts", "party"), 1, most)
     rows = parties.select("party", F.explode(F.sequence(F.lit(1), n.cast("int"))).alias("n"))
     return rows.select("party", F.concat_ws("-", F.lit("1"), "party", "n").alias("account"),
