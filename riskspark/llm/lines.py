@@ -29,6 +29,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +44,8 @@ SLOTS = 4
 FILTER_BYTES = 64 << 20
 #: the counts of so many lines at most, the most frequent ones, are broadcast; the others are joined by their key
 COUNT_ROWS = 1_000_000
+#: texts that a task holds as Python objects at once, with their lines
+TEXTS = 256
 #: keys of one shard when the index is laid out
 SHARD_KEYS = 50_000
 
@@ -60,6 +63,13 @@ def keys_of(text: str, min_chars: int) -> list[tuple[int, int] | None]:
     return out
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of ``TEXTS`` rows."""
+    for b in batches:
+        for at in range(0, b.num_rows, TEXTS):
+            yield b.slice(at, TEXTS)
+
+
 class Cuckoo:
     """A cuckoo filter with 16-bit tags; a key has two buckets, each the other's partner."""
 
@@ -146,7 +156,7 @@ def references(docs: DataFrame, min_chars: int, id_col: str = "doc_id", text_col
     arrow = to_arrow(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             hi, lo, who = [], [], []
             for i, text in zip(b.column(0).to_pylist(), texts_of(b.column(1)), strict=True):
                 for h, low in {k for k in keys_of(text, min_chars) if k is not None}:
@@ -289,17 +299,18 @@ class LineIndex:
         joined = docs.select(*columns).join(lost, F.col(self.id_col) == F.col(mine), "left").drop(mine)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                if not b.num_rows:
-                    continue
-                at = b.schema.get_field_index(gone_lines)
-                keep = []
-                for t, gone in zip(texts_of(b.column(b.schema.get_field_index(text))), b.column(at).to_pylist(), strict=True):
-                    if gone:
-                        out = {(g["hi"], g["lo"]) for g in gone}
+            for b in slices(batches):
+                gone = b.column(b.schema.get_field_index(gone_lines))
+                hi, lo = (x.to_numpy(zero_copy_only=False) for x in gone.flatten().flatten())
+                ends = np.cumsum(pc.fill_null(pc.list_value_length(gone), 0).to_numpy(zero_copy_only=False))
+                keep, at = [], 0
+                for t, end in zip(texts_of(b.column(b.schema.get_field_index(text))), ends.tolist(), strict=True):
+                    if end > at:
+                        out = set(zip(hi[at:end].tolist(), lo[at:end].tolist(), strict=True))
                         keep.append([k is None or k not in out for k in keys_of(t, least)])
                     else:
                         keep.append([])                  # all stay
+                    at = end
                 yield make(b.drop_columns([gone_lines]), keep)
 
         return joined.mapInArrow(run, schema)
