@@ -141,18 +141,25 @@ def nearest(held: pd.DataFrame, visitors: pd.DataFrame, k: int) -> pd.DataFrame:
 def kth_distance(df: DataFrame, row_id: str, cols: Sequence[str], k: int) -> DataFrame:
     """(row id, d2): squared distance to the k-th nearest other row, null if there are fewer.
 
-    Each cell tells the distances of its k + 1 points nearest to the pivot; they bound from
-    above how far a point has to look, so one pass over the cells within that bound is enough.
+    A point looks into its own cell first: the distance found there bounds how far it has to look
+    beyond. Each cell also tells the distances of its k + 1 points nearest to the pivot; they bound
+    the points of cells with few rows. A second pass over the cells within the smaller bound is enough.
     """
     rows, points = weighted_points(df, row_id, cols)
     if rows.count() <= k:
         return df.select(row_id, F.lit(None).cast("double").alias("d2"))
     cells = Cells(points, first=k + 1)
     kind = cells.kind
-    looks = cells.visits(cells.points, k=k + 1).withColumn("limit", F.col("reach") * F.col("reach")).checkpoint()
-    found = cells.meet(cells.points, looks, lambda held, ask: nearest(held, ask, k + 1), f"id {kind}, d2 double, w long")
-    # at most k + 1 rows of each cell that a point looks into
     ahead = Window.partitionBy("id").orderBy("d2").rowsBetween(Window.unboundedPreceding, 0)
-    kth = found.withColumn("seen", F.sum("w").over(ahead)).filter(F.col("seen") > k).groupBy("id").agg(F.min("d2").alias("d2"))
+
+    def kth_of(looks: DataFrame) -> DataFrame:
+        """(id, d2), at most k + 1 rows of each chunk of a cell that a point looks into."""
+        found = cells.meet(cells.points, looks, lambda held, ask: nearest(held, ask, k + 1), f"id {kind}, d2 double, w long")
+        return found.withColumn("seen", F.sum("w").over(ahead)).filter(F.col("seen") > k).groupBy("id").agg(F.min("d2").alias("d2"))
+
+    everywhere = F.lit(float("inf"))
+    at_home = kth_of(cells.points.select("id", "x", "cell", "dist", everywhere.alias("reach"), everywhere.alias("limit")))
+    bounded = cells.points.join(at_home.select("id", F.sqrt("d2").alias("bound")), "id", "left")
+    kth = kth_of(cells.visits(bounded, k=k + 1, bound="bound").withColumn("limit", F.col("reach") * F.col("reach")).checkpoint())
     of = rows.join(points.select("x", "id"), "x").join(kth, "id").select(F.col("_row").alias(row_id), "d2")
     return df.select(row_id).join(of, row_id, "left")

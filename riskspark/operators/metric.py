@@ -17,8 +17,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: points of a cell that are held, and that visit, at once
+#: points of a cell that are held, and that visit, at once; each chunk takes a copy of the visitors, each slice one of the held
 CHUNK, SLICE = 4_096, 4_096
+#: pairs that are measured at once, about
+PAIRS = 1 << 20
 #: points of a cell, about, and at most so many pivots
 CELL, MOST_PIVOTS = 512, 256
 #: room for the last digits of a distance
@@ -82,10 +84,11 @@ class Cells:
             for r in best.collect():
                 self.near[r.cell] = np.array([x.dist for x in r.d]), np.array([x.w for x in r.d], np.int64)
 
-    def visits(self, points: DataFrame, reach: float | None = None, k: int = 0) -> DataFrame:
+    def visits(self, points: DataFrame, reach: float | None = None, k: int = 0, bound: str | None = None) -> DataFrame:
         """(id, x, w, dist, cell, reach) for every cell that a point has to look into; ``dist`` is the distance to that cell's pivot.
 
-        ``reach``: how far all points look; else each looks as far as ``k`` rows are certain.
+        ``reach``: how far all points look; else each looks as far as ``k`` rows are certain, or
+        as far as its column ``bound`` says if that is less.
         """
         pivots, radius, near = self.pivots, self.radius, self.near
 
@@ -95,13 +98,16 @@ class Cells:
                     b = whole.iloc[at : at + 512].reset_index(drop=True)
                     d = np.sqrt(squared(rows_of(b["x"]), pivots))
                     far = np.full(len(b), reach) if reach is not None else certain(d, near, k)
+                    if bound:
+                        far = np.fmin(far, b["bound"].to_numpy(np.float64))     # NaN: no bound
                     far = far * (1 + SLACK) + SLACK
                     inside = (d <= radius + far[:, None]) & (d - d.min(axis=1)[:, None] <= 2 * far[:, None])
                     row, cell = np.nonzero(inside)
                     yield pd.DataFrame({"id": b["id"].to_numpy()[row], "x": b["x"].to_numpy()[row], "cell": cell.astype(np.int32),
                                         "dist": d[row, cell], "reach": far[row]})
 
-        return points.select("id", "x").mapInPandas(look, f"id {self.kind}, x array<double>, cell int, dist double, reach double")
+        known = [F.col(bound).cast("double").alias("bound")] if bound else []
+        return points.select("id", "x", *known).mapInPandas(look, f"id {self.kind}, x array<double>, cell int, dist double, reach double")
 
     def meet(self, held: DataFrame, visitors: DataFrame, pairs: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
         """``pairs(held rows, visitors)`` for every chunk of a cell and every slice of those that look into it."""
@@ -125,6 +131,7 @@ def blocks(held: pd.DataFrame, visitors: pd.DataFrame, rows: int = 256) -> Itera
         return
     a, b = np.argsort(visitors["dist"].to_numpy(), kind="stable"), np.argsort(held["dist"].to_numpy(), kind="stable")
     x, y = rows_of(visitors["x"])[a], rows_of(held["x"])[b]
+    rows = max(16, min(rows, PAIRS // len(b)))
     from_pivot, reach, of = visitors["dist"].to_numpy()[a], visitors["reach"].to_numpy()[a], held["dist"].to_numpy()[b]
     for at in range(0, len(a), rows):
         part = slice(at, at + rows)

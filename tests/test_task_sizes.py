@@ -5,7 +5,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from riskspark.operators import lookback as lb
+from riskspark.operators.metric import Cells
 from riskspark.sources import generate as gen
+from riskspark.sources.session import ensure_checkpoint_dir
 
 DAY0 = dt.date(2020, 1, 1)
 
@@ -31,3 +33,14 @@ def test_generated_rows_come_from_many_tasks(spark):
     assert made.rdd.getNumPartitions() == 3
     one = gen.transactions(gen.accounts(few.filter("party < 50")))
     assert sorted(map(str, made.filter("party < 50").collect())) == sorted(map(str, one.collect()))
+
+
+def test_the_own_cell_bounds_where_a_point_looks(spark):
+    """A bound of its own sends a point into fewer cells than the nearest points of all pivots do."""
+    ensure_checkpoint_dir(spark)
+    points = spark.range(3000).select("id", F.array(F.rand(1) * 9, F.rand(2) * 9, F.rand(3) * 9).alias("x"), F.lit(1).cast("long").alias("w")).checkpoint()
+    cells = Cells(points, first=3)
+    far = cells.visits(cells.points, k=3).count()
+    near = cells.visits(cells.points.withColumn("bound", F.lit(0.1)), k=3, bound="bound").count()
+    unbounded = cells.visits(cells.points.withColumn("bound", F.lit(None).cast("double")), k=3, bound="bound").count()
+    assert 3000 <= near < far / 2 and unbounded == far
