@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: points of a cell that are held, and that visit, at once; each chunk takes a copy of the visitors, each slice one of the held
-CHUNK, SLICE = 4_096, 4_096
+CHUNK, SLICE = 32_768, 32_768
 #: pairs that are measured at once, about
 PAIRS = 1 << 20
 #: points of a cell, about, and at most so many pivots
