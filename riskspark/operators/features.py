@@ -244,6 +244,7 @@ def mixed_matrix(sources: Mapping[str, Source], refs: DataFrame, names: Sequence
     each level of ``keys`` its key; a null key has no rows. Daily totals of every source and
     level and the gaps stand below each other with a tag, so all of these features come from
     one join and one aggregate; distinct counts and amounts by age come from one running sum.
+    Rows of a source that several of these read are stored in the shared folder first.
     """
     plan = plan_features(names, categories, category_col)
     every = [*plan.first, *plan.distinct, *plan.gaps]
@@ -254,21 +255,44 @@ def mixed_matrix(sources: Mapping[str, Source], refs: DataFrame, names: Sequence
         if s.source not in sources or s.level not in keys or s.level not in sources[s.source].keys:
             raise ValueError(f"feature {s.name} needs {s.source} with a key of level {s.level}")
     refs = refs.select(*dict.fromkeys([*(keys[v] for v in levels), "ref_date"])).distinct()
+    ends = lb.ends_of(refs)
+    by_steps = {s.name for s in plan.first if s.under and s.op in ("AMT", "VOL")}
 
     def point(level: str, key: str) -> Column:       # null for a null key
         return F.concat(F.lit(f"{level}:"), F.col(key).cast("string"))
 
+    def pass_of(s: Spec) -> str:
+        """What reads the rows for a feature."""
+        if s in plan.distinct:
+            return "distinct"
+        if s in plan.gaps:
+            return f"gap {where_of(s) or 'true'}"
+        return "steps" if s.name in by_steps else "totals"
+
+    views: dict[tuple[str, str], DataFrame] = {}
+
     def rows_of(specs: Sequence[Spec], level: str) -> tuple[DataFrame, Source]:
-        """Rows of referenced keys and dates, with the key of the points."""
-        src = sources[specs[0].source]
-        rows = with_amount_flags(src.rows, [s.name for s in specs], src.amount)
-        marks = refs.select(point(level, keys[level]).alias("_point"), "ref_date")
-        rows = rows.withColumn("_point", point(level, src.keys[level]))
-        return lb.referenced(rows, marks, max(s.days for s in specs), "_point", src.date), src
+        """Rows of referenced keys and dates, with the key of the points. Rows that are read in
+        several passes are joined and filtered once: the columns that features need are stored."""
+        name = specs[0].source
+        src = sources[name]
+        if (level, name) not in views:
+            mine = [s for s in every if (s.level, s.source) == (level, name)]
+            rows = with_amount_flags(src.rows, [s.name for s in mine], src.amount)
+            marks = refs.select(point(level, keys[level]).alias("_point"), "ref_date")
+            rows = rows.withColumn("_point", point(level, src.keys[level]))
+            several = len({pass_of(s) for s in mine}) > 1
+            if several:
+                asked = [src.date, *([src.amount] if src.amount else [])]
+                for s in mine:
+                    asked += [*([s.category_col] if s.categories else []), *s.flags, *(["birth_date"] if s.under else []),
+                              *([values[counted(s)]] if s in plan.distinct else [])]
+                rows = rows.select("_point", *dict.fromkeys(asked))
+            views[level, name] = lb.referenced(rows, marks, max(s.days for s in mine), "_point", src.date, ends=ends, stored=several)
+        return views[level, name], src
 
     tall = [(v, F.col(keys[v]).isNotNull()) for v in levels]
     points = reduce(DataFrame.unionByName, [refs.filter(p).select(point(v, keys[v]).alias("_point"), "ref_date").distinct() for v, p in tall])
-    by_steps = {s.name for s in plan.first if s.under and s.op in ("AMT", "VOL")}
     made, moves, types = points, [], {}
     parts, columns, among = [], [], F.col("_kind")
     for level in levels:
@@ -304,7 +328,7 @@ def mixed_matrix(sources: Mapping[str, Source], refs: DataFrame, names: Sequence
     if moves:
         below = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), moves)
         stepped = [s.name for s in every if s.name in by_steps or s in plan.distinct]
-        running = lb.running_steps(below, points, stepped, "_point", types=types)
+        running = lb.running_steps(below, points, stepped, "_point", types=types, points=ends["n"])
         made = made.join(running, ["_point", "ref_date"])
     doubles = [F.coalesce(F.col(f"`{n}`"), F.lit(0)).cast("double" if n in types else "bigint").alias(n) for n in made.columns if n in by_steps]
     made = made.select(*[F.col(f"`{n}`") for n in made.columns if n not in by_steps], *doubles)

@@ -16,9 +16,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from riskspark.sources.session import written
+
 MAX_HISTORY = 360
 EPOCH = "1970-01-01"
 STEP = "decimal(32,6)"        # exact, so that what is added can be taken away again
@@ -76,24 +78,35 @@ def days_under(years: int) -> int:
     return -(-years * 1461 // 4)
 
 
+def ends_of(refs: DataFrame, ref_date: str = "ref_date") -> Row:
+    """First and last date and number of the reference points."""
+    return refs.agg(F.min(F.col(ref_date).cast("date")).alias("first"), F.max(F.col(ref_date).cast("date")).alias("last"), F.count(F.lit(1)).alias("n")).first()
+
+
+def dealt(rows: DataFrame, points: int, key: str) -> DataFrame:
+    """``rows`` by key in tasks whose number grows with the points, if they are many. What groups
+    by key follows in these tasks, also below each other or beside rows dealt for as many points."""
+    return rows.repartition(-(-points // POINTS_OF_A_TASK), key) if points > MANY_POINTS else rows
+
+
 def referenced(facts: DataFrame, refs: DataFrame, days: int, key: str = "party", date: str = "txn_date",
-               ref_date: str = "ref_date") -> DataFrame:
+               ref_date: str = "ref_date", ends: Row | None = None, stored: bool = False) -> DataFrame:
     """Facts of referenced keys, from the first day that any look-back holds to the last.
 
     The two ends are literals, so the filter reaches the scan and skips partitions and row
     groups; the semi join stands below every shuffle of the facts and Spark moves it below
     the join that adds the key. Aggregates and windows by key follow in the tasks of that join, so
     with many references their number grows with the references: tasks that are merged up to a
-    size of shuffled bytes hold several times as much in memory."""
-    ends = refs.agg(F.min(F.col(ref_date).cast("date")).alias("first"), F.max(F.col(ref_date).cast("date")).alias("last"), F.count(F.lit(1)).alias("n")).first()
+    size of shuffled bytes hold several times as much in memory. ``stored`` is for facts that are
+    read several times: what joins and filters them runs once. ``ends``: of ``refs``, if known."""
+    ends = ends or ends_of(refs, ref_date)
     if ends["first"] is None:
         return facts.filter(F.lit(False))
     near = F.col(date).cast("date").between(F.lit(ends["first"] - timedelta(days=days)), F.lit(ends["last"]))
     rows, keys = facts.filter(near), refs.select(key).distinct()
-    if ends["n"] > MANY_POINTS:
-        tasks = -(-ends["n"] // POINTS_OF_A_TASK)
-        rows, keys = rows.repartition(tasks, key), keys.repartition(tasks, key)
-    return rows.join(keys, key, "left_semi")
+    if stored:
+        return dealt(written(rows.join(keys, key, "left_semi")), ends["n"], key)
+    return dealt(rows, ends["n"], key).join(dealt(keys, ends["n"], key), key, "left_semi")
 
 
 def daily_totals(facts: DataFrame, specs: Sequence[Spec], key: str = "party", date: str = "txn_date",
@@ -182,8 +195,9 @@ class DistinctSpec:
 def distinct_in_lookback(facts: DataFrame, refs: DataFrame, value: str, specs: Sequence[DistinctSpec],
                          key: str = "party", date: str = "txn_date") -> DataFrame:
     """Exact distinct counts over sliding windows without joining references to rows."""
-    facts = referenced(facts, refs, max(s.days for s in specs), key, date)
-    return running_steps(distinct_steps(facts, value, specs, key, date), refs, [s.name for s in specs], key)
+    ends = ends_of(refs)
+    facts = referenced(facts, refs, max(s.days for s in specs), key, date, ends=ends)
+    return running_steps(distinct_steps(facts, value, specs, key, date), refs, [s.name for s in specs], key, points=ends["n"])
 
 
 def distinct_steps(facts: DataFrame, value: str, specs: Sequence[DistinctSpec], key: str, date: str) -> DataFrame:
@@ -242,16 +256,18 @@ def sum_steps(facts: DataFrame, specs: Sequence[Spec], key: str, date: str, amou
 
 
 def running_steps(moves: DataFrame, refs: DataFrame, names: Sequence[str], key: str = "party",
-                  ref_date: str = "ref_date", types: Mapping[str, str] | None = None) -> DataFrame:
+                  ref_date: str = "ref_date", types: Mapping[str, str] | None = None, points: int = 0) -> DataFrame:
     """Sum of all steps dated on or before each reference point.
 
     ``moves`` holds rows (key, day, steps ...). They are summed per (key, day) first, so
     the running window of one key never exceeds its calendar days. Steps are long integers
-    where ``types`` does not name another exact type."""
+    where ``types`` does not name another exact type. Steps of facts that were dealt out for so many
+    ``points`` are summed where they are made and meet the points there: none is shuffled."""
     kind = {n: (types or {}).get(n, "bigint") for n in names}
     daily = moves.groupBy(key, "day").agg(*[F.sum(f"`{n}`").cast(kind[n]).alias(n) for n in names]).withColumn("_ref", F.lit(0))
     marks = refs.select(key, F.col(ref_date).alias("day"), *[F.lit(0).cast(kind[n]).alias(n) for n in names],
                         F.lit(1).alias("_ref"))
+    marks = dealt(marks, points, key)
     running = Window.partitionBy(key).orderBy("day", "_ref").rowsBetween(Window.unboundedPreceding, 0)
     return (
         daily.unionByName(marks)

@@ -126,7 +126,8 @@ _VIEW_SQL = """flagged AS (SELECT t.*, opp_party * 10 + t.account % 3 AS opp_acc
 
 
 def flagged_transactions(spark, sf):
-    """One view of the transactions with everything that feature names can ask for."""
+    """One view of the transactions with everything that feature names can ask for. What is known of
+    an account and its owner is joined before the transactions are, which outnumber them."""
     own = t.customers(spark, sf).select("party", F.col("nation").alias("country"), F.col("region_key").alias("account_segment"), (F.col("balance") > 5000).alias("party_type"))
     accounts = t.load(spark, sf, "orders").select(F.col("o_orderkey").alias("account"), F.col("o_orderstatus").alias("account_unit"), F.col("o_orderpriority").alias("account_type"))
     opp = F.col("opp_party")
@@ -134,7 +135,8 @@ def flagged_transactions(spark, sf):
         "opp_party", F.col("opp_nation").alias("opp_country"), F.col("opp_region").alias("opp_account_segment"), (F.col("opp_balance") > 5000).alias("opp_party_type"),
         (F.col("opp_region") == t.HIGH_RISK_REGION).alias("risky_country"), (F.col("opp_balance") < 0).alias("risky_party"), (F.col("opp_balance") > 9000).alias("opp_pep"),
         (F.col("opp_balance") < -500).alias("opp_adverse_news"), (F.col("opp_region") == 2).alias("opp_tax_haven"))
-    rows = t.transactions(spark, sf).join(own, "party", "left").join(accounts, "account", "left").join(other, "opp_party", "left").withColumns({
+    owners = t.account_owners(spark, sf).join(own, "party", "left").join(accounts, "account", "left")
+    rows = t.transactions(spark, sf, owners).join(other, "opp_party", "left").withColumns({
         "opp_account": opp * 10 + F.col("account") % 3, "opp_account_unit": F.element_at(F.array(*map(F.lit, "FOP")), (opp % 3 + 1).cast("int")),
         "opp_account_type": F.when(opp % 2 == 0, "5-LOW").otherwise("2-HIGH"), "opp_ngo": opp % 7 == 0,
         "birth_date": F.date_add(F.lit(lb.EPOCH).cast("date"), (opp % 12000).cast("int"))})

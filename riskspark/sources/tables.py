@@ -53,7 +53,13 @@ def money(col: Column | str) -> Column:
     return (F.col(col) if isinstance(col, str) else col).cast(MONEY)
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def account_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("account"), F.col("o_custkey").alias("party"))
+
+
+def transactions(spark: SparkSession, sf_dir: str, owners: DataFrame | None = None) -> DataFrame:
+    """``owners``: ``account_owners`` with further columns, which come along."""
     items = load(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("account"),
         F.col("l_suppkey").alias("opp_party"),
@@ -62,9 +68,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("-", "l_returnflag", "l_linestatus").alias("category"),
         F.when(F.col("l_linestatus") == "O", "incoming-all").otherwise("outgoing-all").alias("direction"),
     )
-    owners = load(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("account"), F.col("o_custkey").alias("party"))
-    return items.join(owners, "account")
+    return items.join(account_owners(spark, sf_dir) if owners is None else owners, "account")
 
 
 def last_transaction_date(spark: SparkSession, sf_dir: str) -> Column:

@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from riskspark.operators import features as ft
 from riskspark.operators import lookback as lb
 from riskspark.operators.metric import Cells
 from riskspark.sources import generate as gen
@@ -27,6 +28,38 @@ def test_facts_of_many_references_meet_in_many_tasks(spark, monkeypatch):
     assert made() == few
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_facts_of_several_passes_are_joined_once(spark, monkeypatch):
+    """Totals, steps and distinct values read one stored view, and no step is shuffled."""
+    day = lambda c: F.date_add(F.lit(DAY0), c.cast("int"))
+    opp = F.col("id") % 11
+    facts = spark.range(2000).select(
+        F.when(F.col("id") % 5 > 0, F.col("id") % 40).alias("party"), day(F.col("id") % 300).alias("txn_date"), (F.col("id") % 7).cast("decimal(18,2)").alias("amount"),
+        F.when(F.col("id") % 3 == 0, "in").otherwise("out").alias("direction"), opp.alias("opp_party"), (opp * 10).alias("opp_account"),
+        F.when(opp != 5, F.date_add(F.lit(dt.date(2000, 1, 1)), (opp * 40).cast("int"))).alias("birth_date"))
+    refs = spark.range(100).select((F.col("id") % 50).alias("party"), day(F.col("id") * 3).alias("ref_date"))
+    names = ["all_180DAY_OPP-PARTY-AGE-UNDER-20_AMT_CUSTOMER", "in_90DAY_OFFSET_30DAY_OPP-PARTY-AGE-UNDER-20_VOL_CUSTOMER", "all_90DAY_OPP-PARTY-AGE-UNDER-20_MAX_CUSTOMER",
+             "all_60DAY_DISTINCT-COUNT_CUSTOMER", "in_30DAY_SD_CUSTOMER", "in_180DAY_TXN-GAP_AVG_CUSTOMER"]
+    source = ft.Source(facts, "txn_date", {"CUSTOMER": "party"}, "amount")
+
+    def made(asked):
+        return ft.mixed_matrix({"transactions": source}, refs, asked, {"all": [], "in": ["in"]}, {"CUSTOMER": "party"})
+
+    read = "Range (0, 2000"
+    assert plan_of(made(names)).count(read) == 0 and plan_of(made(names[:1])).count(read) == 1
+    rows = lambda df: sorted(map(str, df.collect()))
+    few, apart = rows(made(names)), [rows(made([n])) for n in names]
+    monkeypatch.setattr(lb, "MANY_POINTS", 50)
+    monkeypatch.setattr(lb, "POINTS_OF_A_TASK", 4)
+    assert rows(made(names)) == few and [rows(made([n])) for n in names] == apart
+    assert [rows(made(names).select("party", "ref_date", n)) for n in names] == apart
+    distinct = lb.distinct_in_lookback(facts, refs, "opp_party", [lb.DistinctSpec("d", 60)])
+    assert plan_of(distinct).count("ENSURE_REQUIREMENTS") <= 1          # the keys of the points
+
+
 def test_generated_rows_come_from_many_tasks(spark):
     few = spark.range(25_000, numPartitions=1).select(F.col("id").alias("party"))
     made = gen.transactions(gen.accounts(few))
