@@ -134,14 +134,19 @@ def items_of(docs: DataFrame, path: str) -> DataFrame:
     return docs.select("doc_id", "text", "source").mapInArrow(run, schema)
 
 
-def clustered(items: DataFrame, docs: DataFrame) -> DataFrame:
-    """``items_of`` with one cluster for each component of near copies (5 words, 0.8 or more), by the exact join."""
-    _, labels = setjoin.class_labels(docs, WORDS, PERCENT, "doc_id", "text")
-    return items.join(labels, items["cluster"] == labels["class"], "left").select(
-        "doc_id", "n_tokens", "source", F.coalesce("label", "cluster").alias("cluster"))
+def near_items(docs: DataFrame, path: str) -> DataFrame:
+    """``items_of`` with one cluster for each component of near copies (5 words, 0.8 or more), by the exact join.
+
+    Tokens are counted in the pass over the texts that makes the shingles of the join."""
+    def tokens_in(texts: list[bytes]) -> list[int]:
+        known = lengths(path)
+        return [known.count(t.decode("utf-8", "surrogatepass"), {}) for t in texts]
+
+    known, labels = setjoin.class_labels(docs, WORDS, PERCENT, "doc_id", "text", ("source",), tokens_in)
+    return known.join(labels, "class", "left").select(
+        "doc_id", F.col("measure").alias("n_tokens"), "source", F.coalesce("label", "class").alias("cluster"))
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, per_source: int = PER_SOURCE, near: bool = True) -> DataFrame:
     """``near`` False is for documents that have no near copies any more."""
-    items = staged(items_of(docs, path))
-    return pack(staged(clustered(items, docs)) if near else items, capacity, per_source)
+    return pack(staged(near_items(docs, path) if near else items_of(docs, path)), capacity, per_source)

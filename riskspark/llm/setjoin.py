@@ -28,7 +28,7 @@ are compared by hashes of 64 bits.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -125,13 +125,18 @@ def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list
 
 
 # -- which shingles occur elsewhere --------------------------------------------------------
-def shared_counts(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, class, shared): size and class of each set, and how many of its shingles occur in other sets, at least."""
+def shared_counts(docs: DataFrame, words: int, id_col: str, text_col: str, beside: Sequence[str] = (),
+                  measure: Callable[[list[bytes]], list[int]] | None = None) -> DataFrame:
+    """(id, n, class, shared): size and class of each set, and how many of its shingles occur in other sets, at least.
+
+    The columns ``beside`` come along, and ``measure``, a number of each text."""
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     bits = min(max(int(size / 6 / FRAGMENT), 1).bit_length() - 1, MOST_FRAGMENTS.bit_length() - 1)
     spread = 4_096                                           # what the parts' own rows are dealt to
     id_field = T.StructField(id_col, docs.schema[id_col].dataType)
     doc_fields = [id_field, T.StructField("n", T.LongType()), T.StructField("class", T.LongType()), T.StructField("at", T.IntegerType())]
+    along = [*(T.StructField(c, docs.schema[c].dataType) for c in beside), *([T.StructField("measure", T.LongType())] if measure else [])]
+    doc_fields += along
     sent = T.StructType([T.StructField("fragment", T.LongType()), T.StructField("part", T.LongType()), *doc_fields,
                          T.StructField("count", T.LongType()), T.StructField("keys", T.BinaryType()), T.StructField("rows", T.BinaryType())])
     sent_arrow = to_arrow(sent)
@@ -143,7 +148,9 @@ def shared_counts(docs: DataFrame, words: int, id_col: str, text_col: str) -> Da
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, part = WordHashes(), TaskContext.get().partitionId() << 24
-        for ids, texts in parts_of(batches):
+        for mine, texts in parts_of(batches):
+            ids, *others = mine.flatten()
+            given = dict(zip(beside, others, strict=True)) | ({"measure": measure(texts)} if measure else {})
             sets = shingle_sets(texts, words, known)
             classes = [class_of(s) for s in sets]
             n = np.array([len(s) for s in sets], np.int64)
@@ -158,7 +165,7 @@ def shared_counts(docs: DataFrame, words: int, id_col: str, text_col: str) -> Da
             here = np.bincount(row[np.repeat(times, times) > 1], minlength=len(sets))
             name = dict(zip(np.array(classes)[first].tolist(), first.tolist(), strict=True))
             here = here[[name[c] for c in classes]] if len(sets) else here
-            yield rows_of({"fragment": [-1 - mix_of(part) % spread] * len(sets), "part": [part] * len(sets), id_col: ids, "n": n, "class": classes,
+            yield rows_of(given | {"fragment": [-1 - mix_of(part) % spread] * len(sets), "part": [part] * len(sets), id_col: ids, "n": n, "class": classes,
                            "at": [name[c] for c in classes], "count": here}, len(sets))
             keys, owner = every[start], np.where(times > 1, MANY, row[start])
             of = keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), np.uint64)
@@ -197,7 +204,7 @@ def shared_counts(docs: DataFrame, words: int, id_col: str, text_col: str) -> Da
         made["counts"] = pa.array([count[cut[i] : cut[i + 1]].astype(np.uint32).tobytes() for i in used], pa.binary())
         return pa.table(made).cast(answer_arrow)
 
-    out = T.StructType([id_field, *doc_fields[1:3], T.StructField("shared", T.LongType())])
+    out = T.StructType([id_field, *doc_fields[1:3], *along, T.StructField("shared", T.LongType())])
     out_arrow = to_arrow(out)
 
     def add(got: pa.Table) -> pa.Table:
@@ -208,9 +215,9 @@ def shared_counts(docs: DataFrame, words: int, id_col: str, text_col: str) -> Da
         for where, count in zip(answers["rows"].to_pylist(), answers["counts"].to_pylist(), strict=True):
             total[np.frombuffer(where, np.uint16)] += np.frombuffer(count, np.uint32)
         shared = rows["count"].to_numpy() + total[rows["at"].to_numpy()]
-        return pa.table([rows[id_col], rows["n"], rows["class"], pa.array(shared, pa.int64())], schema=out_arrow)
+        return pa.table([rows[id_col], rows["n"], rows["class"], *(rows[f.name] for f in along), pa.array(shared, pa.int64())], schema=out_arrow)
 
-    packed = docs.select(id_col, text_col).mapInArrow(send, sent)
+    packed = docs.select(F.struct(id_col, *beside).alias("row"), text_col).mapInArrow(send, sent)
     return packed.groupBy("fragment").applyInArrow(tell, answer).groupBy("part").applyInArrow(add, out)
 
 
@@ -323,9 +330,10 @@ def components(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str =
         none.select(id_col, F.col("n").alias("n_shingles"), F.col(id_col).alias("component_id")))
 
 
-def class_labels(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """((id, n, class) of each row, (class, label) of the classes that may have links)."""
-    known = staged(shared_counts(docs, words, id_col, text_col))
+def class_labels(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str, beside: Sequence[str] = (),
+                 measure: Callable[[list[bytes]], list[int]] | None = None) -> tuple[DataFrame, DataFrame]:
+    """((id, n, class) of each row, with ``beside`` and ``measure``, (class, label) of the classes that may have links)."""
+    known = staged(shared_counts(docs, words, id_col, text_col, beside, measure))
     classes = known.groupBy("class").agg(F.min(id_col).alias(id_col), F.max("n").alias("n"), F.max("shared").alias("shared"))
     open_ = staged(classes.filter((F.col("n") > 0) & (F.col("shared") >= least_shared(F.col("n"), percent))).select("class", id_col))
     ids = open_.filter(F.col(id_col).isNotNull()).select(id_col)
@@ -336,4 +344,4 @@ def class_labels(docs: DataFrame, words: int, percent: int, id_col: str, text_co
         read = read.unionByName(texts.filter(F.col(id_col).isNull()))
     sets = sets_of(read, words, id_col, text_col).join(open_.select("class"), "class", "left_semi").dropDuplicates(["class"])
     cut = written(segments(staged(sets), percent))
-    return known.select(id_col, "n", "class"), linked_labels(cut, percent)
+    return known.drop("shared"), linked_labels(cut, percent)

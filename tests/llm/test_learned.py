@@ -213,3 +213,18 @@ def test_near_copies_share_no_bin(spark, monkeypatch, fragment):
     docs = spark.createDataFrame([(i, " ".join(t), f"s{i}") for i, t in enumerate(texts)], "doc_id long, text string, source string")
     bins = {r.doc_id: r.bin_id for r in packing.pack_documents(docs, vocabulary("piece_bpe_32k.model")).collect()}
     assert len({bins[0], bins[1], bins[2]}) == 3 and bins[3] in (bins[0], bins[1], bins[2])
+
+
+def test_tokens_are_counted_in_the_pass_of_the_join(spark, monkeypatch):
+    """Copies, null texts and null or repeated ids keep their own tokens and source."""
+    from riskspark.llm.queries import vocabulary
+
+    path = vocabulary("piece_bpe_32k.model")
+    texts = [None, "", " \n", "eins zwei drei", " ".join(f"w{k}" for k in range(50)), "Ein▁Satz ä \U0001f600."]
+    rows = [(None if i == 4 else i // 2, texts[i % 6], None if i % 7 == 0 else f"s{i}") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    want = sorted(map(str, packing.items_of(docs, path).collect()))
+    packed = sorted(str((r.doc_id, r.n_tokens)) for r in packing.items_of(docs, path).collect())
+    monkeypatch.setattr(packing, "items_of", None)
+    assert sorted(map(str, packing.near_items(docs, path).collect())) == want
+    assert sorted(str((r.doc_id, r.n_tokens)) for r in packing.pack_documents(docs, path).collect()) == packed
