@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspark.llm.common import staged, texts_of, to_arrow
+from riskspark.llm.common import staged, text_batches, texts_of, to_arrow
 
 MAX_LABELLED = 20_000
 ROUNDS, SURE, PSEUDO_WEIGHT = 5, 0.98, 0.5
@@ -288,6 +288,7 @@ def coded(docs: DataFrame, views: tuple[View, View]) -> DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame, target: str = "quality") -> Model | Constant:
     """Labels of the fifth with remainder 0 are never read; remainder 1 calibrates."""
+    text_batches(docs.sparkSession)
     known = labels.filter(F.col("doc_id").isNotNull() & F.col(target).isNotNull()).groupBy("doc_id").agg(F.max(target).cast("double").alias("y"))
     # at most MAX_LABELLED pairs of numbers are broadcast
     taken = F.broadcast(known.filter(fifth() != 0).orderBy(F.xxhash64("doc_id"), F.col("doc_id")).limit(MAX_LABELLED))

@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import map_texts, staged, texts_of
+from riskspark.llm.common import map_texts, staged, text_batches, texts_of
 
 SIZES = (2, 3, 4, 5, 6)
 MAX_LABELLED, FEATURES = 20_000, 5_000
@@ -145,6 +145,7 @@ def logistic(rows: list[np.ndarray], x: np.ndarray, y: np.ndarray, width: int) -
 
 
 def train(docs: DataFrame, labels: DataFrame, target: str = "toxic") -> Model:
+    text_batches(docs.sparkSession)
     sample = staged(labelled_sample(docs, labels, target))
     per_class = {r.y: r.n for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     pos, neg = per_class.get(1, 0), per_class.get(0, 0)

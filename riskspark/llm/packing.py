@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspark.llm import setjoin
-from riskspark.llm.common import row_count, staged, texts_of, to_arrow
+from riskspark.llm.common import row_count, staged, text_batches, texts_of, to_arrow
 from riskspark.llm.tokens import lengths
 
 CAPACITY, PER_SOURCE = 8_192, 3
@@ -149,4 +149,5 @@ def near_items(docs: DataFrame, path: str) -> DataFrame:
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, per_source: int = PER_SOURCE, near: bool = True) -> DataFrame:
     """``near`` False is for documents that have no near copies any more."""
+    text_batches(docs.sparkSession)
     return pack(staged(near_items(docs, path) if near else items_of(docs, path)), capacity, per_source)

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspark.llm.common import row_count, staged, to_arrow
+from riskspark.llm.common import row_count, staged, text_batches, to_arrow
 from riskspark.llm.periods import mixed, raw
 from riskspark.operators.components import component_roots
 from riskspark.sources.session import written
@@ -333,6 +333,7 @@ def components(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str =
 def class_labels(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str, beside: Sequence[str] = (),
                  measure: Callable[[list[bytes]], list[int]] | None = None) -> tuple[DataFrame, DataFrame]:
     """((id, n, class) of each row, with ``beside`` and ``measure``, (class, label) of the classes that may have links)."""
+    text_batches(docs.sparkSession)
     known = staged(shared_counts(docs, words, id_col, text_col, beside, measure))
     classes = known.groupBy("class").agg(F.min(id_col).alias(id_col), F.max("n").alias("n"), F.max("shared").alias("shared"))
     open_ = staged(classes.filter((F.col("n") > 0) & (F.col("shared") >= least_shared(F.col("n"), percent))).select("class", id_col))
