@@ -276,47 +276,53 @@ def prefix_lists(cut: DataFrame, percent: int) -> DataFrame:
 
 # -- rounds of pairs ------------------------------------------------------------------------
 def overlaps(pairs: DataFrame, cut: DataFrame) -> DataFrame:
-    """(a, b, na, nb, overlap): counted in each fragment, summed for each pair."""
-    left = cut.select(F.col("class").alias("a"), "fragment", F.col("hashes").alias("_a"))
-    right = cut.select(F.col("class").alias("b"), "fragment", F.col("hashes").alias("_b"))
-    met = pairs.join(left, "a").join(right, ["b", "fragment"])
-    return met.groupBy("a", "b", "na", "nb").agg(F.sum(F.size(F.array_intersect("_a", "_b"))).alias("overlap"))
+    """The rows of ``pairs`` (a, b, ...) with their overlap: counted in each fragment, summed for each pair.
+
+    The segments of both ends come in one join, so the sets are dealt out once."""
+    ends = pairs.withColumn("class", F.explode(F.array("a", "b")))
+    met = ends.join(cut.select("class", "fragment", "hashes"), "class").repartition(*pairs.columns)
+    both = met.groupBy(*pairs.columns, "fragment").agg(F.collect_list("hashes").alias("x")).filter(F.size("x") == 2)
+    return both.groupBy(*pairs.columns).agg(F.sum(F.size(F.array_intersect(F.col("x")[0], F.col("x")[1]))).alias("overlap"))
 
 
 def linked_labels(cut: DataFrame, percent: int) -> DataFrame:
     """(class, label): one label for the classes of each component; classes that meet no other are left out."""
-    lists = written(prefix_lists(cut, percent))
-    labels = written(lists.select("class").distinct().withColumn("label", F.col("class")))
+    # the entries of the lists carry the labels of their classes
+    named = written(prefix_lists(cut, percent).withColumn("label", F.col("class")))
+    labels = named.select("class").distinct().withColumn("label", F.col("class"))
     turn = 0
     while True:
-        named = lists.join(labels, "class")
         groups = named.groupBy("hash", "label").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("class", "n", "pos")).alias("lead"))
-        several = written(groups.groupBy("hash").agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("m", "label"))["label"].alias("most")).filter(
-            "labels > 1").select("hash", "most"))
+        several = written(groups.groupBy("hash").agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("m", "label", "lead")).alias("most")).filter(
+            "labels > 1").select("hash", F.col("most.label").alias("most"), F.col("most.lead").alias("lead")))
         if several.isEmpty():
             return labels
-        of_most = named.join(several, "hash").filter(F.col("label") == F.col("most")).withColumn(
-            "_n", F.row_number().over(Window.partitionBy("hash").orderBy("class"))).filter(F.col("_n") <= 4 ** min(turn, 2)).select(
-            "hash", F.col("label").alias("lead_label"), F.struct("class", "n", "pos").alias("lead"))
-        others = groups.join(several, "hash").filter(F.col("label") != F.col("most")).withColumn(
-            "_n", F.row_number().over(Window.partitionBy("hash").orderBy("m", "label"))).filter(F.col("_n") <= 4 ** (turn - 1)).select(
-            "hash", F.col("label").alias("lead_label"), "lead")
-        chosen = written(of_most.unionByName(others) if turn > 2 else of_most)
+        chosen = several.select("hash", F.col("most").alias("lead_label"), "lead")
+        if turn == 1:                                        # most lists are done by the first round; later ones read the sets of the others
+            cut = written(cut.join(named.join(several.select("hash"), "hash", "left_semi").select("class").distinct(), "class", "left_semi"))
+        if turn:
+            chosen = named.join(several.select("hash", "most"), "hash").filter(F.col("label") == F.col("most")).withColumn(
+                "_n", F.row_number().over(Window.partitionBy("hash").orderBy("class"))).filter(F.col("_n") <= 4 ** min(turn, 2)).select(
+                "hash", F.col("label").alias("lead_label"), F.struct("class", "n", "pos").alias("lead"))
+            others = groups.join(several.select("hash", "most"), "hash").filter(F.col("label") != F.col("most")).withColumn(
+                "_n", F.row_number().over(Window.partitionBy("hash").orderBy("m", "label"))).filter(F.col("_n") <= 4 ** (turn - 1)).select(
+                "hash", F.col("label").alias("lead_label"), "lead")
+            chosen = written(chosen.unionByName(others) if turn > 2 else chosen)
         fits = (F.least("n", "lead.n") * 100 >= F.greatest("n", "lead.n") * percent) & (
             (F.least(F.col("n") - F.col("pos"), F.col("lead.n") - F.col("lead.pos"))) * (100 + percent) >= (F.col("n") + F.col("lead.n")) * percent)
         met = named.join(chosen, "hash").filter((F.col("label") != F.col("lead_label")) & fits)
         first = F.col("class") < F.col("lead.class")
         pairs = met.select(*[F.when(first, x).otherwise(y).alias(name) for name, x, y in (
             ("a", F.col("class"), F.col("lead.class")), ("b", F.col("lead.class"), F.col("class")),
-            ("na", F.col("n"), F.col("lead.n")), ("nb", F.col("lead.n"), F.col("n")))]).distinct()
+            ("na", F.col("n"), F.col("lead.n")), ("nb", F.col("lead.n"), F.col("n")),
+            ("src", F.col("label"), F.col("lead_label")), ("dst", F.col("lead_label"), F.col("label")))]).distinct()
         links = overlaps(pairs, cut).filter(F.col("overlap") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent)
-        of = labels.select(F.col("class").alias("a"), F.col("label").alias("src"))
-        to = labels.select(F.col("class").alias("b"), F.col("label").alias("dst"))
-        roots = component_roots(links.join(of, "a").join(to, "b").select("src", "dst"))
-        labels = written(labels.join(roots.select(F.col("node").alias("label"), "root"), "label", "left").select("class", F.coalesce("root", "label").alias("label")))
+        roots = component_roots(links.select("src", "dst")).select(F.col("node").alias("label"), "root")
+        labels = labels.join(roots, "label", "left").select("class", F.coalesce("root", "label").alias("label"))
         # a leader has met all of its list; a list with one label is done
-        lists = written(lists.join(several.select("hash"), "hash", "left_semi").join(
-            chosen.select("hash", F.col("lead.class").alias("class")), ["hash", "class"], "left_anti"))
+        done = chosen.groupBy("hash").agg(F.collect_set("lead.class").alias("done"))
+        named = written(named.join(done, "hash").filter(~F.array_contains("done", F.col("class"))).join(roots, "label", "left").select(
+            "hash", "class", "n", "pos", F.coalesce("root", "label").alias("label")))
         turn += 1
 
 

@@ -157,6 +157,17 @@ def test_join_of_empty_tables(spark):
     assert [tuple(r) for r in setjoin.components(docs_frame(spark, [(7, None)])).collect()] == [(7, 0, 7)]
 
 
+def test_rounds_take_few_jobs(spark):
+    """The driver keeps track of every job; each round deals the sets out once and looks labels up once."""
+    spark.sparkContext.setJobGroup("rounds", "near texts")
+    try:
+        setjoin.components(docs_frame(spark, near_texts(4)).repartition(5)).collect()
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("rounds"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < jobs < 165
+
+
 def test_a_group_of_near_copies_makes_few_pairs(spark, monkeypatch):
     rnd = random.Random(2)
     base = [f"w{i}" for i in range(120)]
