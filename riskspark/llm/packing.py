@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspark.llm import setjoin
-from riskspark.llm.common import row_count, staged, text_batches, texts_of, to_arrow
-from riskspark.llm.tokens import lengths
+from riskspark.llm.common import row_count, staged, text_batches, to_arrow
+from riskspark.llm.periods import raw
+from riskspark.llm.tokens import pieces
 
 CAPACITY, PER_SOURCE = 8_192, 3
 #: documents that one task packs, about
@@ -123,11 +124,11 @@ def items_of(docs: DataFrame, path: str) -> DataFrame:
     arrow = to_arrow(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, words = lengths(path), setjoin.WordHashes()
+        known, words = pieces(path), setjoin.WordHashes()
         for b in batches:
-            texts = texts_of(b.column(1))
-            n = [known.count(t, {}) for t in texts]
-            sets = setjoin.shingle_sets([t.encode("utf-8", "surrogatepass") for t in texts], WORDS, words)
+            texts = raw(b.column(1))
+            n = known.counts(texts)
+            sets = setjoin.shingle_sets(texts, WORDS, words)
             same = pa.array([setjoin.class_of(x) for x in sets], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), b.column(2), same], schema=arrow)
 
@@ -139,8 +140,7 @@ def near_items(docs: DataFrame, path: str) -> DataFrame:
 
     Tokens are counted in the pass over the texts that makes the shingles of the join."""
     def tokens_in(texts: list[bytes]) -> list[int]:
-        known = lengths(path)
-        return [known.count(t.decode("utf-8", "surrogatepass"), {}) for t in texts]
+        return pieces(path).counts(texts)
 
     known, labels = setjoin.class_labels(docs, WORDS, PERCENT, "doc_id", "text", ("source",), tokens_in)
     return known.join(labels, "class", "left").select(

@@ -64,6 +64,46 @@ class WordHashes(dict):
         return h
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (
+    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def turned(x: np.ndarray, k: int) -> np.ndarray:
+    return (x << np.uint64(k)) | (x >> np.uint64(64 - k))
+
+
+def word_hashes(flat: bytes, start: np.ndarray, size: np.ndarray, known: WordHashes) -> np.ndarray:
+    """XXH64 of the words that begin at ``start`` in ``flat``: words of one length, up to 31 bytes, together."""
+    out = np.zeros(len(start), np.uint64)
+    flat += bytes(8)
+    octets = np.frombuffer(flat, np.uint8)
+    eight = np.ndarray(len(flat) - 7, "<u8", flat, strides=(1,)).astype(np.uint64)      # the 8 bytes from each place on
+    order = np.argsort(np.minimum(size, 32).astype(np.uint8), kind="stable")
+    cut = np.searchsorted(size[order], np.arange(1, 33)).tolist()
+    for m in range(1, 32):
+        of = order[cut[m - 1] : cut[m]]
+        if not len(of):
+            continue
+        at, h = start[of], np.full(len(of), (SEED + int(_P5) + m) % (1 << 64), np.uint64)
+        done = 0
+        for _ in range(m // 8):
+            h = turned(h ^ (turned(eight[at + done] * _P2, 31) * _P1), 27) * _P1 + _P4
+            done += 8
+        if m % 8 >= 4:
+            h = turned(h ^ ((eight[at + done] & np.uint64(0xFFFFFFFF)) * _P1), 23) * _P2 + _P3
+            done += 4
+        for k in range(done, m):
+            h = turned(h ^ (octets[at + k] * _P5), 11) * _P1
+        h = (h ^ (h >> np.uint64(33))) * _P2
+        h = (h ^ (h >> np.uint64(29))) * _P3
+        out[of] = h ^ (h >> np.uint64(32))
+    for i in order[cut[-1] :].tolist():
+        out[i] = known[flat[start[i] : start[i] + size[i]]]
+    return out
+
+
 def shingle_sets(texts: list[bytes], words: int, known: WordHashes) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text; of the whole sequence if it is shorter."""
     out: list[np.ndarray] = []
@@ -73,14 +113,24 @@ def shingle_sets(texts: list[bytes], words: int, known: WordHashes) -> list[np.n
         while to < len(texts) and (to == at or size + len(texts[to]) <= WORD_BYTES):
             size += len(texts[to])
             to += 1
-        parts = [t.lower().split() for t in texts[at:to]]   # A-Z; at x20 and x09-x0D
-        n = [len(p) for p in parts]
-        w = np.fromiter((known[x] for p in parts for x in p), np.uint64, sum(n))
-        out += sets_in(w, n, words)
+        flat = b" ".join(texts[at:to]).lower()               # A-Z; cut at x20 and x09-x0D
+        space = np.ones(len(flat) + 2, bool)
+        space[1:-1] = _SPACE[np.frombuffer(flat, np.uint8)]
+        edge = np.flatnonzero(space[1:] != space[:-1])
+        start, end = edge[::2], edge[1::2]
+        ends = np.cumsum([len(t) + 1 for t in texts[at:to]])
+        n = np.diff(np.searchsorted(start, ends), prepend=0).tolist()
+        out += sets_in(word_hashes(flat, start, end - start, known), n, words)
         at = to
     return out
 
 
+def ordered(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct numbers."""
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
 def sets_in(w: np.ndarray, n: list[int], words: int) -> list[np.ndarray]:
     """The sets of texts with ``n`` words each, whose word hashes follow each other in ``w``."""
     factor = np.uint64(0x9E3779B97F4A7C15)
@@ -90,7 +140,7 @@ def sets_in(w: np.ndarray, n: list[int], words: int) -> list[np.ndarray]:
     out, at = [], 0
     for m in n:
         if m >= words:
-            out.append(np.unique(h[at : at + m - words + 1]))
+            out.append(ordered(h[at : at + m - words + 1]))
         elif m:
             x = w[at : at + 1]
             for k in range(1, m):
@@ -157,7 +207,7 @@ def shared_counts(docs: DataFrame, words: int, id_col: str, text_col: str, besid
             _, first = np.unique(np.array(classes), return_index=True)          # copies within a part count once
             every = np.concatenate([sets[i] for i in first.tolist()])
             row = np.repeat(first, n[first])
-            order = np.argsort(every, kind="stable")
+            order = np.argsort(every)
             every, row = every[order], row[order]
             new = np.append(True, every[1:] != every[:-1]) if len(every) else np.zeros(0, bool)
             start = np.flatnonzero(new)
@@ -190,7 +240,7 @@ def shared_counts(docs: DataFrame, words: int, id_col: str, text_col: str, besid
         owner = np.concatenate([np.frombuffer(x, np.uint16) for x in got["rows"].to_pylist()])
         part = np.repeat(np.arange(len(keys)), [len(x) for x in keys])
         every = np.concatenate(keys)
-        order = np.argsort(every, kind="stable")
+        order = np.argsort(every)
         every, owner, part = every[order], owner[order], part[order]
         start = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
         times = np.diff(np.append(start, len(every)))

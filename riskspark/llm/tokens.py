@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import Broadcast
@@ -25,11 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.llm.common import map_texts, texts_of
+from riskspark.llm.setjoin import WORD_BYTES, WordHashes, word_hashes
 
 #: entries of the broadcast table, and of the summary of one task
 TABLE_SIZE, PER_TASK = 20_000, 1_000
 #: a worker keeps so many pre-tokens
 CACHE = 1_000_000
+#: new parts that are encoded at once, and places of the table that a worker keeps (a power of two)
+TOGETHER, PLACES = 500, 1 << 20
 MARK = "▁"
 #: blanks with what follows up to the next blank; used where two blanks meet
 _runs = regex.compile(r" +[^ ]*")
@@ -90,6 +94,81 @@ class Lengths(dict):
         return sum(known)
 
 
+class Pieces:
+    """Tokens of many texts at once, as UTF-8. Texts are cut before blanks and line feeds in numpy, and a part is known
+    by XXH64; a part that is new is encoded, together with others. What is known is a table of fixed size with two
+    places for a hash, so a part that had to give way is encoded again."""
+
+    def __init__(self, path: str):
+        self.model, self.single = lengths(path).model, lengths(path)
+        self.begins = np.array([self.model.id_to_piece(i).startswith(MARK) for i in range(self.model.get_piece_size())])
+        self.keys, self.sizes = np.zeros((2, PLACES), np.uint64), np.zeros((2, PLACES), np.int32)
+        self.long = WordHashes()
+
+    def counts(self, texts: list[bytes]) -> list[int]:
+        out: list[int] = []
+        at = 0
+        while at < len(texts):
+            to, size = at, 0
+            while to < len(texts) and (to == at or size + len(texts[to]) <= WORD_BYTES):
+                size += len(texts[to])
+                to += 1
+            out += self.block([t.replace(MARK.encode(), b" ") for t in texts[at:to]])
+            at = to
+        return out
+
+    def block(self, texts: list[bytes]) -> list[int]:
+        flat = b"".join(b" " + t for t in texts if t)
+        if not flat:
+            return [0] * len(texts)
+        octets = np.frombuffer(flat, np.uint8)
+        blank = octets == 0x20
+        begin = blank | (octets == 0x0A)
+        begin[1:] &= ~(blank[1:] & blank[:-1])               # a blank after a blank begins nothing,
+        filled = np.array([len(t) for t in texts]) > 0
+        first = np.cumsum([0, *(len(t) + 1 for t in texts if t)])[:-1]
+        begin[first] = True                                  # unless a text does
+        start = np.flatnonzero(begin)
+        size = np.diff(start, append=len(flat))
+        parts = np.searchsorted(start, first)
+        after_blank = blank[start]                           # that blank is no part of the key, a line feed is
+        start, size = start + after_blank, size - after_blank
+        hashes = np.maximum(word_hashes(flat, start, size, self.long), np.uint64(1))         # 0 is a free place
+        n = np.ones(len(start), np.int64)                    # a blank alone
+        place = (hashes % np.uint64(PLACES)).astype(np.int64), (hashes // np.uint64(PLACES) % np.uint64(PLACES)).astype(np.int64)
+        lacking = size > 0
+        for k in (0, 1):
+            hit = lacking & (self.keys[k][place[k]] == hashes)
+            n[hit] = self.sizes[k][place[k][hit]]
+            lacking &= ~hit
+        lacking = np.flatnonzero(lacking)
+        if len(lacking):
+            new, one, whose = np.unique(hashes[lacking], return_index=True, return_inverse=True)
+            one = lacking[one]
+            made = self.encoded([flat[i : i + m] for i, m in zip(start[one].tolist(), size[one].tolist(), strict=True)])
+            n[lacking] = made[whose]
+            k = (self.keys[0][place[0][one]] != 0).astype(np.int64)                   # the second place, if the first is taken
+            where = np.where(k, place[1][one], place[0][one])
+            self.keys[k, where], self.sizes[k, where] = new, made
+        total = np.zeros(len(texts), np.int64)
+        total[filled] = np.add.reduceat(n, parts)
+        return total.tolist()
+
+    def encoded(self, parts: list[bytes]) -> np.ndarray:
+        """Tokens of each part; many without blanks side by side, as each begins with a blank and so with a piece that does."""
+        n = np.zeros(len(parts), np.int64)
+        alone = [i for i, p in enumerate(parts) if b" " in p]
+        for i in alone:
+            n[i] = self.single[parts[i].decode("utf-8", "surrogatepass")]
+        others = np.delete(np.arange(len(parts)), alone)
+        for at in range(0, len(others), TOGETHER):
+            of = others[at : at + TOGETHER]
+            ids = np.array(self.model.encode(b" ".join([parts[i] for i in of.tolist()]).decode("utf-8", "surrogatepass")))
+            n[of] = np.diff(np.flatnonzero(self.begins[ids]), append=len(ids))
+        # before a line feed the model puts a blank that is not there
+        return n - np.array([p[:1] == b"\n" for p in parts])
+
+
 _loaded: dict[str, Lengths] = {}
 
 
@@ -99,6 +178,15 @@ def lengths(path: str) -> Lengths:
     return _loaded[path]
 
 
+_pieces: dict[str, Pieces] = {}
+
+
+def pieces(path: str) -> Pieces:
+    if path not in _pieces:
+        _pieces[path] = Pieces(path)
+    return _pieces[path]
+
+
 def frequent(docs: DataFrame, path: str, text_col: str = "text", table_size: int = TABLE_SIZE,
              per_task: int = PER_TASK) -> Broadcast:
     """The broadcast table: counts over all texts, of which each task hands on its ``per_task`` largest.

@@ -228,3 +228,52 @@ def test_tokens_are_counted_in_the_pass_of_the_join(spark, monkeypatch):
     monkeypatch.setattr(packing, "items_of", None)
     assert sorted(map(str, packing.near_items(docs, path).collect())) == want
     assert sorted(str((r.doc_id, r.n_tokens)) for r in packing.pack_documents(docs, path).collect()) == packed
+
+
+def test_words_are_hashed_and_counted_many_at_a_time():
+    """Shingles by XXH64 of the words, tokens as the library counts them; Python sees neither word by word."""
+    import random
+
+    import numpy as np
+    import xxhash
+
+    from riskspark.llm import setjoin, tokens
+    from riskspark.llm.queries import vocabulary
+
+    rng = random.Random(7)
+    plain = [" ".join("".join(rng.choices("abcXYZ019.,", k=rng.randint(1, 12))) for _ in range(300)) for _ in range(40)]
+    odd = ["".join(rng.choices(" ▁\n\r\tabC.1ä中\U0001f600​　\x00\x1c", k=rng.randint(0, 30))) for _ in range(2000)]
+    long = [" ".join(c * n for n in (30, 31, 32, 33, 70)) for c in "abä"]
+    texts = [t.encode() for t in [*plain, *odd, *long, "", " ", "\n", "  a  ", "<s> a<0x0A>"]]
+    known = setjoin.WordHashes()
+    for x, got in zip(texts, setjoin.shingle_sets(texts, 2, known), strict=True):
+        words = x.lower().split()
+        w = np.array([xxhash.xxh64_intdigest(b, setjoin.SEED) for b in words], np.uint64)
+        assert np.array_equal(got, setjoin.sets_in(w, [len(w)], 2)[0])
+    assert all(len(w) > 31 for w in known)
+
+    class Counting:
+        def __init__(self, model):
+            self.model, self.calls = model, 0
+
+        def encode(self, text):
+            self.calls += 1
+            return self.model.encode(text)
+
+    pieces = tokens.Pieces(vocabulary("piece_bpe_32k.model"))
+    model = pieces.model
+    pieces.model = Counting(model)
+    want = [len(model.encode(t.decode())) for t in texts]
+    assert pieces.counts(texts[: len(plain)]) == want[: len(plain)] and pieces.model.calls < 40
+    assert pieces.counts(texts) == want == pieces.counts(texts)
+
+
+def test_parts_that_give_way_are_counted_again(monkeypatch):
+    from riskspark.llm import tokens
+    from riskspark.llm.queries import vocabulary
+
+    monkeypatch.setattr(tokens, "PLACES", 4)
+    pieces = tokens.Pieces(vocabulary("piece_bpe_32k.model"))
+    texts = [f"word{k} other{k % 3}\nlast {k}" for k in range(100)]
+    want = [len(pieces.model.encode(t)) for t in texts]
+    assert [pieces.counts([t.encode()])[0] for t in texts] == want == pieces.counts([t.encode() for t in texts])
