@@ -293,27 +293,113 @@ def least_shared(n: Column, percent: int) -> Column:
     return F.ceil(n * percent / F.lit(100)).cast("long")
 
 
+def counted(sets: DataFrame) -> DataFrame:
+    """Parts of ``sets`` with the number of sets each of their shingles occurs in, and how many shingles have each such number.
+
+    A row with ``class`` is a set; one with ``counts`` has the numbers of the part's distinct shingles, in order, that fall
+    to a fragment of the hash range; one with ``df`` says how many shingles of a fragment occur in ``df`` sets."""
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    bits = min(max(int(total / FRAGMENT), 1).bit_length() - 1, MOST_FRAGMENTS.bit_length() - 1)
+    spread = 4_096
+    longs = lambda *names: [T.StructField(c, T.LongType()) for c in names]
+    sent = T.StructType([*longs("fragment", "part", "class", "n"), *(T.StructField(c, T.BinaryType()) for c in ("keys", "times"))])
+    answer = T.StructType([*longs("fragment", "part", "class", "n"), T.StructField("keys", T.BinaryType()), T.StructField("counts", T.BinaryType()), *longs("df", "shingles")])
+    sent_arrow, answer_arrow = to_arrow(sent), to_arrow(answer)
+
+    def filled(schema: pa.Schema, rows: int, **columns: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(rows, f.type) for f in schema], schema=schema)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId() << 24
+        for b in batches:
+            if not b.num_rows:
+                continue
+            lists = b.column(2)
+            sizes = np.diff(lists.offsets.to_numpy())
+            flat = lists.flatten().to_numpy().view(np.uint64)
+            ends = np.cumsum(sizes)
+            yield filled(sent_arrow, b.num_rows, fragment=[-1 - mix_of(part) % spread] * b.num_rows, part=[part] * b.num_rows, n=b.column(1).to_pylist(),
+                         keys=[flat[to - m : to].tobytes() for m, to in zip(sizes.tolist(), ends.tolist(), strict=True)], **{"class": b.column(0).to_pylist()})
+            every = np.sort(flat)
+            start = np.flatnonzero(np.append(True, every[1:] != every[:-1])) if len(every) else np.zeros(0, np.int64)
+            times, keys = np.diff(np.append(start, len(every))).astype(np.uint32), every[start]
+            cut = np.searchsorted(keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), np.uint64), np.arange((1 << bits) + 1, dtype=np.uint64))
+            used = [f for f in range(1 << bits) if cut[f] < cut[f + 1]]
+            if used:
+                yield filled(sent_arrow, len(used), fragment=used, part=[part] * len(used), keys=[keys[cut[f] : cut[f + 1]].tobytes() for f in used],
+                             times=[times[cut[f] : cut[f + 1]].tobytes() for f in used])
+            part += 1
+
+    def tell(got: pa.Table) -> pa.Table:
+        if got["fragment"][0].as_py() < 0:
+            made = {f.name: got[f.name] if f.name in ("fragment", "part", "class", "n", "keys") else pa.nulls(len(got), f.type) for f in answer_arrow}
+            return pa.table(made).cast(answer_arrow)
+        keys = [np.frombuffer(x, np.uint64) for x in got["keys"].to_pylist()]
+        times = np.concatenate([np.frombuffer(x, np.uint32) for x in got["times"].to_pylist()]).astype(np.int64)
+        every = np.concatenate(keys)
+        order = np.argsort(every)
+        start = np.flatnonzero(np.append(True, every[order][1:] != every[order][:-1]))
+        sums = np.add.reduceat(times[order], start)
+        df = np.empty(len(every), np.int64)
+        df[order] = np.repeat(sums, np.diff(np.append(start, len(every))))
+        ends = np.cumsum([len(x) for x in keys]).tolist()
+        kinds, shingles = np.unique(sums[sums > 1], return_counts=True)
+        rows = [filled(answer_arrow, len(keys), fragment=got["fragment"].to_pylist(), part=got["part"].to_pylist(),
+                       counts=[df[to - len(x) : to].astype(np.uint32).tobytes() for x, to in zip(keys, ends, strict=True)]),
+                filled(answer_arrow, len(kinds), df=kinds, shingles=shingles)]
+        return pa.Table.from_batches(rows, answer_arrow)
+
+    return sets.select("class", "n", "hashes").mapInArrow(send, sent).groupBy("fragment").applyInArrow(tell, answer)
+
+
+def cuts_of(shingles: list[tuple[int, int]]) -> np.ndarray:
+    """Places in the global order that cut it into fragments with equally many entries; from (df, shingles)."""
+    df, n = np.array(sorted(shingles), np.int64).reshape(-1, 2).T
+    entries = np.cumsum(df * n)
+    total = int(entries[-1]) if len(entries) else 0
+    count = min(max(int(total / FRAGMENT), 1), 4_096)
+    goal = np.arange(1, count) * (total / count)
+    at = np.searchsorted(entries, goal)
+    # within one number of sets the order is that of the hashes, which are spread evenly
+    return df[at] + (goal - (entries - df * n)[at]) / (df * n)[at]
+
+
 def segments(sets: DataFrame, percent: int) -> DataFrame:
     """(class, n, fragment, start, hashes): the shingles that occur in several sets, in the global order; ``start`` is the position of the first.
 
-    Position counts the shingles of the set that occur nowhere else, which are first of all.
+    The order is rarest first, then by hash. Position counts the shingles of the set that occur nowhere else, which are
+    first of all. Sets go to the fragments of the hash range and back in packed parts.
     """
-    entries = sets.select("class", "n", F.explode("hashes").alias("hash"))
-    often = entries.groupBy("hash").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    # rarest first, then by hash: one number that rises with the order
-    place = F.col("df") + F.shiftrightunsigned("hash", 11) / F.lit(float(1 << 53))
-    often = staged(often.select("hash", place.alias("place"), "df"))
-    total = often.agg(F.sum("df")).first()[0] or 0
-    count = min(max(int(total / FRAGMENT), 1), 4_096)
-    cuts = often.agg(F.percentile_approx("place", [k / count for k in range(1, count)], 10_000).alias("c")).first()[0] if count > 1 else []
-    fragment = F.lit(0) if not cuts else F.size(F.filter(F.lit(cuts), lambda x: x <= F.col("place")))
-    ranked = entries.join(often.select("hash", "place", fragment.alias("fragment")), "hash").groupBy("class", "n").agg(
-        F.sort_array(F.collect_list(F.struct("place", "hash", "fragment"))).alias("items"))
-    kept = ranked.filter(F.size("items") >= least_shared(F.col("n"), percent))
-    each = kept.select("class", "n", (F.col("n") - F.size("items")).alias("alone"), F.posexplode("items").alias("k", "x"))
-    return each.groupBy("class", "n", F.col("x.fragment").alias("fragment")).agg(
-        F.min(F.col("alone") + F.col("k")).alias("start"),
-        F.transform(F.sort_array(F.collect_list(F.struct("k", "x.hash"))), lambda x: x["hash"]).alias("hashes"))
+    told = staged(counted(sets))
+    cuts = cuts_of([tuple(r) for r in told.filter("df is not null").groupBy("df").agg(F.sum("shingles")).collect()])
+    out = T.StructType([*(T.StructField(c, T.LongType()) for c in ("class", "n", "fragment", "start")), T.StructField("hashes", T.ArrayType(T.LongType()))])
+    out_arrow = to_arrow(out)
+
+    def cut(got: pa.Table) -> pa.Table:
+        mine = pa.compute.is_valid(got["class"])
+        rows, answers = got.filter(mine), got.filter(pa.compute.invert(mine)).sort_by("fragment")
+        df = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(x, np.uint32) for x in answers["counts"].to_pylist())])
+        lists = [np.frombuffer(x, np.uint64) for x in rows["keys"].to_pylist()]
+        every = np.concatenate(lists)
+        row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        df = df[np.searchsorted(ordered(every), every)]
+        several = df > 1
+        every, row, df = every[several], row[several], df[several]
+        n = rows["n"].to_numpy()
+        items = np.bincount(row, minlength=len(lists))
+        kept = (items >= -(-n * percent // 100))[row]
+        every, row, df = every[kept], row[kept], df[kept]
+        place = df + (every >> np.uint64(11)).astype(np.float64) / float(1 << 53)
+        order = np.lexsort((every, place, row))
+        every, row, fragment = every[order], row[order], np.searchsorted(cuts, place[order], "right")
+        new = np.append(True, (row[1:] != row[:-1]) | (fragment[1:] != fragment[:-1])) if len(row) else np.zeros(0, bool)
+        first = np.flatnonzero(new)
+        of = row[first]
+        start = (n - items)[of] + first - np.searchsorted(row, of)
+        hashes = pa.ListArray.from_arrays(pa.array(np.append(first, len(row)), pa.int32()), pa.array(every.view(np.int64)))
+        return pa.table([rows["class"].take(pa.array(of)), pa.array(n[of]), pa.array(fragment[first]), pa.array(start), hashes], names=out.names).cast(out_arrow)
+
+    return told.filter("part is not null").groupBy("part").applyInArrow(cut, out)
 
 
 def prefix_lists(cut: DataFrame, percent: int) -> DataFrame:

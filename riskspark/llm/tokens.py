@@ -33,7 +33,7 @@ TABLE_SIZE, PER_TASK = 20_000, 1_000
 #: a worker keeps so many pre-tokens
 CACHE = 1_000_000
 #: new parts that are encoded at once, and places of the table that a worker keeps (a power of two)
-TOGETHER, PLACES = 500, 1 << 20
+TOGETHER, PLACES = 500, 1 << 21
 MARK = "▁"
 #: blanks with what follows up to the next blank; used where two blanks meet
 _runs = regex.compile(r" +[^ ]*")

@@ -247,3 +247,37 @@ def test_scores_beyond_a_double(spark):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
     got = [tuple(r) for r in mining.mine(frame).collect()]
     assert got == [(0, 1, 1, 2, 2**63 - 1, 2**63 - 1)]
+
+
+@pytest.mark.parametrize("fragment, parts", [(1 << 20, 1), (100, 4), (7, 3)])
+def test_segments_come_from_packed_parts(spark, monkeypatch, fragment, parts):
+    """Order, positions and cuts as made one by one; no row for each shingle goes round."""
+    import random
+    from collections import Counter
+
+    monkeypatch.setattr(setjoin, "FRAGMENT", fragment)
+    rng = random.Random(5)
+    pool = [rng.getrandbits(64) - (1 << 63) for _ in range(80)]
+    held = {k: sorted(set(rng.sample(pool, rng.randint(1, 60)) + [rng.getrandbits(64) - (1 << 63) for _ in range(k % 30)]), key=lambda x: x % (1 << 64))
+            for k in range(60)}
+    sets = spark.createDataFrame([(k, len(x), x) for k, x in held.items()], "class long, n long, hashes array<long>").repartition(parts).localCheckpoint()
+    df = Counter(x for s in held.values() for x in s)
+    place = {x: (df[x], x % (1 << 64)) for x in df if df[x] > 1}
+    want = {}
+    for k, s in held.items():
+        items = sorted((x for x in s if x in place), key=place.get)
+        if 100 * len(items) >= 70 * len(s):
+            want[k] = (len(s), len(s) - len(items), items)
+    got, fragments = {}, {}
+    for r in sorted(setjoin.segments(sets, 70).collect(), key=lambda r: (r["class"], r.start)):
+        n, start, items = got.setdefault(r["class"], (r.n, r.start, []))
+        assert r.start == start + len(items) and r.hashes
+        items += r.hashes
+        for x in r.hashes:
+            assert fragments.setdefault(x, r.fragment) == r.fragment
+    assert got == want
+    in_order = [fragments[x] for x in sorted(fragments, key=place.get)]
+    assert in_order == sorted(in_order) and len(set(in_order)) > 3 * (fragment < 1000)
+    if fragment > 1000:
+        assert setjoin.counted(sets).count() < 60 + parts + 80
+    assert setjoin.segments(sets.limit(0), 70).collect() == []
