@@ -48,10 +48,12 @@ BLOCK = 1 << 17
 #: fingerprints by which candidates are found, and what their hashes are mixed with
 PRINTS = 12
 MIX = np.array([xxhash.xxh64_intdigest(bytes([k]), SEED) for k in range(PRINTS)], np.uint64)
-#: fingerprints of a shard up to which all are measured directly, and entries of shards that share a task
-DIRECT, ENTRIES = 512, 500_000
-#: hot shards whose sizes are broadcast
-HOT_SENT = 100_000
+#: fingerprints of a shard up to which all are measured directly, rows with equal bits that meet one by one, and pairs that are held at once
+DIRECT, RUN, PAIRS = 512, 512, 1 << 20
+#: fingerprints that one task searches, and how many times that a class may hold to be cut into chunks only
+SHARD, WHOLE = 500_000, 4
+#: hot shards whose sizes are broadcast, and ids
+HOT_SENT, IDS_SENT = 100_000, 1_000_000
 
 
 def shingle_hashes(text: str, words: int) -> np.ndarray:
@@ -304,80 +306,142 @@ def seeded_fingerprints(h: np.ndarray) -> np.ndarray:
     return np.packbits(2 * ones > len(h), axis=1, bitorder="little").view(np.int64)[:, 0]
 
 
-def close_pairs(fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of a spanning forest of the links within a shard of distinct fingerprints."""
+def long_run(fp: np.ndarray, label: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of links that join whatever labels the links within the radius join.
+
+    A few rows at a time meet all others. Most near ones soon have one label; once all that have
+    another one have met the others, no pair of different labels is left.
+    """
+    label = np.unique(label, return_inverse=True)[1]
+    forest, unmet, left, right, rows = Forest(int(label.max()) + 1), np.ones(len(fp), bool), [], [], 1
+    while True:
+        now = forest.label[label]
+        asking = np.flatnonzero(unmet & (now != np.bincount(now).argmax()))[:rows]
+        if not len(asking):
+            break
+        unmet[asking] = False
+        a, b = np.nonzero((np.bitwise_count(fp[asking, None] ^ fp) <= radius) & (now[asking, None] != now))
+        a = asking[a]
+        kept = forest.join(label[a], label[b])
+        left.append(a[kept])
+        right.append(b[kept])
+        rows = max(1, min(4 * rows, PAIRS // len(fp)))
+    none = np.zeros(0, np.int64)
+    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
+
+
+def near_links(fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of a spanning forest of the links among distinct fingerprints of any number.
+
+    As the shards above, within one task: for each choice of blocks the fingerprints are sorted
+    by the bits in them, and those with the same bits meet.
+    """
+    forest = Forest(len(fp))
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+
+    def join(a: np.ndarray, b: np.ndarray) -> None:
+        kept = forest.join(a, b)
+        left.append(a[kept])
+        right.append(b[kept])
+
     if len(fp) <= DIRECT:
-        # in a tree this small a search meets nearly every entry
-        a, b = np.nonzero(np.triu(np.bitwise_count(fp[:, None] ^ fp) <= radius, 1))
-        kept = Forest(len(fp)).join(a, b)
-        return a[kept], b[kept]
-    x, y = shard_links(fp, fp, radius)
-    order = np.argsort(fp)
-    return order[np.searchsorted(fp, x, sorter=order)], order[np.searchsorted(fp, y, sorter=order)]
+        join(*np.nonzero(np.triu(np.bitwise_count(fp[:, None] ^ fp) <= radius, 1)))
+        return left[-1], right[-1]
+    agree = agreeing(len(fp), radius)
+    blocks = radius + agree
+    cuts = [round(i * 64 / blocks) for i in range(blocks + 1)]
+    for chosen in combinations(range(blocks), agree):
+        bits = fp & np.uint64(sum((1 << cuts[i + 1]) - (1 << cuts[i]) for i in chosen))
+        order = np.argsort(bits)
+        bits, row = bits[order], fp[order]
+        first = np.flatnonzero(np.append(True, bits[1:] != bits[:-1]))
+        size = np.diff(np.append(first, len(row)))
+        label = forest.label[order]
+        apart = np.minimum.reduceat(label, first) != np.maximum.reduceat(label, first)
+        long = apart & (size > RUN)
+        later = np.repeat(first + size, size) - np.arange(len(row)) - 1         # how many of its run stand behind a row
+        later[np.repeat(long | ~apart, size)] = 0
+        at, k, found, n = np.flatnonzero(later), 1, [], 0
+        while len(at):
+            near = at[np.bitwise_count(row[at] ^ row[at + k]) <= radius]
+            a, b = order[near], order[near + k]
+            fresh = forest.label[a] != forest.label[b]
+            found.append((a[fresh], b[fresh]))
+            n += len(found[-1][0])
+            k += 1
+            at = at[later[at] >= k]
+            if n > PAIRS or n and not len(at):
+                join(*(np.concatenate(x) for x in zip(*found, strict=True)))
+                found, n = [], 0
+        for start, end in zip(first[long], (first + size)[long], strict=True):
+            of = order[start:end]
+            a, b = long_run(fp[of], forest.label[of], radius)
+            found.append((of[a], of[b]))
+        if found:
+            join(*(np.concatenate(x) for x in zip(*found, strict=True)))
+    return np.concatenate(left), np.concatenate(right)
+
+
+def meetings(texts: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """(shard, pair, fp, node): each ``shard`` and ``pair`` names the fingerprints that one task searches.
+
+    Only texts with numbers of shingles that ``similarity`` allows meet: a text stands in the class
+    of its number and in the next, classes being 1 / ``similarity`` wide. Up to ``SHARD``
+    fingerprints of a class and a seed go to one task, once each. Those of a larger class are cut
+    into chunks by a hash of the text, and a task gets two chunks; beyond ``WHOLE`` times ``SHARD``
+    they are first dealt out by each block of their bits, and only hot shards are cut. So a text
+    goes to a bounded number of tasks, however many texts there are.
+    """
+    width = math.log(1.0001 / similarity)
+    size = F.floor(F.log(F.greatest("n", F.lit(1)).cast("double")) / width)
+    of_size = {r["size"]: r["count"] for r in texts.select(size.alias("size")).groupBy("size").count().collect()}
+    rows = {c: of_size.get(c, 0) + of_size.get(c - 1, 0) for c in of_size.keys() | {c + 1 for c in of_size}}
+    cut = {c: math.ceil(2 * n / SHARD) for c, n in rows.items() if SHARD < n <= WHOLE * SHARD}
+    large = [c for c, n in rows.items() if n > WHOLE * SHARD]
+    dealt = texts.select("node", F.explode(F.array(size, size + 1)).alias("class"), "fps").select(
+        "node", "class", F.posexplode("fps").alias("seed", "fp"))
+    keys = shard_keys(radius, 1)
+    of = (F.col("class") * PRINTS + F.col("seed")) * len(keys)
+    chunks = F.when(F.lit(False), 1)
+    for c, n in cut.items():
+        chunks = chunks.when(F.col("class") == c, n)
+    placed = dealt.filter(~F.col("class").isin(large)).select(
+        F.shiftleft(of, 40).alias("shard"), "fp", "node", chunks.otherwise(1).alias("chunks"))
+    if large:
+        shard = [F.shiftleft(of + n, 40).bitwiseXOR(k["value"]) for n, k in enumerate(keys)]
+        entries = dealt.filter(F.col("class").isin(large)).select(F.explode(F.array(*shard)).alias("shard"), "fp", "node")
+        hot = staged(entries.groupBy("shard").count().filter(F.col("count") > SHARD).select(
+            "shard", F.ceil(F.col("count") * 2 / SHARD).cast("int").alias("hot")))
+        placed = placed.unionByName(entries.join(F.broadcast(hot) if row_count(hot) <= HOT_SENT else hot, "shard", "left").select(
+            "shard", "fp", "node", F.coalesce("hot", F.lit(1)).alias("chunks")))
+    # a text of several chunks goes with each other chunk once, so all pairs of chunks meet
+    placed = placed.withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    pairs = F.expr("transform(filter(sequence(0, chunks - 1), x -> x != own), x -> shiftleft(cast(least(x, own) as long), 32) + greatest(x, own))")
+    return placed.select(
+        "shard", F.explode(F.when(F.col("chunks") == 1, F.array(F.lit(-1).cast("long"))).otherwise(pairs)).alias("pair"), "fp", "node")
 
 
 def candidates(texts: DataFrame, radius: int, similarity: float) -> DataFrame:
     """(node, label): texts that links lead to, with a label for each component.
 
     ``texts``: (node, n, fps) with the number of distinct shingles and ``PRINTS`` fingerprints.
-    Texts are linked if any of their fingerprints differ in at most ``radius`` bits. Only texts
-    with numbers of shingles that ``similarity`` allows meet: a text stands in the class of its
-    number and in the next, classes being 1 / ``similarity`` wide.
+    Texts are linked if any of their fingerprints differ in at most ``radius`` bits and their
+    numbers of shingles let them meet.
     """
     kind = texts.schema["node"].dataType.simpleString()
-    width = math.log(1.0001 / similarity)
-    size = F.floor(F.log(F.greatest("n", F.lit(1)).cast("double")) / width)
-    dealt = texts.select("node", size.alias("size"), F.posexplode("fps").alias("seed", "fp")).select(
-        "node", "fp", F.explode(F.array(*[(F.col("size") + k) * PRINTS + F.col("seed") for k in (0, 1)])).alias("of"))
-    nodes = staged(dealt.groupBy("of", "fp").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("n")))
-    equal = dealt.join(nodes.filter("n > 1").select("of", "fp", F.col("node").alias("src")), ["of", "fp"]).filter(
-        F.col("src") != F.col("node")).select("src", F.col("node").alias("dst")).distinct()
-    # a text meets the others of its class
-    met, rows = nodes.groupBy("of").count().agg(F.sum(F.col("count") * F.col("count")), F.sum("count")).first()
-    keys = shard_keys(radius, agreeing((met or 0) // max(rows or 0, 1) // 4, radius))
-    shard = [F.shiftleft(F.col("of") * len(keys) + n, 40).bitwiseXOR(k["value"]) for n, k in enumerate(keys)]
-    entries = nodes.select("fp", "node", F.explode(F.array(*shard)).alias("shard"))
-    hot = entries.groupBy("shard").count().filter(F.col("count") > TREE / 2).select(
-        "shard", F.ceil(F.col("count") / (TREE / 2)).cast("int").alias("trees"))
-    tasks = max(1, math.ceil((rows or 0) * len(keys) / ENTRIES))
-    hot = staged(hot)
-    sized = entries.join(F.broadcast(hot) if row_count(hot) <= HOT_SENT else hot, "shard", "left")
-    plain = sized.filter("trees IS NULL").select(
-        F.pmod(F.xxhash64("shard"), F.lit(tasks)).alias("task"), F.lit(-1).alias("part"), "shard", "fp", "node", F.lit(True).alias("visits"))
-    own = F.pmod(F.xxhash64("fp"), F.col("trees")).cast("int")
-    large = staged(sized.filter("trees IS NOT NULL").withColumn("own", own))
-    # a fingerprint of a hot shard stands in its own tree and visits that tree and the later ones
-    visitors = large.withColumn("tree", F.explode(F.expr("sequence(own, trees - 1)"))).select(
-        F.xxhash64("shard", "tree").alias("task"), F.col("own").alias("part"), "shard", "fp", "node", F.lit(True).alias("visits"))
-    owners = large.withColumn("part", F.explode(F.expr("sequence(0, own)"))).select(
-        F.xxhash64("shard", "own").alias("task"), "part", "shard", "fp", "node", F.lit(False).alias("visits"))
-
-    def found(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+
+    def found(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf[["fp", "node"]].sort_values(["fp", "node"])
         fp, node = pdf["fp"].to_numpy(np.int64).view(np.uint64), pdf["node"].to_numpy()
-        if key[1] < 0:
-            order = np.argsort(pdf["shard"].to_numpy(), kind="stable")
-            shard = pdf["shard"].to_numpy()[order]
-            first = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
-            src, dst = [order[:0]], [order[:0]]
-            for a, b in zip(first, np.append(first[1:], len(shard)), strict=True):
-                if b - a > 1:
-                    x, y = close_pairs(fp[order[a:b]], radius)
-                    if len(x):
-                        src.append(order[a:b][x])
-                        dst.append(order[a:b][y])
-            x, y = np.concatenate(src), np.concatenate(dst)
-        else:
-            visits = pdf["visits"].to_numpy(bool)
-            x, y = shard_links(fp[~visits], fp[visits], radius) if (~visits).any() else (fp[:0], fp[:0])
-            order = np.argsort(fp, kind="stable")
-            x, y = order[np.searchsorted(fp, x, sorter=order)], order[np.searchsorted(fp, y, sorter=order)]
-        # a node is in many shards: of all links of the task, enough to join what they join
-        names, at = np.unique(node, return_inverse=True)
-        kept = Forest(len(names)).join(at[x], at[y])
-        return pd.DataFrame({"src": node[x][kept], "dst": node[y][kept]})
-
-    near = plain.unionByName(visitors).unionByName(owners).groupBy("task", "part").applyInPandas(found, f"src {kind}, dst {kind}")
-    edges = staged(near.union(equal).filter("src != dst").select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct())
+        new = np.append(True, fp[1:] != fp[:-1])
+        first = np.flatnonzero(new)
+        a, b = near_links(fp[first], radius)
+        # texts with one fingerprint hang on the least of them
+        src = np.concatenate([node[first[a]], node[first[np.cumsum(new) - 1]][~new]])
+        return pd.DataFrame({"src": src, "dst": np.concatenate([node[first[b]], node[~new]])})
+
+    near = meetings(texts, radius, similarity).groupBy("shard", "pair").applyInPandas(found, f"src {kind}, dst {kind}")
+    edges = staged(near.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct())
     ends = edges.select("src").union(edges.select("dst")).distinct()
     return connected_components(ends.select(F.col("src").alias("node"), F.col("src").alias("label")), edges)
 
@@ -414,6 +478,11 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     return map_texts(docs, "doc_id", "text", f"doc_id {kind}, shingles array<long>", rows)
 
 
+def sent(ids: DataFrame) -> DataFrame:
+    """Up to ``IDS_SENT`` rows of ids go to the texts that they are joined with, so the texts meet no shuffle."""
+    return F.broadcast(ids) if row_count(ids) <= IDS_SENT else ids
+
+
 def near_others(docs: DataFrame, words: int, radius: int, similarity: float) -> DataFrame:
     """Ids (column ``other``) of documents that have a near copy with a smaller id which stays.
 
@@ -428,7 +497,8 @@ def near_others(docs: DataFrame, words: int, radius: int, similarity: float) ->
     copies = prints.join(texts.select("same", F.col("node").alias("first_id")), "same").filter(F.col("doc_id") != F.col("first_id")).select(
         F.col("doc_id").alias("other"))
     members = staged(candidates(texts, radius, similarity).select(F.col("node").alias("doc_id"), "label"))
-    left = staged(shingle_sets(docs.join(members.select("doc_id"), "doc_id", "left_semi"), words).join(members, "doc_id"))
+    ids, named = sent(members.select("doc_id")), sent(members)
+    left = staged(shingle_sets(docs.join(ids, "doc_id", "left_semi"), words).join(named, "doc_id"))
     gone = []
     while not left.isEmpty():
         sizes = left.groupBy("label").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("shingles")).alias("all"))
@@ -478,6 +548,6 @@ def one_of_each(docs: DataFrame, words: int = 5, radius: int = 8, similarity: fl
         least = known.groupBy("doc_id").agg(F.min(F.struct("text", *rest)).alias("row"))
         known = least.select(*[F.col(c) if c == "doc_id" else F.col("row")[c].alias(c) for c in docs.columns])
         docs = staged(known.unionByName(docs.filter(F.col("doc_id").isNull())))
-    others = near_others(docs.select("doc_id", "text"), words, radius, similarity).withColumnRenamed("other", "doc_id")
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    others = staged(near_others(docs.select("doc_id", "text"), words, radius, similarity).withColumnRenamed("other", "doc_id"))
+    return docs.join(sent(others), "doc_id", "left_anti").select(*docs.columns)
 

@@ -1,8 +1,10 @@
 """Tokens, fingerprints and lines against plain versions and the libraries."""
 
 import hashlib
+import math
 import random
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -144,6 +146,76 @@ def test_links_of_hot_shards(spark, monkeypatch, tree):
     assert up == want
 
 
+def brute_candidates(texts, radius, similarity=0.8):
+    """Smallest node of each component; ``texts``: (node, n, fps)."""
+    size = {i: math.floor(math.log(max(n, 1)) / math.log(1.0001 / similarity)) for i, n, _ in texts}
+    up = {i: i for i, _, _ in texts}
+    for k, (a, _, x) in enumerate(texts):
+        for b, _, y in texts[:k]:
+            near = abs(size[a] - size[b]) <= 1 and any(((p ^ q) % (1 << 64)).bit_count() <= radius for p, q in zip(x, y, strict=True))
+            if near and up[a] != up[b]:
+                low, high = sorted((up[a], up[b]))
+                up = {i: low if c == high else c for i, c in up.items()}
+    ends = [c for c in set(up.values()) if sum(x == c for x in up.values()) > 1]
+    return {i: c for i, c in up.items() if c in ends}
+
+
+def printed(rng, groups, least, most, prints):
+    """Groups of texts whose fingerprints stray from those of the first by up to 6 bits, of about as many shingles."""
+    out = []
+    for g in groups:
+        base, n = [rng.getrandbits(64) for _ in range(prints)], rng.randrange(least, most)
+        for _ in range(g):
+            own = [b ^ sum(1 << i for i in rng.sample(range(64), rng.randrange(7))) for b in base]
+            out.append((len(out), n + rng.randrange(9), [x - (1 << 64) if x >> 63 else x for x in own]))
+    return out
+
+
+@pytest.mark.parametrize(("shard", "whole", "rows"), [(500_000, 4, 1), (60, 1000, None), (60, 1, None), (700, 0, 9)])
+def test_candidates_in_one_task_chunks_or_blocks(spark, monkeypatch, shard, whole, rows):
+    """All deals find the same components: whole classes, chunks of them, blocks of bits with hot shards, and without."""
+    monkeypatch.setattr(simhash, "SHARD", shard)
+    monkeypatch.setattr(simhash, "WHOLE", whole)
+    texts = printed(random.Random(4), [1] * 20 + [2] * 15 + [70], 90, 140, 2)
+    texts += [(1000 + i, n, x) for i, n, x in texts[20:40]]                 # equal fingerprints
+    given = spark.createDataFrame(texts, "node long, n long, fps array<long>")
+    got = {r.node: r.label for r in simhash.candidates(given, 8, 0.8).collect()}
+    assert got == brute_candidates(texts, 8)
+    if rows:
+        assert simhash.meetings(given, 8, 0.8).count() == len(texts) * 2 * 2 * rows
+    assert simhash.candidates(given.limit(0), 8, 0.8).count() == 0
+
+
+def test_candidates_of_more_texts_shuffle_no_more_for_each(spark, monkeypatch):
+    """Shards as small as if a thousand times as many texts were there: a text still goes to a task once for each seed and class."""
+    monkeypatch.setattr(simhash, "SHARD_ROWS", simhash.SHARD_ROWS / 10_000)
+    dirs = [Path(str(d)) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f: f.stat().st_size for d in dirs for f in d.rglob("shuffle_*.data")}
+    given = spark.createDataFrame(printed(random.Random(9), [1] * 300, 90, 140, simhash.PRINTS), "node long, n long, fps array<long>")
+    before = files()
+    simhash.candidates(given, 8, 0.8)
+    assert sum(n for f, n in files().items() if f not in before) < 300 * 2 * simhash.PRINTS * 64
+
+
+def test_links_within_one_task():
+    """Long runs of equal bits, short ones, and fingerprints that are all far apart."""
+    rng = np.random.default_rng(2)
+
+    def labels(n, a, b):
+        forest = simhash.Forest(n)
+        forest.join(a, b)
+        return forest.label.tolist()
+
+    for n, bases, flips in ((3_000, 3, 6), (2_000, 300, 5), (2_500, 2_500, 0)):
+        fp = rng.integers(0, 1 << 63, bases, dtype=np.uint64)[rng.integers(0, bases, n)]
+        for _ in range(flips):
+            fp = fp ^ (np.uint64(1) << rng.integers(0, 64, n).astype(np.uint64))
+        fp = np.unique(fp)
+        a, b = simhash.near_links(fp, 8)
+        assert (np.bitwise_count(fp[a] ^ fp[b]) <= 8).all()
+        assert labels(len(fp), a, b) == labels(len(fp), *np.nonzero(np.bitwise_count(fp[:, None] ^ fp) <= 8))
+
+
 def test_one_of_each(spark):
     texts = [(1, "a b c d e f"), (2, "A b  c d e f"), (3, "other words that stand here"), (3, "other words that stand here"), (None, "a b c d e f")]
     kept = simhash.one_of_each(docs_of(spark, texts))
